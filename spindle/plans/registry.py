@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import workloads as W
 from ..operators import counting
@@ -41,3 +42,218 @@ SELECT CAST(max(cnt) AS BIGINT) AS max_cnt
 FROM (SELECT count(*) AS cnt FROM lineitem GROUP BY l_partkey)""")
 def q_follower_count_max(spark, sf):
     return counting.max_count(counting.follower_count(W.follow_edges(spark, sf)))
+
+
+# ---------------------------------------------------------------- k-means
+
+from ..operators import cluster  # noqa: E402
+
+KMEANS_K = 6
+
+_COUNTS_SQL = "SELECT l_partkey AS id, count(*) AS cnt FROM lineitem GROUP BY l_partkey"
+_PTS_SQL = f"SELECT CAST(cnt AS DOUBLE) AS x, count(*) AS w FROM ({_COUNTS_SQL}) GROUP BY 1"
+_SEED_SQL = (f"SELECT CAST(range AS INT) AS cid, CAST((mx // {KMEANS_K}) * (range + 1) AS DOUBLE) AS center "
+             f"FROM range({KMEANS_K}), (SELECT max(cnt) AS mx FROM ({_COUNTS_SQL}))")
+
+
+def _points(spark, sf):
+    counts = counting.follower_count(W.follow_edges(spark, sf))
+    return counts.select(F.col("dst").alias("id"), F.col("cnt").cast("double").alias("x"))
+
+
+def _seeds(spark, sf):
+    counts = counting.follower_count(W.follow_edges(spark, sf))
+    mx = counting.max_count(counts).first()[0]
+    return cluster.init_centres(mx, KMEANS_K)
+
+
+def _kmeans_chain_sql(iterations: int) -> str:
+    """Unrolled Lloyd iterations, one materialised CTE per step."""
+    ctes = [f"pts AS MATERIALIZED ({_PTS_SQL})", f"c0 AS MATERIALIZED ({_SEED_SQL})"]
+    for i in range(1, iterations + 1):
+        ctes.append(
+            f"a{i} AS MATERIALIZED (SELECT x, w, cid FROM (SELECT x, w, cid, row_number() OVER "
+            f"(PARTITION BY x ORDER BY abs(x - center), cid) AS rn FROM pts, c{i-1}) WHERE rn = 1)")
+        ctes.append(
+            f"c{i} AS MATERIALIZED (SELECT CAST(row_number() OVER (ORDER BY cid) - 1 AS INT) AS cid, "
+            f"cid AS oc, sum(w * x) / sum(w) AS center, CAST(sum(w) AS BIGINT) AS n FROM a{i} GROUP BY cid)")
+    n = iterations
+    return ("WITH " + ",\n".join(ctes) +
+            f"\nSELECT c.cid, c.center, c.n, round(sum(a.w * (a.x - c.center) * (a.x - c.center)), 4) AS sse "
+            f"FROM a{n} a JOIN c{n} c ON a.cid = c.oc GROUP BY c.cid, c.center, c.n")
+
+
+def _round_sse(df):
+    return df.select("cid", "center", "n", F.round("sse", 4).alias("sse"))
+
+
+@register("kmeans_init", _SEED_SQL)
+def q_kmeans_init(spark, sf):
+    counts = counting.follower_count(W.follow_edges(spark, sf))
+    return cluster.init_centres_df(spark, counting.max_count(counts), KMEANS_K)
+
+
+@register("kmeans_assign", f"""
+WITH pts AS ({_COUNTS_SQL}), c0 AS ({_SEED_SQL})
+SELECT id, x, cid, center FROM (
+  SELECT id, CAST(cnt AS DOUBLE) AS x, cid, center,
+         row_number() OVER (PARTITION BY id ORDER BY abs(cnt - center), cid) AS rn
+  FROM pts, c0) WHERE rn = 1""")
+def q_kmeans_assign(spark, sf):
+    return cluster.assign(_points(spark, sf), _seeds(spark, sf)).select("id", "x", "cid", "center")
+
+
+@register("kmeans_step", _kmeans_chain_sql(1))
+def q_kmeans_step(spark, sf):
+    return _round_sse(cluster.kmeans_step(_points(spark, sf), _seeds(spark, sf)))
+
+
+@register("kmeans_1d", _kmeans_chain_sql(10))
+def q_kmeans_1d(spark, sf):
+    return _round_sse(cluster.kmeans_1d(_points(spark, sf), _seeds(spark, sf), iterations=10))
+
+
+# ---------------------------------------------------------------- graph
+
+from ..operators import graph  # noqa: E402
+
+CHAIN_K = 100
+SSSP_SOURCE = 1
+_GRAPH_SQL = ("SELECT DISTINCT a.o_custkey AS src, b.o_custkey AS dst FROM orders a "
+              "JOIN orders b ON b.o_orderkey = a.o_orderkey + 1 "
+              "WHERE a.o_orderpriority = '1-URGENT' AND a.o_custkey <> b.o_custkey")
+_CHAIN_SQL = (f"SELECT c.c_custkey AS src, CASE WHEN (c.c_custkey + 1) % {CHAIN_K} <> 0 "
+              f"THEN n.c_custkey END AS dst FROM customer c LEFT JOIN customer n ON n.c_custkey = c.c_custkey + 1")
+_NODES_SQL = "SELECT src AS node FROM e UNION SELECT dst FROM e WHERE dst IS NOT NULL"
+
+
+def _pagerank_ctes(edges_sql: str, iterations: int, split: bool) -> tuple[str, str]:
+    share = "r.pr / r.outdeg" if split else "r.pr"
+    ctes = [f"e AS MATERIALIZED ({edges_sql})",
+            f"nodes AS MATERIALIZED ({_NODES_SQL})",
+            "deg AS MATERIALIZED (SELECT n.node, count(e.dst) AS outdeg FROM nodes n "
+            "LEFT JOIN e ON e.src = n.node GROUP BY n.node)",
+            "cnt AS MATERIALIZED (SELECT CAST(count(*) AS DOUBLE) AS n FROM nodes)",
+            "r0 AS MATERIALIZED (SELECT node, outdeg, 1.0 / (SELECT n FROM cnt) AS pr FROM deg)"]
+    for i in range(1, iterations + 1):
+        ctes.append(
+            f"r{i} AS MATERIALIZED (SELECT d.node, d.outdeg, coalesce(c.s, 0.0) + "
+            f"(SELECT coalesce(sum(pr), 0.0) FROM r{i-1} WHERE outdeg = 0) / (SELECT n FROM cnt) AS pr "
+            f"FROM deg d LEFT JOIN (SELECT e.dst, sum({share}) AS s FROM e JOIN r{i-1} r ON r.node = e.src "
+            f"WHERE e.dst IS NOT NULL GROUP BY e.dst) c ON c.dst = d.node)")
+    return "WITH " + ",\n".join(ctes), f"r{iterations}"
+
+
+def _pr_sql(edges_sql, iterations, split, select):
+    head, last = _pagerank_ctes(edges_sql, iterations, split)
+    return head + "\n" + select.format(r=last)
+
+
+def _order_graph_pr(spark, sf, iterations=10, split=True):
+    return graph.pagerank(W.order_graph(spark, sf), iterations=iterations, split_by_outdegree=split)
+
+
+def _r9(df, *cols):
+    return df.select(*[F.round(c, 9).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+@register("chain_graph", _CHAIN_SQL)
+def q_chain_graph(spark, sf):
+    return W.customer_chains(spark, sf, CHAIN_K)
+
+
+@register("edge_list_parse", f"""
+WITH e AS ({_GRAPH_SQL}), nodes AS ({_NODES_SQL})
+SELECT CAST(src AS VARCHAR) AS src, CAST(dst AS VARCHAR) AS dst FROM e
+UNION ALL
+SELECT CAST(node AS VARCHAR) AS src, CAST(NULL AS VARCHAR) AS dst FROM nodes
+WHERE node NOT IN (SELECT src FROM e)""")
+def q_edge_list_parse(spark, sf):
+    e = W.order_graph(spark, sf)
+    lone = graph.graph_nodes(e).join(e.select(F.col("src").alias("node")), "node", "left_anti")
+    lines = graph.edge_lines(e.unionByName(lone.select(F.col("node").alias("src"),
+                                                       F.lit(None).cast("long").alias("dst"))))
+    return graph.parse_edge_lines(lines)
+
+
+@register("adjacency_list", f"""
+WITH e AS ({_GRAPH_SQL})
+SELECT src, CAST(0 AS BIGINT) AS chunk, string_agg(CAST(dst AS VARCHAR), ':' ORDER BY dst) AS neighbours
+FROM e GROUP BY src""")
+def q_adjacency_list(spark, sf):
+    adj = graph.adjacency_strings(graph.adjacency_list(W.order_graph(spark, sf)))
+    return adj.select("src", F.col("chunk").cast("long").alias("chunk"), "neighbours")
+
+
+@register("dangling_mass", f"""
+WITH e AS ({_GRAPH_SQL}), nodes AS ({_NODES_SQL})
+SELECT round(CAST((SELECT count(*) FROM nodes WHERE node NOT IN (SELECT src FROM e)) AS DOUBLE)
+       / (SELECT count(*) FROM nodes), 12) AS dangling_mass""")
+def q_dangling_mass(spark, sf):
+    g = graph.prepare_graph(W.order_graph(spark, sf))
+    return graph.dangling_mass(g).select(F.round("dangling_mass", 12).alias("dangling_mass"))
+
+
+@register("pagerank", _pr_sql(_GRAPH_SQL, 10, True, "SELECT node, round(pr, 9) AS pr FROM {r}"))
+def q_pagerank(spark, sf):
+    return _r9(_order_graph_pr(spark, sf), "pr")
+
+
+@register("pagerank_total", _pr_sql(_GRAPH_SQL, 10, True, "SELECT round(sum(pr), 9) AS total FROM {r}"))
+def q_pagerank_total(spark, sf):
+    return _order_graph_pr(spark, sf).agg(F.round(F.sum("pr"), 9).alias("total"))
+
+
+@register("pagerank_top", _pr_sql(_GRAPH_SQL, 10, True,
+                                  "SELECT node, round(pr, 9) AS pr FROM {r} ORDER BY round(pr, 9) DESC, node LIMIT 100"))
+def q_pagerank_top(spark, sf):
+    pr = _r9(_order_graph_pr(spark, sf), "pr")
+    return pr.orderBy(F.col("pr").desc(), F.col("node")).limit(100)
+
+
+@register("pagerank_unsplit", _pr_sql(_GRAPH_SQL, 2, False, "SELECT node, round(pr, 9) AS pr FROM {r}"))
+def q_pagerank_unsplit(spark, sf):
+    return _r9(_order_graph_pr(spark, sf, iterations=2, split=False), "pr")
+
+
+@register("pagerank_chain", _pr_sql(_CHAIN_SQL, 2, False, "SELECT node, round(pr, 9) AS pr FROM {r}"))
+def q_pagerank_chain(spark, sf):
+    pr = graph.pagerank(W.customer_chains(spark, sf, CHAIN_K), iterations=2, split_by_outdegree=False)
+    return _r9(pr, "pr")
+
+
+_SSSP_SQL = f"""
+WITH RECURSIVE e AS ({_GRAPH_SQL}),
+nodes AS ({_NODES_SQL}),
+bfs(node, dist) AS (
+  SELECT DISTINCT dst, 1 FROM e WHERE src = {SSSP_SOURCE}
+  UNION
+  SELECT e.dst, b.dist + 1 FROM bfs b JOIN e ON e.src = b.node
+  WHERE b.dist < (SELECT count(*) FROM nodes)
+),
+d AS (SELECT node, CAST(min(dist) AS INT) AS dist FROM bfs GROUP BY node)"""
+
+
+@register("sssp_hops", _SSSP_SQL + "\nSELECT node, dist FROM d")
+def q_sssp_hops(spark, sf):
+    return graph.sssp_hops(W.order_graph(spark, sf), SSSP_SOURCE)
+
+
+@register("sssp_longest", _SSSP_SQL + "\nSELECT node, dist FROM d ORDER BY dist DESC, node LIMIT 1")
+def q_sssp_longest(spark, sf):
+    return graph.farthest(graph.sssp_hops(W.order_graph(spark, sf), SSSP_SOURCE))
+
+
+@register("bfs_relax_step", f"""
+WITH e AS ({_GRAPH_SQL}), nodes AS ({_NODES_SQL}),
+lines AS (
+  SELECT n.node, CASE WHEN n.node = {SSSP_SOURCE} THEN 0 ELSE {graph.MR_INFINITY} END AS dist,
+         coalesce((SELECT string_agg(CAST(dst AS VARCHAR), ':' ORDER BY dst) || ':' FROM e WHERE e.src = n.node), '') AS adj
+  FROM nodes n),
+cand AS (SELECT node, dist FROM lines
+         UNION ALL SELECT e.dst, l.dist + 1 FROM lines l JOIN e ON e.src = l.node)
+SELECT c.node, CAST(least(min(c.dist), {graph.MR_INFINITY}) AS INT) AS dist, any_value(l.adj) AS adj
+FROM cand c LEFT JOIN lines l ON l.node = c.node GROUP BY c.node""")
+def q_bfs_relax_step(spark, sf):
+    e = W.order_graph(spark, sf)
+    return graph.bfs_relax_step(graph.node_lines(e, SSSP_SOURCE))
