@@ -257,3 +257,94 @@ FROM cand c LEFT JOIN lines l ON l.node = c.node GROUP BY c.node""")
 def q_bfs_relax_step(spark, sf):
     e = W.order_graph(spark, sf)
     return graph.bfs_relax_step(graph.node_lines(e, SSSP_SOURCE))
+
+
+# ---------------------------------------------------------------- text
+
+from ..operators import text as textops  # noqa: E402
+from ..sources import folders, tagged  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+
+# The test lexicon (our own, ten frequent words of `documents`).
+LEXICON = [("the", 1), ("of", -1), ("and", 2), ("to", -2), ("in", 3),
+           ("is", -3), ("that", 4), ("for", -4), ("it", 5), ("was", -5)]
+_LEX_SQL = "SELECT * FROM (VALUES " + ", ".join(f"('{t}', {s})" for t, s in LEXICON) + ") lex(term, score)"
+TWEET_EPOCH = 1309478400   # 2011-07-01 00:00:00 UTC; tweet i is stamped i minutes later
+
+
+def _tweets(spark, sf):
+    d = W.table(spark, sf, "documents")
+    return d.select(
+        F.lit("status").alias("type"), F.col("source").alias("origin"), "text", F.lit("").alias("url"),
+        F.col("doc_id").alias("tweet_id"),
+        F.timestamp_seconds(F.lit(TWEET_EPOCH) + F.col("doc_id") * 60).alias("time"),
+        F.col("n_chars").cast("int").alias("ret_count"), (F.col("lang") == "en").alias("favorite"),
+        F.array(F.col("doc_id"), F.col("n_chars")).alias("mentioned"), F.array(F.col("lang")).alias("hashtags"))
+
+
+def _parsed_tweets(spark, sf):
+    path = scratch_path(spark, "tweets")
+    tagged.render_tagged_records(_tweets(spark, sf)).write.mode("overwrite").text(path)
+    return tagged.parse_tagged_records(tagged.read_tagged_records(spark, path))
+
+
+_TWEETS_SQL = (f"SELECT doc_id AS tweet_id, 'status' AS type, source AS origin, text, '' AS url, "
+               f"TIMESTAMP '2011-07-01 00:00:00' + (doc_id * 60) * INTERVAL 1 SECOND AS time, "
+               f"CAST(n_chars AS INT) AS ret_count, lang = 'en' AS favorite, "
+               f"CAST(doc_id AS VARCHAR) || ' ' || CAST(n_chars AS VARCHAR) AS mentioned, lang AS hashtags "
+               f"FROM documents")
+
+
+@register("tagged_records", _TWEETS_SQL)
+def q_tagged_records(spark, sf):
+    p = _parsed_tweets(spark, sf)
+    return p.select("tweet_id", "type", "origin", "text", "url", "time", "ret_count", "favorite",
+                    F.array_join(F.col("mentioned").cast("array<string>"), " ").alias("mentioned"),
+                    F.array_join("hashtags", " ").alias("hashtags"))
+
+
+@register("tweet_csv", f"""
+SELECT tweet_id, CAST(tweet_id AS VARCHAR) || ',"' || strftime(time, '%a %b %d %H:%M:%S UTC %Y')
+       || '","' || replace(text, '"', '""') || '"' AS line
+FROM ({_TWEETS_SQL})""")
+def q_tweet_csv(spark, sf):
+    return tagged.tweet_csv_line(_parsed_tweets(spark, sf))
+
+
+@register("merge_lines", r"""
+SELECT doc_id, CASE WHEN length(text) = 0 THEN '' ELSE
+  regexp_replace(regexp_replace(text, '(\r\n|\r|\n)$', ''), '\r\n|\r|\n', ',', 'g') || ',' END AS merged
+FROM documents""")
+def q_merge_lines(spark, sf):
+    d = W.table(spark, sf, "documents").select("doc_id", "text")
+    return folders.merge_lines(d, "text").select("doc_id", "merged")
+
+
+@register("sentiment_score", f"""
+WITH lex AS ({_LEX_SQL}),
+toks AS (SELECT d.doc_id, unnest(string_split(d.text, ' ')) AS tok FROM documents d)
+SELECT t.doc_id, CAST(coalesce(sum(l.score), 0) AS BIGINT) AS score
+FROM toks t LEFT JOIN lex l ON l.term = t.tok GROUP BY t.doc_id""")
+def q_sentiment_score(spark, sf):
+    lex = spark.createDataFrame(LEXICON, "term string, score int")
+    return textops.sentiment_score(W.table(spark, sf, "documents"), lex)
+
+
+@register("sentiment_score_joined", f"""
+WITH lex AS ({_LEX_SQL}),
+toks AS (SELECT d.doc_id, unnest(string_split(d.text, ' ')) AS tok FROM documents d)
+SELECT t.doc_id, CAST(coalesce(sum(l.score), 0) AS BIGINT) AS score
+FROM toks t LEFT JOIN lex l ON l.term = t.tok GROUP BY t.doc_id""")
+def q_sentiment_score_joined(spark, sf):
+    """Same scores through the large-lexicon path (explode + join)."""
+    lex = spark.createDataFrame(LEXICON, "term string, score int")
+    return textops.sentiment_score(W.table(spark, sf, "documents"), lex, inline_max=0)
+
+
+@register("dedup_last", """
+SELECT user_id, event_id, ts, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
+WHERE rn = 1""")
+def q_dedup_last(spark, sf):
+    ev = W.table(spark, sf, "events")
+    return textops.dedup_last(ev, "user_id", ["ts", "event_id"])
