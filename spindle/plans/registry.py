@@ -348,3 +348,97 @@ WHERE rn = 1""")
 def q_dedup_last(spark, sf):
     ev = W.table(spark, sf, "events")
     return textops.dedup_last(ev, "user_id", ["ts", "event_id"])
+
+
+# ---------------------------------------------------------------- neighbours
+
+from ..operators import neighbors as nb  # noqa: E402
+
+KNN_K = 3
+ENSEMBLE_MODELS = 3
+_BOOK_SQL = ("SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS row_key, "
+             "CAST(c_custkey AS DOUBLE) AS user_id, n_name AS location, p_name AS title, p_brand AS author, "
+             "CAST(year(o_orderdate) AS INT) AS year, s_name AS publisher, l_linestatus AS status "
+             "FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey "
+             "JOIN nation ON c_nationkey = n_nationkey JOIN part ON l_partkey = p_partkey "
+             "JOIN supplier ON l_suppkey = s_suppkey")
+_DIST_SQL = ("(q.user_id - t.user_id) * (q.user_id - t.user_id)"
+             " + CASE WHEN q.location = t.location THEN 0.0 ELSE 1.0 END"
+             " + CASE WHEN q.title = t.title THEN 0.0 ELSE 1.0 END"
+             " + CASE WHEN q.author = t.author THEN 0.0 ELSE 1.0 END"
+             " + CASE WHEN q.publisher = t.publisher THEN 0.0 ELSE 1.0 END")
+# Oracle pruning: user ids are integers and, at the checked scales, every
+# query has >= K training rows within 9 users, so its K-th distance is
+# <= 9^2 + 4 < 10^2 and rows farther than 10 users cannot enter the top K.
+_BAND = 10
+_BOOKS_CTE = (f"b AS MATERIALIZED ({_BOOK_SQL}), q AS (SELECT * FROM b WHERE status = 'O'), "
+              f"t AS (SELECT * FROM b WHERE status = 'F')")
+_KNN_CTE = (f"{_BOOKS_CTE}, c AS (SELECT q.row_key, t.row_key AS t_row_key, {_DIST_SQL} AS distance "
+            f"FROM q JOIN t ON t.user_id BETWEEN q.user_id - {_BAND} AND q.user_id + {_BAND}), "
+            f"knn AS (SELECT * FROM (SELECT row_key, CAST(row_number() OVER (PARTITION BY row_key "
+            f"ORDER BY distance, t_row_key) AS INT) AS rank, t_row_key, distance FROM c) WHERE rank <= {KNN_K})")
+
+
+def _knn(spark, sf):
+    return nb.knn_topk(W.book_queries(spark, sf), W.book_training(spark, sf), k=KNN_K)
+
+
+@register("knn_distance", f"""
+WITH {_BOOKS_CTE}, p AS (SELECT * FROM t ORDER BY row_key LIMIT 1)
+SELECT q.row_key, {_DIST_SQL.replace('t.', 'p.')} AS distance FROM b q, p""")
+def q_knn_distance(spark, sf):
+    probe = W.book_training(spark, sf).orderBy("row_key").first().asDict()
+    return nb.distance_to(W.book_rows(spark, sf), probe).select("row_key", "distance")
+
+
+@register("knn_topk", f"WITH {_KNN_CTE} SELECT * FROM knn")
+def q_knn_topk(spark, sf):
+    return _knn(spark, sf)
+
+
+@register("knn_by_title", f"""
+WITH {_KNN_CTE},
+best AS (SELECT q.title, k.t_row_key, min(k.distance) AS distance FROM knn k JOIN q USING (row_key)
+         GROUP BY q.title, k.t_row_key)
+SELECT * FROM (SELECT title, CAST(row_number() OVER (PARTITION BY title ORDER BY distance, t_row_key) AS INT)
+               AS rank, t_row_key, distance FROM best) WHERE rank <= {KNN_K}""")
+def q_knn_by_title(spark, sf):
+    return nb.knn_by_title(_knn(spark, sf), W.book_queries(spark, sf), k=KNN_K)
+
+
+def _boot_sql(models: int) -> str:
+    return (f"idx AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY row_key) - 1 AS idx FROM t), "
+            f"nn AS (SELECT count(*) AS n FROM t), "
+            f"drawn AS (SELECT m.model, ('0x' || substr(md5(CAST(m.model AS VARCHAR) || ':' || CAST(s.idx AS VARCHAR)), 1, 8))"
+            f"::BIGINT % (SELECT n FROM nn) AS idx, count(*) AS copies "
+            f"FROM idx s, (SELECT range AS model FROM range({models})) m GROUP BY 1, 2), "
+            f"boot AS (SELECT i.*, CAST(d.model AS INT) AS model, CAST(g.copy AS BIGINT) AS copy "
+            f"FROM drawn d JOIN idx i USING (idx), generate_series(1, d.copies) g(copy))")
+
+
+@register("bootstrap_sample", f"WITH {_BOOKS_CTE}, {_boot_sql(1)} SELECT row_key, model, copy FROM boot")
+def q_bootstrap_sample(spark, sf):
+    s = nb.bootstrap_sample(W.book_training(spark, sf), "row_key", model=0)
+    return s.select("row_key", "model", "copy")
+
+
+@register("ensemble_knn", f"""
+WITH {_BOOKS_CTE}, {_boot_sql(ENSEMBLE_MODELS)},
+c AS (SELECT q.row_key, t.row_key AS t_row_key, t.model AS t_model, t.copy AS t_copy, {_DIST_SQL} AS distance
+      FROM q JOIN boot t ON t.user_id BETWEEN q.user_id - {_BAND} AND q.user_id + {_BAND})
+SELECT * FROM (SELECT row_key, CAST(row_number() OVER (PARTITION BY row_key
+       ORDER BY distance, t_row_key, t_model, t_copy) AS INT) AS rank, t_row_key, t_model, t_copy, distance FROM c)
+WHERE rank <= {KNN_K}""")
+def q_ensemble_knn(spark, sf):
+    ens = nb.ensemble_training(W.book_training(spark, sf), "row_key", models=ENSEMBLE_MODELS)
+    return nb.knn_topk(W.book_queries(spark, sf), ens, k=KNN_K, tie=["row_key", "model", "copy"])
+
+
+@register("minmax_normalize", """
+SELECT c_custkey, round((c_acctbal - (SELECT min(c_acctbal) FROM customer))
+       / ((SELECT max(c_acctbal) FROM customer) - (SELECT min(c_acctbal) FROM customer)), 12) AS c_acctbal_norm
+FROM customer""")
+def q_minmax_normalize(spark, sf):
+    c = W.table(spark, sf, "customer").select("c_custkey", "c_acctbal")
+    return nb.minmax_normalize(c, "c_acctbal").select(
+        "c_custkey", F.round("c_acctbal_norm", 12).alias("c_acctbal_norm"))
