@@ -109,17 +109,15 @@ def knn_topk(queries: DataFrame, training: DataFrame, k: int = 3, qid: str = "ro
                 .dropDuplicates(["_qid"] + tie_t))
         wq = Window.partitionBy("_qid").orderBy(*order)
         top = cut(cand.withColumn("rank", F.row_number().over(wq)).where(F.col("rank") <= k))
-        stat = top.groupBy("_qid").agg(F.count(F.lit(1)).alias("_n"), F.max("distance").alias("_dk"),
-                                       F.first("_band").alias("_b"))
-        st = pending.select("_qid", "_qu").join(stat, "_qid", "left")
+        stat = top.groupBy("_qid").agg(F.count(F.lit(1)).alias("_n"), F.max("distance").alias("_dk"))
+        st = pending.select("_qid", "_qu", F.col("_band").alias("_b")).join(stat, "_qid", "left")
         covers = (F.col("_b") >= F.lit(hi) - F.col("_qu")) & (F.col("_b") >= F.col("_qu") - F.lit(lo))
         full = F.coalesce(F.col("_n"), F.lit(0)) >= k
         finished = (full & (F.col("_dk") <= F.col("_b") * F.col("_b"))) | (~full & F.coalesce(covers, F.lit(False)))
         st = cut(st.withColumn("_fin", F.coalesce(finished, F.lit(False))))
         done.append(top.join(st.where("_fin").select("_qid"), "_qid", "left_semi"))
         # sqrt widened a hair so that band^2 >= K-th distance despite rounding
-        nxt_band = F.when(full, F.sqrt(F.col("_dk")) * 1.000001).otherwise(
-            F.coalesce(F.col("_b"), F.lit(band)) * 4.0)
+        nxt_band = F.when(full, F.sqrt(F.col("_dk")) * 1.000001).otherwise(F.col("_b") * 4.0)
         pending = cut(pending.join(st.where(~F.col("_fin")).select("_qid", nxt_band.alias("_nb")), "_qid")
                       .drop("_band").withColumnRenamed("_nb", "_band"))
     else:

@@ -442,3 +442,19 @@ def q_minmax_normalize(spark, sf):
     c = W.table(spark, sf, "customer").select("c_custkey", "c_acctbal")
     return nb.minmax_normalize(c, "c_acctbal").select(
         "c_custkey", F.round("c_acctbal_norm", 12).alias("c_acctbal_norm"))
+
+
+# ---------------------------------------------------------------- formats
+
+from ..sources import arff  # noqa: E402
+
+
+@register("arff_roundtrip", "SELECT * FROM customer")
+def q_arff_roundtrip(spark, sf):
+    """customer -> ARFF -> rows -> CSV -> rows (inferred types), cast back."""
+    src = W.table(spark, sf, "customer")
+    a_path, c_path = scratch_path(spark, "arff"), scratch_path(spark, "csv")
+    arff.write_arff(src, a_path, relation="customer")
+    arff.write_csv(arff.read_arff(spark, a_path), c_path)
+    back = arff.read_csv_inferred(spark, c_path)
+    return back.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in src.schema.fields])

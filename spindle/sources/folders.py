@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def read_files(spark: SparkSession, path: str) -> DataFrame:
     """``(path, content)``, one row per file, recursing into sub-folders.
     Whole-file rows are bounded by the file size (the unit of the operator)."""
-    return (spark.read.option("recursiveFileLookup", True).option("wholetext", True).text(path)
+    return (spark.read.text(path, wholetext=True, recursiveFileLookup=True)
             .select(F.input_file_name().alias("path"), F.col("value").alias("content")))
 
 
