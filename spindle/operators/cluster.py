@@ -18,6 +18,8 @@ Fixed: SSE is a double and is computed per cluster (see README).
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,12 +96,16 @@ def kmeans_step(points: DataFrame, centres: list[float], col: str = "x") -> Data
 
 
 def kmeans_1d(points: DataFrame, centres: list[float], iterations: int = 10, col: str = "x",
-              tol: float | None = None, history: list | None = None) -> DataFrame:
+              tol: float | None = None, history: list | None = None, ticks: list | None = None) -> DataFrame:
     """Lloyd iterations; returns the last iteration's ``(cid, center, n, sse)``."""
     wp = cut(weighted_points(points, col))
+    if ticks is not None:
+        ticks.append(time.perf_counter())
     prev, upd = list(centres), None
     for it in range(iterations):
         upd = _update(wp, prev)
+        if ticks is not None:
+            ticks.append(time.perf_counter())
         new = [c for _, c, _ in upd]
         if history is not None:
             history.append(new)

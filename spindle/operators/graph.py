@@ -20,6 +20,8 @@ Scale design
 
 from __future__ import annotations
 
+import time
+
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -149,7 +151,8 @@ def dangling_mass(g: Graph) -> DataFrame:
 
 def pagerank(edges: DataFrame | Graph, nodes: DataFrame | None = None, iterations: int = 10,
              damping: float | None = None, split_by_outdegree: bool = True,
-             hot_threshold: int | None = None, history: list | None = None) -> DataFrame:
+             hot_threshold: int | None = None, history: list | None = None,
+             ticks: list | None = None) -> DataFrame:
     """``(node, pr)`` after ``iterations`` steps.
 
     pr' = Σ_{u->v} pr(u) / outdeg(u) + D / N, D = rank held by nodes without
@@ -160,6 +163,8 @@ def pagerank(edges: DataFrame | Graph, nodes: DataFrame | None = None, iteration
     g = edges if isinstance(edges, Graph) else prepare_graph(edges, nodes, hot_threshold)
     n = float(g.n)
     state = cut(g.nodes.select("node", "outdeg", "nsalt", F.lit(1.0 / n).alias("pr")))
+    if ticks is not None:
+        ticks.append(time.perf_counter())
     for _ in range(iterations):
         dangling = state.where(F.col("outdeg") == 0).agg(F.sum("pr")).first()[0] or 0.0
         share = F.col("pr") / F.col("outdeg") if split_by_outdegree else F.col("pr")
@@ -173,6 +178,8 @@ def pagerank(edges: DataFrame | Graph, nodes: DataFrame | None = None, iteration
                     .select("node", "outdeg", "nsalt", base.alias("pr")))
         if history is not None:
             history.append(state)
+        if ticks is not None:
+            ticks.append(time.perf_counter())
     return state.select("node", "pr")
 
 
@@ -180,7 +187,7 @@ def pagerank(edges: DataFrame | Graph, nodes: DataFrame | None = None, iteration
 
 def sssp_hops(edges: DataFrame | Graph, source, include_unreachable: bool = False,
               max_iter: int | None = None, hot_threshold: int | None = None,
-              levels: list | None = None) -> DataFrame:
+              levels: list | None = None, ticks: list | None = None) -> DataFrame:
     """Unit-weight single-source shortest paths ``(node, dist INT)``.
 
     As in the reference, the state starts with the source's neighbours at
@@ -197,6 +204,8 @@ def sssp_hops(edges: DataFrame | Graph, source, include_unreachable: bool = Fals
                    .distinct().select("node", F.lit(1).alias("dist")))
     visited = frontier
     depth = 1
+    if ticks is not None:
+        ticks.append(time.perf_counter())
     while not frontier.isEmpty():
         if max_iter is not None and depth >= max_iter:
             break
@@ -208,6 +217,8 @@ def sssp_hops(edges: DataFrame | Graph, source, include_unreachable: bool = Fals
         depth += 1
         if levels is not None:
             levels.append(depth)
+        if ticks is not None:
+            ticks.append(time.perf_counter())
     out = visited
     if include_unreachable:
         out = (g.nodes.select("node").join(visited, "node", "left")
