@@ -101,7 +101,7 @@ def adjacency_strings(adj: DataFrame, sep: str = ":") -> DataFrame:
 
 @dataclass
 class Graph:
-    edges: DataFrame   # (src, salt, dst), hash-partitioned on (src, salt), cut
+    edges: DataFrame   # (src, salt, dst, dst_nsalt), hash-partitioned on (src, salt), cut
     nodes: DataFrame   # (node, outdeg, nsalt), cut
     n: int             # node count
 
@@ -126,10 +126,12 @@ def prepare_graph(edges: DataFrame, nodes: DataFrame | None = None,
                 .select("node", F.coalesce("outdeg", F.lit(0)).cast("long").alias("outdeg"))
                 .withColumn("nsalt", F.when(F.col("outdeg") > 0, nsalt).otherwise(F.lit(1).cast("long"))))
     node_tab = cut(node_tab)
-    hot = node_tab.where(F.col("nsalt") > 1).select(F.col("node").alias("src"), "nsalt")
-    e = real.join(hot, "src", "left")
+    hot = node_tab.where(F.col("nsalt") > 1).select("node", "nsalt")
+    e = (real.join(hot.withColumnRenamed("node", "src"), "src", "left")
+         .join(hot.select(F.col("node").alias("dst"), F.col("nsalt").alias("dst_nsalt")), "dst", "left"))
     e = e.select("src", F.when(F.col("nsalt").isNull(), F.lit(0).cast("long"))
-                 .otherwise(F.pmod(F.xxhash64("dst"), F.col("nsalt"))).alias("salt"), "dst")
+                 .otherwise(F.pmod(F.xxhash64("dst"), F.col("nsalt"))).alias("salt"), "dst",
+                 F.coalesce(F.col("dst_nsalt"), F.lit(1).cast("long")).alias("dst_nsalt"))
     e = cut(e.repartition(parts, "src", "salt"))
     n = node_tab.count()
     return Graph(edges=e, nodes=node_tab, n=n)
@@ -199,26 +201,28 @@ def sssp_hops(edges: DataFrame | Graph, source, include_unreachable: bool = Fals
     """
     g = edges if isinstance(edges, Graph) else prepare_graph(edges, None, hot_threshold)
     src_lit = F.lit(source).cast(g.nodes.schema["node"].dataType)
-    salted = g.nodes.select("node", "nsalt")
-    frontier = cut(g.edges.where(F.col("src") == src_lit).select(F.col("dst").alias("node"))
-                   .distinct().select("node", F.lit(1).alias("dist")))
-    visited = frontier
+    visited = cut(g.edges.where(F.col("src") == src_lit)
+                  .groupBy(F.col("dst").alias("node")).agg(F.max("dst_nsalt").alias("nsalt"))
+                  .select("node", "nsalt", F.lit(1).alias("dist")))
     depth = 1
     if ticks is not None:
         ticks.append(time.perf_counter())
-    while not frontier.isEmpty():
-        if max_iter is not None and depth >= max_iter:
+    while True:
+        frontier = visited.where(F.col("dist") == depth)     # narrow scan of the cut state
+        if frontier.isEmpty() or (max_iter is not None and depth >= max_iter):
             break
-        f = _fan_out(frontier.join(salted, "node").select("node", "nsalt"), "node")
-        reached = g.edges.join(f, ["src", "salt"]).select(F.col("dst").alias("node")).distinct()
-        frontier = cut(reached.join(visited, "node", "left_anti")
-                       .select("node", F.lit(depth + 1).alias("dist")))
-        visited = cut(visited.unionByName(frontier))
+        f = _fan_out(frontier.select("node", "nsalt"), "node")
+        reached = (g.edges.join(f, ["src", "salt"])
+                   .groupBy(F.col("dst").alias("node")).agg(F.max("dst_nsalt").alias("nsalt")))
+        new = (reached.join(visited.select("node"), "node", "left_anti")
+               .select("node", "nsalt", F.lit(depth + 1).alias("dist")))
+        visited = cut(visited.unionByName(new))
         depth += 1
         if levels is not None:
             levels.append(depth)
         if ticks is not None:
             ticks.append(time.perf_counter())
+    visited = visited.select("node", "dist")
     out = visited
     if include_unreachable:
         out = (g.nodes.select("node").join(visited, "node", "left")
@@ -226,6 +230,13 @@ def sssp_hops(edges: DataFrame | Graph, source, include_unreachable: bool = Fals
     return out.select("node", F.col("dist").cast("int").alias("dist"))
 
 
+def _union(dfs: list[DataFrame]) -> DataFrame:
+    out = dfs[0]
+    for d in dfs[1:]:
+        out = out.unionByName(d)
+    return out
+
+
 def farthest(dist: DataFrame) -> DataFrame:
     """The node with the largest finite distance; ties -> smallest node."""
     return (dist.where(F.col("dist").isNotNull())

@@ -37,6 +37,7 @@ from ..session import shuffle_partitions
 
 NOMINAL = ["location", "title", "author", "publisher"]
 _MISSING = "\u0000"   # stands for NULL inside a group key
+DIRECT_MAX = 64        # training rows per user compared pair by pair
 
 
 def _subsets(n: int) -> list[tuple[int, ...]]:
@@ -56,10 +57,16 @@ def _explode_subsets(df: DataFrame, attrs: list[str]) -> DataFrame:
 
 def knn_topk(queries: DataFrame, training: DataFrame, k: int = 3, qid: str = "row_key",
              tie: list[str] | None = None, user: str = "user_id", attrs: list[str] | None = None,
-             band: float = 2.0, max_rounds: int = 64, carry: list[str] | None = None) -> DataFrame:
-    """Top-``k`` training rows per query row ``(qid, rank, <tie>, distance, ...)``
-    ordered by (distance, tie columns); ties broken by the tie columns.
-
+             band: float = 2.0, max_rounds: int = 64, carry: list[str] | None = None,
+             direct_max: int = DIRECT_MAX) -> DataFrame:
+    """Top-``k`` training rows per query row ``(qid, rank, t_<tie>..., distance)``
+    ordered by (distance, tie columns).
+
+    Training rows with identical (user, attributes) are always at the same
+    distance, so only the first ``k`` of each such tuple (tie order) are kept.
+    A training user with at most ``direct_max`` remaining rows is compared
+    directly (bounded work per query); a hot user is reached through the
+    per-subset group lists (see module docstring), never pair by pair.
     ``carry`` lists training columns to return alongside (prefixed ``t_``)."""
     attrs = attrs or NOMINAL
     tie = tie or [qid]
@@ -70,15 +77,25 @@ def knn_topk(queries: DataFrame, training: DataFrame, k: int = 3, qid: str = "ro
     t_cols = list(dict.fromkeys(tie + [user] + attrs + carry))
     t = training.select(*[F.col(c).alias("t_" + c) for c in t_cols])
     tie_t = ["t_" + c for c in tie]
-    # first k rows (tie order) of every (user, subset, values) group; static, cut once
-    tx = _explode_subsets(t.select("*", *[F.col("t_" + a).alias(a) for a in attrs]), attrs).drop(*attrs)
-    gkey = ["t_" + user, "sid"] + [f"k{i}" for i in range(n_attr)]
-    w = Window.partitionBy(*gkey).orderBy(*tie_t)
-    tk = cut(tx.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn"))
-    t_users = cut(t.select(F.col("t_" + user).alias("tu")).where(F.col("tu").isNotNull()).distinct())
-    lo, hi = t_users.agg(F.min("tu"), F.max("tu")).first()
+    tu_col = "t_" + user
+    # first k rows (tie order) of every identical-attribute tuple
+    w_tuple = Window.partitionBy(tu_col, *["t_" + a for a in attrs]).orderBy(*tie_t)
+    t = t.withColumn("_rn", F.row_number().over(w_tuple)).where(F.col("_rn") <= k).drop("_rn")
+    t = cut(t.where(F.col(tu_col).isNotNull()))
+    users = cut(t.groupBy(F.col(tu_col).alias("tu")).agg(F.count(F.lit(1)).alias("_cnt"))
+                .withColumn("_hot", F.col("_cnt") > direct_max))
+    lo, hi, n_hot = users.agg(F.min("tu"), F.max("tu"), F.sum(F.col("_hot").cast("int"))).first()
     if lo is None:
         return spark.createDataFrame([], f"{qid} string, rank int, distance double")
+    gkey = [tu_col, "sid"] + [f"k{i}" for i in range(n_attr)]
+    tk = None
+    if n_hot:
+        # first k rows of every (hot user, subset, values) group; static, cut once
+        hot_t = t.join(users.where("_hot").select(F.col("tu").alias(tu_col)), tu_col, "left_semi")
+        tx = _explode_subsets(hot_t.select("*", *[F.col("t_" + a).alias(a) for a in attrs]), attrs).drop(*attrs)
+        w = Window.partitionBy(*gkey).orderBy(*tie_t)
+        tk = cut(tx.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn"))
+    t_small = t.join(users.where(~F.col("_hot")).select(F.col("tu").alias(tu_col)), tu_col, "left_semi")
 
     q = queries.select(F.col(qid).alias("_qid"), F.col(user).alias("_qu"),
                        *[F.col(a).alias("q_" + a) for a in attrs])
@@ -87,6 +104,9 @@ def knn_topk(queries: DataFrame, training: DataFrame, k: int = 3, qid: str = "ro
                   .select("_qid", "_qu", *["q_" + a for a in attrs], F.lit(float(band)).alias("_band")))
     done: list[DataFrame] = []
     order = [F.col("distance")] + [F.col(c) for c in tie_t]
+    dist = mixed(F.col("_qu"), F.col(tu_col), [F.col("q_" + a) for a in attrs],
+                 [F.col("t_" + a) for a in attrs])
+    keep = ["_qid", "_band", *tie_t, *["t_" + c for c in carry if "t_" + c not in tie_t]]
     for _ in range(max_rounds):
         if pending.isEmpty():
             break
@@ -95,25 +115,26 @@ def knn_topk(queries: DataFrame, training: DataFrame, k: int = 3, qid: str = "ro
         width = qu.agg(F.max("_b")).first()[0]
         bucket_q = F.floor(F.col("_qu") / F.lit(width))
         qub = qu.select("_qu", "_b", F.explode(F.array(bucket_q - 1, bucket_q, bucket_q + 1)).alias("_bk"))
-        tub = t_users.select("tu", F.floor(F.col("tu") / F.lit(width)).alias("_bk"))
+        tub = users.select("tu", "_hot", F.floor(F.col("tu") / F.lit(width)).alias("_bk"))
         pairs = (qub.join(tub, "_bk").where(F.abs(F.col("_qu") - F.col("tu")) <= F.col("_b"))
-                 .select("_qu", "tu"))
-        # probe the per-group lists
-        qx = _explode_subsets(pending.select("*", *[F.col("q_" + a).alias(a) for a in attrs]), attrs).drop(*attrs)
-        probe = qx.join(pairs, "_qu").withColumnRenamed("tu", "t_" + user)
-        cand = probe.join(tk, gkey)
-        dist = mixed(F.col("_qu"), F.col("t_" + user), [F.col("q_" + a) for a in attrs],
-                     [F.col("t_" + a) for a in attrs])
-        cand = (cand.select("_qid", "_band", *tie_t, *["t_" + c for c in carry if "t_" + c not in tie_t],
-                            dist.alias("distance"))
-                .dropDuplicates(["_qid"] + tie_t))
+                 .select("_qu", F.col("tu").alias(tu_col), "_hot"))
+        pairs = cut(pairs)
+        # small users: compare directly (at most direct_max rows per user)
+        cand = (pending.join(pairs.where(~F.col("_hot")).drop("_hot"), "_qu")
+                .join(t_small, tu_col).select(*keep, dist.alias("distance")))
+        if tk is not None:
+            # hot users: probe the per-subset group lists
+            qx = _explode_subsets(pending.select("*", *[F.col("q_" + a).alias(a) for a in attrs]), attrs).drop(*attrs)
+            probe = qx.join(pairs.where("_hot").drop("_hot"), "_qu")
+            hot_cand = probe.join(tk, gkey).select(*keep, dist.alias("distance")).dropDuplicates(["_qid"] + tie_t)
+            cand = cand.unionByName(hot_cand)
         wq = Window.partitionBy("_qid").orderBy(*order)
         top = cut(cand.withColumn("rank", F.row_number().over(wq)).where(F.col("rank") <= k))
         stat = top.groupBy("_qid").agg(F.count(F.lit(1)).alias("_n"), F.max("distance").alias("_dk"))
         st = pending.select("_qid", "_qu", F.col("_band").alias("_b")).join(stat, "_qid", "left")
         covers = (F.col("_b") >= F.lit(hi) - F.col("_qu")) & (F.col("_b") >= F.col("_qu") - F.lit(lo))
         full = F.coalesce(F.col("_n"), F.lit(0)) >= k
-        finished = (full & (F.col("_dk") <= F.col("_b") * F.col("_b"))) | (~full & F.coalesce(covers, F.lit(False)))
+        finished = (full & (F.col("_dk") <= F.col("_b") * F.col("_b"))) | (~full & covers)
         st = cut(st.withColumn("_fin", F.coalesce(finished, F.lit(False))))
         done.append(top.join(st.where("_fin").select("_qid"), "_qid", "left_semi"))
         # sqrt widened a hair so that band^2 >= K-th distance despite rounding

@@ -118,7 +118,6 @@ def q_kmeans_1d(spark, sf):
 from ..operators import graph  # noqa: E402
 
 CHAIN_K = 100
-SSSP_SOURCE = 1
 _GRAPH_SQL = ("SELECT DISTINCT a.o_custkey AS src, b.o_custkey AS dst FROM orders a "
               "JOIN orders b ON b.o_orderkey = a.o_orderkey + 1 "
               "WHERE a.o_orderpriority = '1-URGENT' AND a.o_custkey <> b.o_custkey")
@@ -226,7 +225,7 @@ _SSSP_SQL = f"""
 WITH RECURSIVE e AS ({_GRAPH_SQL}),
 nodes AS ({_NODES_SQL}),
 bfs(node, dist) AS (
-  SELECT DISTINCT dst, 1 FROM e WHERE src = {SSSP_SOURCE}
+  SELECT DISTINCT dst, 1 FROM e WHERE src = (SELECT min(src) FROM e)
   UNION
   SELECT e.dst, b.dist + 1 FROM bfs b JOIN e ON e.src = b.node
   WHERE b.dist < (SELECT count(*) FROM nodes)
@@ -234,20 +233,27 @@ bfs(node, dist) AS (
 d AS (SELECT node, CAST(min(dist) AS INT) AS dist FROM bfs GROUP BY node)"""
 
 
+def sssp_source(edges):
+    """BFS source: the smallest node with an out-edge (data-derived)."""
+    return edges.agg(F.min("src")).first()[0]
+
+
 @register("sssp_hops", _SSSP_SQL + "\nSELECT node, dist FROM d")
 def q_sssp_hops(spark, sf):
-    return graph.sssp_hops(W.order_graph(spark, sf), SSSP_SOURCE)
+    e = W.order_graph(spark, sf)
+    return graph.sssp_hops(e, sssp_source(e))
 
 
 @register("sssp_longest", _SSSP_SQL + "\nSELECT node, dist FROM d ORDER BY dist DESC, node LIMIT 1")
 def q_sssp_longest(spark, sf):
-    return graph.farthest(graph.sssp_hops(W.order_graph(spark, sf), SSSP_SOURCE))
+    e = W.order_graph(spark, sf)
+    return graph.farthest(graph.sssp_hops(e, sssp_source(e)))
 
 
 @register("bfs_relax_step", f"""
 WITH e AS ({_GRAPH_SQL}), nodes AS ({_NODES_SQL}),
 lines AS (
-  SELECT n.node, CASE WHEN n.node = {SSSP_SOURCE} THEN 0 ELSE {graph.MR_INFINITY} END AS dist,
+  SELECT n.node, CASE WHEN n.node = (SELECT min(src) FROM e) THEN 0 ELSE {graph.MR_INFINITY} END AS dist,
          coalesce((SELECT string_agg(CAST(dst AS VARCHAR), ':' ORDER BY dst) || ':' FROM e WHERE e.src = n.node), '') AS adj
   FROM nodes n),
 cand AS (SELECT node, dist FROM lines
@@ -256,7 +262,7 @@ SELECT c.node, CAST(least(min(c.dist), {graph.MR_INFINITY}) AS INT) AS dist, any
 FROM cand c LEFT JOIN lines l ON l.node = c.node GROUP BY c.node""")
 def q_bfs_relax_step(spark, sf):
     e = W.order_graph(spark, sf)
-    return graph.bfs_relax_step(graph.node_lines(e, SSSP_SOURCE))
+    return graph.bfs_relax_step(graph.node_lines(e, sssp_source(e)))
 
 
 # ---------------------------------------------------------------- text

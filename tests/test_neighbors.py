@@ -44,11 +44,14 @@ def _fixture(seed, nq, nt):
     return [row(i, "q") for i in range(nq)], [row(i, "t") for i in range(nt)]
 
 
-@pytest.mark.parametrize("seed,k,band", [(1, 3, 2.0), (2, 5, 0.5), (3, 2, 100.0)])
-def test_knn_topk_matches_brute_force(spark, seed, k, band):
+@pytest.mark.parametrize("seed,k,band,direct", [(1, 3, 2.0, 64), (2, 5, 0.5, 4), (3, 2, 100.0, 0), (4, 3, 2.0, 10)])
+def test_knn_topk_matches_brute_force(spark, seed, k, band, direct):
     qs, ts = _fixture(seed, 60, 150)
+    ts += ts[:20]                                                    # identical-attribute duplicates
+    ts = [(f"t{i:04d}",) + tuple(r[1:]) for i, r in enumerate(ts)]
     qs.append(("q_far", 500.0, "A", "T0", "X", 2000, "P"))          # needs many widenings
-    got = nb.knn_topk(spark.createDataFrame(qs, SCHEMA), spark.createDataFrame(ts, SCHEMA), k=k, band=band)
+    got = nb.knn_topk(spark.createDataFrame(qs, SCHEMA), spark.createDataFrame(ts, SCHEMA), k=k, band=band,
+                      direct_max=direct)
     got = sorted((r["row_key"], r["rank"], r["t_row_key"], r["distance"]) for r in got.collect())
     assert got == _brute(qs, ts, k)
 
