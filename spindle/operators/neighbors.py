@@ -76,17 +76,21 @@ def knn_topk(queries: DataFrame, training: DataFrame, k: int = 3, qid: str = "ro
 
     t_cols = list(dict.fromkeys(tie + [user] + attrs + carry))
     t = training.select(*[F.col(c).alias("t_" + c) for c in t_cols])
-    tie_t = ["t_" + c for c in tie]
+    out_t = ["t_" + c for c in tie] + ["t_" + c for c in carry if c not in tie]
     tu_col = "t_" + user
+    # the tie order becomes one long key (its dense rank), cheap to shuffle and sort
+    t = dense_index(t.where(F.col(tu_col).isNotNull()), ["t_" + c for c in tie], out="_tk")
+    tie_t = ["_tk"]
     # first k rows (tie order) of every identical-attribute tuple
     w_tuple = Window.partitionBy(tu_col, *["t_" + a for a in attrs]).orderBy(*tie_t)
-    t = t.withColumn("_rn", F.row_number().over(w_tuple)).where(F.col("_rn") <= k).drop("_rn")
-    t = cut(t.where(F.col(tu_col).isNotNull()))
+    t = cut(t.withColumn("_rn", F.row_number().over(w_tuple)).where(F.col("_rn") <= k).drop("_rn"))
+    t_keys = t.select("_tk", *out_t)
     users = cut(t.groupBy(F.col(tu_col).alias("tu")).agg(F.count(F.lit(1)).alias("_cnt"))
                 .withColumn("_hot", F.col("_cnt") > direct_max))
     lo, hi, n_hot = users.agg(F.min("tu"), F.max("tu"), F.sum(F.col("_hot").cast("int"))).first()
     if lo is None:
         return spark.createDataFrame([], f"{qid} string, rank int, distance double")
+    _ = spark
     gkey = [tu_col, "sid"] + [f"k{i}" for i in range(n_attr)]
     tk = None
     if n_hot:
@@ -97,16 +101,19 @@ def knn_topk(queries: DataFrame, training: DataFrame, k: int = 3, qid: str = "ro
         tk = cut(tx.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn"))
     t_small = t.join(users.where(~F.col("_hot")).select(F.col("tu").alias(tu_col)), tu_col, "left_semi")
 
-    q = queries.select(F.col(qid).alias("_qid"), F.col(user).alias("_qu"),
-                       *[F.col(a).alias("q_" + a) for a in attrs])
-    # a query without a user value has no finite distance: no neighbours
-    pending = cut(q.where(F.col("_qu").isNotNull())
-                  .select("_qid", "_qu", *["q_" + a for a in attrs], F.lit(float(band)).alias("_band")))
+    # a query without a user value has no finite distance: no neighbours; the
+    # query id becomes a long (assigned once, inside the cut)
+    q = cut(queries.where(F.col(user).isNotNull())
+            .select(F.col(qid).alias("_qname"), F.col(user).alias("_qu"),
+                    *[F.col(a).alias("q_" + a) for a in attrs])
+            .withColumn("_qid", F.monotonically_increasing_id()))
+    q_keys = q.select("_qid", "_qname")
+    pending = q.select("_qid", "_qu", *["q_" + a for a in attrs], F.lit(float(band)).alias("_band"))
     done: list[DataFrame] = []
     order = [F.col("distance")] + [F.col(c) for c in tie_t]
     dist = mixed(F.col("_qu"), F.col(tu_col), [F.col("q_" + a) for a in attrs],
                  [F.col("t_" + a) for a in attrs])
-    keep = ["_qid", "_band", *tie_t, *["t_" + c for c in carry if "t_" + c not in tie_t]]
+    keep = ["_qid", "_band", *tie_t]
     for _ in range(max_rounds):
         if pending.isEmpty():
             break
@@ -146,8 +153,8 @@ def knn_topk(queries: DataFrame, training: DataFrame, k: int = 3, qid: str = "ro
     res = done[0]
     for d in done[1:]:
         res = res.unionByName(d)
-    return res.select(F.col("_qid").alias(qid), "rank", *[F.col(c).alias(c) for c in tie_t],
-                      *[F.col("t_" + c) for c in carry if "t_" + c not in tie_t], "distance")
+    res = res.join(q_keys, "_qid").join(t_keys, "_tk")
+    return res.select(F.col("_qname").alias(qid), "rank", *out_t, "distance")
 
 
 def knn_by_title(neighbours: DataFrame, queries: DataFrame, k: int = 3, qid: str = "row_key",
@@ -165,14 +172,15 @@ def knn_by_title(neighbours: DataFrame, queries: DataFrame, k: int = 3, qid: str
 
 # ---------------------------------------------------------------- bootstrap
 
-def dense_index(df: DataFrame, order: str, out: str = "idx") -> DataFrame:
+def dense_index(df: DataFrame, order: str | list[str], out: str = "idx") -> DataFrame:
     """0-based position of each row in ``order`` (unique), without a global
     window: range-partition and sort, number rows inside each partition,
     then add the row count of all earlier partitions (a table of one row
     per partition). The numbered table is cut so both passes see the same
     rows."""
     parts = max(shuffle_partitions(df.sparkSession), 1)
-    ranged = (df.repartitionByRange(parts, order).sortWithinPartitions(order)
+    order = [order] if isinstance(order, str) else list(order)
+    ranged = (df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
     ranged = cut(ranged.withColumn("_pos", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)))

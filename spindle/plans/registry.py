@@ -386,7 +386,8 @@ _KNN_CTE = (f"{_BOOKS_CTE}, c AS (SELECT q.row_key, t.row_key AS t_row_key, {_DI
 
 
 def _knn(spark, sf):
-    return nb.knn_topk(W.book_queries(spark, sf), W.book_training(spark, sf), k=KNN_K)
+    q, t = W.book_split(spark, sf)
+    return nb.knn_topk(q, t, k=KNN_K), q
 
 
 @register("knn_distance", f"""
@@ -399,7 +400,7 @@ def q_knn_distance(spark, sf):
 
 @register("knn_topk", f"WITH {_KNN_CTE} SELECT * FROM knn")
 def q_knn_topk(spark, sf):
-    return _knn(spark, sf)
+    return _knn(spark, sf)[0]
 
 
 @register("knn_by_title", f"""
@@ -409,7 +410,8 @@ best AS (SELECT q.title, k.t_row_key, min(k.distance) AS distance FROM knn k JOI
 SELECT * FROM (SELECT title, CAST(row_number() OVER (PARTITION BY title ORDER BY distance, t_row_key) AS INT)
                AS rank, t_row_key, distance FROM best) WHERE rank <= {KNN_K}""")
 def q_knn_by_title(spark, sf):
-    return nb.knn_by_title(_knn(spark, sf), W.book_queries(spark, sf), k=KNN_K)
+    res, q = _knn(spark, sf)
+    return nb.knn_by_title(res, q, k=KNN_K)
 
 
 def _boot_sql(models: int) -> str:
@@ -436,8 +438,9 @@ SELECT * FROM (SELECT row_key, CAST(row_number() OVER (PARTITION BY row_key
        ORDER BY distance, t_row_key, t_model, t_copy) AS INT) AS rank, t_row_key, t_model, t_copy, distance FROM c)
 WHERE rank <= {KNN_K}""")
 def q_ensemble_knn(spark, sf):
-    ens = nb.ensemble_training(W.book_training(spark, sf), "row_key", models=ENSEMBLE_MODELS)
-    return nb.knn_topk(W.book_queries(spark, sf), ens, k=KNN_K, tie=["row_key", "model", "copy"])
+    q, t = W.book_split(spark, sf)
+    ens = nb.ensemble_training(t, "row_key", models=ENSEMBLE_MODELS)
+    return nb.knn_topk(q, ens, k=KNN_K, tie=["row_key", "model", "copy"])
 
 
 @register("minmax_normalize", """

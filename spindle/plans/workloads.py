@@ -93,3 +93,12 @@ def book_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def book_training(spark: SparkSession, sf_dir: str) -> DataFrame:
     return book_rows(spark, sf_dir).where(F.col("status") == "F").drop("status")
+
+
+def book_split(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(queries, training) from one materialised book-row table, so the
+    six-table join runs once."""
+    from .loops import cut
+    rows = cut(book_rows(spark, sf_dir))
+    return (rows.where(F.col("status") == "O").drop("status"),
+            rows.where(F.col("status") == "F").drop("status"))
