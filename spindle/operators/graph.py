@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from ..plans.loops import cut
 from ..session import shuffle_partitions
@@ -101,10 +102,13 @@ def adjacency_strings(adj: DataFrame, sep: str = ":") -> DataFrame:
 
 @dataclass
 class Graph:
-    edges: DataFrame   # (src, salt, dst, dst_nsalt), hash-partitioned on (src, salt), cut
+    edges: DataFrame   # (src, salt, dst, dst_nsalt), hash-partitioned + sorted on (src, salt), cached
     nodes: DataFrame   # (node, outdeg, nsalt), cut
     n: int             # node count
 
+    def release(self) -> None:
+        self.edges.unpersist()
+
 
 def prepare_graph(edges: DataFrame, nodes: DataFrame | None = None,
                   hot_threshold: int | None = None, max_salt: int | None = None) -> Graph:
@@ -132,7 +136,14 @@ def prepare_graph(edges: DataFrame, nodes: DataFrame | None = None,
     e = e.select("src", F.when(F.col("nsalt").isNull(), F.lit(0).cast("long"))
                  .otherwise(F.pmod(F.xxhash64("dst"), F.col("nsalt"))).alias("salt"), "dst",
                  F.coalesce(F.col("dst_nsalt"), F.lit(1).cast("long")).alias("dst_nsalt"))
-    e = cut(e.repartition(parts, "src", "salt"))
+    # Cut the preparation lineage, then keep the edges hash-partitioned and
+    # sorted on (src, salt) in the block cache: the cache reports that
+    # partitioning and order, so every iteration's join shuffles only the
+    # per-node side. A lost cached block is rebuilt from the short lineage
+    # (checkpoint files + one shuffle).
+    e = cut(e).repartition(parts, "src", "salt").sortWithinPartitions("src", "salt")
+    e = e.persist(StorageLevel.MEMORY_AND_DISK)
+    e.count()
     n = node_tab.count()
     return Graph(edges=e, nodes=node_tab, n=n)
 
