@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from ..plans.loops import cut
-from ..session import shuffle_partitions
+from ..session import partitions_for
 
 # Fixed values of the reference formats.
 MR_INFINITY = 10009          # distance "infinity" of the MapReduce node lines
@@ -113,15 +113,15 @@ class Graph:
 def prepare_graph(edges: DataFrame, nodes: DataFrame | None = None,
                   hot_threshold: int | None = None, max_salt: int | None = None) -> Graph:
     spark = edges.sparkSession
-    parts = shuffle_partitions(spark)
     real = edges.where(F.col("dst").isNotNull()).select("src", "dst")
     if nodes is None:
         nodes = graph_nodes(edges)
     nodes = nodes.select(F.col("node"))
     deg = real.groupBy(F.col("src").alias("node")).agg(F.count(F.lit(1)).alias("outdeg"))
     deg = cut(deg)
+    total = deg.agg(F.sum("outdeg")).first()[0] or 0
+    parts = partitions_for(spark, total)
     if hot_threshold is None:
-        total = deg.agg(F.sum("outdeg")).first()[0] or 0
         hot_threshold = max(10_000, -(-total // parts))
     max_salt = max_salt or max(parts, 1)
     nsalt = F.least(F.lit(max_salt).cast("long"),

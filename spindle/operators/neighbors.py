@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from ..functions.distance import mixed
 from ..functions.hashing import md5_slot
 from ..plans.loops import cut
-from ..session import shuffle_partitions
+from ..session import partitions_for
 
 NOMINAL = ["location", "title", "author", "publisher"]
 _MISSING = "\u0000"   # stands for NULL inside a group key
@@ -178,8 +178,8 @@ def dense_index(df: DataFrame, order: str | list[str], out: str = "idx") -> Data
     then add the row count of all earlier partitions (a table of one row
     per partition). The numbered table is cut so both passes see the same
     rows."""
-    parts = max(shuffle_partitions(df.sparkSession), 1)
     order = [order] if isinstance(order, str) else list(order)
+    parts = partitions_for(df.sparkSession, df.count(), 64)
     ranged = (df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))

@@ -65,6 +65,19 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "shuffle_partitions"]
+def partitions_for(spark: SparkSession, rows: int, row_bytes: int = 32) -> int:
+    """Partition count for an explicit repartition of ``rows`` rows: at least
+    the session's shuffle partitions, and enough that each partition stays
+    near the AQE advisory size (64 MB by default) at any scale."""
+    target = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
+    units = {"b": 1, "kb": 1 << 10, "k": 1 << 10, "mb": 1 << 20, "m": 1 << 20, "gb": 1 << 30, "g": 1 << 30}
+    t = target.strip().lower()
+    num = "".join(ch for ch in t if ch.isdigit() or ch == ".")
+    unit = t[len(num):].strip() or "b"
+    size = int(float(num) * units.get(unit, 1))
+    return max(shuffle_partitions(spark), -(-rows * row_bytes // max(size, 1)))
+
+
+__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "shuffle_partitions", "partitions_for"]
 
 _ = os  # keep import for callers that patch env in tests
