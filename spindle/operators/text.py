@@ -15,9 +15,20 @@ def _dedup_lexicon(lexicon: DataFrame, term: str, score: str, order: str | None)
     return lexicon.groupBy(term).agg(F.max_by(score, order).alias(score))
 
 
+def _grams(toks, max_n: int):
+    """Tokens plus, for n = 2..max_n, every run of n consecutive tokens joined
+    by one space (so lexicon phrases containing spaces can match)."""
+    out = toks
+    for n in range(2, max_n + 1):
+        runs = F.transform(F.sequence(F.lit(0), F.size(toks) - n),
+                           lambda i: F.array_join(F.slice(toks, i + 1, n), " "))
+        out = F.concat(out, F.when(F.size(toks) >= n, runs).otherwise(F.array().cast("array<string>")))
+    return out
+
+
 def sentiment_score(docs: DataFrame, lexicon: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     term: str = "term", score: str = "score", order: str | None = None,
-                    inline_max: int = INLINE_LEXICON_MAX) -> DataFrame:
+                    inline_max: int = INLINE_LEXICON_MAX, ngrams: int = 1) -> DataFrame:
     """``(id, score)``: sum of lexicon scores of the whitespace tokens
     (split on a single space, case kept), 0 when nothing matches.
 
@@ -29,7 +40,7 @@ def sentiment_score(docs: DataFrame, lexicon: DataFrame, id_col: str = "doc_id",
     AQE skew splitting for frequent tokens)."""
     lex = _dedup_lexicon(lexicon.select(term, score, *( [order] if order else [])), term, score, order)
     n = lex.count()
-    toks = F.split(F.col(text_col), " ")
+    toks = _grams(F.split(F.col(text_col), " "), ngrams)
     if n <= inline_max:
         rows = lex.collect()   # bounded by inline_max
         if not rows:

@@ -99,3 +99,13 @@ def test_dedup_plan_has_partial_aggregate(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("ts"))
     plan = textops.dedup_last(df, "k", ["ts"])._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan
+
+
+def test_sentiment_phrases(spark):
+    docs = spark.createDataFrame([(1, "this does not work at all"), (2, "not"), (3, "")], "doc_id long, text string")
+    lex = spark.createDataFrame([("not", -1), ("does not work", -3), ("at all", 1)], "term string, score int")
+    for inline in (100, 0):
+        got = sorted(tuple(r) for r in textops.sentiment_score(docs, lex, ngrams=3, inline_max=inline).collect())
+        assert got == [(1, -3), (2, -1), (3, 0)]
+        one = sorted(tuple(r) for r in textops.sentiment_score(docs, lex, inline_max=inline).collect())
+        assert one == [(1, -1), (2, -1), (3, 0)]
