@@ -275,7 +275,7 @@ from ..session import scratch_path  # noqa: E402
 LEXICON = [("the", 1), ("of", -1), ("and", 2), ("to", -2), ("in", 3),
            ("is", -3), ("that", 4), ("for", -4), ("it", 5), ("was", -5)]
 _LEX_SQL = "SELECT * FROM (VALUES " + ", ".join(f"('{t}', {s})" for t, s in LEXICON) + ") lex(term, score)"
-TWEET_EPOCH = 1309478400   # 2011-07-01 00:00:00 UTC; tweet i is stamped i minutes later
+# tweet i is stamped 2011-07-01 00:00:00 UTC + i minutes
 
 
 def _tweets(spark, sf):
@@ -283,7 +283,8 @@ def _tweets(spark, sf):
     return d.select(
         F.lit("status").alias("type"), F.col("source").alias("origin"), "text", F.lit("").alias("url"),
         F.col("doc_id").alias("tweet_id"),
-        F.timestamp_seconds(F.lit(TWEET_EPOCH) + F.col("doc_id") * 60).alias("time"),
+        (F.expr("TIMESTAMP_NTZ '2011-07-01 00:00:00'") + F.make_dt_interval(mins=F.col("doc_id").cast("int")))
+        .alias("time"),
         F.col("n_chars").cast("int").alias("ret_count"), (F.col("lang") == "en").alias("favorite"),
         F.array(F.col("doc_id"), F.col("n_chars")).alias("mentioned"), F.array(F.col("lang")).alias("hashtags"))
 

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed values of the record format, in record order.
 TAGS = ["Type:", "Origin: ", "Text: ", "URL: ", "ID: ", "Time: ", "RetCount: ", "Favorite: ",
@@ -18,6 +19,7 @@ TAGS = ["Type:", "Origin: ", "Text: ", "URL: ", "ID: ", "Time: ", "RetCount: ",
 RECORD_SEP = "***\n***\n"
 TIME_FORMAT = "MMM dd HH:mm:ss zzz yyyy"   # after the leading weekday is removed
 RENDER_TIME_FORMAT = "EEE MMM dd HH:mm:ss zzz yyyy"
+RENDER_TIME_FORMAT_UTC = "EEE MMM dd HH:mm:ss 'UTC' yyyy"
 
 FIELDS = ["type", "origin", "text", "url", "tweet_id", "time", "ret_count", "favorite",
           "mentioned", "hashtags"]
@@ -51,7 +53,7 @@ def parse_tagged_records(records: DataFrame, col: str = "value") -> DataFrame:
         *[_field(F.col("_p"), i).alias(FIELDS[i]) for i in range(len(TAGS))])
     raw = raw.where(F.length(F.trim(F.col("tweet_id"))) > 0)
     time_txt = F.regexp_replace(F.trim(F.col("time")), r"^[A-Za-z]{3} ", "")
-    ts = F.try_to_timestamp(time_txt, F.lit(TIME_FORMAT))
+    ts = F.try_to_timestamp(time_txt, F.lit(TIME_FORMAT))   # an instant (zone in the text)
 
     def words(c):
         return F.filter(F.split(F.trim(c), r"\s+"), lambda x: x != "")
@@ -62,7 +64,7 @@ def parse_tagged_records(records: DataFrame, col: str = "value") -> DataFrame:
         F.col("origin"),
         F.col("text"),
         F.col("url"),
-        ts.cast("timestamp_ntz").alias("time"),
+        utc_wall_clock(ts).alias("time"),
         F.expr("try_cast(trim(ret_count) AS INT)").alias("ret_count"),
         (F.lower(F.trim("favorite")) == "true").alias("favorite"),
         F.transform(words(F.col("mentioned")), lambda x: x.cast("long")).alias("mentioned"),
@@ -70,6 +72,21 @@ def parse_tagged_records(records: DataFrame, col: str = "value") -> DataFrame:
     )
 
 
+def utc_wall_clock(ts: Column) -> Column:
+    """Instant -> TIMESTAMP_NTZ holding its UTC wall-clock time, independent
+    of the session time zone."""
+    secs = (F.unix_micros(ts) / F.lit(1_000_000)).cast("decimal(18,6)")
+    return F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'") + F.make_dt_interval(secs=secs)
+
+
+def render_time(df: DataFrame, c: str = "time") -> Column:
+    """Record time text. TIMESTAMP_NTZ values are UTC wall-clock times and are
+    printed with a literal ``UTC``; TIMESTAMP values print their session zone."""
+    if isinstance(df.schema[c].dataType, T.TimestampNTZType):
+        return F.date_format(F.col(c), RENDER_TIME_FORMAT_UTC)
+    return F.date_format(F.col(c).cast("timestamp"), RENDER_TIME_FORMAT)
+
+
 def render_tagged_records(df: DataFrame) -> DataFrame:
     """Inverse of the parser: one ``value`` per record, ``***`` lines around.
     ``time`` is rendered in the session time zone."""
@@ -81,7 +98,7 @@ def render_tagged_records(df: DataFrame) -> DataFrame:
         F.concat(F.lit(TAGS[2]), s("text")),
         F.concat(F.lit(TAGS[3]), s("url")),
         F.concat(F.lit(TAGS[4]), s("tweet_id")),
-        F.concat(F.lit(TAGS[5]), F.date_format(F.col("time").cast("timestamp"), RENDER_TIME_FORMAT)),
+        F.concat(F.lit(TAGS[5]), render_time(df)),
         F.concat(F.lit(TAGS[6]), s("ret_count")),
         F.concat(F.lit(TAGS[7]), F.when(F.col("favorite"), "true").otherwise("false")),
         F.concat(F.lit(TAGS[8]), F.concat(F.array_join(F.col("mentioned").cast("array<string>"), " "),
@@ -95,11 +112,11 @@ def tweet_csv_line(df: DataFrame) -> DataFrame:
     """``ID,"Time","Text"`` with RFC 4180 quoting (inner quotes doubled)."""
     def quoted(c):
         return F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
-    time_txt = F.date_format(F.col("time").cast("timestamp"), RENDER_TIME_FORMAT)
+    time_txt = render_time(df)
     return df.select("tweet_id", F.concat_ws(",", F.col("tweet_id").cast("string"), quoted(time_txt),
                                              quoted(F.col("text"))).alias("line"))
 
 
 def write_tweet_csv(df: DataFrame, path: str) -> None:
-    (df.select("tweet_id", F.date_format(F.col("time").cast("timestamp"), RENDER_TIME_FORMAT).alias("time"), "text")
+    (df.select("tweet_id", render_time(df).alias("time"), "text")
      .write.mode("overwrite").option("quoteAll", True).option("escape", '"').csv(path))

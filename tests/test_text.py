@@ -109,3 +109,16 @@ def test_sentiment_phrases(spark):
         assert got == [(1, -3), (2, -1), (3, 0)]
         one = sorted(tuple(r) for r in textops.sentiment_score(docs, lex, inline_max=inline).collect())
         assert one == [(1, -1), (2, -1), (3, 0)]
+
+
+def test_record_time_ignores_session_zone(spark):
+    df = spark.createDataFrame([(REC,)], "value string")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        r = tagged.parse_tagged_records(df).first()
+        assert r["time"] == dt.datetime(2011, 7, 19, 13, 33, 6)
+        line = tagged.tweet_csv_line(tagged.parse_tagged_records(df)).first()["line"]
+        assert '"Tue Jul 19 13:33:06 UTC 2011"' in line
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
