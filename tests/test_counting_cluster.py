@@ -63,3 +63,13 @@ def test_kmeans_plan_is_narrow_assignment(spark):
     df = spark.range(100).select((F.col("id") % 7).cast("double").alias("x"))
     plan = cluster.assign(df, [1.0, 4.0])._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_iterate_fixed_and_until(spark):
+    from spindle.plans.loops import iterate
+    df = spark.createDataFrame([(1,)], "v long")
+    out = iterate(df, lambda s, i: s.select((F.col("v") * 2).alias("v")), n=5)
+    assert out.first()[0] == 32
+    out = iterate(df, lambda s, i: s.select((F.col("v") + 1).alias("v")),
+                  until=lambda prev, new, i: new.first()[0] >= 4)
+    assert out.first()[0] == 4
