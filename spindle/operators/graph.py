@@ -173,7 +173,8 @@ def pagerank(edges: DataFrame | Graph, nodes: DataFrame | None = None, iteration
     out-edge carries the full rank); on chain graphs the two agree.
     ``damping`` d, if given: pr' = (1-d)/N + d * (...).
     """
-    g = edges if isinstance(edges, Graph) else prepare_graph(edges, nodes, hot_threshold)
+    own = not isinstance(edges, Graph)
+    g = prepare_graph(edges, nodes, hot_threshold) if own else edges
     n = float(g.n)
     state = cut(g.nodes.select("node", "outdeg", "nsalt", F.lit(1.0 / n).alias("pr")))
     if ticks is not None:
@@ -193,6 +194,8 @@ def pagerank(edges: DataFrame | Graph, nodes: DataFrame | None = None, iteration
             history.append(state)
         if ticks is not None:
             ticks.append(time.perf_counter())
+    if own:
+        g.release()          # the result is a checkpoint; the cached edges are no longer needed
     return state.select("node", "pr")
 
 
@@ -210,7 +213,8 @@ def sssp_hops(edges: DataFrame | Graph, source, include_unreachable: bool = Fals
     already-visited nodes are removed by an anti-join. Stops when the
     frontier is empty, so unreachable nodes cannot make it loop forever.
     """
-    g = edges if isinstance(edges, Graph) else prepare_graph(edges, None, hot_threshold)
+    own = not isinstance(edges, Graph)
+    g = prepare_graph(edges, None, hot_threshold) if own else edges
     src_lit = F.lit(source).cast(g.nodes.schema["node"].dataType)
     visited = cut(g.edges.where(F.col("src") == src_lit)
                   .groupBy(F.col("dst").alias("node")).agg(F.max("dst_nsalt").alias("nsalt"))
@@ -234,6 +238,8 @@ def sssp_hops(edges: DataFrame | Graph, source, include_unreachable: bool = Fals
         if ticks is not None:
             ticks.append(time.perf_counter())
     visited = visited.select("node", "dist")
+    if own:
+        g.release()
     out = visited
     if include_unreachable:
         out = (g.nodes.select("node").join(visited, "node", "left")

@@ -29,6 +29,7 @@ from itertools import combinations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.distance import mixed
 from ..functions.hashing import md5_slot
@@ -88,8 +89,10 @@ def knn_topk(queries: DataFrame, training: DataFrame, k: int = 3, qid: str = "ro
     users = cut(t.groupBy(F.col(tu_col).alias("tu")).agg(F.count(F.lit(1)).alias("_cnt"))
                 .withColumn("_hot", F.col("_cnt") > direct_max))
     lo, hi, n_hot = users.agg(F.min("tu"), F.max("tu"), F.sum(F.col("_hot").cast("int"))).first()
-    if lo is None:
-        return spark.createDataFrame([], f"{qid} string, rank int, distance double")
+    if lo is None:   # no training rows: no neighbours (same columns as a normal result)
+        schema = T.StructType([queries.schema[qid], T.StructField("rank", T.IntegerType())]
+                              + [t.schema[c] for c in out_t] + [T.StructField("distance", T.DoubleType())])
+        return spark.createDataFrame([], schema)
     _ = spark
     gkey = [tu_col, "sid"] + [f"k{i}" for i in range(n_attr)]
     tk = None

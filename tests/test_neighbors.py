@@ -108,3 +108,9 @@ def test_knn_candidate_window_is_group_limited(spark):
     w = Window.partitionBy("user_id", "sid", "k0", "k1", "k2", "k3").orderBy("row_key")
     plan = tx.withColumn("rn", F.row_number().over(w)).where("rn <= 3")._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_knn_empty_training(spark):
+    qs, _ = _fixture(7, 3, 0)
+    got = nb.knn_topk(spark.createDataFrame(qs, SCHEMA), spark.createDataFrame([], SCHEMA), k=3)
+    assert got.count() == 0 and got.columns == ["row_key", "rank", "t_row_key", "distance"]
