@@ -191,7 +191,7 @@ def dense_index(df: DataFrame, order: str | list[str], out: str = "idx") -> Data
     offs = counts.select("_pid", (F.sum("_c").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)))
                          .alias("_off"))   # one row per partition
     offs = offs.select("_pid", F.coalesce("_off", F.lit(0)).alias("_off"))
-    return (ranged.join(F.broadcast(offs), "_pid")
+    return (ranged.join(F.broadcast(offs), "_pid")   # one row per partition
             .withColumn(out, F.col("_off") + F.col("_pos")).drop("_pid", "_mid", "_pos", "_off"))
 
 

@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import broadcast_if_small
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -73,7 +75,7 @@ def book_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     j = (li.join(o, li.l_orderkey == o.o_orderkey)
          .join(c, F.col("o_custkey") == c.c_custkey)
-         .join(F.broadcast(n), F.col("c_nationkey") == n.n_nationkey)
+         .join(broadcast_if_small(n), F.col("c_nationkey") == n.n_nationkey)
          .join(p, F.col("l_partkey") == p.p_partkey)
          .join(s, F.col("l_suppkey") == s.s_suppkey))
     return j.select(

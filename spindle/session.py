@@ -78,6 +78,13 @@ def partitions_for(spark: SparkSession, rows: int, row_bytes: int = 32) -> int:
     return max(shuffle_partitions(spark), -(-rows * row_bytes // max(size, 1)))
 
 
-__all__ = ["build_session", "ensure_checkpoint_dir", "scratch_path", "shuffle_partitions", "partitions_for"]
+def broadcast_if_small(df, max_rows: int = 100_000):
+    """Broadcast ``df`` only after checking its row count (one small job);
+    above the bound it is returned as is and joins by shuffle."""
+    from pyspark.sql import functions as F
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
+__all__ = ["broadcast_if_small", "build_session", "ensure_checkpoint_dir", "scratch_path", "shuffle_partitions", "partitions_for"]
 
 _ = os  # keep import for callers that patch env in tests
