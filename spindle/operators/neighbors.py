@@ -50,8 +50,8 @@ def _explode_subsets(df: DataFrame, attrs: list[str]) -> DataFrame:
     attributes outside the subset are blanked to ''."""
     subs = _subsets(len(attrs))
     masks = F.array(*[F.array(*[F.lit(i in s) for i in range(len(attrs))]) for s in subs])
-    out = df.select("*", F.posexplode(masks).alias("sid", "_m"))
-    keys = [F.when(F.col("_m")[i], F.coalesce(F.col(a).cast("string"), F.lit(_MISSING))).otherwise(F.lit(""))
+    out = df.select("*", F.posexplode(masks).alias("sid", "_mask"))
+    keys = [F.when(F.col("_mask")[i], F.coalesce(F.col(a).cast("string"), F.lit(_MISSING))).otherwise(F.lit(""))
             .alias(f"k{i}") for i, a in enumerate(attrs)]
     return out.select(*[c for c in df.columns], "sid", *keys)
 
@@ -59,7 +59,7 @@ def _explode_subsets(df: DataFrame, attrs: list[str]) -> DataFrame:
 def knn_topk(queries: DataFrame, training: DataFrame, k: int = 3, qid: str = "row_key",
              tie: list[str] | None = None, user: str = "user_id", attrs: list[str] | None = None,
              band: float = 2.0, max_rounds: int = 64, carry: list[str] | None = None,
-             direct_max: int = DIRECT_MAX) -> DataFrame:
+             direct_max: int = DIRECT_MAX, collapse_copies: bool = False) -> DataFrame:
     """Top-``k`` training rows per query row ``(qid, rank, t_<tie>..., distance)``
     ordered by (distance, tie columns).
 
@@ -68,7 +68,12 @@ def knn_topk(queries: DataFrame, training: DataFrame, k: int = 3, qid: str = "ro
     A training user with at most ``direct_max`` remaining rows is compared
     directly (bounded work per query); a hot user is reached through the
     per-subset group lists (see module docstring), never pair by pair.
-    ``carry`` lists training columns to return alongside (prefixed ``t_``)."""
+    ``carry`` lists training columns to return alongside (prefixed ``t_``).
+
+    ``collapse_copies``: training rows sharing the first tie column are copies
+    (identical attributes, e.g. bootstrap draws). They are consecutive in tie
+    order, so each group is searched once, as a representative with a
+    multiplicity (capped at k), and expanded back to rows at the end."""
     attrs = attrs or NOMINAL
     tie = tie or [qid]
     carry = carry or []
@@ -81,11 +86,18 @@ def knn_topk(queries: DataFrame, training: DataFrame, k: int = 3, qid: str = "ro
     tu_col = "t_" + user
     # the tie order becomes one long key (its dense rank), cheap to shuffle and sort
     t = dense_index(t.where(F.col(tu_col).isNotNull()), ["t_" + c for c in tie], out="_tk")
+    t_keys = t.select("_tk", *out_t)
     tie_t = ["_tk"]
-    # first k rows (tie order) of every identical-attribute tuple
+    if collapse_copies:
+        # one representative per copy group (partial aggregate: a hot group is fine)
+        grp = t.groupBy("t_" + tie[0]).agg(F.min("_tk").alias("_tk"), F.count(F.lit(1)).alias("_m"))
+        t = t.join(grp.select("_tk", F.least(F.col("_m"), F.lit(k)).cast("long").alias("_m")), "_tk")
+    else:
+        t = t.withColumn("_m", F.lit(1).cast("long"))
+    # first k rows (tie order) of every identical-attribute tuple (k representatives
+    # always cover at least k rows)
     w_tuple = Window.partitionBy(tu_col, *["t_" + a for a in attrs]).orderBy(*tie_t)
     t = cut(t.withColumn("_rn", F.row_number().over(w_tuple)).where(F.col("_rn") <= k).drop("_rn"))
-    t_keys = t.select("_tk", *out_t)
     users = cut(t.groupBy(F.col(tu_col).alias("tu")).agg(F.count(F.lit(1)).alias("_cnt"))
                 .withColumn("_hot", F.col("_cnt") > direct_max))
     lo, hi, n_hot = users.agg(F.min("tu"), F.max("tu"), F.sum(F.col("_hot").cast("int"))).first()
@@ -116,7 +128,7 @@ def knn_topk(queries: DataFrame, training: DataFrame, k: int = 3, qid: str = "ro
     order = [F.col("distance")] + [F.col(c) for c in tie_t]
     dist = mixed(F.col("_qu"), F.col(tu_col), [F.col("q_" + a) for a in attrs],
                  [F.col("t_" + a) for a in attrs])
-    keep = ["_qid", "_band", *tie_t]
+    keep = ["_qid", "_band", *tie_t, "_m"]
     for _ in range(max_rounds):
         if pending.isEmpty():
             break
@@ -139,7 +151,11 @@ def knn_topk(queries: DataFrame, training: DataFrame, k: int = 3, qid: str = "ro
             hot_cand = probe.join(tk, gkey).select(*keep, dist.alias("distance")).dropDuplicates(["_qid"] + tie_t)
             cand = cand.unionByName(hot_cand)
         wq = Window.partitionBy("_qid").orderBy(*order)
-        top = cut(cand.withColumn("rank", F.row_number().over(wq)).where(F.col("rank") <= k))
+        top = cand.withColumn("_r", F.row_number().over(wq)).where(F.col("_r") <= k)
+        if not collapse_copies:
+            top = cut(top.select("_qid", "_band", "_tk", "distance", F.col("_r").alias("rank")))
+        else:
+            top = _expand_copies(top, k)
         stat = top.groupBy("_qid").agg(F.count(F.lit(1)).alias("_n"), F.max("distance").alias("_dk"))
         st = pending.select("_qid", "_qu", F.col("_band").alias("_b")).join(stat, "_qid", "left")
         covers = (F.col("_b") >= F.lit(hi) - F.col("_qu")) & (F.col("_b") >= F.col("_qu") - F.lit(lo))
@@ -160,6 +176,18 @@ def knn_topk(queries: DataFrame, training: DataFrame, k: int = 3, qid: str = "ro
     return res.select(F.col("_qname").alias(qid), "rank", *out_t, "distance")
 
 
+def _expand_copies(top: DataFrame, k: int) -> DataFrame:
+    """Representatives (at most k per query, ranked ``_r``) -> rows: a group's
+    copies take consecutive tie ranks starting at its ``_tk``; the start
+    position is the number of rows of the representatives before it."""
+    ws = Window.partitionBy("_qid").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    top = top.withColumn("_start", F.coalesce(F.sum("_m").over(ws), F.lit(0))).where(F.col("_start") < k)
+    top = top.withColumn("_j", F.explode(F.sequence(F.lit(0).cast("long"),
+                                                   F.least(F.col("_m"), F.lit(k) - F.col("_start")) - 1)))
+    return cut(top.select("_qid", "_band", (F.col("_tk") + F.col("_j")).alias("_tk"), "distance",
+                          (F.col("_start") + F.col("_j") + 1).cast("int").alias("rank")))
+
+
 def knn_by_title(neighbours: DataFrame, queries: DataFrame, k: int = 3, qid: str = "row_key",
                  title: str = "title", tid: str = "t_row_key") -> DataFrame:
     """Merge the neighbours of all query rows sharing a title; keep the ``k``

@@ -441,7 +441,7 @@ WHERE rank <= {KNN_K}""")
 def q_ensemble_knn(spark, sf):
     q, t = W.book_split(spark, sf)
     ens = nb.ensemble_training(t, "row_key", models=ENSEMBLE_MODELS)
-    return nb.knn_topk(q, ens, k=KNN_K, tie=["row_key", "model", "copy"])
+    return nb.knn_topk(q, ens, k=KNN_K, tie=["row_key", "model", "copy"], collapse_copies=True)
 
 
 @register("minmax_normalize", """

@@ -114,3 +114,25 @@ def test_knn_empty_training(spark):
     qs, _ = _fixture(7, 3, 0)
     got = nb.knn_topk(spark.createDataFrame(qs, SCHEMA), spark.createDataFrame([], SCHEMA), k=3)
     assert got.count() == 0 and got.columns == ["row_key", "rank", "t_row_key", "distance"]
+
+
+@pytest.mark.parametrize("direct", [64, 0])
+def test_knn_collapsed_copies_match_brute_force(spark, direct):
+    qs, ts = _fixture(8, 40, 60)
+    rnd = random.Random(8)
+    # copies: same row key and attributes, distinct (model, copy); one key copied many times
+    rows = []
+    for r in ts:
+        for m in range(3):
+            for c in range(1, (rnd.randint(0, 2) if r[0] != "t0005" else 7) + 1):
+                rows.append(r + (m, c))
+    sch = SCHEMA + ", model int, copy int"
+    got = nb.knn_topk(spark.createDataFrame(qs, SCHEMA), spark.createDataFrame(rows, sch), k=4,
+                      tie=["row_key", "model", "copy"], collapse_copies=True, direct_max=direct)
+    got = sorted((r["row_key"], r["rank"], r["t_row_key"], r["t_model"], r["t_copy"], r["distance"])
+                 for r in got.collect())
+    want = []
+    for q in qs:
+        ranked = sorted(((_dist(q, t), t[0], t[7], t[8]) for t in rows))[:4]
+        want += [(q[0], i + 1, tk, m, c, d) for i, (d, tk, m, c) in enumerate(ranked)]
+    assert got == sorted(want)
