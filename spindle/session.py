@@ -22,6 +22,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.driver.memory", "16g")
          .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
