@@ -24,7 +24,7 @@ import time
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -148,6 +148,14 @@ def prepare_graph(edges: DataFrame, nodes: DataFrame | None = None,
     return Graph(edges=e, nodes=node_tab, n=n)
 
 
+def _cut_observing(df: DataFrame, metric: Column):
+    """Cut ``df`` and return it with one aggregate computed during that same
+    job (Spark observable metrics), e.g. a loop's stopping scalar."""
+    obs = Observation()
+    out = cut(df.observe(obs, metric.alias("m")))
+    return out, obs.get["m"]
+
+
 def _fan_out(df: DataFrame, key: str) -> DataFrame:
     """Replicate per-node rows once per salt of that node: ``(src, salt, ...)``."""
     return (df.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nsalt") - 1)))
@@ -176,11 +184,16 @@ def pagerank(edges: DataFrame | Graph, nodes: DataFrame | None = None, iteration
     own = not isinstance(edges, Graph)
     g = prepare_graph(edges, nodes, hot_threshold) if own else edges
     n = float(g.n)
-    state = cut(g.nodes.select("node", "outdeg", "nsalt", F.lit(1.0 / n).alias("pr")))
+    # The rank held by dangling nodes is observed while each state is being
+    # written (an Observation on the checkpoint job), so reading it costs no
+    # extra job.
+    state, dangling = _cut_observing(
+        g.nodes.select("node", "outdeg", "nsalt", F.lit(1.0 / n).alias("pr")),
+        F.sum(F.when(F.col("outdeg") == 0, F.col("pr"))))
     if ticks is not None:
         ticks.append(time.perf_counter())
     for _ in range(iterations):
-        dangling = state.where(F.col("outdeg") == 0).agg(F.sum("pr")).first()[0] or 0.0
+        dangling = dangling or 0.0
         share = F.col("pr") / F.col("outdeg") if split_by_outdegree else F.col("pr")
         send = _fan_out(state.where(F.col("outdeg") > 0).select("node", "nsalt", share.alias("c")), "node")
         contrib = (g.edges.join(send, ["src", "salt"])
@@ -188,8 +201,10 @@ def pagerank(edges: DataFrame | Graph, nodes: DataFrame | None = None, iteration
         base = F.coalesce(F.col("s"), F.lit(0.0)) + F.lit(dangling / n)
         if damping is not None:
             base = F.lit((1.0 - damping) / n) + F.lit(damping) * base
-        state = cut(state.select("node", "outdeg", "nsalt").join(contrib, "node", "left")
-                    .select("node", "outdeg", "nsalt", base.alias("pr")))
+        state, dangling = _cut_observing(
+            state.select("node", "outdeg", "nsalt").join(contrib, "node", "left")
+            .select("node", "outdeg", "nsalt", base.alias("pr")),
+            F.sum(F.when(F.col("outdeg") == 0, F.col("pr"))))
         if history is not None:
             history.append(state)
         if ticks is not None:
@@ -216,22 +231,26 @@ def sssp_hops(edges: DataFrame | Graph, source, include_unreachable: bool = Fals
     own = not isinstance(edges, Graph)
     g = prepare_graph(edges, None, hot_threshold) if own else edges
     src_lit = F.lit(source).cast(g.nodes.schema["node"].dataType)
-    visited = cut(g.edges.where(F.col("src") == src_lit)
-                  .groupBy(F.col("dst").alias("node")).agg(F.max("dst_nsalt").alias("nsalt"))
-                  .select("node", "nsalt", F.lit(1).alias("dist")))
+    # the size of the newest level is observed while the state is written
+    visited, size = _cut_observing(
+        g.edges.where(F.col("src") == src_lit)
+        .groupBy(F.col("dst").alias("node")).agg(F.max("dst_nsalt").alias("nsalt"))
+        .select("node", "nsalt", F.lit(1).alias("dist")),
+        F.count(F.lit(1)))
     depth = 1
     if ticks is not None:
         ticks.append(time.perf_counter())
     while True:
-        frontier = visited.where(F.col("dist") == depth)     # narrow scan of the cut state
-        if frontier.isEmpty() or (max_iter is not None and depth >= max_iter):
+        if not size or (max_iter is not None and depth >= max_iter):
             break
+        frontier = visited.where(F.col("dist") == depth)     # narrow scan of the cut state
         f = _fan_out(frontier.select("node", "nsalt"), "node")
         reached = (g.edges.join(f, ["src", "salt"])
                    .groupBy(F.col("dst").alias("node")).agg(F.max("dst_nsalt").alias("nsalt")))
         new = (reached.join(visited.select("node"), "node", "left_anti")
                .select("node", "nsalt", F.lit(depth + 1).alias("dist")))
-        visited = cut(visited.unionByName(new))
+        visited, size = _cut_observing(visited.unionByName(new),
+                                       F.sum(F.when(F.col("dist") == depth + 1, 1).otherwise(0)))
         depth += 1
         if levels is not None:
             levels.append(depth)
