@@ -24,11 +24,11 @@ import time
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from ..plans.loops import cut
+from ..plans.loops import cut, cut_observing
 from ..session import partitions_for
 
 # Fixed values of the reference formats.
@@ -149,11 +149,9 @@ def prepare_graph(edges: DataFrame, nodes: DataFrame | None = None,
 
 
 def _cut_observing(df: DataFrame, metric: Column):
-    """Cut ``df`` and return it with one aggregate computed during that same
-    job (Spark observable metrics), e.g. a loop's stopping scalar."""
-    obs = Observation()
-    out = cut(df.observe(obs, metric.alias("m")))
-    return out, obs.get["m"]
+    """Cut ``df``; also return one aggregate computed by that same job."""
+    out, got = cut_observing(df, m=metric)
+    return out, got["m"]
 
 
 def _fan_out(df: DataFrame, key: str) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 
 from ..functions.distance import mixed
 from ..functions.hashing import md5_slot
-from ..plans.loops import cut
+from ..plans.loops import cut, cut_observing
 from ..session import partitions_for
 
 NOMINAL = ["location", "title", "author", "publisher"]
@@ -124,17 +124,17 @@ def knn_topk(queries: DataFrame, training: DataFrame, k: int = 3, qid: str = "ro
             .withColumn("_qid", F.monotonically_increasing_id()))
     q_keys = q.select("_qid", "_qname")
     pending = q.select("_qid", "_qu", *["q_" + a for a in attrs], F.lit(float(band)).alias("_band"))
+    n_pending, width = q.count(), float(band)
     done: list[DataFrame] = []
     order = [F.col("distance")] + [F.col(c) for c in tie_t]
     dist = mixed(F.col("_qu"), F.col(tu_col), [F.col("q_" + a) for a in attrs],
                  [F.col("t_" + a) for a in attrs])
     keep = ["_qid", "_band", *tie_t, "_m"]
     for _ in range(max_rounds):
-        if pending.isEmpty():
+        if not n_pending:
             break
         # distinct (query user, training user) pairs inside each query's band
         qu = pending.groupBy("_qu").agg(F.max("_band").alias("_b"))
-        width = qu.agg(F.max("_b")).first()[0]
         bucket_q = F.floor(F.col("_qu") / F.lit(width))
         qub = qu.select("_qu", "_b", F.explode(F.array(bucket_q - 1, bucket_q, bucket_q + 1)).alias("_bk"))
         tub = users.select("tu", "_hot", F.floor(F.col("tu") / F.lit(width)).alias("_bk"))
@@ -165,8 +165,12 @@ def knn_topk(queries: DataFrame, training: DataFrame, k: int = 3, qid: str = "ro
         done.append(top.join(st.where("_fin").select("_qid"), "_qid", "left_semi"))
         # sqrt widened a hair so that band^2 >= K-th distance despite rounding
         nxt_band = F.when(full, F.sqrt(F.col("_dk")) * 1.000001).otherwise(F.col("_b") * 4.0)
-        pending = cut(pending.join(st.where(~F.col("_fin")).select("_qid", nxt_band.alias("_nb")), "_qid")
-                      .drop("_band").withColumnRenamed("_nb", "_band"))
+        # the next round's size and widest band are observed while it is written
+        pending, got = cut_observing(
+            pending.join(st.where(~F.col("_fin")).select("_qid", nxt_band.alias("_nb")), "_qid")
+            .drop("_band").withColumnRenamed("_nb", "_band"),
+            n=F.count(F.lit(1)), w=F.max("_band"))
+        n_pending, width = got["n"], got["w"]
     else:
         raise RuntimeError("knn_topk did not converge")
     res = done[0]

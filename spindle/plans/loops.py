@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 
 from ..session import ensure_checkpoint_dir
 
@@ -22,6 +22,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def cut_observing(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
+    """Cut ``df`` and return it with aggregates computed during that same
+    job (Spark observable metrics): loop-steering scalars at no extra job."""
+    obs = Observation()
+    out = cut(df.observe(obs, *[m.alias(k) for k, m in metrics.items()]))
+    return out, obs.get
+
+
 def iterate(state: DataFrame, step: Callable[[DataFrame, int], DataFrame], n: int | None = None,
             until: Callable[[DataFrame, DataFrame, int], bool] | None = None,
             checkpoint_every: int = 1, max_iter: int = 10_000,
