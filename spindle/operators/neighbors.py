@@ -246,6 +246,13 @@ def bootstrap_sample(df: DataFrame, order: str, model: int = 0, n: int | None =
             .drop("_copies", "idx").withColumn("model", F.lit(model)))
 
 
+def order_randomly(df: DataFrame, seed: int = 0) -> DataFrame:
+    """Rows in a pseudo-random but reproducible order (the bootstrap output
+    order): a global sort on a seeded hash of every column, which Spark runs
+    as a range-partitioned distributed sort."""
+    return df.orderBy(F.xxhash64(*df.columns, F.lit(seed)), *df.columns)
+
+
 def ensemble_training(df: DataFrame, order: str, models: int = 3) -> DataFrame:
     """Union of ``models`` bootstrap samples of the same training rows."""
     idx = cut(dense_index(df, order))

@@ -67,6 +67,13 @@ def write_values(df: DataFrame, path: str, col: str = "value") -> None:
     df.select(F.col(col).cast("string")).write.mode("overwrite").text(path)
 
 
+def write_per_file(df: DataFrame, path: str, file_col: str = "file", col: str = "value") -> None:
+    """One output folder per source file (``<path>/<file_col>=<name>/``),
+    written by the executors in parallel."""
+    df.select(F.col(file_col), F.col(col).cast("string").alias("value")) \
+        .write.mode("overwrite").partitionBy(file_col).text(path)
+
+
 def flatten_records(records: DataFrame, col: str = "value") -> DataFrame:
     """Raw record -> one line with the record's lines joined by ``,,``."""
     body = F.regexp_replace(F.regexp_replace(F.col(col), r"^(\*\*\*\n)+", ""), r"(\n?\*\*\*)?\n?\z", "")

@@ -61,3 +61,10 @@ def test_follower_count_stream(spark, tmp):
         q.stop()
     assert got == {"2": 3, "5": 1}
     _ = F
+
+
+def test_write_per_file(spark, tmp):
+    df = spark.createDataFrame([("a", "x,y,"), ("b", "z,")], "file string, value string")
+    delimited.write_per_file(df, f"{tmp}/out")
+    back = spark.read.text(f"{tmp}/out")
+    assert sorted((r["file"], r["value"]) for r in back.collect()) == [("a", "x,y,"), ("b", "z,")]

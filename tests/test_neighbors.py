@@ -136,3 +136,11 @@ def test_knn_collapsed_copies_match_brute_force(spark, direct):
         ranked = sorted(((_dist(q, t), t[0], t[7], t[8]) for t in rows))[:4]
         want += [(q[0], i + 1, tk, m, c, d) for i, (d, tk, m, c) in enumerate(ranked)]
     assert got == sorted(want)
+
+
+def test_order_randomly_is_a_reproducible_permutation(spark):
+    df = spark.range(200).withColumnRenamed("id", "v")
+    a = [r["v"] for r in nb.order_randomly(df, seed=3).collect()]
+    b = [r["v"] for r in nb.order_randomly(df, seed=3).collect()]
+    c = [r["v"] for r in nb.order_randomly(df, seed=4).collect()]
+    assert a == b and sorted(a) == list(range(200)) and a != list(range(200)) and a != c
