@@ -105,7 +105,6 @@ def knn_topk(queries: DataFrame, training: DataFrame, k: int = 3, qid: str = "ro
         schema = T.StructType([queries.schema[qid], T.StructField("rank", T.IntegerType())]
                               + [t.schema[c] for c in out_t] + [T.StructField("distance", T.DoubleType())])
         return spark.createDataFrame([], schema)
-    _ = spark
     gkey = [tu_col, "sid"] + [f"k{i}" for i in range(n_attr)]
     tk = None
     if n_hot:

@@ -42,13 +42,6 @@ def order_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("src", "dst").distinct())
 
 
-def graph_nodes(edges: DataFrame) -> DataFrame:
-    """All endpoints of an edge list, one row each (column ``node``)."""
-    return (edges.select(F.col("src").alias("node"))
-            .unionByName(edges.where(F.col("dst").isNotNull()).select(F.col("dst").alias("node")))
-            .distinct())
-
-
 def customer_chains(spark: SparkSession, sf_dir: str, k: int = 100) -> DataFrame:
     """The reference's chain shape laid over real customer keys.
 

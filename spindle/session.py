@@ -3,7 +3,6 @@ sure a reliable checkpoint directory is configured."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -87,5 +86,3 @@ def broadcast_if_small(df, max_rows: int = 100_000):
 
 
 __all__ = ["broadcast_if_small", "build_session", "ensure_checkpoint_dir", "scratch_path", "shuffle_partitions", "partitions_for"]
-
-_ = os  # keep import for callers that patch env in tests

@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -19,5 +18,3 @@ def spark():
 def tmp(tmp_path):
     return str(tmp_path)
 
-
-_ = tempfile

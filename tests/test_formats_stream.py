@@ -1,7 +1,5 @@
 import time
 
-from pyspark.sql import functions as F
-
 from spindle.sources import arff, delimited
 
 
@@ -60,7 +58,6 @@ def test_follower_count_stream(spark, tmp):
     finally:
         q.stop()
     assert got == {"2": 3, "5": 1}
-    _ = F
 
 
 def test_write_per_file(spark, tmp):
