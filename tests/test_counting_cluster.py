@@ -73,3 +73,13 @@ def test_iterate_fixed_and_until(spark):
     out = iterate(df, lambda s, i: s.select((F.col("v") + 1).alias("v")),
                   until=lambda prev, new, i: new.first()[0] >= 4)
     assert out.first()[0] == 4
+
+
+def test_follower_count_hot_key_partial_aggregate(spark):
+    # one followee holds a third of all edges
+    e = spark.range(3000).select(F.col("id").alias("src"),
+                                 F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id") % 50).alias("dst"))
+    got = {r["dst"]: r["cnt"] for r in counting.follower_count(e).collect()}
+    assert got[-1] == 1000 and sum(got.values()) == 3000
+    plan = counting.follower_count(e)._jdf.queryExecution().executedPlan().toString()
+    assert "partial_count" in plan
