@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as deco
+from . import licenses, order_minhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,8 +21,30 @@ def op3_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFr
                         F.coalesce(F.array_max(F.transform("matches", lambda m: m.n_match)), F.lit(0)).alias("longest_match"))
 
 
+def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: class_id (smallest doc_id of its near-duplicate
+    class), class_size (documents in it), n_links (verified links of the class
+    between different texts), kept."""
+    members, links = order_minhash.near_duplicates(spark, table(spark, sf_dir, "documents"))
+    sizes = members.groupBy("class").agg(F.count("*").alias("class_size"))
+    linked = (links.select("a", "b").distinct().join(members.where("id = node").select(F.col("id").alias("a"), "class").distinct(), "a")
+              .groupBy("class").agg(F.count("*").alias("n_links")))
+    about = sizes.where("class_size > 1").join(linked, "class", "left")
+    return (members.join(about, "class", "left")
+            .select(F.col("id").alias("doc_id"), F.col("class").alias("class_id"), F.coalesce("class_size", F.lit(1)).alias("class_size"),
+                    F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce(F.col("id") == F.col("class"), F.lit(True)).alias("kept")))
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(spark, table(spark, sf_dir, "documents")).select(
+        F.col("row_key").alias("doc_id"), "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score",
+        F.size("blocks").cast("long").alias("n_blocks"))
+
+
 QUERIES = {
+    "op1_order_minhash": op1_order_minhash,
     "op3_suffix_array_decontamination": op3_suffix_array_decontamination,
+    "op4_license_scan": op4_license_scan,
 }
 
 ORACLES: dict[str, str] = {}
