@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as deco
-from . import licenses, order_minhash
+from . import exact_dedup, licenses, order_minhash, warc
+from .runtime import fresh_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,10 +42,47 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("blocks").cast("long").alias("n_blocks"))
 
 
+def op2_streaming_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = exact_dedup.members(spark, table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+
+
+def op6_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "warc")
+    warc.write_archives(spark, table(spark, sf_dir, "pages"), path)
+    told = F.str_to_map(F.col("metadata")[0].body, F.lit("\r\n"), F.lit(": "))
+    captures = warc.read_captures(spark, path).withColumn("told", told)
+    revisit = F.col("response.type") == "revisit"
+    return captures.select(
+        F.explode(F.sequence(F.lit(1).cast("long"), F.col("n_responses"))).alias("copy"), F.expr("try_cast(told['page-id'] as bigint)").alias("page_id"),
+        F.when(revisit, F.expr("try_cast(told['payload-bytes'] as bigint)")).otherwise(F.octet_length("response.payload")).alias("payload_bytes"),
+        F.when(revisit, F.substring_index("response.payload_digest", ":", -1)).otherwise(warc.base32_sha1(F.col("response.payload"))).alias("payload_digest"),
+        F.col("response.type").alias("record_type"),
+        F.when(revisit, F.expr("try_cast(split(response.refers_to, ':')[3] as bigint)")).alias("refers_to")).drop("copy")
+
+
 QUERIES = {
     "op1_order_minhash": op1_order_minhash,
+    "op2_streaming_exact_dedup": op2_streaming_exact_dedup,
     "op3_suffix_array_decontamination": op3_suffix_array_decontamination,
     "op4_license_scan": op4_license_scan,
+    "op6_warc_transactions": op6_warc_transactions,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op2_streaming_exact_dedup": r"""
+        WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents),
+        g AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY body) AS keep_id, count(*) OVER (PARTITION BY body) AS group_size, sha256(body) AS text_sha256 FROM t)
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256 FROM g
+    """,
+    "op6_warc_transactions": """
+        WITH t AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages),
+        g AS (SELECT page_id, body, h, min(page_id) OVER (PARTITION BY body) AS first_id FROM t)
+        SELECT page_id, octet_length(encode(body))::BIGINT AS payload_bytes,
+               array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   1 + ((('0x' || substr(h, (1 + 5 * (i // 4))::INT, 5))::INT >> (15 - 5 * (i % 4))::INT) & 31), 1)), '') AS payload_digest,
+               CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+        FROM g
+    """,
+}
