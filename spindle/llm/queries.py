@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as deco
-from . import exact_dedup, licenses, order_minhash, warc
+from . import exact_dedup, licenses, order_minhash, reputation, warc
 from .runtime import fresh_path
 
 
@@ -61,12 +61,17 @@ def op6_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(revisit, F.expr("try_cast(split(response.refers_to, ':')[3] as bigint)")).alias("refers_to")).drop("copy")
 
 
+def op7_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reputation.judge(spark, table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")).drop("bad_share_bound")
+
+
 QUERIES = {
     "op1_order_minhash": op1_order_minhash,
     "op2_streaming_exact_dedup": op2_streaming_exact_dedup,
     "op3_suffix_array_decontamination": op3_suffix_array_decontamination,
     "op4_license_scan": op4_license_scan,
     "op6_warc_transactions": op6_warc_transactions,
+    "op7_host_reputation": op7_host_reputation,
 }
 
 ORACLES: dict[str, str] = {
@@ -85,4 +90,35 @@ ORACLES: dict[str, str] = {
                CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
         FROM g
     """,
+    "op7_host_reputation": r"""
+        WITH u AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+        p AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                     regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+        q AS (SELECT *, string_split(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '.') AS parts,
+                     try_cast(regexp_extract(path, '/(\d+)[^/]*/?$', 1) AS BIGINT) AS doc FROM p),
+        s AS (SELECT *, CASE WHEN len(parts) > 2 AND length(parts[-1]) = 2 AND parts[-2] IN ('ac', 'co', 'com', 'edu', 'gov', 'net', 'org') THEN 2 ELSE 1 END AS k FROM q),
+        h AS (SELECT *, array_to_string(parts[-k:], '.') AS suffix, array_to_string(parts[-(k + 1):], '.') AS domain FROM s),
+        l AS (SELECT doc_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 WHEN quality IS NOT NULL OR toxic IS NOT NULL THEN 0 END) AS bad FROM labels GROUP BY doc_id),
+        hosts AS (SELECT host, domain, suffix, count(l.bad) AS n, coalesce(sum(l.bad), 0) AS bad FROM h LEFT JOIN l ON l.doc_id = h.doc GROUP BY ALL),
+        w AS (SELECT (sum(bad) + 0.5) / (sum(n) + 1) AS m, sum(n) AS n FROM hosts),
+        s0 AS (SELECT suffix, sum(x.n) AS n, sum(bad) AS bad, any_value(w.m) AS m FROM hosts x, w GROUP BY suffix),
+        ks AS (SELECT 1 / (CASE WHEN coalesce(sum(n * (n - 1) * m * (1 - m)), 0) > 0 THEN least(greatest(sum((bad - n * m) ** 2 - n * m * (1 - m)) / sum(n * (n - 1) * m * (1 - m)), 1e-4), 0.5) ELSE 1e-4 END) - 1 AS k FROM s0),
+        s1 AS (SELECT suffix, (m * k + bad) / (k + n) AS mean FROM s0, ks),
+        d0 AS (SELECT domain, sum(n) AS n, sum(bad) AS bad, min(mean) AS m FROM hosts JOIN s1 USING (suffix) GROUP BY domain),
+        kd AS (SELECT 1 / (CASE WHEN coalesce(sum(n * (n - 1) * m * (1 - m)), 0) > 0 THEN least(greatest(sum((bad - n * m) ** 2 - n * m * (1 - m)) / sum(n * (n - 1) * m * (1 - m)), 1e-4), 0.5) ELSE 1e-4 END) - 1 AS k FROM d0),
+        d1 AS (SELECT domain, (m * k + bad) / (k + n) AS m FROM d0, kd),
+        h0 AS (SELECT host, n, bad, m FROM hosts JOIN d1 USING (domain)),
+        kh AS (SELECT 1 / (CASE WHEN coalesce(sum(n * (n - 1) * m * (1 - m)), 0) > 0 THEN least(greatest(sum((bad - n * m) ** 2 - n * m * (1 - m)) / sum(n * (n - 1) * m * (1 - m)), 1e-4), 0.5) ELSE 1e-4 END) - 1 AS k FROM h0),
+        h1 AS (SELECT host, (m * k + bad) / (k + n) AS mean, k + n AS size FROM h0, kh),
+        b AS (SELECT host, mean - 1.645 * sqrt(mean * (1 - mean) / (size + 1)) AS bound FROM h1 WHERE host != ''),
+        r AS (SELECT page_id, p.host, path, coalesce(bound, w.m - 1.645 * sqrt(w.m * (1 - w.m) / (w.n + 2))) AS bound,
+                     CASE WHEN (p.host = 'www.example.com' OR ends_with(p.host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+                          WHEN (p.host = 'example.com' OR ends_with(p.host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
+                          WHEN (p.host = 'net' OR ends_with(p.host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+                          WHEN (p.host = 'net' OR ends_with(p.host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+                          WHEN (p.host = 'com' OR ends_with(p.host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule
+              FROM p LEFT JOIN b ON b.host = p.host, w)
+        SELECT page_id, host, path, rule,
+               CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block' WHEN bound > 0.5 THEN 'block' ELSE 'allow' END AS verdict FROM r
+    """,
 }
