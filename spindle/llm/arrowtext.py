@@ -107,15 +107,17 @@ def runs(mask: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.flatnonzero(mask & ~before), np.flatnonzero(mask & ~after) + 1
 
 
-def hash_ranges(low: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte range (equal bytes, equal hash)."""
-    if not len(start):
-        return np.zeros(0, np.uint64)
+def range_hasher(low: np.ndarray):
+    """A function (start, end) -> 64-bit hashes of byte ranges (equal bytes, equal hash)."""
     power, inverse = _powers(len(low) + 1)
     total = np.empty(len(low) + 1, np.uint64)
     total[0] = 0
     np.cumsum(BYTE_VALUE[low] * power[:-1], out=total[1:])
-    return mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64))
+    return lambda start, end: mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64))
+
+
+def hash_ranges(low: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return range_hasher(low)(start, end) if len(start) else np.zeros(0, np.uint64)
 
 
 def words(s: Slice) -> Words:

@@ -7,10 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as deco
-from . import exact_dedup, licenses, order_minhash, reputation, warc
+from . import bpe, exact_dedup, latent_knn, licenses, order_minhash, reputation, toxic_crf, warc
 from .runtime import fresh_path
 
 
+TOXIC_LIMIT = 0.3
+QUALITY_LIMIT = 0.5
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -65,13 +69,53 @@ def op7_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reputation.judge(spark, table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")).drop("bad_share_bound")
 
 
+def encoded_and_decoded(spark: SparkSession, docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
+    """Ids of every text, the text they decode to, and digests of both."""
+    if vocabulary is None:
+        import public_tokenizers
+        vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    both = bpe.decode(spark, bpe.encode(spark, docs, vocabulary), vocabulary)
+    return both.select(F.col("row_key").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded_and_decoded(spark, table(spark, sf_dir, "documents"))
+
+
+def _remainder(n: int):
+    """crc32 of the id as text, modulo n (a null id has no remainder)."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % n, F.lit(-1))
+
+
+def toxic_field(spark: SparkSession, docs: DataFrame, labels: DataFrame):
+    """The field, learnt from the rows that are not held out."""
+    return toxic_crf.fit(spark, docs, labels.where(_remainder(4) != 2).select("doc_id", F.col("toxic").alias("label")))
+
+
+def op8_toxic_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxic_crf.score(spark, docs, toxic_field(spark, docs, table(spark, sf_dir, "labels")))
+    return scored.withColumnRenamed("row_key", "doc_id").select("doc_id", (_remainder(4) == 2).alias("held_out"), "score", (F.col("score") >= TOXIC_LIMIT).cast("int").alias("predicted"),
+                                                                F.size("spans").cast("long").alias("n_spans"))
+
+
+def op10_latent_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    learn = table(spark, sf_dir, "labels").where(_remainder(3) != 1).select("doc_id", F.col("quality").alias("label"))
+    scored = latent_knn.score(spark, docs, latent_knn.fit(spark, docs, learn))
+    return scored.withColumnRenamed("row_key", "doc_id").select("doc_id", (_remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= QUALITY_LIMIT).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op1_order_minhash": op1_order_minhash,
     "op2_streaming_exact_dedup": op2_streaming_exact_dedup,
     "op3_suffix_array_decontamination": op3_suffix_array_decontamination,
     "op4_license_scan": op4_license_scan,
+    "op5_bpe_round_trip": op5_bpe_round_trip,
     "op6_warc_transactions": op6_warc_transactions,
     "op7_host_reputation": op7_host_reputation,
+    "op8_toxic_crf": op8_toxic_crf,
+    "op10_latent_quality": op10_latent_quality,
 }
 
 ORACLES: dict[str, str] = {
