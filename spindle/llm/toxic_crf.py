@@ -46,7 +46,7 @@ from .runtime import on_workers
 
 PER_LABEL = 4000
 MAX_TEXT_BYTES = 20_000
-CHANCE = 1e-7
+CHANCE = 1e-5
 CLEAN_SHARE = 0.15
 LIFT = 4.0
 PREFIXES = (3, 4, 5, 6, 7, 8, 9)
