@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as deco
-from . import bpe, exact_dedup, latent_knn, licenses, order_minhash, reputation, toxic_crf, warc
+from . import boilerplate, bpe, exact_dedup, latent_knn, licenses, order_minhash, reputation, toxic_crf, warc
 from .runtime import fresh_path
 
 
@@ -106,6 +106,11 @@ def op10_latent_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumnRenamed("row_key", "doc_id").select("doc_id", (_remainder(3) == 1).alias("held_out"), "score", (F.col("score") >= QUALITY_LIMIT).cast("int").alias("predicted"))
 
 
+def op9_host_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return boilerplate.extract(spark, table(spark, sf_dir, "pages")).select(
+        F.col("row_key").alias("page_id"), "url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_repeated")
+
+
 QUERIES = {
     "op1_order_minhash": op1_order_minhash,
     "op2_streaming_exact_dedup": op2_streaming_exact_dedup,
@@ -115,6 +120,7 @@ QUERIES = {
     "op6_warc_transactions": op6_warc_transactions,
     "op7_host_reputation": op7_host_reputation,
     "op8_toxic_crf": op8_toxic_crf,
+    "op9_host_suffix_array": op9_host_suffix_array,
     "op10_latent_quality": op10_latent_quality,
 }
 
