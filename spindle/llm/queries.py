@@ -69,13 +69,14 @@ def op7_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reputation.judge(spark, table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")).drop("bad_share_bound")
 
 
-def encoded_and_decoded(spark: SparkSession, docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
-    """Ids of every text, the text they decode to, and digests of both."""
+def encoded_and_decoded(spark: SparkSession, docs: DataFrame, vocabulary: str | None = None, with_ids: bool = False) -> DataFrame:
+    """Digests of every text's ids and of the text they decode to; on request the ids."""
     if vocabulary is None:
         import public_tokenizers
         vocabulary = public_tokenizers.path("word_bpe_49k.json")
     both = bpe.decode(spark, bpe.encode(spark, docs, vocabulary), vocabulary)
-    return both.select(F.col("row_key").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return both.select(F.col("row_key").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+                       *(["ids"] if with_ids else []))
 
 
 def op5_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
