@@ -144,7 +144,7 @@ class Model:
             k = min(self.neighbours, len(self.labels))
             near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
             weight = np.maximum(np.take_along_axis(cosine, near, 1), 1e-6) ** 4
-            out[some] = (weight * self.labels[near]).sum(axis=1) / weight.sum(axis=1)
+            out[some] = np.clip((weight * self.labels[near]).sum(axis=1) / weight.sum(axis=1), 0, 1)
         return out
 
 
