@@ -12,7 +12,9 @@ are combined within a task before the state's shuffle, so a hot text costs a
 row a task.
 
 A digest hit is not trusted: every arrival after the first is compared, byte by
-byte, with the text under the retained locator. Hot digests are dealt over as
+byte, with the text under the retained locator. The table of hit digests is
+broadcast if it has at most ``BROADCAST_ROWS`` rows (about 150 bytes each) and
+joined by shuffle otherwise. Hot digests are dealt over as
 many salts as their size asks for. Texts that differ under one digest (tests
 force this with a short digest) are grouped by their full bytes instead.
 
@@ -33,12 +35,14 @@ from .runtime import drop_path, fresh_path, written
 
 BATCHES = 3
 SALT_ROWS = 1000
+BROADCAST_ROWS = 100_000
 DIGEST_BYTES = 32
 
 _STATE = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
     "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "256",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",      # many small stores: no disk space ahead of need
 }
 
 
@@ -82,7 +86,7 @@ def state_of(spark: SparkSession, arrivals_path: str, batches: int = BATCHES) ->
 
 
 def members(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text", batches: int = BATCHES,
-            digest_bytes: int = DIGEST_BYTES, salt_rows: int = SALT_ROWS) -> DataFrame:
+            digest_bytes: int = DIGEST_BYTES, salt_rows: int = SALT_ROWS, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """One row per row of ``docs``: id, digest (of the normalised text), check (a
     second hash of it), keep_id, group_size, kept."""
     body = normalised(text)
@@ -95,7 +99,9 @@ def members(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str
     drop_path(spark, streamed)
 
     # full bytes of every hit against the text under the retained locator
-    hit = state.where("group_size > 1").withColumn("salts", F.ceil(F.col("group_size") / salt_rows).cast("int"))
+    hit, _ = written(spark, state.where("group_size > 1").withColumn("salts", F.ceil(F.col("group_size") / salt_rows).cast("int")), "hits")
+    if hit.count() <= broadcast_rows:           # then the texts that stand once stay where they are
+        hit = F.broadcast(hit)
     texts = named.join(hit.select("digest", "keep_id", "locator", "salts"), "digest")
     located = (F.col("file") == F.col("locator.file")) & F.col("id").eqNullSafe(F.col("keep_id")) & (F.octet_length("body") == F.col("locator.bytes"))
     retained = (texts.where(located).groupBy("digest")
