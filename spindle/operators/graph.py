@@ -5,17 +5,19 @@ MapReduce-style relaxation step over ``node dist a:b:`` lines.
 Scale design
 * Edges are prepared once (``prepare_graph``): out-degree by a partial
   aggregate; a node whose out-degree exceeds the per-partition share is
-  *hot* and gets ``nsalt`` > 1 salts; each of its edges carries
-  ``salt = pmod(xxhash64(dst), nsalt)``. Edges are hash-partitioned on
-  ``(src, salt)`` and cut to reliable storage. Per-node values are
+  *hot* and gets ``nsalt`` > 1 salts (there are at most as many hot nodes as
+  partitions, so their list is broadcast); each of its edges carries
+  ``salt = pmod(xxhash64(dst), nsalt)``. The edges are shuffled once, on
+  ``(src, salt)``. Per-node values are
   replicated ``nsalt`` times before joining, so a node with a third of all
   edges is spread over many tasks instead of one.
 * Loops cut their state with ``checkpoint()`` every step (plan stays one
   step long; a lost executor recomputes one step).
 * Scalars that steer a loop (dangling mass, frontier emptiness) are one-row
   aggregates; nothing else reaches the driver.
-* Adjacency rows are capped at ``max_per_row`` neighbours: a hot node's list
-  is split into hash chunks, never collected into one group.
+* ``adjacency_list`` has one row per node, as the line format asks; where a
+  list may outgrow a row, ``adjacency_chunks`` gives the same lists as rows
+  of at most ``max_per_row`` neighbours, in order.
 """
 
 from __future__ import annotations
@@ -29,28 +31,32 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from ..plans.loops import cut, cut_observing
-from ..session import partitions_for
+from ..session import broadcast_if_small, partitions_for
 
 # Fixed values of the reference formats.
-MR_INFINITY = 10009          # distance "infinity" of the MapReduce node lines
-MAX_PER_ROW = 100_000        # neighbours per adjacency row before chunking
+MR_INFINITY = 10009          # stands for "unreachable" in a node line; NULL everywhere else
+MAX_PER_ROW = 100_000        # neighbours per row of the chunked adjacency
+COMPACT_LEVELS = 16          # BFS levels kept as tables of their own before they are merged
 
 
 # ---------------------------------------------------------------- sources
 
 def parse_edge_lines(lines: DataFrame, col: str = "value", sep: str = ",") -> DataFrame:
-    """``"src,dst"`` or ``"src"`` lines -> ``(src STRING, dst STRING NULL)``.
-    A line with one field is a node without out-edge (dst NULL)."""
+    """``"src,dst"`` or ``"src"`` lines -> ``(src STRING, dst STRING NULL,
+    _corrupt)``. A line with one field is a node without out-edge (dst NULL); a
+    line with more fields or without a source is kept in ``_corrupt``."""
     parts = F.split(F.trim(F.col(col)), sep)
-    dst = F.get(parts, 1)
+    src, dst = F.trim(F.get(parts, 0)), F.trim(F.get(parts, 1))
+    ok = (F.size(parts) <= 2) & (F.length(src) > 0)
     return (lines.where(F.length(F.trim(F.col(col))) > 0)
-            .select(F.trim(F.get(parts, 0)).alias("src"),
-                    F.when(F.length(F.trim(dst)) > 0, F.trim(dst)).alias("dst")))
+            .select(F.when(ok, src).alias("src"), F.when(ok & (F.length(dst) > 0), dst).alias("dst"),
+                    F.when(~ok, F.col(col)).alias("_corrupt")))
 
 
 def read_edge_list(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """Edge-list text files (one edge or one lone node per line)."""
-    return parse_edge_lines(spark.read.text(path), "value", sep)
+    """Edges of edge-list text files (one edge or one lone node per line);
+    ``parse_edge_lines`` also shows the corrupt lines."""
+    return parse_edge_lines(spark.read.text(path), "value", sep).where("_corrupt IS NULL").drop("_corrupt")
 
 
 def chain_graph(spark: SparkSession, k: int) -> DataFrame:
@@ -74,28 +80,26 @@ def edge_lines(edges: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- adjacency
 
-def _md5_bucket(c: Column, n: Column) -> Column:
-    """Portable hash bucket (same value in any engine that has md5)."""
-    h = F.conv(F.substring(F.md5(c.cast("string")), 1, 8), 16, 10).cast("long")
-    return F.pmod(h, n)
+def adjacency_list(edges: DataFrame) -> DataFrame:
+    """``(src, neighbours ARRAY)``, one row per node with an out-edge, sorted."""
+    real = edges.where(F.col("dst").isNotNull())
+    return real.groupBy("src").agg(F.sort_array(F.collect_list("dst")).alias("neighbours"))
 
 
-def adjacency_list(edges: DataFrame, max_per_row: int = MAX_PER_ROW) -> DataFrame:
-    """``(src, chunk, neighbours ARRAY)`` sorted; ``chunk`` is 0 unless a node
-    has more than ``max_per_row`` neighbours, in which case its list is split
-    into ``ceil(deg / max_per_row)`` md5 buckets."""
-    real = edges.where(F.col("dst").isNotNull())
-    deg = real.groupBy("src").agg(F.count(F.lit(1)).alias("deg"))
-    j = real.join(deg, "src")
-    nchunks = F.ceil(F.col("deg") / F.lit(max_per_row)).cast("long")
-    j = j.withColumn("chunk", F.when(nchunks > 1, _md5_bucket(F.col("dst"), nchunks)).otherwise(F.lit(0)))
-    return (j.groupBy("src", "chunk")
-            .agg(F.sort_array(F.collect_list("dst")).alias("neighbours")))
+def adjacency_chunks(edges: DataFrame, max_per_row: int = MAX_PER_ROW) -> DataFrame:
+    """``(src, chunk, neighbours ARRAY)``: the lists of ``adjacency_list`` cut
+    into rows of at most ``max_per_row``; chunk c precedes chunk c + 1. A node's
+    neighbours are numbered by a distributed sort, not gathered first."""
+    from .neighbors import dense_index
+    real = cut(edges.where(F.col("dst").isNotNull()).select("src", "dst"))
+    at = dense_index(real, ["src", "dst"], out="_at")
+    low = at.groupBy("src").agg(F.min("_at").alias("_low"))      # one row per node and task before the shuffle
+    placed = at.join(low, "src").withColumn("chunk", F.floor((F.col("_at") - F.col("_low")) / F.lit(max_per_row)))
+    return placed.groupBy("src", "chunk").agg(F.sort_array(F.collect_list("dst")).alias("neighbours"))
 
 
 def adjacency_strings(adj: DataFrame, sep: str = ":") -> DataFrame:
-    return adj.select("src", "chunk", F.array_join(F.col("neighbours").cast("array<string>"), sep)
-                      .alias("neighbours"))
+    return adj.withColumn("neighbours", F.array_join(F.col("neighbours").cast("array<string>"), sep))
 
 
 # ---------------------------------------------------------------- prepared graph
@@ -130,9 +134,10 @@ def prepare_graph(edges: DataFrame, nodes: DataFrame | None = None,
                 .select("node", F.coalesce("outdeg", F.lit(0)).cast("long").alias("outdeg"))
                 .withColumn("nsalt", F.when(F.col("outdeg") > 0, nsalt).otherwise(F.lit(1).cast("long"))))
     node_tab = cut(node_tab)
+    # at most one hot node per partition at the default threshold: broadcast, so no edge is shuffled on its raw keys
     hot = node_tab.where(F.col("nsalt") > 1).select("node", "nsalt")
-    e = (real.join(hot.withColumnRenamed("node", "src"), "src", "left")
-         .join(hot.select(F.col("node").alias("dst"), F.col("nsalt").alias("dst_nsalt")), "dst", "left"))
+    e = (real.join(broadcast_if_small(hot.withColumnRenamed("node", "src")), "src", "left")
+         .join(broadcast_if_small(hot.select(F.col("node").alias("dst"), F.col("nsalt").alias("dst_nsalt"))), "dst", "left"))
     e = e.select("src", F.when(F.col("nsalt").isNull(), F.lit(0).cast("long"))
                  .otherwise(F.pmod(F.xxhash64("dst"), F.col("nsalt"))).alias("salt"), "dst",
                  F.coalesce(F.col("dst_nsalt"), F.lit(1).cast("long")).alias("dst_nsalt"))
@@ -228,45 +233,47 @@ def sssp_hops(edges: DataFrame | Graph, source, include_unreachable: bool = Fals
     """
     own = not isinstance(edges, Graph)
     g = prepare_graph(edges, None, hot_threshold) if own else edges
+    spark = g.nodes.sparkSession
+    parts = partitions_for(spark, g.n)
     src_lit = F.lit(source).cast(g.nodes.schema["node"].dataType)
-    # the size of the newest level is observed while the state is written
-    visited, size = _cut_observing(
+    # Only the new level is written; its size is observed while it is. Older
+    # levels are merged into one table, partitioned on node, now and then, so
+    # neither the plan nor the number of partitions grows with the depth.
+    level, size = _cut_observing(
         g.edges.where(F.col("src") == src_lit)
         .groupBy(F.col("dst").alias("node")).agg(F.max("dst_nsalt").alias("nsalt"))
         .select("node", "nsalt", F.lit(1).alias("dist")),
         F.count(F.lit(1)))
-    depth = 1
+    depth, held = 1, [level]
     if ticks is not None:
         ticks.append(time.perf_counter())
-    while True:
-        if not size or (max_iter is not None and depth >= max_iter):
-            break
-        frontier = visited.where(F.col("dist") == depth)     # narrow scan of the cut state
-        f = _fan_out(frontier.select("node", "nsalt"), "node")
+    while size and (max_iter is None or depth < max_iter):
+        f = _fan_out(held[-1].select("node", "nsalt"), "node")
         reached = (g.edges.join(f, ["src", "salt"])
                    .groupBy(F.col("dst").alias("node")).agg(F.max("dst_nsalt").alias("nsalt")))
-        new = (reached.join(visited.select("node"), "node", "left_anti")
+        new = (reached.join(_merged(held).select("node"), "node", "left_anti")
                .select("node", "nsalt", F.lit(depth + 1).alias("dist")))
-        visited, size = _cut_observing(visited.unionByName(new),
-                                       F.sum(F.when(F.col("dist") == depth + 1, 1).otherwise(0)))
+        new, size = _cut_observing(new, F.count(F.lit(1)))
         depth += 1
+        if len(held) >= COMPACT_LEVELS:
+            held = [cut(_merged(held).repartition(parts, "node"))]
+        held.append(new)
         if levels is not None:
             levels.append(depth)
         if ticks is not None:
             ticks.append(time.perf_counter())
-    visited = visited.select("node", "dist")
+    visited = _merged(held).select("node", "dist").coalesce(parts)
     if own:
         g.release()
     out = visited
     if include_unreachable:
-        out = (g.nodes.select("node").join(visited, "node", "left")
-               .select("node", F.col("dist").cast("int").alias("dist")))
+        out = g.nodes.select("node").join(visited, "node", "left")
     return out.select("node", F.col("dist").cast("int").alias("dist"))
 
 
-def _union(dfs: list[DataFrame]) -> DataFrame:
-    out = dfs[0]
-    for d in dfs[1:]:
+def _merged(levels: list[DataFrame]) -> DataFrame:
+    out = levels[0]
+    for d in levels[1:]:
         out = out.unionByName(d)
     return out
 
@@ -279,39 +286,41 @@ def farthest(dist: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- MR node lines
 
-def node_lines(edges: DataFrame, source, nodes: DataFrame | None = None,
-               max_per_row: int = MAX_PER_ROW) -> DataFrame:
+def node_line(node: Column, dist: Column, adj: Column) -> Column:
+    """``node dist a:b:``; an unreachable node (NULL) is written as infinity."""
+    return F.concat_ws(" ", node.cast("string"), F.coalesce(dist, F.lit(MR_INFINITY)).cast("string"), F.coalesce(adj, F.lit("")))
+
+
+def node_lines(edges: DataFrame, source, nodes: DataFrame | None = None) -> DataFrame:
     """``node dist a:b:`` lines: source at 0, others at infinity, adjacency
     sorted, trailing ``:`` (empty for nodes without out-edge)."""
     if nodes is None:
         nodes = graph_nodes(edges)
-    adj = adjacency_list(edges, max_per_row)
-    adj = adj.select(F.col("src").alias("node"), "chunk",
-                     F.concat(F.array_join(F.col("neighbours").cast("array<string>"), ":"), F.lit(":"))
-                     .alias("adj"))
+    adj = adjacency_strings(adjacency_list(edges)).select(F.col("src").alias("node"), F.concat("neighbours", F.lit(":")).alias("adj"))
     j = nodes.select("node").join(adj, "node", "left")
-    dist = F.when(F.col("node") == F.lit(source), 0).otherwise(MR_INFINITY)
-    return j.select(F.concat_ws(" ", F.col("node").cast("string"), dist.cast("string"),
-                                F.coalesce(F.col("adj"), F.lit(""))).alias("value"))
+    return j.select(node_line(F.col("node"), F.when(F.col("node") == F.lit(source), 0), F.col("adj")).alias("value"))
 
 
 def parse_node_lines(lines: DataFrame, col: str = "value") -> DataFrame:
+    """``(node STRING, dist INT, adj, _corrupt)``: infinity becomes NULL, a line
+    without a node or with a distance that is no integer goes to ``_corrupt``."""
     p = F.split(F.col(col), " ")
-    adj = F.coalesce(F.get(p, 2), F.lit(""))
-    return lines.select(F.get(p, 0).cast("long").alias("node"), F.get(p, 1).cast("int").alias("dist"),
-                        adj.alias("adj"))
+    node, dist = F.get(p, 0), F.get(p, 1).try_cast("int")
+    ok = F.coalesce((F.length(node) > 0) & dist.isNotNull(), F.lit(False))
+    return lines.select(F.when(ok, node).alias("node"), F.when(ok & (dist != MR_INFINITY), dist).alias("dist"),
+                        F.when(ok, F.coalesce(F.get(p, 2), F.lit(""))).alias("adj"), F.when(~ok, F.col(col)).alias("_corrupt"))
 
 
 def bfs_relax_step(lines: DataFrame, col: str = "value") -> DataFrame:
-    """One relaxation over node lines -> ``(node, dist, adj)``.
-
-    Each line sends its own distance and ``dist + 1`` to every neighbour;
-    per node the minimum wins, capped at infinity; the adjacency is carried
-    over (NULL when a node has no line of its own)."""
-    parsed = parse_node_lines(lines, col)
-    nbrs = F.transform(F.filter(F.split(F.col("adj"), ":"), lambda x: x != ""), lambda x: x.cast("long"))
-    relaxed = parsed.select(F.explode(nbrs).alias("node"), (F.col("dist") + 1).alias("dist"))
-    best = (parsed.select("node", "dist").unionByName(relaxed)
-            .groupBy("node").agg(F.least(F.min("dist"), F.lit(MR_INFINITY)).alias("dist")))
-    own = parsed.select("node", "adj")
-    return best.join(own, "node", "left").select("node", F.col("dist").cast("int").alias("dist"), "adj")
+    """One relaxation over node lines -> ``(node STRING, dist, adj)``, one row
+    per node: dist NULL while unreachable, adj NULL for a node without a line.
+
+    Each line sends its own distance and ``dist + 1`` to every neighbour; per
+    node the minimum and the line's adjacency are kept, in one aggregate over
+    one pass of the lines. Corrupt lines are left out."""
+    parsed = parse_node_lines(lines, col).where("_corrupt IS NULL")
+    nbrs = F.filter(F.split(F.col("adj"), ":"), lambda x: x != "")
+    sent = F.concat(F.array(F.struct("node", "dist", "adj")),
+                    F.transform(nbrs, lambda x: F.struct(x.alias("node"), (F.col("dist") + 1).alias("dist"), F.lit(None).cast("string").alias("adj"))))
+    each = parsed.select(F.explode(sent).alias("s")).select("s.*")
+    return each.groupBy("node").agg(F.min("dist").cast("int").alias("dist"), F.max("adj").alias("adj"))

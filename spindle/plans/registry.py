@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from . import workloads as W
 from ..operators import counting
+from ..session import scratch_path
+from .loops import cut
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -118,9 +120,9 @@ def q_kmeans_1d(spark, sf):
 from ..operators import graph  # noqa: E402
 
 CHAIN_K = 100
-_GRAPH_SQL = ("SELECT DISTINCT a.o_custkey AS src, b.o_custkey AS dst FROM orders a "
-              "JOIN orders b ON b.o_orderkey = a.o_orderkey + 1 "
-              "WHERE a.o_orderpriority = '1-URGENT' AND a.o_custkey <> b.o_custkey")
+_GRAPH_SQL = ("SELECT a.o_custkey AS src, b.o_custkey AS dst FROM orders a "
+              "JOIN orders b ON b.o_orderkey = a.o_orderkey + 1 WHERE a.o_custkey <> b.o_custkey "
+              "UNION SELECT o_custkey, -1 - l_partkey FROM orders JOIN lineitem ON l_orderkey = o_orderkey")
 _CHAIN_SQL = (f"SELECT c.c_custkey AS src, CASE WHEN (c.c_custkey + 1) % {CHAIN_K} <> 0 "
               f"THEN n.c_custkey END AS dst FROM customer c LEFT JOIN customer n ON n.c_custkey = c.c_custkey + 1")
 _NODES_SQL = "SELECT src AS node FROM e UNION SELECT dst FROM e WHERE dst IS NOT NULL"
@@ -148,12 +150,16 @@ def _pr_sql(edges_sql, iterations, split, select):
     return head + "\n" + select.format(r=last)
 
 
-def _order_graph_pr(spark, sf, iterations=10, split=True):
-    return graph.pagerank(W.order_graph(spark, sf), iterations=iterations, split_by_outdegree=split)
+def _scaled_rank(edges, iterations=10, split=True):
+    """(node, pr_n): rank times the number of nodes, so that rounding keeps as
+    many digits of a rank at 10^9 nodes as at ten."""
+    g = graph.prepare_graph(edges)
+    pr = graph.pagerank(g, iterations=iterations, split_by_outdegree=split)
+    g.release()
+    return pr.select("node", F.round(F.col("pr") * g.n, 9).alias("pr_n"))
 
 
-def _r9(df, *cols):
-    return df.select(*[F.round(c, 9).alias(c) if c in cols else F.col(c) for c in df.columns])
+_PR_N = "round(pr * (SELECT n FROM cnt), 9)"
 
 
 @register("chain_graph", _CHAIN_SQL)
@@ -168,20 +174,27 @@ UNION ALL
 SELECT CAST(node AS VARCHAR) AS src, CAST(NULL AS VARCHAR) AS dst FROM nodes
 WHERE node NOT IN (SELECT src FROM e)""")
 def q_edge_list_parse(spark, sf):
-    e = W.order_graph(spark, sf)
+    """Edges written as an edge-list file and read back."""
+    e = cut(W.order_graph(spark, sf))
     lone = graph.graph_nodes(e).join(e.select(F.col("src").alias("node")), "node", "left_anti")
-    lines = graph.edge_lines(e.unionByName(lone.select(F.col("node").alias("src"),
-                                                       F.lit(None).cast("long").alias("dst"))))
-    return graph.parse_edge_lines(lines)
+    path = scratch_path(spark, "edges")
+    graph.edge_lines(e.unionByName(lone.select(F.col("node").alias("src"), F.lit(None).cast("long").alias("dst")))).write.text(path)
+    return graph.read_edge_list(spark, path)
 
 
 @register("adjacency_list", f"""
 WITH e AS ({_GRAPH_SQL})
-SELECT src, CAST(0 AS BIGINT) AS chunk, string_agg(CAST(dst AS VARCHAR), ':' ORDER BY dst) AS neighbours
-FROM e GROUP BY src""")
+SELECT src, string_agg(CAST(dst AS VARCHAR), ':' ORDER BY dst) AS neighbours FROM e GROUP BY src""")
 def q_adjacency_list(spark, sf):
-    adj = graph.adjacency_strings(graph.adjacency_list(W.order_graph(spark, sf)))
-    return adj.select("src", F.col("chunk").cast("long").alias("chunk"), "neighbours")
+    return graph.adjacency_strings(graph.adjacency_list(W.order_graph(spark, sf)))
+
+
+@register("adjacency_chunks", f"""
+WITH e AS ({_GRAPH_SQL}),
+n AS (SELECT *, (row_number() OVER (PARTITION BY src ORDER BY dst) - 1) // 20 AS chunk FROM e)
+SELECT src, chunk, string_agg(CAST(dst AS VARCHAR), ':' ORDER BY dst) AS neighbours FROM n GROUP BY src, chunk""")
+def q_adjacency_chunks(spark, sf):
+    return graph.adjacency_strings(graph.adjacency_chunks(W.order_graph(spark, sf), max_per_row=20))
 
 
 @register("dangling_mass", f"""
@@ -193,44 +206,43 @@ def q_dangling_mass(spark, sf):
     return graph.dangling_mass(g).select(F.round("dangling_mass", 12).alias("dangling_mass"))
 
 
-@register("pagerank", _pr_sql(_GRAPH_SQL, 10, True, "SELECT node, round(pr, 9) AS pr FROM {r}"))
+@register("pagerank", _pr_sql(_GRAPH_SQL, 10, True, f"SELECT node, {_PR_N} AS pr_n FROM {{r}}"))
 def q_pagerank(spark, sf):
-    return _r9(_order_graph_pr(spark, sf), "pr")
+    return _scaled_rank(W.order_graph(spark, sf))
 
 
 @register("pagerank_total", _pr_sql(_GRAPH_SQL, 10, True, "SELECT round(sum(pr), 9) AS total FROM {r}"))
 def q_pagerank_total(spark, sf):
-    return _order_graph_pr(spark, sf).agg(F.round(F.sum("pr"), 9).alias("total"))
+    return graph.pagerank(W.order_graph(spark, sf)).agg(F.round(F.sum("pr"), 9).alias("total"))
 
 
 @register("pagerank_top", _pr_sql(_GRAPH_SQL, 10, True,
-                                  "SELECT node, round(pr, 9) AS pr FROM {r} ORDER BY round(pr, 9) DESC, node LIMIT 100"))
+                                  f"SELECT node, {_PR_N} AS pr_n FROM {{r}} ORDER BY {_PR_N} DESC, node LIMIT 100"))
 def q_pagerank_top(spark, sf):
-    pr = _r9(_order_graph_pr(spark, sf), "pr")
-    return pr.orderBy(F.col("pr").desc(), F.col("node")).limit(100)
+    return _scaled_rank(W.order_graph(spark, sf)).orderBy(F.col("pr_n").desc(), F.col("node")).limit(100)
 
 
-@register("pagerank_unsplit", _pr_sql(_GRAPH_SQL, 2, False, "SELECT node, round(pr, 9) AS pr FROM {r}"))
+@register("pagerank_unsplit", _pr_sql(_GRAPH_SQL, 2, False, f"SELECT node, {_PR_N} AS pr_n FROM {{r}}"))
 def q_pagerank_unsplit(spark, sf):
-    return _r9(_order_graph_pr(spark, sf, iterations=2, split=False), "pr")
+    return _scaled_rank(W.order_graph(spark, sf), iterations=2, split=False)
 
 
-@register("pagerank_chain", _pr_sql(_CHAIN_SQL, 2, False, "SELECT node, round(pr, 9) AS pr FROM {r}"))
+@register("pagerank_chain", _pr_sql(_CHAIN_SQL, 2, False, f"SELECT node, {_PR_N} AS pr_n FROM {{r}}"))
 def q_pagerank_chain(spark, sf):
-    pr = graph.pagerank(W.customer_chains(spark, sf, CHAIN_K), iterations=2, split_by_outdegree=False)
-    return _r9(pr, "pr")
+    return _scaled_rank(W.customer_chains(spark, sf, CHAIN_K), iterations=2, split=False)
+
+
+def _sssp_sql(levels: int = 16) -> str:
+    """BFS level by level; the last level must come out empty (it does at the checked scales)."""
+    ctes = [f"e AS MATERIALIZED ({_GRAPH_SQL})",
+            "v1 AS MATERIALIZED (SELECT dst AS node, 1 AS dist FROM e WHERE src = (SELECT min(src) FROM e))"]
+    for i in range(2, levels + 1):
+        ctes.append(f"v{i} AS MATERIALIZED (SELECT * FROM v{i-1} UNION ALL SELECT DISTINCT e.dst, {i} FROM e "
+                    f"JOIN v{i-1} p ON p.node = e.src AND p.dist = {i-1} WHERE e.dst NOT IN (SELECT node FROM v{i-1}))")
+    return "WITH " + ",\n".join(ctes) + f", d AS (SELECT node, CAST(dist AS INT) AS dist FROM v{levels})"
 
 
-_SSSP_SQL = f"""
-WITH RECURSIVE e AS ({_GRAPH_SQL}),
-nodes AS ({_NODES_SQL}),
-bfs(node, dist) AS (
-  SELECT DISTINCT dst, 1 FROM e WHERE src = (SELECT min(src) FROM e)
-  UNION
-  SELECT e.dst, b.dist + 1 FROM bfs b JOIN e ON e.src = b.node
-  WHERE b.dist < (SELECT count(*) FROM nodes)
-),
-d AS (SELECT node, CAST(min(dist) AS INT) AS dist FROM bfs GROUP BY node)"""
+_SSSP_SQL = _sssp_sql()
 
 
 def sssp_source(edges):
@@ -240,28 +252,27 @@ def sssp_source(edges):
 
 @register("sssp_hops", _SSSP_SQL + "\nSELECT node, dist FROM d")
 def q_sssp_hops(spark, sf):
-    e = W.order_graph(spark, sf)
+    e = cut(W.order_graph(spark, sf))
     return graph.sssp_hops(e, sssp_source(e))
 
 
 @register("sssp_longest", _SSSP_SQL + "\nSELECT node, dist FROM d ORDER BY dist DESC, node LIMIT 1")
 def q_sssp_longest(spark, sf):
-    e = W.order_graph(spark, sf)
+    e = cut(W.order_graph(spark, sf))
     return graph.farthest(graph.sssp_hops(e, sssp_source(e)))
 
 
 @register("bfs_relax_step", f"""
 WITH e AS ({_GRAPH_SQL}), nodes AS ({_NODES_SQL}),
-lines AS (
-  SELECT n.node, CASE WHEN n.node = (SELECT min(src) FROM e) THEN 0 ELSE {graph.MR_INFINITY} END AS dist,
-         coalesce((SELECT string_agg(CAST(dst AS VARCHAR), ':' ORDER BY dst) || ':' FROM e WHERE e.src = n.node), '') AS adj
-  FROM nodes n),
+adj AS (SELECT src, string_agg(CAST(dst AS VARCHAR), ':' ORDER BY dst) || ':' AS adj FROM e GROUP BY src),
+lines AS (SELECT n.node, CASE WHEN n.node = (SELECT min(src) FROM e) THEN 0 END AS dist, coalesce(adj, '') AS adj
+          FROM nodes n LEFT JOIN adj ON adj.src = n.node),
 cand AS (SELECT node, dist FROM lines
          UNION ALL SELECT e.dst, l.dist + 1 FROM lines l JOIN e ON e.src = l.node)
-SELECT c.node, CAST(least(min(c.dist), {graph.MR_INFINITY}) AS INT) AS dist, any_value(l.adj) AS adj
+SELECT CAST(c.node AS VARCHAR) AS node, CAST(min(c.dist) AS INT) AS dist, any_value(l.adj) AS adj
 FROM cand c LEFT JOIN lines l ON l.node = c.node GROUP BY c.node""")
 def q_bfs_relax_step(spark, sf):
-    e = W.order_graph(spark, sf)
+    e = cut(W.order_graph(spark, sf))
     return graph.bfs_relax_step(graph.node_lines(e, sssp_source(e)))
 
 
@@ -269,7 +280,6 @@ def q_bfs_relax_step(spark, sf):
 
 from ..operators import text as textops  # noqa: E402
 from ..sources import folders, tagged  # noqa: E402
-from ..session import scratch_path  # noqa: E402
 
 # The test lexicon (our own, ten frequent words of `documents`).
 LEXICON = [("the", 1), ("of", -1), ("and", 2), ("to", -2), ("in", 3),
@@ -418,7 +428,7 @@ def q_knn_by_title(spark, sf):
 def _boot_sql(models: int) -> str:
     return (f"idx AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY row_key) - 1 AS idx FROM t), "
             f"nn AS (SELECT count(*) AS n FROM t), "
-            f"drawn AS (SELECT m.model, ('0x' || substr(md5(CAST(m.model AS VARCHAR) || ':' || CAST(s.idx AS VARCHAR)), 1, 8))"
+            f"drawn AS (SELECT m.model, ('0x' || substr(md5(CAST(m.model AS VARCHAR) || ':' || CAST(s.idx AS VARCHAR)), 1, 15))"
             f"::BIGINT % (SELECT n FROM nn) AS idx, count(*) AS copies "
             f"FROM idx s, (SELECT range AS model FROM range({models})) m GROUP BY 1, 2), "
             f"boot AS (SELECT i.*, CAST(d.model AS INT) AS model, CAST(g.copy AS BIGINT) AS copy "

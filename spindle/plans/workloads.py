@@ -4,8 +4,9 @@ Every input here is derived from the tables by Spark, over whole tables,
 so each query's work grows with the data:
 
 * follow edges      lineitem: l_suppkey follows l_partkey (duplicates kept)
-* order graph       an urgent order links its customer to the customer of
-                    the next order key (equi-join on o_orderkey + 1)
+* order graph       an order links its customer to the customer of the next
+                    order key (equi-join on o_orderkey + 1) and to the parts
+                    it orders; parts (negative ids) have no out-edge
 * customer chains   customers in key order, cut into chains of ``k``
 * points            follower counts (1-D)
 * book rows         lineitem ⋈ orders ⋈ customer ⋈ nation ⋈ part ⋈ supplier;
@@ -33,13 +34,13 @@ def follow_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Distinct (src, dst) customer edges; no self loops."""
-    o = table(spark, sf_dir, "orders")
-    a = o.where(F.col("o_orderpriority") == "1-URGENT").select(
-        (F.col("o_orderkey") + 1).alias("next_key"), F.col("o_custkey").alias("src"))
-    b = o.select(F.col("o_orderkey").alias("next_key"), F.col("o_custkey").alias("dst"))
-    return (a.join(b, "next_key").where(F.col("src") != F.col("dst"))
-            .select("src", "dst").distinct())
+    """Distinct (src, dst) edges, customer -> next customer (no self loops) and
+    customer -> part (node -1 - p_partkey, always dangling), over all orders."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("src"))
+    nxt = o.select((F.col("o_orderkey") - 1).alias("o_orderkey"), F.col("src").alias("dst"))
+    people = o.join(nxt, "o_orderkey").where(F.col("src") != F.col("dst")).select("src", "dst")
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), (-1 - F.col("l_partkey")).alias("dst"))
+    return people.unionByName(o.join(li, "o_orderkey").select("src", "dst")).distinct()
 
 
 def customer_chains(spark: SparkSession, sf_dir: str, k: int = 100) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from spindle.operators import graph
 
+# Golden graphs and their distances.
 F2_LINES = ["1,2", "2,3", "3", "4,5", "5,6", "6", "7,8", "8,9", "9"]
 F3_EDGES = [("1", "2"), ("2", "4"), ("1", "3"), ("1", "5"), ("3", "5"), ("4", "5"), ("5", "6"), ("6", "7")]
 
@@ -114,22 +115,55 @@ def test_pagerank_damping(spark):
 def test_bfs_relax_step_f4(spark):
     lines = spark.createDataFrame([("1 0 2:3:",)], "value string")
     got = _rows(graph.bfs_relax_step(lines), "node", "dist", "adj")
-    assert got == [(1, 0, "2:3:"), (2, 1, None), (3, 1, None)]
+    assert got == [("1", 0, "2:3:"), ("2", 1, None), ("3", 1, None)]
 
 
-def test_bfs_relax_infinity_cap(spark):
-    lines = spark.createDataFrame([("1 10009 2:",), ("2 10009 ",)], "value string")
-    assert _rows(graph.bfs_relax_step(lines), "node", "dist") == [(1, 10009), (2, 10009)]
+def test_bfs_relax_unreachable_and_far(spark):
+    """10009 marks an unreachable node; a real distance beyond it stays what it is."""
+    lines = spark.createDataFrame([("1 10009 2:",), ("2 10009 ",), ("3 10010 4:",), ("4 10009 ",), ("b 7 3:",), ("x far 1:",), (" 1 ",)], "value string")
+    got = {r["node"]: r["dist"] for r in graph.bfs_relax_step(lines).collect()}
+    assert got == {"1": None, "2": None, "3": 8, "4": 10011, "b": 7}
+    bad = [r["_corrupt"] for r in graph.parse_node_lines(lines).where("_corrupt IS NOT NULL").collect()]
+    assert sorted(bad) == [" 1 ", "x far 1:"]
+    back = graph.bfs_relax_step(lines).select(graph.node_line(F.col("node"), F.col("dist"), F.col("adj")).alias("l"))
+    assert "2 10009 " in [r["l"] for r in back.collect()]
+
+
+def test_bfs_relax_one_row_per_node(spark):
+    e = spark.createDataFrame([(1, d) for d in range(2, 12)], "src long, dst long")
+    got = graph.bfs_relax_step(graph.node_lines(e, 1)).collect()
+    assert len(got) == 11 and {r["adj"] for r in got if r["node"] == "1"} == {":".join(map(str, range(2, 12))) + ":"}
+
+
+def test_edge_lines_corrupt(spark):
+    lines = spark.createDataFrame([("a,b",), ("a,b,c",), (",b",), (" ",), ("a",)], "value string")
+    rows = graph.parse_edge_lines(lines).collect()
+    assert sorted(r["_corrupt"] for r in rows if r["_corrupt"]) == [",b", "a,b,c"] and len(rows) == 4
+
+
+def test_long_path_keeps_its_partitions(spark):
+    path = spark.range(100).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+    g = graph.prepare_graph(path)
+    d = graph.sssp_hops(g, 0)
+    assert d.rdd.getNumPartitions() <= 16
+    assert {r["node"]: r["dist"] for r in d.collect()} == {i: i for i in range(1, 101)}
+    assert {r["node"] for r in graph.sssp_hops(g, 0, max_iter=5).collect()} == {1, 2, 3, 4, 5}
+
+
+def test_edges_are_not_shuffled_on_raw_keys(spark):
+    e = spark.createDataFrame([(0, d) for d in range(60)] + [(d, 0) for d in range(1, 9)], "src long, dst long")
+    g = graph.prepare_graph(e, hot_threshold=5)
+    assert {r["nsalt"] for r in g.nodes.where("node = 0").collect()} != {1}
+    assert g.edges.count() == 68 and g.edges.select("salt").distinct().count() > 1
 
 
 def test_adjacency_chunks_hot_node(spark):
     edges = [(0, d) for d in range(1, 50)] + [(1, 2), (1, 3)]
     e = spark.createDataFrame(edges, "src long, dst long")
-    adj = graph.adjacency_list(e, max_per_row=10).collect()
-    hot = [r for r in adj if r["src"] == 0]
-    assert len(hot) == 5 and all(len(r["neighbours"]) <= 25 for r in hot)
-    assert sorted(x for r in hot for x in r["neighbours"]) == list(range(1, 50))
-    assert [r["neighbours"] for r in adj if r["src"] == 1] == [[2, 3]]
+    hot = sorted((r["chunk"], r["neighbours"]) for r in graph.adjacency_chunks(e, max_per_row=10).collect() if r["src"] == 0)
+    assert [x for _, n in hot for x in n] == list(range(1, 50)) and [len(n) for _, n in hot] == [10, 10, 10, 10, 9]
+    whole = {r["src"]: r["neighbours"] for r in graph.adjacency_list(e).collect()}
+    assert whole == {0: list(range(1, 50)), 1: [2, 3]}
 
 
 def test_dangling_mass(spark):
