@@ -4,8 +4,9 @@ Design for scale:
 * points are first collapsed to distinct ``(x, w)`` pairs with a partial
   aggregate (follower counts repeat heavily), cut once to reliable storage,
   and every iteration scans only that table;
-* the k centres are a literal array in the plan, so assignment is a narrow,
-  codegen'd projection (no join, no broadcast table);
+* the k centres are a sorted literal array in the plan, searched by halving:
+  assignment is a narrow projection (no join, no broadcast table) of about
+  log2(k) steps per distinct point value;
 * each iteration ends with a k-row aggregate collected to the driver (bounded
   by k), which becomes the next literal array; the plan never grows.
 
@@ -18,6 +19,7 @@ Fixed: SSE is a double and is computed per cluster (see README).
 
 from __future__ import annotations
 
+import json
 import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,9 +27,6 @@ from pyspark.sql import functions as F
 
 from ..plans.loops import cut
 
-MAX_K = 100_000  # centres travel as a literal array in the plan
-
-
 def init_centres(max_value: int | float, k: int) -> list[float]:
     """Evenly spaced seeds: centre i = floor(max / k) * i, i = 1..k
     (integer division, as both operands are integers in the reference)."""
@@ -50,22 +49,49 @@ def weighted_points(points: DataFrame, col: str = "x") -> DataFrame:
             .agg(F.count(F.lit(1)).alias("w")))
 
 
+def _doubles(values: list[float]) -> Column:
+    """A literal array (one constant in the plan, whatever its length)."""
+    return F.lit([float(v) for v in values]) if len(values) < 64 else F.from_json(F.lit(json.dumps([float(v) for v in values])), "array<double>")
+
+
 def nearest(x: Column, centres: list[float]) -> Column:
-    """Index of the nearest centre; ties go to the lowest index."""
+    """Index of the nearest centre; ties go to the lowest index.
+
+    The centres are sorted (of equal ones the lowest index stays). Halving finds
+    the first centre >= x; the nearest is that one or the one before."""
     if not centres:
         raise ValueError("no centres")
-    if len(centres) > MAX_K:
-        raise ValueError(f"k={len(centres)} exceeds {MAX_K}")
-    arr = F.array(*[F.lit(float(c)) for c in centres])
-    best = F.array_min(F.transform(arr, lambda c, i: F.struct(F.abs(x - c).alias("d"), i.alias("cid"))))
-    return best.getField("cid").cast("int")
+    first: dict[float, int] = {}
+    for i, c in enumerate(centres):
+        first.setdefault(float(c), i)
+    values = sorted(first)
+    arr = _doubles(values)
+    low, high = F.lit(0), F.lit(len(values))
+    start = F.struct(low.alias("low"), high.alias("high"))
+
+    def halve(s, _):
+        mid = F.floor((s.low + s.high) / 2).cast("int")
+        right = (s.low < s.high) & (F.get(arr, mid) < x)
+        return F.struct(F.when(right, mid + 1).otherwise(s.low).alias("low"), F.when(right | (s.low >= s.high), s.high).otherwise(mid).alias("high"))
+
+    steps = F.sequence(F.lit(1), F.lit(max(1, len(values).bit_length())))
+    at = F.aggregate(steps, start, halve, lambda s: s.low)
+    ids = F.lit([first[v] for v in values]) if len(values) < 64 else F.from_json(F.lit(json.dumps([first[v] for v in values])), "array<int>")
+
+    def pick(p: Column) -> Column:
+        left, right = F.get(arr, p - 1), F.get(arr, p)
+        dl, dr = F.abs(x - left), F.abs(x - right)
+        use_left = right.isNull() | (left.isNotNull() & ((dl < dr) | ((dl == dr) & (F.get(ids, p - 1) < F.get(ids, p)))))
+        return F.when(use_left, F.get(ids, p - 1)).otherwise(F.get(ids, p)).cast("int")
+
+    # the search result is bound once by a one-element transform
+    return F.when(x.isNotNull(), F.get(F.transform(F.array(at), pick), 0))
 
 
 def assign(points: DataFrame, centres: list[float], col: str = "x") -> DataFrame:
     """Each point with its nearest centre: ``(..., cid, center)``."""
-    arr = F.array(*[F.lit(float(c)) for c in centres])
     cid = nearest(F.col(col).cast("double"), centres)
-    return points.withColumn("cid", cid).withColumn("center", F.element_at(arr, F.col("cid") + 1))
+    return points.withColumn("cid", cid).withColumn("center", F.get(_doubles(centres), F.col("cid")))
 
 
 def _update(wp: DataFrame, centres: list[float]) -> list[tuple[int, float, int]]:
@@ -80,10 +106,10 @@ def _update(wp: DataFrame, centres: list[float]) -> list[tuple[int, float, int]]
 def _summary(wp: DataFrame, prev: list[float], upd: list[tuple[int, float, int]]) -> DataFrame:
     """``(cid, center, n, sse)`` for the clusters formed with ``prev`` centres,
     ``center`` being their new mean. SSE is an exact second pass."""
-    center_of = F.create_map(*[v for oc, c, _ in upd for v in (F.lit(oc), F.lit(float(c)))])
-    new_id = F.create_map(*[v for i, (oc, _, _) in enumerate(upd) for v in (F.lit(oc), F.lit(i))])
-    a = wp.select("x", "w", nearest(F.col("x"), prev).alias("oc"))
-    a = a.select("x", "w", new_id[F.col("oc")].alias("cid"), center_of[F.col("oc")].alias("center"))
+    place = {oc: i for i, (oc, _, _) in enumerate(upd)}
+    new_id = _doubles([place.get(i, -1) for i in range(len(prev))])
+    a = wp.select("x", "w", nearest(F.col("x"), prev).alias("oc")).select("x", "w", F.get(new_id, F.col("oc")).cast("int").alias("cid"))
+    a = a.withColumn("center", F.get(_doubles([c for _, c, _ in upd]), F.col("cid")))
     return (a.groupBy("cid", "center")
             .agg(F.sum("w").alias("n"),
                  F.sum(F.col("w") * F.pow(F.col("x") - F.col("center"), 2)).alias("sse")))

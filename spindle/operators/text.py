@@ -4,15 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-INLINE_LEXICON_MAX = 100_000   # terms; above this the lexicon is joined, not inlined
+from ..plans.loops import cut
+
+BROADCAST_BYTES = 32 << 20     # a lexicon of more bytes is joined by shuffle
+SALTS = 16                     # parts of a hot term in that shuffle
 
 
 def _dedup_lexicon(lexicon: DataFrame, term: str, score: str, order: str | None) -> DataFrame:
-    if order is None:
-        return lexicon.groupBy(term).agg(F.max(score).alias(score))
-    # later line wins, as with a hash map filled in file order
-    return lexicon.groupBy(term).agg(F.max_by(score, order).alias(score))
+    """One score per term; the later row wins, as with a hash map filled in file
+    order (by ``order`` if given, else by the row order of the DataFrame)."""
+    at = F.col(order) if order else F.monotonically_increasing_id()
+    return (lexicon.select(term, score, at.alias("_at")).where(F.col(term).isNotNull() & F.col(score).isNotNull())
+            .groupBy(term).agg(F.max_by(score, "_at").alias(score)))
 
 
 def _grams(toks, max_n: int):
@@ -28,32 +33,42 @@ def _grams(toks, max_n: int):
 
 def sentiment_score(docs: DataFrame, lexicon: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     term: str = "term", score: str = "score", order: str | None = None,
-                    inline_max: int = INLINE_LEXICON_MAX, ngrams: int = 1) -> DataFrame:
-    """``(id, score)``: sum of lexicon scores of the whitespace tokens
-    (split on a single space, case kept), 0 when nothing matches.
-
-    Small lexicon (count checked <= ``inline_max``): it becomes a literal map
-    and each text is scored by a higher-order function in one narrow
-    projection: no explode, no join, no shuffle. Larger lexicons: tokens are
-    exploded, pre-aggregated per (doc, token) and joined on the term (Spark
-    broadcasts the lexicon when its measured size allows, else shuffles with
-    AQE skew splitting for frequent tokens)."""
-    lex = _dedup_lexicon(lexicon.select(term, score, *( [order] if order else [])), term, score, order)
-    n = lex.count()
+                    broadcast_bytes: int = BROADCAST_BYTES, ngrams: int = 1) -> DataFrame:
+    """``(id, score)``, one row per row of ``docs``: sum of the lexicon scores of
+    its tokens (split on a single space, case kept); 0 when nothing matches or
+    the text is NULL. Whole scores give a BIGINT, fractional ones a DOUBLE.
+
+    Tokens are exploded and joined with the lexicon: broadcast if its measured
+    bytes allow, else by shuffle on (term, salt) so that a frequent token is
+    spread over ``SALTS`` parts. Both give the same rows. A document's hits are
+    summed within its task before the shuffle."""
+    lex = cut(_dedup_lexicon(lexicon, term, score, order))
+    whole = isinstance(lex.schema[score].dataType, T.IntegralType)
+    size = lex.agg(F.sum(F.octet_length(term) + F.lit(16))).first()[0] or 0
     toks = _grams(F.split(F.col(text_col), " "), ngrams)
-    if n <= inline_max:
-        rows = lex.collect()   # bounded by inline_max
-        if not rows:
-            return docs.select(id_col, F.lit(0).cast("long").alias("score"))
-        m = F.create_map(*[v for r in rows for v in (F.lit(r[0]), F.lit(int(r[1])))])
-        per_tok = F.transform(toks, lambda t: F.coalesce(F.try_element_at(m, t), F.lit(0)).cast("long"))
-        total = F.aggregate(per_tok, F.lit(0).cast("long"), lambda a, b: a + b)
-        return docs.select(id_col, total.alias("score"))
-    exploded = docs.select(id_col, F.explode(toks).alias(term))
-    counted = exploded.groupBy(id_col, term).agg(F.count(F.lit(1)).alias("k"))
-    hits = counted.join(lex, term).groupBy(id_col).agg(F.sum(F.col("k") * F.col(score)).alias("s"))
-    return (docs.select(id_col).join(hits, id_col, "left")
-            .select(id_col, F.coalesce("s", F.lit(0)).cast("long").alias("score")))
+    each = (docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col).alias("_id"), toks.alias("_toks"))
+            .select("_row", "_id", F.explode_outer("_toks").alias("_tok")))
+    value = lex.select(F.col(term).alias("_tok"), F.col(score).alias("_score"))
+    if size <= broadcast_bytes:
+        hits = each.join(F.broadcast(value), "_tok", "left")
+    else:
+        salted = value.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        hits = each.withColumn("_salt", F.pmod(F.col("_row"), F.lit(SALTS)).cast("int")).join(salted, ["_tok", "_salt"], "left")
+    total = F.coalesce(F.sum("_score"), F.lit(0)).cast("long" if whole else "double")
+    return hits.groupBy("_row", "_id").agg(total.alias("score")).select(F.col("_id").alias(id_col), "score")
+
+
+def sentiment_job(tweets: DataFrame, lexicon: DataFrame, **options) -> DataFrame:
+    """Tweets -> one ``(tweet_id, text, score)`` row per id: of repeated ids the
+    last by time (then text) is scored."""
+    last = dedup_last(tweets.where(F.col("tweet_id").isNotNull()).select("tweet_id", "time", "text"), "tweet_id", ["time", "text"])
+    scored = sentiment_score(last.select("tweet_id", "text"), lexicon, id_col="tweet_id", text_col="text", **options)
+    return last.select("tweet_id", "text").join(scored, "tweet_id")
+
+
+def scored_line(df: DataFrame) -> DataFrame:
+    """``id;text<TAB>-><TAB>score`` lines of scored tweets."""
+    return df.select(F.concat(F.col("tweet_id").cast("string"), F.lit(";"), F.coalesce("text", F.lit("")), F.lit("\t->\t"), F.col("score").cast("string")).alias("value"))
 
 
 def dedup_last(df: DataFrame, key: str, order: list[str]) -> DataFrame:

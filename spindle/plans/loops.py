@@ -36,7 +36,8 @@ def iterate(state: DataFrame, step: Callable[[DataFrame, int], DataFrame], n: in
             on_step: Callable[[int, DataFrame], None] | None = None) -> DataFrame:
     """Run ``state = step(state, i)`` ``n`` times, or until ``until(prev, new, i)``.
 
-    ``until`` must be cheap and bounded (a count or a one-row aggregate).
+    ``until`` must be cheap and bounded (a count or a one-row aggregate); if it
+    does not hold after ``max_iter`` steps, that is an error, not a result.
     """
     if n is None and until is None:
         raise ValueError("give n or until")
@@ -50,5 +51,7 @@ def iterate(state: DataFrame, step: Callable[[DataFrame, int], DataFrame], n: in
         done = until(state, new, i) if until is not None else False
         state = new
         if done:
-            break
+            return state
+    if n is None:
+        raise RuntimeError(f"no end after {max_iter} steps")
     return state

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from . import workloads as W
 from ..operators import counting
-from ..session import scratch_path
+from ..session import drop_scratch, scratch_path
 from .loops import cut
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,15 +58,17 @@ _SEED_SQL = (f"SELECT CAST(range AS INT) AS cid, CAST((mx // {KMEANS_K}) * (rang
              f"FROM range({KMEANS_K}), (SELECT max(cnt) AS mx FROM ({_COUNTS_SQL}))")
 
 
-def _points(spark, sf):
-    counts = counting.follower_count(W.follow_edges(spark, sf))
+def _counts(spark, sf):
+    """Follower counts, written once; points and seeds come from this table."""
+    return cut(counting.follower_count(W.follow_edges(spark, sf)))
+
+
+def _points(counts):
     return counts.select(F.col("dst").alias("id"), F.col("cnt").cast("double").alias("x"))
 
 
-def _seeds(spark, sf):
-    counts = counting.follower_count(W.follow_edges(spark, sf))
-    mx = counting.max_count(counts).first()[0]
-    return cluster.init_centres(mx, KMEANS_K)
+def _seeds(counts, k: int = KMEANS_K):
+    return cluster.init_centres(counting.max_count(counts).first()[0], k)
 
 
 def _kmeans_chain_sql(iterations: int) -> str:
@@ -102,17 +104,32 @@ SELECT id, x, cid, center FROM (
          row_number() OVER (PARTITION BY id ORDER BY abs(cnt - center), cid) AS rn
   FROM pts, c0) WHERE rn = 1""")
 def q_kmeans_assign(spark, sf):
-    return cluster.assign(_points(spark, sf), _seeds(spark, sf)).select("id", "x", "cid", "center")
+    counts = _counts(spark, sf)
+    return cluster.assign(_points(counts), _seeds(counts)).select("id", "x", "cid", "center")
 
 
 @register("kmeans_step", _kmeans_chain_sql(1))
 def q_kmeans_step(spark, sf):
-    return _round_sse(cluster.kmeans_step(_points(spark, sf), _seeds(spark, sf)))
+    counts = _counts(spark, sf)
+    return _round_sse(cluster.kmeans_step(_points(counts), _seeds(counts)))
 
 
 @register("kmeans_1d", _kmeans_chain_sql(10))
 def q_kmeans_1d(spark, sf):
-    return _round_sse(cluster.kmeans_1d(_points(spark, sf), _seeds(spark, sf), iterations=10))
+    counts = _counts(spark, sf)
+    return _round_sse(cluster.kmeans_1d(_points(counts), _seeds(counts), iterations=10))
+
+
+@register("kmeans_assign_many", f"""
+WITH pts AS ({_COUNTS_SQL}), c0 AS (SELECT CAST(range AS INT) AS cid, CAST(range * 7 % 2003 AS DOUBLE) / 20 AS center FROM range(2003))
+SELECT id, x, cid, center FROM (
+  SELECT id, CAST(cnt AS DOUBLE) AS x, cid, center,
+         row_number() OVER (PARTITION BY id ORDER BY abs(cnt - center), cid) AS rn
+  FROM pts, c0) WHERE rn = 1""")
+def q_kmeans_assign_many(spark, sf):
+    """2,003 centres in no order: the search costs log2(k) steps a value."""
+    centres = [(i * 7 % 2003) / 20 for i in range(2003)]
+    return cluster.assign(_points(_counts(spark, sf)), centres).select("id", "x", "cid", "center")
 
 
 # ---------------------------------------------------------------- graph
@@ -293,7 +310,7 @@ def _tweets(spark, sf):
     return d.select(
         F.lit("status").alias("type"), F.col("source").alias("origin"), "text", F.lit("").alias("url"),
         F.col("doc_id").alias("tweet_id"),
-        (F.expr("TIMESTAMP_NTZ '2011-07-01 00:00:00'") + F.make_dt_interval(mins=F.col("doc_id").cast("int")))
+        (F.expr("TIMESTAMP_NTZ '2011-07-01 00:00:00'") + F.make_dt_interval(secs=(F.col("doc_id") * 60).cast("decimal(18,6)")))
         .alias("time"),
         F.col("n_chars").cast("int").alias("ret_count"), (F.col("lang") == "en").alias("favorite"),
         F.array(F.col("doc_id"), F.col("n_chars")).alias("mentioned"), F.array(F.col("lang")).alias("hashtags"))
@@ -302,7 +319,9 @@ def _tweets(spark, sf):
 def _parsed_tweets(spark, sf):
     path = scratch_path(spark, "tweets")
     tagged.render_tagged_records(_tweets(spark, sf)).write.mode("overwrite").text(path)
-    return tagged.parse_tagged_records(tagged.read_tagged_records(spark, path))
+    parsed = cut(tagged.parse_tagged_records(tagged.read_tagged_records(spark, path)))
+    drop_scratch(spark, path)
+    return parsed
 
 
 _TWEETS_SQL = (f"SELECT doc_id AS tweet_id, 'status' AS type, source AS origin, text, '' AS url, "
@@ -347,15 +366,43 @@ def q_sentiment_score(spark, sf):
     return textops.sentiment_score(W.table(spark, sf, "documents"), lex)
 
 
-@register("sentiment_score_joined", f"""
-WITH lex AS ({_LEX_SQL}),
+# Every word of `benchmark` is a term; its score is derived from its length and first letter.
+_LARGE_LEX_SQL = ("SELECT tok AS term, (length(tok) * 7 + ascii(tok)) % 11 - 5 AS score FROM "
+                  "(SELECT DISTINCT unnest(string_split(text, ' ')) AS tok FROM benchmark) WHERE tok <> ''")
+
+
+def _large_lexicon(spark, sf):
+    toks = W.table(spark, sf, "benchmark").select(F.explode(F.split("text", " ")).alias("term")).where("term <> ''").distinct()
+    return toks.select("term", ((F.length("term") * 7 + F.ascii("term")) % 11 - 5).cast("int").alias("score"))
+
+
+_LARGE_SCORE_SQL = f"""
+WITH lex AS ({_LARGE_LEX_SQL}),
 toks AS (SELECT d.doc_id, unnest(string_split(d.text, ' ')) AS tok FROM documents d)
 SELECT t.doc_id, CAST(coalesce(sum(l.score), 0) AS BIGINT) AS score
-FROM toks t LEFT JOIN lex l ON l.term = t.tok GROUP BY t.doc_id""")
-def q_sentiment_score_joined(spark, sf):
-    """Same scores through the large-lexicon path (explode + join)."""
-    lex = spark.createDataFrame(LEXICON, "term string, score int")
-    return textops.sentiment_score(W.table(spark, sf, "documents"), lex, inline_max=0)
+FROM toks t LEFT JOIN lex l ON l.term = t.tok GROUP BY t.doc_id"""
+
+
+@register("sentiment_score_large", _LARGE_SCORE_SQL)
+def q_sentiment_score_large(spark, sf):
+    return textops.sentiment_score(W.table(spark, sf, "documents"), _large_lexicon(spark, sf))
+
+
+@register("sentiment_score_shuffled", _LARGE_SCORE_SQL)
+def q_sentiment_score_shuffled(spark, sf):
+    """The way of a lexicon too large to broadcast: salted shuffle join."""
+    return textops.sentiment_score(W.table(spark, sf, "documents"), _large_lexicon(spark, sf), broadcast_bytes=0)
+
+
+@register("sentiment_job", f"""
+WITH s AS ({_LARGE_SCORE_SQL}) SELECT d.doc_id AS tweet_id, d.text, s.score FROM documents d JOIN s USING (doc_id)""")
+def q_sentiment_job(spark, sf):
+    """Tweet CSV files -> quote-aware read -> last row per id -> score."""
+    path = scratch_path(spark, "tweet-csv")
+    tagged.write_tweet_csv(_tweets(spark, sf), path)
+    tweets = cut(tagged.read_tweet_csv(spark, path).where("_corrupt IS NULL"))
+    drop_scratch(spark, path)
+    return textops.sentiment_job(tweets, _large_lexicon(spark, sf))
 
 
 @register("dedup_last", """
@@ -469,12 +516,78 @@ def q_minmax_normalize(spark, sf):
 from ..sources import arff  # noqa: E402
 
 
-@register("arff_roundtrip", "SELECT * FROM customer")
-def q_arff_roundtrip(spark, sf):
-    """customer -> ARFF -> rows -> CSV -> rows (inferred types), cast back."""
-    src = W.table(spark, sf, "customer")
+def _through_arff_and_csv(spark, src, **how):
+    """rows -> ARFF -> rows -> CSV -> rows (inferred types), cast back."""
     a_path, c_path = scratch_path(spark, "arff"), scratch_path(spark, "csv")
-    arff.write_arff(src, a_path, relation="customer")
+    arff.write_arff(src, a_path, relation="t", **how)
     arff.write_csv(arff.read_arff(spark, a_path), c_path)
     back = arff.read_csv_inferred(spark, c_path)
-    return back.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in src.schema.fields])
+    back = cut(back.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in src.schema.fields]))
+    drop_scratch(spark, a_path, c_path)
+    return back
+
+
+@register("arff_roundtrip", "SELECT * FROM customer")
+def q_arff_roundtrip(spark, sf):
+    return _through_arff_and_csv(spark, W.table(spark, sf, "customer"), nominal=["c_mktsegment"])
+
+
+@register("arff_roundtrip_texts", "SELECT * FROM documents")
+def q_arff_roundtrip_texts(spark, sf):
+    """Texts with line ends, quotes, commas and backslashes."""
+    return _through_arff_and_csv(spark, W.table(spark, sf, "documents"))
+
+
+# ---------------------------------------------------------------- loaders
+
+from ..sources import delimited  # noqa: E402
+
+
+@register("book_rows_io", f"SELECT user_id, location, title, author, year, publisher, count(*) AS n FROM ({_BOOK_SQL}) GROUP BY ALL")
+def q_book_rows_io(spark, sf):
+    """Rating rows written as ``|`` lines and read back by the loader."""
+    path = scratch_path(spark, "books")
+    b = W.book_rows(spark, sf)
+    fields = [F.col(c) if c in b.columns else F.lit("x") for c in delimited.BOOK_FIELDS]
+    delimited.write_values(b.select(F.concat_ws("|", *[f.cast("string") for f in fields]).alias("value")), path)
+    back = delimited.read_book_rows(spark, path).where("_corrupt IS NULL")
+    return back.groupBy("user_id", "location", "title", "author", "year", "publisher").agg(F.count("*").alias("n"))
+
+
+@register("points_io", f"SELECT CAST(id AS VARCHAR) AS id, CAST(cnt AS DOUBLE) AS x FROM ({_COUNTS_SQL})")
+def q_points_io(spark, sf):
+    """Follower counts written as ``id<TAB>count`` lines and read as points."""
+    path = scratch_path(spark, "points")
+    delimited.write_separated(counting.follower_count(W.follow_edges(spark, sf)), path, "\t")
+    return delimited.read_points(spark, path).where("_corrupt IS NULL").drop("_corrupt")
+
+
+@register("kmeans_step_io", _kmeans_chain_sql(1))
+def q_kmeans_step_io(spark, sf):
+    """Centres written as a file and read by the centroid loader, then one step."""
+    path = scratch_path(spark, "centres")
+    counts = _counts(spark, sf)
+    seeds = cluster.init_centres_df(spark, counting.max_count(counts), KMEANS_K)
+    delimited.write_separated(seeds.orderBy("cid").select("center").coalesce(1), path, "\t")      # k rows
+    centres = delimited.read_centroids(spark, path)
+    drop_scratch(spark, path)
+    return _round_sse(cluster.kmeans_step(_points(counts), centres))
+
+
+@register("lexicon_io", _LARGE_SCORE_SQL.replace("WHERE tok <> ''", r"WHERE tok <> '' AND NOT regexp_matches(tok, '[\n\r\t]')"))
+def q_lexicon_io(spark, sf):
+    """The lexicon written as ``term<TAB>score`` lines (terms that such a line can hold), read by the loader, then scored."""
+    path = scratch_path(spark, "lexicon")
+    lines = _large_lexicon(spark, sf).where(~F.col("term").rlike("[\n\r\t]"))
+    delimited.write_values(lines.select(F.concat_ws("\t", "term", F.col("score").cast("string")).alias("value")), path)
+    return textops.sentiment_score(W.table(spark, sf, "documents"), delimited.read_lexicon(spark, path), order="line")
+
+
+@register("merge_files", "SELECT n_name AS file, n_name || ',' || CAST(n_nationkey AS VARCHAR) || ',' AS merged FROM nation")
+def q_merge_files(spark, sf):
+    """One file per nation written by the per-file sink, then merged file by file."""
+    path = scratch_path(spark, "files")
+    n = W.table(spark, sf, "nation").select(F.col("n_name").alias("file"), F.concat_ws("\n", "n_name", F.col("n_nationkey").cast("string")).alias("value"))
+    delimited.write_per_file(n, path)
+    merged = folders.merge_lines(folders.read_files(spark, path))
+    return merged.select(F.url_decode(F.regexp_extract("path", "file=([^/]+)/", 1)).alias("file"), "merged")

@@ -3,6 +3,7 @@ sure a reliable checkpoint directory is configured."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -47,6 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="spindle-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     sc.setCheckpointDir(configured)
@@ -61,6 +64,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/spindle-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def drop_scratch(spark: SparkSession, *paths: str) -> None:
+    """Remove scratch paths that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    for p in paths:
+        where = jvm.org.apache.hadoop.fs.Path(p)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
@@ -85,4 +96,4 @@ def broadcast_if_small(df, max_rows: int = 100_000):
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
-__all__ = ["broadcast_if_small", "build_session", "ensure_checkpoint_dir", "scratch_path", "shuffle_partitions", "partitions_for"]
+__all__ = ["broadcast_if_small", "build_session", "ensure_checkpoint_dir", "drop_scratch", "scratch_path", "shuffle_partitions", "partitions_for"]

@@ -1,16 +1,18 @@
 """ARFF reader and writer, and the CSV <-> ARFF conversions.
 
 Writer: the header is derived from ``df.schema`` on the driver (one line per
-attribute); nominal domains come from a distributed ``collect_set`` and are
-only used when a column has at most ``max_nominal`` distinct values (checked
-first with an approximate count), otherwise the attribute is ``string``.
-Data rows are written by the executors. Output layout: ``<path>/header`` and
-``<path>/data`` text folders; the reader also accepts a single ``.arff``
-file.
-
-Reader: header lines (``@...``) are small and read in file order; data lines
-(everything else that is not blank or a ``%`` comment) are parsed by
-``from_csv`` with ARFF quoting (single quotes, ``?`` = missing).
+attribute). A string column is a ``string`` attribute, or a nominal one if the
+caller names it in ``nominal`` (its domain then goes into the header). Data
+rows are written by the executors. Output layout: ``<path>/header`` and
+``<path>/data`` text folders.
+
+Strings are always quoted; ``\\``, ``'``, line ends and NUL are escaped with a
+backslash, so a row is one line whatever its texts hold. Only an unquoted ``?`` is
+missing.
+
+Reader: the folders above or one ``.arff`` file. Lines before ``@data`` are the
+header; of those after it, blank lines and ``%`` comments are dropped and all
+others are rows.
 """
 
 from __future__ import annotations
@@ -21,12 +23,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_NOMINAL = 256
-
 _INTEGRAL = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 
 
+# Characters and how they are written within quotes, the escape character first.
+_ESCAPES = [("\\", "\\\\"), ("'", "\\'"), ("\n", "\\n"), ("\r", "\\r"), ("\0", "\\0")]
+# One value of a data line: quoted, or up to the next comma.
+_VALUE = r"\s*('[^'\\]*+(?:\\.[^'\\]*+)*+'|[^,]*+)\s*(?:,|$)"
+
+
 def _quote_name(name: str) -> str:
     return f"'{name}'" if re.search(r"[\s,{}'\"%]", name) else name
 
@@ -39,22 +45,18 @@ def _arff_value(c: str, dtype) -> F.Column:
         txt = F.when(col, "true").otherwise("false")
     else:
         s = col.cast("string")
-        esc = F.replace(F.replace(s, F.lit("\\"), F.lit("\\\\")), F.lit("'"), F.lit("\\'"))
-        txt = F.concat(F.lit("'"), esc, F.lit("'"))
+        for raw, safe in _ESCAPES:
+            s = F.replace(s, F.lit(raw), F.lit(safe))
+        txt = F.concat(F.lit("'"), s, F.lit("'"))
     return F.coalesce(txt, F.lit("?"))
 
 
-def arff_header(df: DataFrame, relation: str = "data", max_nominal: int = MAX_NOMINAL) -> list[str]:
+def arff_header(df: DataFrame, relation: str = "data", nominal: list[str] | None = None) -> list[str]:
     lines = [f"@relation {_quote_name(relation)}", ""]
-    strings = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    domains: dict[str, list[str]] = {}
-    if strings and max_nominal > 0:
-        approx = df.agg(*[F.approx_count_distinct(c).alias(c) for c in strings]).first().asDict()
-        small = [c for c in strings if approx[c] <= max_nominal * 2]
-        if small:
-            sets = df.agg(*[F.slice(F.sort_array(F.collect_set(c)), 1, max_nominal + 1).alias(c)
-                            for c in small]).first().asDict()   # bounded per column
-            domains = {c: v for c, v in sets.items() if len(v) <= max_nominal}
+    domains = {}
+    for c in nominal or []:      # the caller says that these are small
+        rows = df.where(F.col(c).isNotNull()).select(_arff_value(c, T.StringType()).alias("v")).distinct().orderBy("v")
+        domains[c] = [r.v for r in rows.toLocalIterator()]
     for f in df.schema.fields:
         if isinstance(f.dataType, _INTEGRAL):
             t = "integer"
@@ -63,7 +65,7 @@ def arff_header(df: DataFrame, relation: str = "data", max_nominal: int = MAX_NO
         elif isinstance(f.dataType, T.BooleanType):
             t = "{false,true}"
         elif f.name in domains:
-            t = "{" + ",".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in domains[f.name]) + "}"
+            t = "{" + ",".join(domains[f.name]) + "}"
         else:
             t = "string"
         lines.append(f"@attribute {_quote_name(f.name)} {t}")
@@ -76,9 +78,9 @@ def arff_data(df: DataFrame) -> DataFrame:
     return df.select(F.concat_ws(",", *[_arff_value(f.name, f.dataType) for f in df.schema.fields]).alias("value"))
 
 
-def write_arff(df: DataFrame, path: str, relation: str = "data", max_nominal: int = MAX_NOMINAL) -> None:
+def write_arff(df: DataFrame, path: str, relation: str = "data", nominal: list[str] | None = None) -> None:
     spark = df.sparkSession
-    head = arff_header(df, relation, max_nominal)
+    head = arff_header(df, relation, nominal)
     spark.createDataFrame([(x,) for x in head], "value string").coalesce(1) \
         .write.mode("overwrite").text(f"{path}/header")
     arff_data(df).write.mode("overwrite").text(f"{path}/data")
@@ -109,31 +111,48 @@ def _parse_header(lines: list[str]) -> T.StructType:
     return T.StructType(fields)
 
 
-def read_arff(spark: SparkSession, path: str) -> DataFrame:
-    import os
-    single = path.endswith(".arff") or os.path.isfile(path)
-    head_src = path if single else f"{path}/header"
-    data_src = path if single else f"{path}/data"
-    head = [r[0] for r in spark.read.text(head_src).where(F.col("value").rlike(r"^\s*@")).collect()]
-    schema = _parse_header(head)
-    raw = spark.read.text(data_src).where(~F.col("value").rlike(r"^\s*(@|%|$)"))
-    ddl = ", ".join("`" + f.name.replace("`", "``") + "` STRING" for f in schema.fields)
-    parsed = raw.select(F.from_csv("value", ddl,
-                                   {"quote": "'", "escape": "\\", "nullValue": "?",
-                                    "ignoreLeadingWhiteSpace": "true"}).alias("r")).select("r.*")
-    return parsed.select(*[(F.col(f.name) == "true").alias(f.name) if isinstance(f.dataType, T.BooleanType)
-                           else F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+def read_arff(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Rows of an ARFF folder or file. ``schema`` (same column names) reads the
+    values' text as those types instead of the header's, so decimals keep all digits."""
+    if path.endswith(".arff"):
+        lines = spark.read.text(path).select("value", F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("n")).alias("at"))
+        start = lines.where(F.col("value").rlike(r"(?i)^\s*@data\b")).agg(F.min("at")).first()[0]
+        if start is None:
+            raise ValueError(f"{path} has no @data line")
+        at = F.struct(F.lit(start[0]).cast("long"), F.lit(start[1]).cast("long"))
+        head, raw = lines.where(F.col("at") < at).select("value"), lines.where(F.col("at") > at).select("value")
+    else:
+        head, raw = spark.read.text(f"{path}/header"), spark.read.text(f"{path}/data")
+    types = _parse_header([r[0] for r in head.where(F.col("value").rlike(r"^\s*@")).collect()])     # one line an attribute
+    wanted = {f.name: f.dataType for f in (schema or types).fields}
+    raw = raw.where(~F.col("value").rlike(r"^\s*(%|$)"))
+    parts = raw.select(F.regexp_extract_all("value", F.lit(_VALUE), F.lit(1)).alias("p"))
+
+    def value(i: int, f: T.StructField) -> F.Column:
+        text = F.trim(F.get("p", F.lit(i)))
+        bare = F.substring(text, F.lit(2), F.length(text) - 2)
+        for safe, plain in (("\\\\", "\0"), ("\\'", "'"), ("\\n", "\n"), ("\\r", "\r")):     # a raw NUL never stands here
+            bare = F.replace(bare, F.lit(safe), F.lit(plain))
+        bare = F.replace(F.replace(bare, F.lit("\\0"), F.lit("\1\1")), F.lit("\0"), F.lit("\\"))
+        bare = F.replace(bare, F.lit("\1\1"), F.lit("\0"))
+        text = F.when(text.startswith("'"), bare).when((text != "?") & (text != ""), text)
+        kind = wanted[f.name]
+        return ((F.lower(text) == "true") if isinstance(kind, T.BooleanType) else text.try_cast(kind)).alias(f.name)
+
+    return parts.select(*[value(i, f) for i, f in enumerate(types.fields)])
+
+
+_CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    df.write.mode("overwrite").options(**_CSV).csv(path)
 
 
 def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header and inferred column types (the loader of the
-    converter jobs)."""
-    return (spark.read.option("header", True).option("inferSchema", True)
-            .option("escape", '"').csv(path))
+    converter jobs); values may hold line ends."""
+    return spark.read.options(**_CSV, inferSchema=True, multiLine=True).csv(path)
 
 
 def csv_to_arff(spark: SparkSession, csv_path: str, arff_path: str, relation: str = "data") -> None:

@@ -29,13 +29,21 @@ def read_book_rows(spark: SparkSession, path: str) -> DataFrame:
     return parse_book_rows(spark.read.text(path))
 
 
+def _file_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines with ``line``, their place in (file name, position) order."""
+    return spark.read.text(path).select("value", F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"),
+                                                          F.monotonically_increasing_id().alias("n")).alias("line"))
+
+
 def read_lexicon(spark: SparkSession, path: str) -> DataFrame:
-    """``term<TAB>score`` -> (term, score INT, line) ; ``line`` orders
-    duplicates so that the later one can win."""
-    df = spark.read.text(path).withColumn("line", F.monotonically_increasing_id())
+    """``term<TAB>score`` -> (term, score INT, line, _corrupt); ``line`` orders
+    duplicates so that the later one can win; lines without a term or with a
+    score that is no integer are kept in ``_corrupt`` (their score is NULL)."""
     p = F.split(F.col("value"), "\t")
-    return df.select(F.get(p, 0).alias("term"), F.get(p, 1).try_cast("int").alias("score"), "line") \
-        .where(F.col("term").isNotNull() & F.col("score").isNotNull())
+    score = F.get(p, 1).try_cast("int")
+    ok = score.isNotNull() & (F.length(F.get(p, 0)) > 0)
+    return _file_lines(spark, path).select(F.when(ok, F.get(p, 0)).alias("term"), F.when(ok, score).alias("score"), "line",
+                                           F.when(~F.coalesce(ok, F.lit(False)), F.col("value")).alias("_corrupt"))
 
 
 def read_points(spark: SparkSession, path: str) -> DataFrame:
@@ -48,11 +56,10 @@ def read_points(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_centroids(spark: SparkSession, path: str) -> list[float]:
-    """First field of every line of every file of a folder, in listing
-    order (k lines: the only data that reaches the driver)."""
-    df = spark.read.text(path).select(F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("i"),
-                                      F.get(F.split(F.col("value"), r"\t| "), 0).try_cast("double").alias("c"))
-    return [r["c"] for r in df.where(F.col("c").isNotNull()).orderBy("f", "i").collect()]
+    """First field of every line of every file of a folder, in file name and line
+    order (k numbers: the clusters' centres are the only data that reaches the driver)."""
+    c = F.get(F.split(F.col("value"), r"\t| "), 0).try_cast("double")
+    return [r["c"] for r in _file_lines(spark, path).select("line", c.alias("c")).where("c IS NOT NULL").orderBy("line").toLocalIterator()]
 
 
 def write_separated(df: DataFrame, path: str, sep: str, quote_all: bool = False) -> None:

@@ -3,8 +3,10 @@
 A record is ten tagged lines between ``***`` lines; consecutive records are
 separated by ``***\\n***\\n``. Spark's text source splits on that custom
 ``lineSep`` with split-aware readers, so a large file is read in parallel
-and a record never straddles two rows. Fields are anchored on the *next*
-tag, so a field value may span lines.
+and a record never straddles two rows. A field value may span lines. The text
+is free and may hold lines that look like tags: the fields after it are taken
+from the record's end, so it keeps whatever stands before them. A line of
+asterisks within a field is written with a backslash before it.
 """
 
 from __future__ import annotations
@@ -30,45 +32,44 @@ def read_tagged_records(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("lineSep", RECORD_SEP).text(path)
 
 
-def _split_fields(body: Column) -> Column:
-    """Cut a record body at every line that starts with one of the tags after
-    the first: one regex pass over the text instead of one per field."""
-    later = "|".join(t.rstrip(": ") for t in TAGS[1:])
-    return F.split(body, rf"\n(?=(?:{later}): )")
-
-
-def _field(parts: Column, i: int) -> Column:
-    tag = TAGS[i]
-    hit = F.element_at(F.filter(parts, lambda p: p.startswith(tag)), 1)
-    return F.substr(hit, F.lit(len(tag) + 1))
+# Type, origin and text from the front (the text takes all it can), the rest from the end.
+_RECORD = r"(?s)\A" + r"\n".join([TAGS[0] + "(.*?)", TAGS[1] + "(.*?)", TAGS[2] + "(.*)"] + [rf"{t.strip()} ?(.*?)" for t in TAGS[3:-1]] + [TAGS[-1].strip() + r" ?(.*)"]) + r"\z"
 
 
 def parse_tagged_records(records: DataFrame, col: str = "value") -> DataFrame:
     """Record text -> typed columns (tweet_id BIGINT, time TIMESTAMP_NTZ in
-    UTC, mentioned ARRAY<BIGINT>, hashtags ARRAY<STRING>, ...)."""
+    UTC, mentioned ARRAY<BIGINT>, hashtags ARRAY<STRING>, ...) and ``_corrupt``:
+    the record if it has not all fields, no usable id, or a mention that is no
+    number. Empty records (between separators) are no records."""
     body = F.regexp_replace(F.col(col), r"^(\*\*\*\n)+", "")
     body = F.regexp_replace(body, r"(\n?\*\*\*)?\n?\z", "")
-    parts = _split_fields(body)
-    raw = records.select(parts.alias("_p")).select(
-        *[_field(F.col("_p"), i).alias(FIELDS[i]) for i in range(len(TAGS))])
-    raw = raw.where(F.length(F.trim(F.col("tweet_id"))) > 0)
+    raw = records.select(F.col(col).alias("_raw"), body.alias("_b")).where(F.length(F.trim("_b")) > 0)
+
+    def field(i: int) -> Column:
+        return F.regexp_replace(F.regexp_extract("_b", _RECORD, i + 1), r"(?m)^\\(\\*\*\*\*)$", "$1")
+
+    raw = raw.select("_raw", F.col("_b").rlike(_RECORD).alias("_ok"), *[field(i).alias(FIELDS[i]) for i in range(len(TAGS))])
     time_txt = F.regexp_replace(F.trim(F.col("time")), r"^[A-Za-z]{3} ", "")
     ts = F.try_to_timestamp(time_txt, F.lit(TIME_FORMAT))   # an instant (zone in the text)
 
     def words(c):
         return F.filter(F.split(F.trim(c), r"\s+"), lambda x: x != "")
 
+    mentioned = F.transform(words(F.col("mentioned")), lambda x: x.try_cast("long"))
+    tweet_id = F.trim("tweet_id").try_cast("long")
+    good = F.col("_ok") & tweet_id.isNotNull() & ~F.exists(mentioned, lambda x: x.isNull())
     return raw.select(
-        F.col("tweet_id").cast("long").alias("tweet_id"),
+        tweet_id.alias("tweet_id"),
         F.trim("type").alias("type"),
         F.col("origin"),
         F.col("text"),
         F.col("url"),
         utc_wall_clock(ts).alias("time"),
-        F.expr("try_cast(trim(ret_count) AS INT)").alias("ret_count"),
+        F.trim("ret_count").try_cast("int").alias("ret_count"),
         (F.lower(F.trim("favorite")) == "true").alias("favorite"),
-        F.transform(words(F.col("mentioned")), lambda x: x.cast("long")).alias("mentioned"),
+        mentioned.alias("mentioned"),
         words(F.col("hashtags")).alias("hashtags"),
+        F.when(~good, F.col("_raw")).alias("_corrupt"),
     )
 
 
@@ -91,7 +92,7 @@ def render_tagged_records(df: DataFrame) -> DataFrame:
     """Inverse of the parser: one ``value`` per record, ``***`` lines around.
     ``time`` is rendered in the session time zone."""
     def s(c):
-        return F.coalesce(F.col(c).cast("string"), F.lit(""))
+        return F.regexp_replace(F.coalesce(F.col(c).cast("string"), F.lit("")), r"(?m)^(\\*\*\*\*)$", r"\\$1")
     lines = [
         F.concat(F.lit(TAGS[0]), s("type")),
         F.concat(F.lit(TAGS[1]), s("origin")),
@@ -119,4 +120,16 @@ def tweet_csv_line(df: DataFrame) -> DataFrame:
 
 def write_tweet_csv(df: DataFrame, path: str) -> None:
     (df.select("tweet_id", render_time(df).alias("time"), "text")
-     .write.mode("overwrite").option("quoteAll", True).option("escape", '"').csv(path))
+     .write.mode("overwrite").option("quoteAll", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
+
+
+def read_tweet_csv(spark: SparkSession, path: str) -> DataFrame:
+    """``ID,"Time","Text"`` rows -> (tweet_id, time in UTC, text, _corrupt).
+    Texts may hold line ends, quotes and commas."""
+    raw = (spark.read.schema("id STRING, time STRING, text STRING, _corrupt STRING").option("columnNameOfCorruptRecord", "_corrupt")
+           .option("multiLine", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    ts = F.try_to_timestamp(F.regexp_replace("time", r"^[A-Za-z]{3} ", ""), F.lit(TIME_FORMAT))
+    tweet_id = F.trim("id").try_cast("long")
+    return raw.select(tweet_id.alias("tweet_id"), utc_wall_clock(ts).alias("time"), F.coalesce("text", F.lit("")).alias("text"),
+                      F.coalesce("_corrupt", F.when(tweet_id.isNull(), F.concat_ws(",", "id", "time", "text"))).alias("_corrupt"))

@@ -25,6 +25,21 @@ def test_assign_tie_goes_to_lowest_index(spark):
     assert got == [(5.0, 0), (15.0, 1)]
 
 
+def test_many_centres_in_any_order(spark):
+    rnd = random.Random(8)
+    centres = [rnd.choice([rnd.uniform(-50, 50), float(rnd.randint(-20, 20))]) for _ in range(700)]
+    xs = [rnd.uniform(-60, 60) for _ in range(200)] + [float(v) + d for v in range(-21, 22) for d in (0, 0.5)]
+    got = {r["x"]: r["cid"] for r in cluster.assign(spark.createDataFrame([(x,) for x in xs], "x double"), centres).collect()}
+    assert got == {x: min(range(len(centres)), key=lambda i: (abs(x - centres[i]), i)) for x in xs}
+    assert cluster.assign(spark.createDataFrame([(None,)], "x double"), [1.0]).first()["cid"] is None
+
+
+def test_loop_without_end_is_an_error(spark):
+    from spindle.plans.loops import iterate
+    with pytest.raises(RuntimeError):
+        iterate(spark.range(1), lambda s, i: s, until=lambda a, b, i: False, max_iter=2)
+
+
 def test_empty_cluster_disappears(spark):
     p = spark.createDataFrame([(1.0,), (2.0,), (3.0,)], "x double")
     out = cluster.kmeans_step(p, [0.0, 100.0, 1000.0]).collect()

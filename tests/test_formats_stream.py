@@ -6,7 +6,7 @@ from spindle.sources import arff, delimited
 def test_arff_roundtrip_types_and_quoting(spark, tmp):
     df = spark.createDataFrame([(1, "a b", 2.5, "x"), (2, "it's, ok", None, "y"), (3, None, -1.0, "x")],
                                "id long, name string, v double, cat string")
-    arff.write_arff(df, f"{tmp}/a", relation="t", max_nominal=2)
+    arff.write_arff(df, f"{tmp}/a", relation="t", nominal=["cat"])
     head = open([p for p in __import__("glob").glob(f"{tmp}/a/header/part-*")][0]).read()
     assert "@attribute cat {'x','y'}" in head and "@attribute v real" in head and "@attribute id integer" in head
     back = arff.read_arff(spark, f"{tmp}/a")
@@ -20,6 +20,51 @@ def test_read_single_arff_file(spark, tmp):
     assert got == [(1.5, "u"), (None, "v")]
 
 
+def test_arff_odd_texts(spark, tmp):
+    from decimal import Decimal
+    texts = ["x\ny", "?", "@bob", "%z", "a\\nb", "\\", "it's", "", " lead", "c,d", "\r\n", "nul\0end", "{", None, "?,'"]
+    df = spark.createDataFrame([(i, t, Decimal("12345678901234567.123456789"), None if i % 2 else i / 3) for i, t in enumerate(texts)],
+                               "id int, `a b` string, d decimal(30,9), x double")
+    arff.write_arff(df, f"{tmp}/a")
+    back = arff.read_arff(spark, f"{tmp}/a", schema=df.schema)
+    assert sorted(back.collect(), key=lambda r: r["id"]) == sorted(df.collect(), key=lambda r: r["id"])
+
+
+def test_arff_rows_that_look_like_a_header(spark, tmp):
+    p = f"{tmp}/w.arff"
+    open(p, "w").write("% c\n@relation w\n@attribute a string\n@attribute n integer\n@DATA\n@bob,1\n% comment\n\n'%q',2\nx ,?\n")
+    got = {(r["a"], r["n"]) for r in arff.read_arff(spark, p).collect()}
+    assert got == {("@bob", 1), ("%q", 2), ("x", None)}
+
+
+def test_csv_texts(spark, tmp):
+    df = spark.createDataFrame([(1, "a\nb \"q\", c "), (2, " lead"), (3, "plain")], "id int, s string")
+    arff.write_csv(df, f"{tmp}/c")
+    assert sorted(arff.read_csv_inferred(spark, f"{tmp}/c").collect()) == sorted(df.collect())
+
+
+def test_book_rows_values_and_separators(spark, tmp):
+    lines = ["7|A|x|x|T|P|1999|Z", "8|A|x|x|T|P|bad|Z", "short|row", "u|A|x|x|T|P|1999|Z"]
+    delimited.write_values(spark.createDataFrame([(x,) for x in lines], "value string"), f"{tmp}/b")
+    rows = delimited.read_book_rows(spark, f"{tmp}/b").collect()
+    assert sorted(r["_corrupt"] for r in rows if r["_corrupt"]) == ["short|row", "u|A|x|x|T|P|1999|Z"]
+    assert {(r["user_id"], r["year"]) for r in rows if not r["_corrupt"]} == {(7.0, 1999), (8.0, 0)}
+    delimited.write_separated(spark.createDataFrame([("a", 1)], "k string, v int"), f"{tmp}/s", ";")
+    assert spark.read.text(f"{tmp}/s").first()[0] == "a;1"
+
+
+def test_lexicon_across_files(spark, tmp):
+    import os
+    os.makedirs(f"{tmp}/lex")
+    open(f"{tmp}/lex/a.txt", "w").write("w\t1\n" + "".join(f"pad{i}\t0\n" for i in range(500)))
+    open(f"{tmp}/lex/b.txt", "w").write("w\t9\nbroken\n\t3\n")
+    lex = delimited.read_lexicon(spark, f"{tmp}/lex")
+    assert sorted(r["_corrupt"] for r in lex.where("_corrupt IS NOT NULL").collect()) == ["\t3", "broken"]
+    from spindle.operators.text import sentiment_score
+    docs = spark.createDataFrame([(1, "w broken")], "doc_id long, text string")
+    assert sentiment_score(docs, lex, order="line").first()["score"] == 9
+
+
 def test_csv_arff_conversions(spark, tmp):
     df = spark.createDataFrame([(1, "p q", 0.25)], "id int, s string, x double")
     arff.write_csv(df, f"{tmp}/c")
