@@ -245,11 +245,12 @@ def bootstrap_sample(df: DataFrame, order: str, model: int = 0, n: int | None =
             .drop("_copies", "idx").withColumn("model", F.lit(model)))
 
 
-def order_randomly(df: DataFrame, seed: int = 0) -> DataFrame:
-    """Rows in a pseudo-random but reproducible order (the bootstrap output
-    order): a global sort on a seeded hash of every column, which Spark runs
-    as a range-partitioned distributed sort."""
-    return df.orderBy(F.xxhash64(*df.columns, F.lit(seed)), *df.columns)
+def shuffled(df: DataFrame, key: list[str], seed: int = 0, out: str = "pos") -> DataFrame:
+    """``df`` with the position of each row in a pseudo-random order that any
+    engine can repeat (md5 of seed and key, then key): a distributed sort, no
+    global window. ``orderBy(out)`` writes the rows in that order."""
+    tag = F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(c).cast("string") for c in key]))
+    return dense_index(df.withColumn("_tag", tag), ["_tag", *key], out=out).drop("_tag")
 
 
 def ensemble_training(df: DataFrame, order: str, models: int = 3) -> DataFrame:

@@ -443,9 +443,9 @@ _KNN_CTE = (f"{_BOOKS_CTE}, c AS (SELECT q.row_key, t.row_key AS t_row_key, {_DI
             f"ORDER BY distance, t_row_key) AS INT) AS rank, t_row_key, distance FROM c) WHERE rank <= {KNN_K})")
 
 
-def _knn(spark, sf):
+def _knn(spark, sf, **options):
     q, t = W.book_split(spark, sf)
-    return nb.knn_topk(q, t, k=KNN_K), q
+    return nb.knn_topk(q, t, k=KNN_K, **options), q
 
 
 @register("knn_distance", f"""
@@ -461,6 +461,17 @@ def q_knn_topk(spark, sf):
     return _knn(spark, sf)[0]
 
 
+@register("knn_payload", f"""
+WITH {_KNN_CTE}
+SELECT k.row_key, k.rank, k.t_row_key, k.distance, t.title AS t_title, t.year AS t_year, t.publisher AS t_publisher, q.publisher
+FROM knn k JOIN (SELECT DISTINCT row_key, title, year, publisher FROM t) t ON t.row_key = k.t_row_key
+JOIN (SELECT DISTINCT row_key, publisher FROM q) q ON q.row_key = k.row_key""")
+def q_knn_payload(spark, sf):
+    """Neighbours with what the job prints: training title and year, both publishers."""
+    res, q = _knn(spark, sf, carry=["title", "year", "publisher"])
+    return res.join(q.select("row_key", "publisher").distinct(), "row_key")
+
+
 @register("knn_by_title", f"""
 WITH {_KNN_CTE},
 best AS (SELECT q.title, k.t_row_key, min(k.distance) AS distance FROM knn k JOIN q USING (row_key)
@@ -488,6 +499,15 @@ def q_bootstrap_sample(spark, sf):
     return s.select("row_key", "model", "copy")
 
 
+@register("bootstrap_shuffled", f"""
+WITH {_BOOKS_CTE}, {_boot_sql(1)}
+SELECT row_key, copy, row_number() OVER (ORDER BY md5('7:' || row_key || ':' || CAST(copy AS VARCHAR)), row_key, copy) - 1 AS pos FROM boot""")
+def q_bootstrap_shuffled(spark, sf):
+    """The sample in a random order that can be repeated."""
+    s = nb.bootstrap_sample(W.book_training(spark, sf), "row_key", model=0)
+    return nb.shuffled(s.select("row_key", "copy"), ["row_key", "copy"], seed=7).select("row_key", "copy", "pos")
+
+
 @register("ensemble_knn", f"""
 WITH {_BOOKS_CTE}, {_boot_sql(ENSEMBLE_MODELS)},
 c AS (SELECT q.row_key, t.row_key AS t_row_key, t.model AS t_model, t.copy AS t_copy, {_DIST_SQL} AS distance

@@ -91,7 +91,7 @@ def test_bootstrap_matches_md5_rule(spark):
     df = spark.createDataFrame([(k,) for k in keys], "key string")
     for m in (0, 2):
         got = sorted(r["key"] for r in nb.bootstrap_sample(df, "key", model=m).collect())
-        idx = [int(hashlib.md5(f"{m}:{s}".encode()).hexdigest()[:8], 16) % 97 for s in range(97)]
+        idx = [int(hashlib.md5(f"{m}:{s}".encode()).hexdigest()[:15], 16) % 97 for s in range(97)]
         assert got == sorted(keys[i] for i in idx)
 
 
@@ -138,9 +138,10 @@ def test_knn_collapsed_copies_match_brute_force(spark, direct):
     assert got == sorted(want)
 
 
-def test_order_randomly_is_a_reproducible_permutation(spark):
-    df = spark.range(200).withColumnRenamed("id", "v")
-    a = [r["v"] for r in nb.order_randomly(df, seed=3).collect()]
-    b = [r["v"] for r in nb.order_randomly(df, seed=3).collect()]
-    c = [r["v"] for r in nb.order_randomly(df, seed=4).collect()]
-    assert a == b and sorted(a) == list(range(200)) and a != list(range(200)) and a != c
+def test_shuffled_is_a_reproducible_permutation(spark):
+    df = spark.range(200).select(F.col("id").alias("v")).repartition(7)
+    a = [r["v"] for r in nb.shuffled(df, ["v"], seed=3).orderBy("pos").collect()]
+    b = [r["v"] for r in nb.shuffled(df.repartition(3), ["v"], seed=3).orderBy("pos").collect()]
+    c = [r["v"] for r in nb.shuffled(df, ["v"], seed=4).orderBy("pos").collect()]
+    assert a == b != c and sorted(a) == list(range(200)) and a != list(range(200))
+    assert sorted(r["pos"] for r in nb.shuffled(df, ["v"], seed=3).collect()) == list(range(200))
