@@ -44,7 +44,7 @@ from pyspark.sql import types as T
 from . import arrowtext as at
 from .runtime import on_workers
 
-PER_LABEL = 4000
+PER_LABEL = 3000
 MAX_TEXT_BYTES = 20_000
 CHANCE = 1e-5
 CLEAN_SHARE = 0.15
@@ -101,12 +101,6 @@ class Field:
         """``features`` as places in the dictionary."""
         return self.weights[features].sum(axis=1) + self.bias
 
-    def places(self, features: np.ndarray) -> np.ndarray:
-        if not len(self.known):
-            return np.zeros(features.shape, np.int64)
-        at_ = np.minimum(np.searchsorted(self.known, features), len(self.known) - 1)
-        return np.where(self.known[at_] == features, at_, len(self.known))
-
 
 def _steps(begin, length):
     """Sequences by falling length, and how many are still open at each step."""
@@ -138,7 +132,7 @@ def _sigmoid(x):
 
 
 def marginals(field: Field, c: Chains) -> np.ndarray:
-    a, b = forward_backward(field.potentials(field.places(c.features)), c.begin, c.length, field.transition)
+    a, b = forward_backward(field.potentials(_places(field.known, c.features)), c.begin, c.length, field.transition)
     return _sigmoid(a + b)
 
 
@@ -151,29 +145,38 @@ def _summary(p: np.ndarray, w: at.Words, rows: int) -> np.ndarray:
     return np.stack([np.ones(rows), np.log(most / (1 - most)), np.log1p(expected), np.log((expected + 0.01) / (np.diff(w.first) + 10))], axis=1)
 
 
-def _dictionary(parts: list[Chains], toxic: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def _per_row(c: Chains, mine: np.ndarray) -> np.ndarray:
+    """The features of the chosen rows, each once a row."""
+    of = mine[c.words.doc]
+    f = c.features[of]
+    doc = np.repeat(c.words.doc[of].astype(np.uint64), f.shape[1])
+    f = f.ravel()
+    _, one = np.unique(at.mix(f ^ ((doc + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))), return_index=True)
+    return f[one]
+
+
+def _dictionary(cut: list[at.Slice], toxic: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the dictionary's features, sorted, and which of them mark a word as toxic."""
     rows = [sum(int((y == k).sum()) for y in toxic) for k in (0, 1)]
-    seen = []
-    for k in (0, 1):
-        hashes = []
-        for c, y in zip(parts, toxic):
-            mine = y[c.words.doc] == k
-            f = c.features[mine]
-            doc = np.repeat(c.words.doc[mine].astype(np.uint64), f.shape[1])
-            f = f.ravel()
-            _, one = np.unique(at.mix(f ^ ((doc + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))), return_index=True)
-            hashes.append(f[one])
-        seen.append(np.unique(np.concatenate(hashes), return_counts=True))
-    known, n1 = seen[1]
-    known, n1 = known[known > 0], n1[known > 0]
-    at_ = np.minimum(np.searchsorted(seen[0][0], known), max(len(seen[0][0]) - 1, 0))
-    n0 = np.where(seen[0][0][at_] == known, seen[0][1][at_], 0) if len(seen[0][0]) else np.zeros(len(known), int)
-    enough = n1 >= np.log(CHANCE) / np.log(rows[1] / sum(rows))
-    use = enough & (n1 / rows[1] >= LIFT * (n0 + 0.5) / rows[0])
+    known, n1 = np.unique(np.concatenate([_per_row(chains(s), y == 1) for s, y in zip(cut, toxic)]), return_counts=True)
+    enough = (n1 >= np.log(CHANCE) / np.log(rows[1] / sum(rows))) & (known > 0)
+    known, n1 = known[enough], n1[enough]
+    n0 = np.zeros(len(known) + 1, np.int64)
+    for s, y in zip(cut, toxic):
+        n0 += np.bincount(_places(known, _per_row(chains(s), y == 0)), minlength=len(n0))
+    n0 = n0[:-1]
+    use = n1 / rows[1] >= LIFT * (n0 + 0.5) / rows[0]
     return known[use], (n0 / rows[0] <= CLEAN_SHARE * n1 / rows[1])[use]
 
 
+def _places(known: np.ndarray, features: np.ndarray) -> np.ndarray:
+    """Places in the dictionary; its length for all that is not in it."""
+    if not len(known):
+        return np.zeros(features.shape, np.int32)
+    at_ = np.minimum(np.searchsorted(known, features), len(known) - 1)
+    return np.where(known[at_] == features, at_, len(known)).astype(np.int32)
+
+
 def _train(known, features, target, begin, length, epochs: int = EPOCHS, seed: int = 5) -> Field:
     """Gradient steps (Adagrad) on the log-likelihood of the labelled sequences."""
     size = len(known) + 1
@@ -223,6 +226,27 @@ def _curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.ndarray:
     return beta
 
 
+def _sequences(cut: list[at.Slice], toxic: list[np.ndarray], known: np.ndarray, marks: np.ndarray):
+    """Sequences to learn from, as (places, targets, begin, length): all with a toxic word, and an even draw of the others."""
+    total = sum(len(chains(s).begin) for s in cut)
+    rng = np.random.RandomState(3)
+    places, targets, lengths = [], [], []
+    for s, y in zip(cut, toxic):
+        c = chains(s)
+        if not len(c.begin):
+            continue
+        p = _places(known, c.features)
+        target = marks[p].any(axis=1) & (y[c.words.doc] == 1)
+        sums = np.concatenate([[0], np.cumsum(target)])
+        keep = (sums[c.begin + c.length] > sums[c.begin]) | (rng.rand(len(c.begin)) < SEQUENCES / total)
+        words = np.repeat(keep, c.length)
+        places.append(p[words])
+        targets.append(target[words])
+        lengths.append(c.length[keep])
+    length = np.concatenate(lengths)
+    return np.concatenate(places), np.concatenate(targets), np.cumsum(length) - length, length
+
+
 def _fresh(cut: list[at.Slice]) -> list[np.ndarray]:
     """Which rows share no sketch with an earlier row."""
     seen: set[int] = set()
@@ -260,22 +284,10 @@ def fit(spark: SparkSession, docs: DataFrame, labelled: DataFrame, key: str = "d
     if len(set(y[fresh].tolist())) == 2:
         sample, y = sample.filter(pa.array(fresh)), y[fresh]
     cut = list(at.slices(sample.column("t").combine_chunks()))
-    parts, toxic = [chains(s) for s in cut], [y[s.lo:s.hi] for s in cut]
-    known, marks = _dictionary(parts, toxic)
-    places = [Field(known, np.zeros(0), 0.0, np.zeros((2, 2)), np.zeros(4)).places(c.features) for c in parts]
-    marks = np.append(marks, False)
-    target = [marks[p].any(axis=1) & (y[c.words.doc] == 1) for p, c, y in zip(places, parts, toxic)]
-    shift = np.cumsum([0, *(len(t) for t in target)])
-    begin = np.concatenate([c.begin + k for c, k in zip(parts, shift)])
-    length = np.concatenate([c.length for c in parts])
-    features, target = np.concatenate(places), np.concatenate(target)
-    # all sequences with a toxic word and as many others as the bound leaves
-    order = np.random.RandomState(3).permutation(len(begin))
-    total = np.concatenate([[0], np.cumsum(target)])
-    has = total[begin + length] > total[begin]
-    order = np.concatenate([order[has[order]], order[~has[order]]])[:SEQUENCES]
-    field = _train(known, features, target, begin[order], length[order])
-    x = np.concatenate([_summary(marginals(field, c), c.words, s.hi - s.lo) for c, s in zip(parts, cut)])
+    toxic = [y[s.lo:s.hi] for s in cut]
+    known, marks = _dictionary(cut, toxic)
+    field = _train(known, *_sequences(cut, toxic, known, np.append(marks, False)))
+    x = np.concatenate([_summary(marginals(field, c), c.words, s.hi - s.lo) for s, c in ((s, chains(s)) for s in cut)])
     each = np.array([shares.get(k, 0) / max(1, (y == k).sum()) for k in (0, 1)])
     weight = each[y] * len(y) / (each[y].sum() or 1)
     field.curve = _curve(x, y.astype(float), weight)
