@@ -21,6 +21,14 @@ candidate distance is <= band^2 (anything outside the band is farther than
 band^2). Unfinished queries are retried with band = sqrt(K-th distance)
 (exact in one more round) or, if they have fewer than K candidates, a band
 four times wider, until the band covers every training user.
+
+Where users lie so close that a band holds many of them (a scaled column, say),
+bands would pair almost all users. Then the group lists are walked instead
+(``_sorted_candidates``): in each group, sorted by user, a row of the true top-K
+of q is among the K rows next below or the K next above q's user, because
+whatever lies between has a smaller gap and at most as many mismatches. Places
+come from distributed sorts, so no group is gathered and a query meets at most
+2^|A| * 2K candidates however dense the users are. Both ways give the same rows.
 """
 
 from __future__ import annotations
@@ -39,6 +47,7 @@ from ..session import partitions_for
 NOMINAL = ["location", "title", "author", "publisher"]
 _MISSING = "\u0000"   # stands for NULL inside a group key
 DIRECT_MAX = 64        # training rows per user compared pair by pair
+DENSE = 32             # user pairs per user in the first band beyond which the sorted walk is taken
 
 
 def _subsets(n: int) -> list[tuple[int, ...]]:
@@ -59,7 +68,7 @@ def _explode_subsets(df: DataFrame, attrs: list[str]) -> DataFrame:
 def knn_topk(queries: DataFrame, training: DataFrame, k: int = 3, qid: str = "row_key",
              tie: list[str] | None = None, user: str = "user_id", attrs: list[str] | None = None,
              band: float = 2.0, max_rounds: int = 64, carry: list[str] | None = None,
-             direct_max: int = DIRECT_MAX, collapse_copies: bool = False) -> DataFrame:
+             direct_max: int = DIRECT_MAX, collapse_copies: bool = False, dense: float = DENSE) -> DataFrame:
     """Top-``k`` training rows per query row ``(qid, rank, t_<tie>..., distance)``
     ordered by (distance, tie columns).
 
@@ -129,6 +138,11 @@ def knn_topk(queries: DataFrame, training: DataFrame, k: int = 3, qid: str = "ro
     dist = mixed(F.col("_qu"), F.col(tu_col), [F.col("q_" + a) for a in attrs],
                  [F.col("t_" + a) for a in attrs])
     keep = ["_qid", "_band", *tie_t, "_m"]
+    if _pairs_per_user(q, users, width) > dense:
+        cand = _sorted_candidates(q, t, tu_col, attrs, k).select(*keep, dist.alias("distance"))
+        top = cand.withColumn("_r", F.row_number().over(Window.partitionBy("_qid").orderBy(*order))).where(F.col("_r") <= k)
+        done.append(_expand_copies(top, k) if collapse_copies else cut(top.select("_qid", "_band", "_tk", "distance", F.col("_r").alias("rank"))))
+        n_pending = 0
     for _ in range(max_rounds):
         if not n_pending:
             break
@@ -179,6 +193,49 @@ def knn_topk(queries: DataFrame, training: DataFrame, k: int = 3, qid: str = "ro
     return res.select(F.col("_qname").alias(qid), "rank", *out_t, "distance")
 
 
+def _pairs_per_user(q: DataFrame, users: DataFrame, width: float) -> float:
+    """Upper estimate of (query user, training user) pairs in bands of ``width``, per user: from counts per bucket."""
+    bucket = F.floor(F.col("u") / F.lit(width))
+    a = q.select(F.col("_qu").alias("u")).distinct().groupBy(bucket.alias("b")).agg(F.count("*").alias("n"))
+    near = users.select(F.explode(F.array(*[F.floor(F.col("tu") / F.lit(width)) + d for d in (-1, 0, 1)])).alias("b")).groupBy("b").agg(F.count("*").alias("m"))
+    got = a.join(near, "b").agg(F.sum(F.col("n").cast("double") * F.col("m")).alias("pairs")).first()
+    return (got.pairs or 0.0) / max(1, users.count())
+
+
+def _group_of(attrs: list[str]) -> list[F.Column]:
+    """128 bits that tell a (subset, values) group."""
+    keys = ["sid", *[f"k{i}" for i in range(len(attrs))]]
+    return [F.xxhash64(*keys).alias("g0"), F.xxhash64(F.lit(17), *keys).alias("g1")]
+
+
+def _sorted_candidates(q: DataFrame, t: DataFrame, tu_col: str, attrs: list[str], k: int) -> DataFrame:
+    """Of every query and subset group, the k training rows next below (or at)
+    and the k next above its user, joined with the query's columns."""
+    tx = _explode_subsets(t.select("_tk", F.col(tu_col).alias("u"), *[F.col("t_" + a).alias(a) for a in attrs]), attrs).select(*_group_of(attrs), "u", "_tk")
+    # of one user and group only the first k rows (tie order) can count
+    w = Window.partitionBy("g0", "g1", "u").orderBy("_tk")
+    tx = cut(tx.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= k).drop("_n"))
+    qx = cut(_explode_subsets(q.select("_qid", F.col("_qu").alias("u"), *[F.col("q_" + a).alias(a) for a in attrs]), attrs).select("_qid", *_group_of(attrs), "u"))
+    probes = qx.select("g0", "g1", "u").distinct()
+    # rows up to a probe = its place among rows and probes less its place among probes
+    side = F.lit(1)
+    both = tx.select("g0", "g1", "u", F.lit(0).alias("_s"), "_tk").unionByName(probes.select("g0", "g1", "u", side.alias("_s"), F.lit(0).cast("long").alias("_tk")))
+    among = dense_index(both, ["g0", "g1", "u", "_s", "_tk"], out="_i").where("_s = 1").select("g0", "g1", "u", "_i")
+    alone = dense_index(probes, ["g0", "g1", "u"], out="_j")
+    upto = cut(among.join(alone, ["g0", "g1", "u"]).select("g0", "g1", "u", (F.col("_i") - F.col("_j")).alias("_c")))
+    # below: by falling place in (user, tie order reversed); above: by rising place in (user, tie order)
+    down = dense_index(tx.withColumn("_back", -F.col("_tk")), ["g0", "g1", "u", "_back"], out="_p").select(F.col("g0").alias("h0"), F.col("g1").alias("h1"), "_tk", "_p")
+    up = dense_index(tx, ["g0", "g1", "u", "_tk"], out="_p").select(F.col("g0").alias("h0"), F.col("g1").alias("h1"), "_tk", "_p")
+
+    def next_to(places: DataFrame, offsets: list[int]) -> DataFrame:
+        wanted = upto.withColumn("_o", F.explode(F.array(*[F.lit(o).cast("long") for o in offsets]))).withColumn("_p", F.col("_c") + F.col("_o"))
+        return wanted.join(places, "_p").where("g0 = h0 AND g1 = h1").select("g0", "g1", "u", "_tk")
+
+    found = next_to(down, [-j for j in range(1, k + 1)]).unionByName(next_to(up, list(range(k)))).distinct()
+    pairs = qx.join(found, ["g0", "g1", "u"]).select("_qid", "_tk").distinct()
+    return pairs.join(q, "_qid").join(t, "_tk").withColumn("_band", F.lit(0.0))
+
+
 def _expand_copies(top: DataFrame, k: int) -> DataFrame:
     """Representatives (at most k per query, ranked ``_r``) -> rows: a group's
     copies take consecutive tie ranks starting at its ``_tk``; the start

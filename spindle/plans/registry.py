@@ -472,6 +472,30 @@ def q_knn_payload(spark, sf):
     return res.join(q.select("row_key", "publisher").distinct(), "row_key")
 
 
+_BAL_SQL = "SELECT c_acctbal AS x FROM customer UNION ALL SELECT s_acctbal FROM supplier"
+
+
+@register("knn_scaled", f"""
+WITH lim AS (SELECT min(x) AS lo, max(x) AS hi FROM ({_BAL_SQL})),
+q AS (SELECT c_custkey AS id, (c_acctbal - lo) / (hi - lo) AS x, c_nationkey AS nation, n_regionkey AS region
+      FROM customer JOIN nation ON n_nationkey = c_nationkey, lim),
+t AS (SELECT s_suppkey AS id, (s_acctbal - lo) / (hi - lo) AS x, s_nationkey AS nation, n_regionkey AS region
+      FROM supplier JOIN nation ON n_nationkey = s_nationkey, lim),
+c AS (SELECT q.id, t.id AS t_id, (q.x - t.x) * (q.x - t.x) + CASE WHEN q.nation = t.nation THEN 0.0 ELSE 1.0 END
+             + CASE WHEN q.region = t.region THEN 0.0 ELSE 1.0 END AS distance FROM q, t)
+SELECT * FROM (SELECT id, CAST(row_number() OVER (PARTITION BY id ORDER BY distance, t_id) AS INT) AS rank, t_id, distance FROM c)
+WHERE rank <= {KNN_K}""")
+def q_knn_scaled(spark, sf):
+    """Suppliers nearest to each customer by scaled balance, nation and region: users lie close, so the sorted walk is taken."""
+    c, s = W.table(spark, sf, "customer"), W.table(spark, sf, "supplier")
+    n = W.table(spark, sf, "nation").select(F.col("n_nationkey").alias("nation"), F.col("n_regionkey").alias("region"))
+    rows = (c.select(F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("bal"), F.col("c_nationkey").alias("nation"), F.lit("q").alias("side"))
+            .unionByName(s.select(F.col("s_suppkey").alias("id"), F.col("s_acctbal").alias("bal"), F.col("s_nationkey").alias("nation"), F.lit("t").alias("side"))))
+    rows = cut(nb.minmax_normalize(rows, "bal", out="x").join(n, "nation"))
+    q, t = (rows.where(F.col("side") == side).select("id", "x", "nation", "region") for side in "qt")
+    return nb.knn_topk(q, t, k=KNN_K, qid="id", user="x", attrs=["nation", "region"])
+
+
 @register("knn_by_title", f"""
 WITH {_KNN_CTE},
 best AS (SELECT q.title, k.t_row_key, min(k.distance) AS distance FROM knn k JOIN q USING (row_key)

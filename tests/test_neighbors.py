@@ -145,3 +145,28 @@ def test_shuffled_is_a_reproducible_permutation(spark):
     c = [r["v"] for r in nb.shuffled(df, ["v"], seed=4).orderBy("pos").collect()]
     assert a == b != c and sorted(a) == list(range(200)) and a != list(range(200))
     assert sorted(r["pos"] for r in nb.shuffled(df, ["v"], seed=3).collect()) == list(range(200))
+
+
+@pytest.mark.parametrize("copies", [False, True])
+def test_sorted_walk_against_brute_force(spark, copies):
+    """2,000 values in [0, 1), ties and NULLs: same rows as comparing all pairs, with candidates linear in the queries."""
+    rnd = random.Random(12)
+    def row(i):
+        return (f"r{i:05d}", rnd.choice([rnd.random(), rnd.randrange(20) / 20]), rnd.choice("abc"), rnd.choice(["t1", "t2", None]), rnd.choice("xy"), 2000, rnd.choice("pq"))
+    qs, ts = [row(i) for i in range(60)], [row(1000 + i) for i in range(2000)]
+    q, t = (spark.createDataFrame(r, SCHEMA) for r in (qs, ts))
+    got = {}
+    for r in nb.knn_topk(q, t, k=3, dense=0.0, collapse_copies=copies).collect():
+        got.setdefault(r["row_key"], []).append((r["rank"], r["distance"], r["t_row_key"]))
+    for x in qs:
+        want = sorted(((x[1] - y[1]) * (x[1] - y[1]) + sum(x[i] != y[i] for i in (2, 3, 4, 6)), y[0]) for y in ts)[:3]
+        assert [(d, k) for _, d, k in sorted(got[x[0]])] == want
+    tt = nb.dense_index(t.select(*[F.col(c).alias("t_" + c) for c in t.columns]), ["t_row_key"], out="_tk")
+    qq = q.select(F.monotonically_increasing_id().alias("_qid"), F.col("user_id").alias("_qu"), *[F.col(a).alias("q_" + a) for a in nb.NOMINAL])
+    assert nb._sorted_candidates(qq, tt, "t_user_id", nb.NOMINAL, 3).count() <= 60 * 16 * 6
+
+
+def test_dense_users_take_the_walk(spark):
+    q = spark.createDataFrame([(float(i) / 2000,) for i in range(2000)], "_qu double")
+    users = spark.createDataFrame([(float(i) / 2000,) for i in range(2000)], "tu double")
+    assert nb._pairs_per_user(q, users, 2.0) > nb.DENSE > nb._pairs_per_user(q.selectExpr("_qu * 4000 as _qu"), users.selectExpr("tu * 4000 as tu"), 2.0)
