@@ -22,8 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op3_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = deco.find_matches(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(F.col("row_key").alias("doc_id"), "n_words", "n_hit", F.size("matches").cast("long").alias("n_items"),
-                        deco.items_digest("matches").alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
-                        F.coalesce(F.array_max(F.transform("matches", lambda m: m.n_match)), F.lit(0)).alias("longest_match"))
+                        deco.items_digest("matches").alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
 def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -125,7 +124,51 @@ QUERIES = {
     "op10_latent_quality": op10_latent_quality,
 }
 
+def _words_sql(text: str) -> str:
+    return (f"regexp_extract_all(translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+            r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+
+def _license_sql() -> str:
+    templates = ", ".join(f"('{label}', {sorted(set(t.split()))})" for label, t in licenses.TEMPLATES.items())
+    phrases = []
+    for phrase, label in licenses.PHRASES.items():
+        v = phrase.split()
+        test = " AND ".join(f"w[p + {j}] = '{x}'" for j, x in enumerate(v))
+        phrases.append(f"SELECT doc_id, '{label}' AS label, unnest(list_filter(range(1, len(w) - {len(v) - 2}), lambda p: {test})) - 1 AS word FROM d")
+    return f"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {_words_sql("coalesce(text, '')")} AS w FROM documents),
+        tpl(label, v) AS (VALUES {templates}),
+        p AS ({" UNION ALL ".join(phrases)}),
+        base AS (SELECT doc_id, count(*) AS n_base, min(word) AS first_word, max(word) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM p GROUP BY doc_id),
+        lines AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
+        b AS (SELECT doc_id, list_distinct({_words_sql("line")}) AS w FROM lines),
+        m AS (SELECT doc_id, label, len(list_intersect(w, v)) / len(v) AS c FROM b, tpl WHERE len(list_intersect(w, v)) >= ceil({licenses.THRESHOLD} * len(v) - 1e-9)),
+        found AS (SELECT doc_id, label, c FROM m UNION ALL SELECT doc_id, label, 1.0 FROM p),
+        l AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(c) AS score FROM found GROUP BY doc_id),
+        n AS (SELECT doc_id, count(*) AS n_blocks FROM m GROUP BY doc_id)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+               coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score, coalesce(n_blocks, 0) AS n_blocks
+        FROM d LEFT JOIN base USING (doc_id) LEFT JOIN l USING (doc_id) LEFT JOIN n USING (doc_id)
+    """
+
+
 ORACLES: dict[str, str] = {
+    "op3_suffix_array_decontamination": f"""
+        WITH d AS (SELECT doc_id, {_words_sql("coalesce(text, '')")} AS w FROM documents),
+        i AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_words_sql("text")} AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+        k AS (SELECT item_id, w, least(10, len(w)) AS k FROM i WHERE len(w) > 0),
+        win AS (SELECT DISTINCT item_id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda p: array_to_string(w[p:p + k - 1], ' '))) AS t FROM k),
+        spots AS (SELECT doc_id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda p: {{'p': p, 't': array_to_string(w[p:p + k - 1], ' ')}})) AS x
+               FROM d, (SELECT DISTINCT k FROM win) WHERE len(w) >= k),
+        hit AS (SELECT doc_id, x.p AS p, spots.k, item_id FROM spots JOIN win ON win.k = spots.k AND win.t = x.t),
+        h AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + k)) AS q FROM hit) GROUP BY doc_id),
+        n AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, sha256(string_agg(DISTINCT item_id, ',' ORDER BY item_id)) AS s FROM hit GROUP BY doc_id)
+        SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, coalesce(s, sha256('')) AS items_sha256,
+               n_hit IS NOT NULL AS contaminated
+        FROM d LEFT JOIN h USING (doc_id) LEFT JOIN n USING (doc_id)
+    """,
+    "op4_license_scan": _license_sql(),
     "op2_streaming_exact_dedup": r"""
         WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents),
         g AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY body) AS keep_id, count(*) OVER (PARTITION BY body) AS group_size, sha256(body) AS text_sha256 FROM t)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,17 +13,41 @@ from spindle.session import ensure_checkpoint_dir
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+BATCH_ROWS = 1000
+
+
 def on_workers(spark: SparkSession) -> None:
-    """Lets Python workers import this package where it is run from a checkout."""
+    """Lets Python workers import this package where it is run from a checkout,
+    and keeps Arrow batches of long texts small (``BATCH_ROWS`` rows at most)."""
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(size)) <= BATCH_ROWS:
+        spark.conf.set(size, str(BATCH_ROWS))
     env = spark.sparkContext.environment
     if _ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (_ROOT, env.get("PYTHONPATH", "")) if x)
 
 
+_MADE: list[str] = []
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder that spark.checkpoint.dir names."""
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/spindle-llm-{name}-{uuid.uuid4().hex[:12]}"
+    _MADE.append(f"{base.rstrip('/')}/spindle-llm-{name}-{uuid.uuid4().hex[:12]}")
+    return _MADE[-1]
+
+
+@contextmanager
+def scratch_removed(spark: SparkSession):
+    """Removes, at its end, the tables that operators wrote within it. Their
+    results are lazy, so write or collect these inside."""
+    before = len(_MADE)
+    try:
+        yield
+    finally:
+        for path in _MADE[before:]:
+            drop_path(spark, path)
+        del _MADE[before:]
 
 
 def drop_path(spark: SparkSession, path: str) -> None:

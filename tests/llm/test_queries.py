@@ -89,3 +89,13 @@ def test_pipeline_stages_on_odd_rows(spark, tmp):
     assert corpus_pipeline.exact_duplicates(spark, docs, tmp).count() == 4
     assert corpus_pipeline.benchmark_decontamination(spark, docs, tmp).count() == 4
     assert corpus_pipeline.bpe_round_trip(spark, docs, tmp).count() == 6
+
+
+def test_scratch_tables_go(spark, tmp):
+    from spindle.llm import runtime
+    with runtime.scratch_removed(spark):
+        frame, path = runtime.written(spark, spark.range(3), "x")
+        assert frame.count() == 3 and path in runtime._MADE
+    assert path not in runtime._MADE
+    with pytest.raises(Exception):
+        spark.read.parquet(path)
