@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from spindle.llm import decontaminate, exact_dedup, order_minhash, queries, toxic_crf
 from spindle.llm.queries import table
-from spindle.llm.runtime import fresh_path
+from spindle.llm.runtime import drop_path, fresh_path, scratch_removed
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,9 +55,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages over documents. What a stage wrote on its way, and the result
+    of the stage before it, go once its own result is written."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for k, (name, stage) in enumerate(STAGES):
         path = fresh_path(spark, f"pipeline-{k}-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch_removed(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            drop_path(spark, before)
+        before = path
     return docs
