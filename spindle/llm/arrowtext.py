@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 4 << 20          # texts are handled in slices of about this size; one longer text is one slice
+CHUNK_BYTES = 1 << 20          # texts are handled in slices of about this size; one longer text is one slice
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32

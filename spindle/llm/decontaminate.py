@@ -36,6 +36,7 @@ from .runtime import fresh_path, on_workers
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 
 MATCHES = T.ArrayType(T.StructType([
     T.StructField("item_id", T.StringType()), T.StructField("item_word", T.IntegerType()),
@@ -155,7 +156,7 @@ def _covered(place, length, n):
 def _scan(batches, found: Suffixes):
     search = ShardSearch(found)
     for batch in batches:
-        for part in at.slices(batch.column(1)):
+        for part in at.slices(batch.column(1), SHARD_BYTES):
             w = at.words(part)
             _, _, _, which, place = search.search(w)
             size = found.window[which]
@@ -251,7 +252,7 @@ def items_digest(matches: str):
 def _clean(batches, found: Suffixes, text: str):
     search = ShardSearch(found)
     for batch in batches:
-        for part in at.slices(batch.column(batch.schema.get_field_index(text))):
+        for part in at.slices(batch.column(batch.schema.get_field_index(text)), SHARD_BYTES):
             w = at.words(part)
             _, _, _, _, place = search.search(w)
             keep = np.ones(part.hi - part.lo, bool)
