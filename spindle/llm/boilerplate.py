@@ -56,6 +56,12 @@ FURNITURE = set("ad ads advert adverts advertisement advertisements adsense spon
                 "navigation menu breadcrumb breadcrumbs header masthead footer comment comments reply replies discussion disqus notice notices cookie cookies consent "
                 "gdpr banner alert popup modal overlay newsletter subscribe subscription signup login share sharing social pagination pager toolbar search hidden".split())
 ROLES = set("navigation banner contentinfo complementary search menu menubar dialog alert form toolbar".split())
+# A class or id is furniture if its words are all of FURNITURE or NEUTRAL (and not all of the latter), or it begins with a word of PREFIX. One with a
+# word of STATE tells how the page is laid out. Elements of WHOLE hold the page or the article, so their class and id never count.
+NEUTRAL = set("site global top bottom left right primary secondary box bar wrapper container list unit slot area".split())
+PREFIX = set("ad ads advert adverts advertisement adsense sponsor sponsored promo promotion related recommended breadcrumb breadcrumbs cookie cookies gdpr newsletter disqus".split())
+STATE = set("no has with without is open opened closed enabled disabled active visible free on off accepted loaded".split())
+WHOLE = set("html body main article".split())
 ARTICLE_HINTS = set("content article post entry story main".split())
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']+|"[^"]*"|'[^']*')*+)>""", re.S)
@@ -63,15 +69,23 @@ _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?"
 _WORD = re.compile(r"[a-z0-9]+")
 
 
+def _furniture(token: str) -> bool:
+    words = _WORD.findall(token)
+    if not words or STATE & set(words):
+        return False
+    return words[0] in PREFIX or any(w in FURNITURE for w in words) and all(w in FURNITURE or w in NEUTRAL or w.isdigit() for w in words)
+
+
 def _element(name: str, attributes: str) -> tuple[bool, int]:
     """(never the article, rank as the article's container)."""
     never = name in NEVER
     rank = 3 if name == "article" else 2 if name == "main" else 0
     if attributes.strip() and not never:
         found = {k.lower(): v.strip("\"'").lower() for k, v in _ATTRIBUTE.findall(attributes)}
-        words = set(_WORD.findall(found.get("class", "") + " " + found.get("id", "")))
+        tokens = f"{found.get('class', '')} {found.get('id', '')}".split()
+        words = set(_WORD.findall(" ".join(tokens)))
         role = found.get("role", "")
-        never = bool(words & FURNITURE) or role in ROLES or "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "")
+        never = name not in WHOLE and any(map(_furniture, tokens)) or role in ROLES or "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "")
         if role == "main":
             rank = max(rank, 2)
         elif not rank and words & ARTICLE_HINTS:

@@ -72,3 +72,19 @@ def test_table(spark):
 
 def test_empty(spark):
     assert bp.extract(spark, spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+@pytest.mark.parametrize("page", [
+    '<html class="no-js nav-open"><body><article><h1>Title</h1><p>Text</p></article></body></html>',
+    '<html><body class="has-sidebar comments"><article><h1>Title</h1><p>Text</p></article></body></html>',
+    '<article class="post has-comments"><h1>Title</h1><p>Text</p></article>',
+    '<main id="search"><article class="sponsored"><div class="article-header"><h1>Title</h1></div><p>Text</p></article></main>',
+    '<div class="wrapper sidebar-open"><main class="widget"><h1>Title</h1><p>Text</p></main></div>'])
+def test_words_in_the_class_of_what_holds_the_article(page):
+    assert bp._split(page)[0] == ["Title", "Text"]
+
+
+@pytest.mark.parametrize("name", ["ad", "ad-slot-3", "Ads", "site-header", "sidebar", "x sidebar-left", "cookie-notice", "related-posts", "comments", "social_share"])
+def test_furniture_by_class_or_id(name):
+    for attribute in ("class", "id"):
+        assert bp._split(f'<article><p>Text</p><div {attribute}="{name}">other</div></article>')[0] == ["Text"]
