@@ -1,17 +1,18 @@
 """Benchmark decontamination with suffix arrays over the training text.
 
 Each Arrow slice of documents is a shard: its words become one stream and a
-suffix array over the stream's places. Every suffix of every benchmark item is
-binary-searched in every shard's array, which gives its longest verbatim match
-and the interval of places where its leading window stands. Windows of
-``window`` words (an item of fewer, but not none, is one window) mark the
-document words they cover.
+suffix array over the stream's places, ordered by ``window`` words. Every suffix
+of an item that begins a window is binary-searched in every shard's array, which
+gives the interval of places where the window stands; from there the texts are
+compared on for the longest verbatim match. Windows of ``window`` words (an item
+of fewer, but not none, is one window) mark the document words they cover.
 
 Only places whose next two words occur as neighbours in the benchmark (or, for
 one-word items, whose word is such an item) enter the array: no other place can
 begin a match of two words. The benchmark travels to the tasks in blocks of at
-most ``block_bytes`` of text, one pass over the shards per block, so what is
-broadcast is bounded whatever the benchmark's size.
+about ``block_bytes`` of text (an item is not cut), one pass over the shards per block. Suffixes are places in one array of
+word hashes, so memory grows with the words of block and shard, whatever the
+length of an item.
 
 Defined cases: null or wordless documents have no words and no hits; null or
 wordless items match nothing; equal item ids count as one item; an empty
@@ -37,6 +38,7 @@ from .runtime import fresh_path, on_workers
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
 SHARD_BYTES = 4 << 20
+LOOKED_UP = 1 << 16            # windows that are searched at a time
 
 MATCHES = T.ArrayType(T.StructType([
     T.StructField("item_id", T.StringType()), T.StructField("item_word", T.IntegerType()),
@@ -45,41 +47,43 @@ MATCHES = T.ArrayType(T.StructType([
 
 @dataclass
 class Suffixes:
-    """All suffixes of a block of items, as rows of word hashes padded with 0."""
+    """All suffixes of a block of items, as places in one array of word hashes."""
     ids: list[str]
     item: np.ndarray          # index into ids
     word: np.ndarray          # first word of the suffix within its item
-    rows: np.ndarray          # [suffix, depth] uint64
+    flat: np.ndarray          # the items' word hashes; suffix k begins at place k
     left: np.ndarray          # words from there to the item's end
     window: np.ndarray        # window length if the suffix begins a window, else 0
 
 
 def item_suffixes(items: list[tuple[str, str]], window: int) -> Suffixes:
     tokens = [at.word_hashes(at.text_words(t)) for _, t in items]
-    depth = max([len(t) for t in tokens], default=1) or 1
     item = np.repeat(np.arange(len(items)), [len(t) for t in tokens])
     word = np.concatenate([np.arange(len(t)) for t in tokens] or [np.zeros(0, int)]).astype(np.int64)
     left = np.concatenate([np.arange(len(t), 0, -1) for t in tokens] or [np.zeros(0, int)]).astype(np.int64)
-    flat = np.concatenate([*tokens, np.zeros(depth, np.uint64)])
-    begin = np.arange(len(item))
-    rows = np.zeros((len(item), depth), np.uint64)
-    for j in range(depth):
-        rows[:, j] = np.where(j < left, flat[begin + j], 0)
+    flat = np.concatenate([*tokens, np.zeros(0, np.uint64)])
     size = np.array([len(t) for t in tokens], np.int64)[item] if len(item) else np.zeros(0, np.int64)
     starts = np.where(size >= window, left >= window, word == 0)
-    return Suffixes([str(i) for i, _ in items], item, word, rows, left,
+    return Suffixes([str(i) for i, _ in items], item, word, flat, left,
                     np.where(starts, np.minimum(size, window), 0))
 
 
+def _rows(flat: np.ndarray, begin: np.ndarray, left: np.ndarray, depth: int) -> np.ndarray:
+    """[begin, depth] hashes from each place on, 0 beyond its ``left`` words."""
+    out = np.zeros((len(begin), depth), np.uint64)
+    for j in range(depth):
+        inside = np.flatnonzero(j < left)
+        out[inside, j] = flat[begin[inside] + j]
+    return out
+
+
 def _compare(array_rows, order, at_, query_rows, depth):
     """Sign of (array suffix - query suffix) over ``depth`` words for each query."""
     a, q = array_rows[order[at_]], query_rows
-    differ = a != q
-    if isinstance(depth, np.ndarray):
-        differ &= np.arange(a.shape[1])[None, :] < depth[:, None]
+    differ = (a != q) & (np.arange(a.shape[1])[None, :] < depth[:, None])
     first = differ.argmax(axis=1)
     k = np.arange(len(a))
-    return np.where(differ[k, first], np.where(a[k, first] < q[k, first], -1, 1), 0), np.where(differ[k, first], first, a.shape[1])
+    return np.where(differ[k, first], np.where(a[k, first] < q[k, first], -1, 1), 0)
 
 
 def _bound(array_rows, order, query_rows, depth, upper: bool):
@@ -87,7 +91,7 @@ def _bound(array_rows, order, query_rows, depth, upper: bool):
     lo, hi = np.zeros(len(query_rows), np.int64), np.full(len(query_rows), len(order), np.int64)
     while (open_ := lo < hi).any():
         mid = (lo + hi) // 2
-        sign, _ = _compare(array_rows, order, np.minimum(mid, len(order) - 1), query_rows, depth)
+        sign = _compare(array_rows, order, np.minimum(mid, len(order) - 1), query_rows, depth)
         right = open_ & ((sign <= 0) if upper else (sign < 0))
         lo = np.where(right, mid + 1, lo)
         hi = np.where(open_ & ~right, mid, hi)
@@ -99,17 +103,18 @@ class ShardSearch:
 
     def __init__(self, s: Suffixes):
         self.s = s
-        pair = s.left >= 2
-        self.pairs = np.unique(at.mix(s.rows[pair, 0] * np.uint64(31) + s.rows[pair, 1])) if pair.any() else np.zeros(0, np.uint64)
-        self.singles = np.unique(s.rows[(s.window == 1), 0])
+        pair = np.flatnonzero(s.left >= 2)
+        self.pairs = np.unique(at.mix(s.flat[pair] * np.uint64(31) + s.flat[pair + 1]))
+        self.singles = np.unique(s.flat[s.window == 1])
+        self.begins = np.flatnonzero(s.window > 0)
+        self.depth = int(s.window.max(initial=1))
 
     def search(self, w: at.Words):
-        """(suffix index, stream place, longest match) of the longest match of every
-        suffix that matches, and (suffix index, stream place) of all window occurrences."""
+        """(suffix index, stream place) of all window occurrences."""
         s, n = self.s, len(w.hash)
         none = np.zeros(0, np.int64)
         if not n or not len(s.item):
-            return none, none, none, none, none
+            return none, none
         nxt = np.zeros(n, np.uint64)
         same = w.doc[1:] == w.doc[:-1]
         nxt[:-1] = np.where(same, w.hash[1:], 0)
@@ -118,31 +123,21 @@ class ShardSearch:
             keep |= np.isin(w.hash, self.singles)
         place = np.flatnonzero(keep)
         if not len(place):
-            return none, none, none, none, none
-        depth = s.rows.shape[1]
-        padded = np.concatenate([w.hash, np.zeros(depth, np.uint64)])
-        last = w.first[1:][w.doc[place]]
-        rows = np.zeros((len(place), depth), np.uint64)
-        for j in range(depth):
-            rows[:, j] = np.where(place + j < last, padded[place + j], 0)
+            return none, none
+        rows = _rows(w.hash, place, w.first[1:][w.doc[place]] - place, self.depth)
         order = np.lexsort(rows.T[::-1])                                   # the suffix array
-        q = s.rows
-        at_ = _bound(rows, order, q, depth, False)
-        best, where = np.zeros(len(q), np.int64), np.zeros(len(q), np.int64)
-        for near in (at_, at_ - 1):                                        # the longest match stands beside the insertion place
-            ok = (near >= 0) & (near < len(order))
-            i = np.clip(near, 0, len(order) - 1)
-            _, lcp = _compare(rows, order, i, q, depth)
-            lcp = np.where(ok, np.minimum(lcp, s.left), 0)
-            best, where = np.maximum(best, lcp), np.where(lcp > best, place[order[i]], where)
-        found = np.flatnonzero((best > 0) & ((best >= 2) | (s.window == 1)))
-        begins = np.flatnonzero((s.window > 0) & (best >= s.window))
-        lo = _bound(rows, order, q[begins], s.window[begins], False)
-        hi = _bound(rows, order, q[begins], s.window[begins], True)
-        many = hi - lo
-        which = np.repeat(begins, many)
-        inside = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(lo, many)
-        return found, where[found], best[found], which, place[order[inside]]
+        which, where = [none], [none]
+        for k in range(0, len(self.begins), LOOKED_UP):
+            begins = self.begins[k:k + LOOKED_UP]
+            q, size = _rows(s.flat, begins, s.left[begins], self.depth), s.window[begins]
+            lo = _bound(rows, order, q, size, False)
+            hit = np.flatnonzero((lo < len(order)) & (_compare(rows, order, np.minimum(lo, len(order) - 1), q, size) == 0))
+            lo = lo[hit]
+            many = _bound(rows, order, q[hit], size[hit], True) - lo
+            inside = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(lo, many)
+            which.append(np.repeat(begins[hit], many))
+            where.append(place[order[inside]])
+        return np.concatenate(which), np.concatenate(where)
 
 
 def _covered(place, length, n):
@@ -158,7 +153,7 @@ def _scan(batches, found: Suffixes):
     for batch in batches:
         for part in at.slices(batch.column(1), SHARD_BYTES):
             w = at.words(part)
-            _, _, _, which, place = search.search(w)
+            which, place = search.search(w)
             size = found.window[which]
             hit = _covered(place, size, len(w.hash))
             total = np.concatenate([[0], np.cumsum(hit)])
@@ -191,8 +186,14 @@ def _scan(batches, found: Suffixes):
 
 def _extend(w: at.Words, s: Suffixes, a: int, place: int) -> int:
     size = int(min(s.left[a], w.first[w.doc[place] + 1] - place))
-    differ = np.flatnonzero(w.hash[place:place + size] != s.rows[a, :size])
-    return int(differ[0]) if len(differ) else size
+    done, step = 0, 64
+    while done < size:
+        to = min(done + step, size)
+        differ = np.flatnonzero(w.hash[place + done:place + to] != s.flat[a + done:a + to])
+        if len(differ):
+            return done + int(differ[0])
+        done, step = to, 2 * step
+    return size
 
 
 def block_count(benchmark: DataFrame, item_text: str, block_bytes: int) -> int:
@@ -254,7 +255,7 @@ def _clean(batches, found: Suffixes, text: str):
     for batch in batches:
         for part in at.slices(batch.column(batch.schema.get_field_index(text)), SHARD_BYTES):
             w = at.words(part)
-            _, _, _, _, place = search.search(w)
+            _, place = search.search(w)
             keep = np.ones(part.hi - part.lo, bool)
             keep[w.doc[place]] = False
             yield batch.slice(part.lo, part.hi - part.lo).filter(pa.array(keep))

@@ -57,3 +57,17 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert d.find_matches(spark, no_docs, bench).count() == 0 == d.decontaminate(spark, no_docs, bench).count()
     assert d.decontaminate(spark, odd_docs, bench.limit(0)).count() == odd_docs.count()
     assert all(r.n_hit == 0 for r in d.find_matches(spark, odd_docs, bench.limit(0)).collect())
+
+
+def test_memory_is_linear_in_a_long_item():
+    import tracemalloc
+
+    import pyarrow as pa
+    item = " ".join(f"w{i}" for i in range(6000))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array([f"x y {item} z", " ".join(item.split()[100:4000])])], names=["row_key", "text"])
+    tracemalloc.start()
+    (got,) = d._scan([batch], d.item_suffixes([("q", item), ("r", "w1 w2")], 10))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [[(m["item_id"], m["item_word"], m["doc_word"], m["n_match"]) for m in r] for r in got.column("matches").to_pylist()] == [[("q", 0, 2, 6000), ("r", 0, 3, 2)], [("q", 100, 0, 3900)]]
+    assert got.column("n_hit").to_pylist() == [6000, 3900] and peak < 64 << 20
