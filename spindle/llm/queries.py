@@ -21,7 +21,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op3_suffix_array_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = deco.find_matches(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.select(F.col("row_key").alias("doc_id"), "n_words", "n_hit", F.size("matches").cast("long").alias("n_items"),
+    return found.select(F.col("row_key").alias("doc_id"), "n_words", "n_hit", F.size(F.array_distinct(F.transform("matches", lambda m: m.item_id))).cast("long").alias("n_items"),
                         deco.items_digest("matches").alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 

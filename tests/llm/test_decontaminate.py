@@ -71,3 +71,10 @@ def test_memory_is_linear_in_a_long_item():
     tracemalloc.stop()
     assert [[(m["item_id"], m["item_word"], m["doc_word"], m["n_match"]) for m in r] for r in got.column("matches").to_pylist()] == [[("q", 0, 2, 6000), ("r", 0, 3, 2)], [("q", 100, 0, 3900)]]
     assert got.column("n_hit").to_pylist() == [6000, 3900] and peak < 64 << 20
+
+
+def test_two_texts_of_one_item_count_as_one_item(spark, tmp):
+    from spindle.llm import queries
+    spark.createDataFrame([(1, "a b c d e f"), (2, "x")], "doc_id long, text string").write.parquet(f"{tmp}/documents.parquet")
+    spark.createDataFrame([(7, "a b"), (7, "e f"), (8, "c d")], "item_id long, text string").write.parquet(f"{tmp}/benchmark.parquet")
+    assert {r.doc_id: (r.n_items, r.n_hit) for r in queries.op3_suffix_array_decontamination(spark, tmp).collect()} == {1: (2, 6), 2: (0, 0)}
