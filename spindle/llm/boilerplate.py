@@ -202,7 +202,7 @@ def _shard(batches):
             if not len(page):
                 continue
             who = at.mix(at.word_hashes([(h or "") + "-" for h in pages])).view(np.int64)[page]
-            # suffixes in order of host, then of their first RUN tokens (by token rank)
+            # entries in order of the hash of host and window: equal windows become neighbours, which is all the count needs
             rank = np.unique(token, return_inverse=True)[1]
             order = np.lexsort([*(rank[begin + j] for j in range(RUN - 1, -1, -1)), key])
             k, w = key[order], who[order]
