@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate as deco
-from . import boilerplate, bpe, exact_dedup, latent_knn, licenses, order_minhash, reputation, toxic_crf, warc
+from . import angular, boilerplate, bpe, exact_dedup, latent_knn, licenses, order_minhash, periodic, pii, reputation, toxic_crf, warc
 from .runtime import fresh_path
 
 
@@ -111,6 +111,43 @@ def op9_host_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("row_key").alias("page_id"), "url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_repeated")
 
 
+def tiled(docs: DataFrame) -> DataFrame:
+    """doc_id and text, in which every tenth document (by crc32 of its id)
+    repeats a stretch from some word on; other texts stay as they are."""
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    hashed = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string")).alias("h"))
+    chosen = F.when((F.col("h") % 10 == 0), words)
+    first = F.expr("(h div 10) % size(w)").cast("int")
+    period = F.expr("1 + (size(w) - a) div (3 + (h div 10) % 8)").cast("int")
+    at = F.transform(F.sequence(F.lit(0), F.size("w") - 1), lambda i: F.get("w", F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))))
+    return (hashed.withColumn("w", chosen).withColumn("a", F.when(F.size("w") > 0, first)).withColumn("p", period)
+            .select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(at, " ")).otherwise(F.col("text")).alias("text")))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.runs(spark, tiled(table(spark, sf_dir, "documents")))
+    # the greatest exponent: by cross products, so that equal fractions are equal
+    better = lambda x, y: (y.length * x.period > x.length * y.period)       # noqa: E731  (of ties the earlier one stays)
+    best = F.aggregate(F.slice("runs", 2, F.greatest(F.size("runs"), F.lit(1))), F.get("runs", F.lit(0)), lambda x, y: F.when(better(x, y), y).otherwise(x))
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period)), "\n")
+    return found.withColumn("best", best).select(
+        F.col("row_key").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"), F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(listed, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op12_angular_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"), "embedding")
+    return angular.mine(spark, rows, F.col("vec_id") % 100 == 0)
+
+
+def op13_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(spark, table(spark, sf_dir, "documents"))
+    kinds = F.transform("base", lambda s: s.kind)
+    counts = [F.size(F.filter(kinds, lambda x: x == kind)).cast("long").alias(f"n_{kind}") for kind in pii.BASE_KINDS]
+    return found.select(F.col("row_key").alias("doc_id"), *counts, F.sha2(pii.listed("base"), 256).alias("base_sha256"), pii.listed("spans").alias("spans"))
+
+
 QUERIES = {
     "op1_order_minhash": op1_order_minhash,
     "op2_streaming_exact_dedup": op2_streaming_exact_dedup,
@@ -122,6 +159,9 @@ QUERIES = {
     "op8_toxic_crf": op8_toxic_crf,
     "op9_host_suffix_array": op9_host_suffix_array,
     "op10_latent_quality": op10_latent_quality,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_angular_negatives": op12_angular_negatives,
+    "op13_pii_boosting": op13_pii_boosting,
 }
 
 def _words_sql(text: str) -> str:
@@ -154,6 +194,15 @@ def _license_sql() -> str:
 
 
 ORACLES: dict[str, str] = {
+    "op12_angular_negatives": """
+        WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+          FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+        s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, a.label AS al, o.vec_id AS id, o.label AS label, list_inner_product(a.v, o.v)::BIGINT AS score FROM e a JOIN e o ON a.vec_id <> o.vec_id WHERE a.vec_id % 100 = 0),
+        p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE label = al QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+        SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) AS INT) AS rank, id AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> s.al AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+        QUALIFY rank <= 10
+    """,
     "op3_suffix_array_decontamination": f"""
         WITH d AS (SELECT doc_id, {_words_sql("coalesce(text, '')")} AS w FROM documents),
         i AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_words_sql("text")} AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),

@@ -10,7 +10,7 @@ import corpus_pipeline
 from spindle.llm import bpe, decontaminate, order_minhash, queries
 
 SF = "/root/testdata/sf0.001"
-TABLES = "documents pages benchmark labels".split()
+TABLES = "documents pages benchmark labels embeddings".split()
 
 
 @pytest.fixture(scope="module")
@@ -23,7 +23,7 @@ def con():
 
 def test_registered():
     names = {n.split("_")[0] for n in entry.queries() if n.startswith("op")}
-    assert names == {f"op{k}" for k in range(1, 11)} and "pipeline" in entry.queries()
+    assert names == {f"op{k}" for k in range(1, 14)} and "pipeline" in entry.queries()
     assert [f.__name__ for _, f in corpus_pipeline.STAGES] == ["toxicity", "exact_duplicates", "near_duplicates", "benchmark_decontamination", "bpe_round_trip"]
 
 
