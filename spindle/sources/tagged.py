@@ -1,9 +1,8 @@
 """Tagged multi-line records (raw tweets) and their CSV form.
 
-A record is ten tagged lines between ``***`` lines; consecutive records are
-separated by ``***\\n***\\n``. Spark's text source splits on that custom
-``lineSep`` with split-aware readers, so a large file is read in parallel
-and a record never straddles two rows. A field value may span lines. The text
+A record is ten tagged lines between ``***`` lines, one or two of them between
+consecutive records, with LF or CRLF ends (``records.read_records`` cuts the
+files, in parallel). A field value may span lines. The text
 is free and may hold lines that look like tags: the fields after it are taken
 from the record's end, so it keeps whatever stands before them. A line of
 asterisks within a field is written with a backslash before it.
@@ -15,10 +14,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .records import read_records
+
 # Fixed values of the record format, in record order.
 TAGS = ["Type:", "Origin: ", "Text: ", "URL: ", "ID: ", "Time: ", "RetCount: ", "Favorite: ",
         "MentionedEntities: ", "Hashtags: "]
-RECORD_SEP = "***\n***\n"
 TIME_FORMAT = "MMM dd HH:mm:ss zzz yyyy"   # after the leading weekday is removed
 RENDER_TIME_FORMAT = "EEE MMM dd HH:mm:ss zzz yyyy"
 RENDER_TIME_FORMAT_UTC = "EEE MMM dd HH:mm:ss 'UTC' yyyy"
@@ -28,8 +28,8 @@ FIELDS = ["type", "origin", "text", "url", "tweet_id", "time", "ret_count", "fav
 
 
 def read_tagged_records(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record (column ``value``), split on the record separator."""
-    return spark.read.option("lineSep", RECORD_SEP).text(path)
+    """One row per record (column ``value``), without its separator lines."""
+    return read_records(spark, path).select("value")
 
 
 # Type, origin and text from the front (the text takes all it can), the rest from the end.
