@@ -22,10 +22,11 @@ from __future__ import annotations
 import json
 import time
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.loops import cut
+from ..session import partitions_for
 
 def init_centres(max_value: int | float, k: int) -> list[float]:
     """Evenly spaced seeds: centre i = floor(max / k) * i, i = 1..k
@@ -141,3 +142,57 @@ def kmeans_1d(points: DataFrame, centres: list[float], iterations: int = 10, col
             break
         prev = new
     return _summary(wp, prev, upd)
+
+
+def kmeans_files(points: DataFrame, centres: DataFrame, folder: str, iterations: int = 10, col: str = "x", on_step=None) -> DataFrame:
+    """Lloyd iterations whose centres are files: each step reads the centre lines
+    (``cid<TAB>center``) that the one before wrote and writes the next ones; a
+    loop that was cut off goes on from its last whole step (see ``chained``).
+    Centres are joined as rows (``nearest_join``), so their number is not bound
+    by the driver. Returns ``(cid, center)`` of the last step."""
+    from ..plans.chained import chain
+    spark = points.sparkSession
+    wp = cut(weighted_points(points, col))
+
+    def read(path: str) -> DataFrame:
+        return spark.read.schema("cid LONG, center DOUBLE").option("sep", "\t").csv(path)
+
+    def step(state: DataFrame, _: int) -> DataFrame:
+        met = nearest_join(wp, state, "x", "center", "cid")
+        return met.groupBy("cid").agg((F.sum(F.col("w") * F.col("x")) / F.sum("w")).alias("center"))
+
+    return chain(spark, folder, lambda: centres.select(F.col("cid").cast("long").alias("cid"), "center"), step,
+                 lambda frame, path: frame.write.mode("overwrite").option("sep", "\t").csv(path), read, metrics=lambda f: {"centres": F.count(F.lit(1))}, n=iterations, on_step=on_step)
+
+
+def nearest_join(points: DataFrame, centres: DataFrame, x: str = "x", centre: str = "center", cid: str = "cid") -> DataFrame:
+    """``points`` with ``cid`` and ``center`` of the nearest centre, ties going to
+    the lowest ``cid``; for centres too many for the plan or the driver.
+
+    Distinct points and centres are range-partitioned and sorted together once.
+    Within a part a running maximum gives each point the centre at or before it,
+    a running minimum the one after it; the outermost centres of each part (one
+    row a part) are carried over to the parts beside it. Points without a value,
+    and all points if there are no centres, get NULLs."""
+    spark = points.sparkSession
+    c = centres.where(F.col(centre).isNotNull()).groupBy(F.col(centre).cast("double").alias("_x")).agg(F.min(cid).alias("_c"))
+    p = points.where(F.col(x).isNotNull()).select(F.col(x).cast("double").alias("_x")).distinct()
+    both = c.select("_x", F.struct(F.col("_x").alias("at"), F.col("_c").alias("id")).alias("_here")).unionByName(p.select("_x"), allowMissingColumns=True)
+    size = both.groupBy("_x").agg(F.first("_here", ignorenulls=True).alias("_here"))         # a point on a centre is one row with it
+    size = cut(size)
+    parts = partitions_for(spark, size.count(), 64)
+    placed = cut(size.repartitionByRange(parts, "_x").withColumn("_part", F.spark_partition_id()))
+    left = Window.partitionBy("_part").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
+    right = Window.partitionBy("_part").orderBy("_x").rowsBetween(0, Window.unboundedFollowing)
+    within = placed.withColumns({"_low": F.last("_here", ignorenulls=True).over(left), "_high": F.first("_here", ignorenulls=True).over(right)})
+    edges = placed.groupBy("_part").agg(F.max("_here").alias("_max"), F.min("_here").alias("_min"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    after = Window.orderBy("_part").rowsBetween(1, Window.unboundedFollowing)
+    carried = edges.select("_part", F.max("_max").over(before).alias("_before"), F.min("_min").over(after).alias("_after"))       # one row a part
+    met = within.join(F.broadcast(carried), "_part").select("_x", F.coalesce("_low", "_before").alias("_low"), F.coalesce("_high", "_after").alias("_high"))
+    gap_low, gap_high = F.col("_x") - F.col("_low.at"), F.col("_high.at") - F.col("_x")
+    use_low = F.col("_high").isNull() | (F.col("_low").isNotNull() & ((gap_low < gap_high) | ((gap_low == gap_high) & (F.col("_low.id") <= F.col("_high.id")))))
+    best = F.when(use_low, F.col("_low")).otherwise(F.col("_high"))
+    found = met.select(F.col("_x").alias("_px"), best.alias("_best"))
+    return (points.join(found, F.col(x).cast("double") == F.col("_px"), "left")
+            .select(*points.columns, F.col("_best.id").alias(cid), F.col("_best.at").alias(centre)))

@@ -324,3 +324,27 @@ def bfs_relax_step(lines: DataFrame, col: str = "value") -> DataFrame:
                     F.transform(nbrs, lambda x: F.struct(x.alias("node"), (F.col("dist") + 1).alias("dist"), F.lit(None).cast("string").alias("adj"))))
     each = parsed.select(F.explode(sent).alias("s")).select("s.*")
     return each.groupBy("node").agg(F.min("dist").cast("int").alias("dist"), F.max("adj").alias("adj"))
+
+
+def bfs_files(spark: SparkSession, lines: DataFrame, folder: str, on_step=None) -> DataFrame:
+    """Relaxation over node-line files until no distance changes: each step reads
+    the files that the one before wrote and can be resumed (see ``chained``).
+    Returns ``(node STRING, dist, adj)`` as ``bfs_relax_step`` does.
+
+    A step's lines carry the distance before it in a fourth field, so how many
+    nodes changed is observed while they are written."""
+    from ..plans.chained import chain
+
+    def step(state: DataFrame, _: int) -> DataFrame:
+        before = parse_node_lines(state).where("_corrupt IS NULL").select(F.col("node").alias("_n"), F.col("dist").alias("_d"))
+        new = bfs_relax_step(state)
+        return new.join(before, F.col("node") == F.col("_n"), "left").select(
+            F.concat_ws(" ", node_line(F.col("node"), F.col("dist"), F.col("adj")), F.coalesce("_d", F.lit(MR_INFINITY)).cast("string")).alias("value"))
+
+    def changed(frame: DataFrame) -> dict[str, Column]:
+        p = F.split("value", " ")
+        return {"changed": F.sum((F.get(p, 1) != F.coalesce(F.get(p, 3), F.get(p, 1))).cast("long"))}
+
+    done = chain(spark, folder, lambda: lines, step, lambda frame, path: frame.write.mode("overwrite").text(path), spark.read.text, metrics=changed,
+                 until=lambda seen: not seen.get("changed"), on_step=on_step)
+    return parse_node_lines(done).where("_corrupt IS NULL").select("node", "dist", F.when(F.col("adj") != "", F.col("adj")).alias("adj"))

@@ -4,16 +4,18 @@ the queries of ``registry``."""
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ..operators import cluster, counting, graph
 from ..operators import distinct_neighbors as dn
-from ..operators import neighbors as nb
 from ..operators import resample
 from ..session import drop_scratch, scratch_path
 from ..sources import delimited, numbered, tagged
 from . import workloads as W
 from .loops import cut
-from .registry import _BAND, _BOOKS_CTE, _DIST_SQL, _TWEETS_SQL, _tweets, register
+from .registry import (KMEANS_K, _BAND, _BOOKS_CTE, _DIST_SQL, _SSSP_SQL, _TWEETS_SQL, _counts, _kmeans_chain_sql, _points, _tweets,
+                       register, sssp_source)
 
 # ---------------------------------------------------------------- records of N lines
 
@@ -113,3 +115,45 @@ def q_flat_records(spark, sf):
         drop_scratch(spark, path)
         out = flat if out is None else out.unionByName(flat)
     return out
+
+
+# ---------------------------------------------------------------- loops over files
+
+@register("bfs_files", _SSSP_SQL + """, adj AS (SELECT src, string_agg(CAST(dst AS VARCHAR), ':' ORDER BY dst) || ':' AS adj FROM e GROUP BY src),
+s AS (SELECT min(src) AS s FROM e), nodes AS (SELECT src AS node FROM e UNION SELECT dst FROM e)
+SELECT CAST(n.node AS VARCHAR) AS node, CASE WHEN n.node = s THEN 0 ELSE d.dist END AS dist, adj.adj AS adj
+FROM nodes n LEFT JOIN d ON d.node = n.node LEFT JOIN adj ON adj.src = n.node, s""")
+def q_bfs_files(spark, sf):
+    """Node-line files relaxed step by step, each reading the files of the one before, until no distance changes."""
+    e = cut(W.order_graph(spark, sf))
+    folder = scratch_path(spark, "bfs-steps")
+    found = cut(graph.bfs_files(spark, graph.node_lines(e, sssp_source(e)), folder))
+    drop_scratch(spark, folder)
+    return found
+
+
+@register("kmeans_files", _kmeans_chain_sql(5).split("\nSELECT")[0] + "\nSELECT CAST(cid AS BIGINT) AS cid, round(center, 9) AS center FROM c5")
+def q_kmeans_files(spark, sf):
+    """Five Lloyd steps chained by centre files; ids are those of the seeds, so a cluster without points keeps its number free."""
+    counts = _counts(spark, sf)
+    folder = scratch_path(spark, "kmeans-steps")
+    seeds = cluster.init_centres_df(spark, counting.max_count(counts), KMEANS_K)
+    last = cut(cluster.kmeans_files(_points(counts), seeds, folder, iterations=5))
+    drop_scratch(spark, folder)
+    return last.select(F.row_number().over(Window.orderBy("cid")).cast("long").alias("cid"), F.round("center", 9).alias("center")).withColumn("cid", F.col("cid") - 1)   # k rows
+
+
+# ---------------------------------------------------------------- nearest of many centres
+
+@register("nearest_many", """
+WITH c AS (SELECT p_retailprice * 100 AS center, min(p_partkey) AS cid FROM part GROUP BY 1),
+o AS (SELECT o_orderkey, o_totalprice AS x FROM orders),
+lo AS (SELECT o_orderkey, x, c.center AS lc, c.cid AS li FROM o ASOF LEFT JOIN c ON o.x >= c.center),
+hi AS (SELECT o_orderkey, c.center AS hc, c.cid AS hi FROM o ASOF LEFT JOIN c ON o.x <= c.center)
+SELECT o_orderkey, x, CASE WHEN low THEN li ELSE hi END AS cid, CASE WHEN low THEN lc ELSE hc END AS center FROM (
+  SELECT *, hc IS NULL OR (lc IS NOT NULL AND (x - lc < hc - x OR (x - lc = hc - x AND li <= hi))) AS low FROM lo JOIN hi USING (o_orderkey))""")
+def q_nearest_many(spark, sf):
+    """Each order's total beside the nearest of as many centres as there are parts (a hundred times their prices)."""
+    o = W.table(spark, sf, "orders").select("o_orderkey", F.col("o_totalprice").alias("x"))
+    c = W.table(spark, sf, "part").select(F.col("p_partkey").alias("cid"), (F.col("p_retailprice") * 100).alias("center"))
+    return cluster.nearest_join(o, c)
