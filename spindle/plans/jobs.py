@@ -11,7 +11,7 @@ from ..operators import cluster, counting, graph
 from ..operators import distinct_neighbors as dn
 from ..operators import resample
 from ..session import drop_scratch, scratch_path
-from ..sources import delimited, numbered, tagged
+from ..sources import arff, delimited, numbered, tagged
 from . import workloads as W
 from .loops import cut
 from .registry import (KMEANS_K, _BAND, _BOOKS_CTE, _DIST_SQL, _SSSP_SQL, _TWEETS_SQL, _counts, _kmeans_chain_sql, _points, _tweets,
@@ -157,3 +157,53 @@ def q_nearest_many(spark, sf):
     o = W.table(spark, sf, "orders").select("o_orderkey", F.col("o_totalprice").alias("x"))
     c = W.table(spark, sf, "part").select(F.col("p_partkey").alias("cid"), (F.col("p_retailprice") * 100).alias("center"))
     return cluster.nearest_join(o, c)
+
+
+# ---------------------------------------------------------------- ARFF as others write it
+
+def _type_sql(table: str, column: str, limit: int) -> str:
+    quoted = f"chr(39) || replace(replace({column}, chr(92), chr(92) || chr(92)), chr(39), chr(92) || chr(39)) || chr(39)"
+    return (f"SELECT '{column}' AS attribute, CASE WHEN count(DISTINCT {column}) <= {limit} THEN chr(123) || string_agg(DISTINCT {quoted}, ',' ORDER BY {quoted}) || chr(125) ELSE 'string' END AS type "
+            f"FROM {table}")
+
+
+_DOCUMENT_TYPES = " UNION ALL ".join(["SELECT 'doc_id' AS attribute, 'integer' AS type", *[_type_sql("documents", c, arff.MAX_DOMAIN) for c in ("text", "lang", "source")], "SELECT 'n_chars', 'integer'"])
+
+
+@register("arff_domains", _DOCUMENT_TYPES)
+def q_arff_domains(spark, sf):
+    """CSV -> ARFF of documents with inferred domains: the attributes as the written header declares them."""
+    c_path, a_path = scratch_path(spark, "csv"), scratch_path(spark, "arff")
+    arff.write_csv(W.table(spark, sf, "documents"), c_path)
+    arff.csv_to_arff(spark, c_path, a_path)
+    lines = cut(spark.read.text(f"{a_path}/header").where("value LIKE '@attribute%'"))      # a line an attribute
+    drop_scratch(spark, c_path, a_path)
+    declared = r"(?s)^@attribute (\S+) (.*)$"
+    return lines.select(F.regexp_extract("value", declared, 1).alias("attribute"), F.regexp_extract("value", declared, 2).alias("type"))
+
+
+@register("arff_foreign", """
+SELECT form, doc_id, text, lang, n_chars, TIMESTAMP '2011-07-01 00:00:00' + (doc_id * 60) * INTERVAL 1 SECOND AS seen FROM documents, (VALUES ('dense'), ('sparse')) f(form)""")
+def q_arff_foreign(spark, sf):
+    """Documents as other tools write ARFF: double quotes, tabs and blanks around values, dates with a format, and sparse rows."""
+    d = _tweets(spark, sf).select(F.col("tweet_id").alias("doc_id"), "text", F.element_at("hashtags", 1).alias("lang"), F.col("ret_count").alias("n_chars"), F.col("time").alias("seen"))
+    quoted = F.col("text")
+    for raw, safe in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
+        quoted = F.replace(quoted, F.lit(raw), F.lit(safe))
+    values = {"doc_id": F.col("doc_id").cast("string"), "text": F.concat(F.lit('"'), quoted, F.lit('"')), "lang": F.col("lang"), "n_chars": F.col("n_chars").cast("string"),
+              "seen": F.concat(F.lit("'"), F.date_format("seen", "yyyy/MM/dd HH.mm.ss"), F.lit("'"))}
+    langs = arff.infer_domains(d, ["lang"])["lang"]
+    head = ["% written elsewhere", "@RELATION 'some documents'", "@ATTRIBUTE doc_id INTEGER", "@attribute text string", "@attribute lang { " + ", ".join(langs) + " }", "@attribute n_chars numeric",
+            "@attribute 'seen' date \"yyyy/MM/dd HH.mm.ss\"", "@DATA"]
+    zeros = {"doc_id": "0", "text": "", "lang": langs[0], "n_chars": "0", "seen": "1970-01-01 00:00:00"}
+    named = [F.when(F.coalesce(F.col(c).cast("string") != zeros[c], F.lit(True)), F.concat(F.lit(f"{i} "), F.coalesce(v, F.lit("?")))) for i, (c, v) in enumerate(values.items())]
+    forms = {"dense": F.concat_ws("\t, ", *[F.coalesce(v, F.lit("?")) for v in values.values()]), "sparse": F.concat(F.lit("{ "), F.concat_ws(" ,", *named), F.lit("}"))}
+    out = None
+    for form, line in forms.items():
+        path = scratch_path(spark, f"arff-{form}")
+        spark.createDataFrame([(x,) for x in head], "value string").coalesce(1).write.text(f"{path}/header")
+        d.select(line.alias("value")).write.text(f"{path}/data")
+        back = cut(arff.read_arff(spark, path, corrupt="_corrupt").where("_corrupt IS NULL").select(F.lit(form).alias("form"), "doc_id", "text", "lang", F.col("n_chars").cast("long").alias("n_chars"), "seen"))
+        drop_scratch(spark, path)
+        out = back if out is None else out.unionByName(back)
+    return out

@@ -1,23 +1,24 @@
 """ARFF reader and writer, and the CSV <-> ARFF conversions.
 
-Writer: the header is derived from ``df.schema`` on the driver (one line per
-attribute). A string column is a ``string`` attribute, or a nominal one if the
-caller names it in ``nominal`` (its domain then goes into the header). Data
-rows are written by the executors. Output layout: ``<path>/header`` and
-``<path>/data`` text folders.
+Writer: the header is derived from ``df.schema`` (one line per attribute). A
+string column is a ``string`` attribute, or a nominal one if the caller names it
+in ``nominal`` or lets the domains be inferred (``infer_domains``). Data rows,
+dense or sparse, are written by the executors. Output layout: ``<path>/header``
+and ``<path>/data`` text folders.
 
 Strings are always quoted; ``\\``, ``'``, line ends and NUL are escaped with a
-backslash, so a row is one line whatever its texts hold. Only an unquoted ``?`` is
-missing.
+backslash, so a row is one line whatever its texts hold, and files are read in
+splits. Only an unquoted ``?`` is missing.
 
-Reader: the folders above or one ``.arff`` file. Lines before ``@data`` are the
-header; of those after it, blank lines and ``%`` comments are dropped and all
-others are rows.
+Reader: the folders above or one ``.arff`` file, also as others write them (see
+``read_arff``). Lines before ``@data`` are the header; of those after it, blank
+lines and ``%`` comments are dropped and all others are rows.
 """
 
 from __future__ import annotations
 
 import re
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,8 +30,15 @@ _FRACTIONAL = (T.FloatType, T.DoubleType, T.DecimalType)
 
 # Characters and how they are written within quotes, the escape character first.
 _ESCAPES = [("\\", "\\\\"), ("'", "\\'"), ("\n", "\\n"), ("\r", "\\r"), ("\0", "\\0")]
-# One value of a data line: quoted, or up to the next comma.
-_VALUE = r"\s*('[^'\\]*+(?:\\.[^'\\]*+)*+'|[^,]*+)\s*(?:,|$)"
+# One value of a data line: quoted either way, or up to the next comma; a whole line of such values; one entry of a sparse row.
+_QUOTED = r"""(?s:'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+\")"""
+_VALUE = rf"(?:^|,)\s*({_QUOTED}|[^,]*+)\s*(?=,|$)"
+_ONE = rf"""\s*+(?:{_QUOTED}|[^,'"\s][^,]*+|)\s*+"""
+_ROW = rf"^{_ONE}(?:,{_ONE})*+$"
+_ENTRY = rf"(?:^|,)\s*(\d+)\s+({_QUOTED}|[^,]*+)\s*(?=,|$)"
+_NAMED = rf"""\s*+\d++\s++(?:{_QUOTED}|[^,'"\s][^,]*+)\s*+"""
+_SPARSE = rf"^\s*+(?:{_NAMED}(?:,{_NAMED})*+)?$"
+MAX_DOMAIN = 100             # values of a column that still make it nominal when the domains are inferred
 
 
 def _quote_name(name: str) -> str:
@@ -51,12 +59,46 @@ def _arff_value(c: str, dtype) -> F.Column:
     return F.coalesce(txt, F.lit("?"))
 
 
-def arff_header(df: DataFrame, relation: str = "data", nominal: list[str] | None = None) -> list[str]:
+def infer_domains(df: DataFrame, columns: list[str] | None = None, max_domain: int = MAX_DOMAIN) -> dict[str, list[str]]:
+    """The values of those string columns that have at most ``max_domain`` distinct
+    ones (and any at all), in order.
+
+    One pass of mergeable sketches over all columns rules out those that are far
+    above the bound; the values of the others are made distinct by the executors
+    and counted, so the driver receives at most ``max_domain`` values a column."""
+    names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType) and (columns is None or f.name in columns)]
+    if not names:
+        return {}
+    about = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`"), 0.05).alias(f"c{i}") for i, c in enumerate(names)]).first()
+    few = [c for i, c in enumerate(names) if about[i] <= 1.5 * max_domain + 10]       # the sketch may err; exact counts decide
+    if not few:
+        return {}
+    each = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("name"), F.col(f"`{c}`").alias("v")) for c in few])).alias("x")).select("x.*").where("v IS NOT NULL").distinct()
+    small = each.groupBy("name").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") <= max_domain).select("name")
+    found: dict[str, list[str]] = {}
+    for r in each.join(small, "name").orderBy("name", "v").collect():                 # at most max_domain values of each column
+        found.setdefault(r.name, []).append(r.v)
+    return found
+
+
+def _quoted(value: str) -> str:
+    for raw, safe in _ESCAPES:
+        value = value.replace(raw, safe)
+    return f"'{value}'"
+
+
+def arff_header(df: DataFrame, relation: str = "data", nominal: list[str] | str | None = None, max_domain: int = MAX_DOMAIN) -> list[str]:
+    """Header lines. ``nominal`` names the nominal columns, or is ``"infer"``: then
+    every string column of at most ``max_domain`` values is one."""
     lines = [f"@relation {_quote_name(relation)}", ""]
-    domains = {}
-    for c in nominal or []:      # the caller says that these are small
-        rows = df.where(F.col(c).isNotNull()).select(_arff_value(c, T.StringType()).alias("v")).distinct().orderBy("v")
-        domains[c] = [r.v for r in rows.toLocalIterator()]
+    if nominal == "infer":
+        domains = infer_domains(df, None, max_domain)
+    else:
+        domains = infer_domains(df, nominal, max_domain) if nominal else {}
+        for c in nominal or []:
+            if c not in domains and not df.where(F.col(c).isNotNull()).isEmpty():
+                raise ValueError(f"column {c} has more than {max_domain} values: too many for a nominal attribute")
+            domains.setdefault(c, [])
     for f in df.schema.fields:
         if isinstance(f.dataType, _INTEGRAL):
             t = "integer"
@@ -65,7 +107,7 @@ def arff_header(df: DataFrame, relation: str = "data", nominal: list[str] | None
         elif isinstance(f.dataType, T.BooleanType):
             t = "{false,true}"
         elif f.name in domains:
-            t = "{" + ",".join(domains[f.name]) + "}"
+            t = "{" + ",".join(_quoted(v) for v in domains[f.name]) + "}"
         else:
             t = "string"
         lines.append(f"@attribute {_quote_name(f.name)} {t}")
@@ -78,68 +120,152 @@ def arff_data(df: DataFrame) -> DataFrame:
     return df.select(F.concat_ws(",", *[_arff_value(f.name, f.dataType) for f in df.schema.fields]).alias("value"))
 
 
-def write_arff(df: DataFrame, path: str, relation: str = "data", nominal: list[str] | None = None) -> None:
+def sparse_data(df: DataFrame) -> DataFrame:
+    """One sparse ``value`` line per row: values of zero (for texts, empty ones) are left out."""
+    entries = []
+    for i, f in enumerate(df.schema.fields):
+        c = F.col(f"`{f.name}`")
+        zero = c == 0 if isinstance(f.dataType, (_INTEGRAL, _FRACTIONAL)) else ~c if isinstance(f.dataType, T.BooleanType) else c == ""
+        entries.append(F.when(~F.coalesce(zero, F.lit(False)), F.concat(F.lit(f"{i} "), _arff_value(f.name, f.dataType))))
+    return df.select(F.concat(F.lit("{"), F.concat_ws(", ", *entries), F.lit("}")).alias("value"))
+
+
+def write_arff(df: DataFrame, path: str, relation: str = "data", nominal: list[str] | str | None = None, max_domain: int = MAX_DOMAIN, sparse: bool = False) -> None:
     spark = df.sparkSession
-    head = arff_header(df, relation, nominal)
+    if sparse and nominal:
+        raise ValueError("sparse rows leave out a domain's first value: write nominal columns dense")
+    head = arff_header(df, relation, nominal, max_domain)
     spark.createDataFrame([(x,) for x in head], "value string").coalesce(1) \
         .write.mode("overwrite").text(f"{path}/header")
-    arff_data(df).write.mode("overwrite").text(f"{path}/data")
+    (sparse_data(df) if sparse else arff_data(df)).write.mode("overwrite").text(f"{path}/data")
 
 
+# An attribute line: name (bare or quoted), then its type.
 _ATTR = re.compile(r"@attribute\s+('(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|\S+)\s+(.*)$", re.I)
-
-
-def _parse_header(lines: list[str]) -> T.StructType:
-    fields = []
-    for ln in lines:
-        m = _ATTR.match(ln.strip())
+_DOMAIN_VALUE = re.compile(r"\s*('(?:[^'\\]|\\.)*'|\"(?:[^\"\\]|\\.)*\"|[^,]*?)\s*(?:,|$)")
+DATE_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"       # fixed value: the format of a date attribute that names none
+_BACK = {"n": "\n", "r": "\r", "t": "\t", "0": "\0"}
+
+
+def _unquoted(text: str) -> str:
+    """A header value without its quotes and escapes."""
+    text = text.strip()
+    if len(text) > 1 and text[0] in "'\"" and text[-1] == text[0]:
+        return re.sub(r"\\(.)", lambda m: _BACK.get(m.group(1), m.group(1)), text[1:-1], flags=re.S)
+    return text
+
+
+@dataclass
+class Attribute:
+    """A declared attribute: ``kind`` is integer, real, boolean, nominal, date or string."""
+    name: str
+    kind: str
+    type: T.DataType
+    domain: list[str] | None = None
+    format: str | None = None
+
+
+def parse_header(lines: list[str]) -> list[Attribute]:
+    """The attributes of header lines, in order. Comments and other lines are passed over."""
+    out = []
+    for line in lines:
+        m = _ATTR.match(line.strip())
         if not m:
             continue
-        name, typ = m.group(1), m.group(2).strip()
-        if name[0] in "'\"":
-            name = name[1:-1]
-        low = typ.lower()
+        name, kind = _unquoted(m.group(1)), m.group(2).strip()
+        low = kind.lower()
         if low == "integer":
-            dt = T.LongType()
+            out.append(Attribute(name, "integer", T.LongType()))
         elif low in ("real", "numeric"):
-            dt = T.DoubleType()
-        elif low == "{false,true}":
-            dt = T.BooleanType()
+            out.append(Attribute(name, "real", T.DoubleType()))
+        elif low.replace(" ", "") == "{false,true}":
+            out.append(Attribute(name, "boolean", T.BooleanType()))
+        elif kind.startswith("{"):
+            inner = kind[1:kind.rindex("}")] if "}" in kind else kind[1:]
+            out.append(Attribute(name, "nominal", T.StringType(), domain=[_unquoted(v.group(1)) for v in _DOMAIN_VALUE.finditer(inner) if v.group(0)]))
+        elif low.split(None, 1)[0] == "date":
+            given = kind[4:].strip()
+            out.append(Attribute(name, "date", T.TimestampNTZType(), format=_unquoted(given) if given else DATE_FORMAT))
         else:
-            dt = T.StringType()   # nominal, string, date kept as text
-        fields.append(T.StructField(name, dt, True))
-    return T.StructType(fields)
-
-
-def read_arff(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Rows of an ARFF folder or file. ``schema`` (same column names) reads the
-    values' text as those types instead of the header's, so decimals keep all digits."""
-    if path.endswith(".arff"):
-        lines = spark.read.text(path).select("value", F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("n")).alias("at"))
-        start = lines.where(F.col("value").rlike(r"(?i)^\s*@data\b")).agg(F.min("at")).first()[0]
-        if start is None:
-            raise ValueError(f"{path} has no @data line")
-        at = F.struct(F.lit(start[0]).cast("long"), F.lit(start[1]).cast("long"))
-        head, raw = lines.where(F.col("at") < at).select("value"), lines.where(F.col("at") > at).select("value")
-    else:
-        head, raw = spark.read.text(f"{path}/header"), spark.read.text(f"{path}/data")
-    types = _parse_header([r[0] for r in head.where(F.col("value").rlike(r"^\s*@")).collect()])     # one line an attribute
-    wanted = {f.name: f.dataType for f in (schema or types).fields}
-    raw = raw.where(~F.col("value").rlike(r"^\s*(%|$)"))
-    parts = raw.select(F.regexp_extract_all("value", F.lit(_VALUE), F.lit(1)).alias("p"))
-
-    def value(i: int, f: T.StructField) -> F.Column:
-        text = F.trim(F.get("p", F.lit(i)))
-        bare = F.substring(text, F.lit(2), F.length(text) - 2)
-        for safe, plain in (("\\\\", "\0"), ("\\'", "'"), ("\\n", "\n"), ("\\r", "\r")):     # a raw NUL never stands here
-            bare = F.replace(bare, F.lit(safe), F.lit(plain))
-        bare = F.replace(F.replace(bare, F.lit("\\0"), F.lit("\1\1")), F.lit("\0"), F.lit("\\"))
-        bare = F.replace(bare, F.lit("\1\1"), F.lit("\0"))
-        text = F.when(text.startswith("'"), bare).when((text != "?") & (text != ""), text)
-        kind = wanted[f.name]
-        return ((F.lower(text) == "true") if isinstance(kind, T.BooleanType) else text.try_cast(kind)).alias(f.name)
-
-    return parts.select(*[value(i, f) for i, f in enumerate(types.fields)])
+            out.append(Attribute(name, "string", T.StringType()))
+    return out
+
+
+def _lines(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(header lines, data lines) of a folder written here or of one ``.arff`` file."""
+    if not path.endswith(".arff"):
+        return spark.read.text(f"{path}/header"), spark.read.text(f"{path}/data")
+    lines = spark.read.text(path).select("value", F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("n")).alias("at"))
+    start = lines.where(F.col("value").rlike(r"(?i)^\s*@data\b")).agg(F.min("at")).first()[0]
+    if start is None:
+        raise ValueError(f"{path} has no @data line")
+    at = F.struct(F.lit(start[0]).cast("long"), F.lit(start[1]).cast("long"))
+    return lines.where(F.col("at") < at).select("value"), lines.where(F.col("at") > at).select("value")
+
+
+def _text(token: F.Column) -> F.Column:
+    """The text of a value as it stands on a line: without quotes and escapes; NULL for an unquoted ``?`` or nothing."""
+    bare = F.substring(token, F.lit(2), F.length(token) - 2)
+    # a raw NUL or \\1 never stands on a line: they hold the place of what must not be read as an escape
+    for safe, plain in (("\\\\", "\0"), ("\\'", "'"), ('\\"', '"'), ("\\n", "\n"), ("\\r", "\r"), ("\\t", "\t")):
+        bare = F.replace(bare, F.lit(safe), F.lit(plain))
+    bare = F.replace(F.replace(F.replace(bare, F.lit("\\0"), F.lit("\1\1")), F.lit("\0"), F.lit("\\")), F.lit("\1\1"), F.lit("\0"))
+    return F.when(token.startswith("'") | token.startswith('"'), bare).when((token != "?") & (token != ""), token)
+
+
+def read_arff(spark: SparkSession, path: str, schema: T.StructType | None = None, corrupt: str | None = None) -> DataFrame:
+    """Rows of an ARFF folder or file, dense (``1,'a b',?``) or sparse (``{0 1, 2 'a b'}``).
+
+    Values may stand in single or double quotes with backslash escapes. In a
+    sparse row an attribute that is not named has the value zero: 0, the first
+    value of its domain, false, 1970-01-01T00:00:00, or an empty text. Dates are
+    read by the attribute's format as times without a zone. ``schema`` (same
+    column names) reads the values' text as those types instead of the header's,
+    so decimals keep all digits.
+
+    With ``corrupt`` a column of that name holds the line of a row that is not as
+    the header says (too few or many values, an index out of range or twice, a
+    number or date that cannot be read, a value outside its domain, text after a
+    closing quote); its other columns are then NULL. Without it such values are
+    NULL, one by one."""
+    head, raw = _lines(spark, path)
+    attributes = parse_header([r[0] for r in head.where(F.col("value").rlike(r"^\s*@")).collect()])     # one line an attribute
+    wanted = {f.name: f.dataType for f in schema.fields} if schema else {}
+    raw = raw.where(~F.col("value").rlike(r"^\s*(%|$)")).select(F.col("value").alias("line"))
+    sparse = F.col("line").rlike(r"(?s)^\s*\{.*\}\s*$")
+    inner = F.regexp_extract("line", r"(?s)^\s*\{(.*)\}\s*$", 1)
+    inner_ok = inner.rlike(_SPARSE)
+    # sparse rows: index -> value
+    entry = F.regexp_extract_all(inner, F.lit(_ENTRY), F.lit(0))
+    index = F.transform(entry, lambda e: F.regexp_extract(e, _ENTRY, 1).try_cast("int"))
+    given = F.transform(entry, lambda e: F.regexp_extract(e, _ENTRY, 2))
+    parts = raw.select("line", sparse.alias("s"), F.when(~sparse, F.regexp_extract_all("line", F.lit(_VALUE), F.lit(1))).alias("p"),
+                       F.when(sparse, index).alias("i"), F.when(sparse, given).alias("g"))
+    sound = F.when(F.col("s"), inner_ok & F.forall("i", lambda i: i.isNotNull() & (i < len(attributes))) & (F.size(F.array_distinct("i")) == F.size("i")))
+    sound = sound.otherwise((F.size("p") == len(attributes)) & F.col("line").rlike(_ROW))
+    columns, bad = [], ~F.coalesce(sound, F.lit(False))
+    for n, a in enumerate(attributes):
+        token = F.trim(F.when(~F.col("s"), F.get("p", F.lit(n))).otherwise(F.get("g", (F.array_position("i", F.lit(n)) - 1).cast("int"))), F.lit(" \t"))
+        left_out = F.col("s") & (F.array_position("i", F.lit(n)) == 0)
+        text = _text(token)
+        kind = wanted.get(a.name, a.type)
+        if a.kind == "boolean" and isinstance(kind, T.BooleanType):
+            value, zero = F.when(text.isNotNull(), F.lower(text) == "true"), F.lit(False)
+            wrong = ~F.lower(text).isin("true", "false")
+        elif a.kind == "date" and not wanted:
+            value, zero = F.try_to_timestamp(text, F.lit(a.format)).cast("timestamp_ntz"), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+            wrong = text.isNotNull() & value.isNull()
+        elif a.kind == "nominal":
+            value, zero = text.try_cast(kind), F.lit(a.domain[0] if a.domain else None).try_cast(kind)
+            wrong = ~text.isin(a.domain) if a.domain else text.isNotNull()
+        else:
+            value, zero = text.try_cast(kind), F.lit("" if isinstance(kind, T.StringType) else "0").try_cast(kind)
+            wrong = text.isNotNull() & value.isNull()
+        columns.append((a.name, F.when(left_out, zero).otherwise(value)))
+        bad = bad | F.coalesce(wrong & ~left_out, F.lit(False))
+    if corrupt is None:
+        return parts.select(*[v.alias(name) for name, v in columns])
+    return parts.withColumn("_bad", bad).select(*[F.when(~F.col("_bad"), v).alias(name) for name, v in columns], F.when(F.col("_bad"), F.col("line")).alias(corrupt))
 
 
 _CSV = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
@@ -155,8 +281,9 @@ def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.options(**_CSV, inferSchema=True, multiLine=True).csv(path)
 
 
-def csv_to_arff(spark: SparkSession, csv_path: str, arff_path: str, relation: str = "data") -> None:
-    write_arff(read_csv_inferred(spark, csv_path), arff_path, relation)
+def csv_to_arff(spark: SparkSession, csv_path: str, arff_path: str, relation: str = "data", max_domain: int = MAX_DOMAIN) -> None:
+    """String columns of at most ``max_domain`` values become nominal attributes."""
+    write_arff(read_csv_inferred(spark, csv_path), arff_path, relation, nominal="infer", max_domain=max_domain)
 
 
 def arff_to_csv(spark: SparkSession, arff_path: str, csv_path: str) -> None:
