@@ -37,6 +37,7 @@ from ..session import broadcast_if_small, partitions_for
 MR_INFINITY = 10009          # stands for "unreachable" in a node line; NULL everywhere else
 MAX_PER_ROW = 100_000        # neighbours per row of the chunked adjacency
 COMPACT_LEVELS = 16          # BFS levels kept as tables of their own before they are merged
+PIECE_SALTS = 16             # parts of a hub's pieces that its distance is sent to
 
 
 # ---------------------------------------------------------------- sources
@@ -348,3 +349,47 @@ def bfs_files(spark: SparkSession, lines: DataFrame, folder: str, on_step=None)
     done = chain(spark, folder, lambda: lines, step, lambda frame, path: frame.write.mode("overwrite").text(path), spark.read.text, metrics=changed,
                  until=lambda seen: not seen.get("changed"), on_step=on_step)
     return parse_node_lines(done).where("_corrupt IS NULL").select("node", "dist", F.when(F.col("adj") != "", F.col("adj")).alias("adj"))
+
+
+# ---------------------------------------------------------------- node lines in pieces
+
+def node_pieces(edges: DataFrame, source, max_per_row: int = MAX_PER_ROW, nodes: DataFrame | None = None) -> DataFrame:
+    """``node piece dist a:b:`` lines: as ``node_lines``, but a node's neighbours
+    stand in as many ordered lines as it takes, so that no line grows with a
+    hub. A node without out-edge has one piece."""
+    if nodes is None:
+        nodes = graph_nodes(edges)
+    chunks = adjacency_strings(adjacency_chunks(edges, max_per_row)).select(F.col("src").alias("node"), F.col("chunk").cast("long").alias("piece"), F.concat("neighbours", F.lit(":")).alias("adj"))
+    j = nodes.select("node").join(chunks, "node", "left")
+    dist = F.coalesce(F.when(F.col("node") == F.lit(source), 0), F.lit(MR_INFINITY))
+    return j.select(F.concat_ws(" ", F.col("node").cast("string"), F.coalesce("piece", F.lit(0)).cast("string"), dist.cast("string"), F.coalesce("adj", F.lit(""))).alias("value"))
+
+
+def parse_node_pieces(lines: DataFrame, col: str = "value") -> DataFrame:
+    """``(node STRING, piece LONG, dist INT, adj, _corrupt)``, as ``parse_node_lines``."""
+    p = F.split(F.col(col), " ")
+    node, piece, dist = F.get(p, 0), F.get(p, 1).try_cast("long"), F.get(p, 2).try_cast("int")
+    ok = F.coalesce((F.length(node) > 0) & piece.isNotNull() & dist.isNotNull(), F.lit(False))
+    return lines.select(F.when(ok, node).alias("node"), F.when(ok, piece).alias("piece"), F.when(ok & (dist != MR_INFINITY), dist).alias("dist"),
+                        F.when(ok, F.coalesce(F.get(p, 3), F.lit(""))).alias("adj"), F.when(~ok, F.col(col)).alias("_corrupt"))
+
+
+def bfs_relax_pieces(lines: DataFrame, col: str = "value") -> DataFrame:
+    """One relaxation over node pieces -> ``(node STRING, piece, dist, adj)``, one
+    row per piece; a node that is only a neighbour gets piece 0 and adj NULL.
+
+    The minimum is merged in two levels: every piece sends distances, combined
+    per task and node, and then each piece takes its node's minimum. No
+    neighbour list is ever gathered: a hub's pieces stay apart, and all that is
+    brought together for it is one distance a task. Where a node has very many
+    pieces its distance is sent once to each of ``PIECE_SALTS`` parts of them."""
+    parsed = parse_node_pieces(lines, col).where("_corrupt IS NULL").drop("_corrupt")
+    reached = parsed.where("dist IS NOT NULL")
+    sent = reached.select(F.explode(F.filter(F.split("adj", ":"), lambda x: x != "")).alias("node"), (F.col("dist") + 1).alias("dist"))
+    best = sent.unionByName(reached.select("node", "dist")).groupBy("node").agg(F.min("dist").alias("dist"))
+    known = parsed.select("node").distinct()
+    unlisted = parsed.select(F.explode(F.filter(F.split("adj", ":"), lambda x: x != "")).alias("node")).distinct().join(known, "node", "left_anti")
+    pieces = (parsed.select("node", "piece", "adj").unionByName(unlisted.select("node", F.lit(0).cast("long").alias("piece"), F.lit(None).cast("string").alias("adj")))
+              .withColumn("_salt", F.pmod(F.col("piece"), F.lit(PIECE_SALTS)).cast("int")))
+    salted = best.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(PIECE_SALTS - 1))))
+    return pieces.join(salted, ["node", "_salt"], "left").select("node", "piece", F.col("dist").cast("int").alias("dist"), "adj")

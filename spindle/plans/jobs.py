@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 
 from ..operators import cluster, counting, graph
 from ..operators import distinct_neighbors as dn
+from ..operators import neighbors as nb
 from ..operators import resample
+from ..operators import text as textops
 from ..session import drop_scratch, scratch_path
-from ..sources import arff, delimited, numbered, tagged
+from ..sources import arff, delimited, folders, named, numbered, tagged
 from . import workloads as W
 from .loops import cut
-from .registry import (KMEANS_K, _BAND, _BOOKS_CTE, _DIST_SQL, _SSSP_SQL, _TWEETS_SQL, _counts, _kmeans_chain_sql, _points, _tweets,
-                       register, sssp_source)
+from .registry import (KMEANS_K, KNN_K, LEXICON, ORACLES, _BAND, _BOOKS_CTE, _DIST_SQL, _GRAPH_SQL, _KNN_CTE, _LARGE_LEX_SQL, _LARGE_SCORE_SQL, _NODES_SQL, _SSSP_SQL, _TWEETS_SQL,
+                       _counts, _kmeans_chain_sql, _large_lexicon, _points, _tweets, register, sssp_source)
 
 # ---------------------------------------------------------------- records of N lines
 
@@ -207,3 +209,101 @@ def q_arff_foreign(spark, sf):
         drop_scratch(spark, path)
         out = back if out is None else out.unionByName(back)
     return out
+
+
+# ---------------------------------------------------------------- relaxation over pieces
+
+PIECE = 20
+
+
+@register("bfs_relax_pieces", f"""
+WITH e AS ({_GRAPH_SQL}), nodes AS ({_NODES_SQL}),
+n AS (SELECT *, (row_number() OVER (PARTITION BY src ORDER BY dst) - 1) // {PIECE} AS piece FROM e),
+adj AS (SELECT src, piece, string_agg(CAST(dst AS VARCHAR), ':' ORDER BY dst) || ':' AS adj FROM n GROUP BY src, piece),
+start AS (SELECT min(src) AS s FROM e),
+best AS (SELECT node, min(dist) AS dist FROM (SELECT s AS node, 0 AS dist FROM start UNION ALL SELECT e.dst, 1 FROM e, start WHERE e.src = s) GROUP BY node)
+SELECT CAST(nodes.node AS VARCHAR) AS node, coalesce(piece, 0) AS piece, CAST(best.dist AS INT) AS dist, coalesce(adj, '') AS adj
+FROM nodes LEFT JOIN adj ON adj.src = nodes.node LEFT JOIN best ON best.node = nodes.node""")
+def q_bfs_relax_pieces(spark, sf):
+    """One relaxation over node lines in pieces of at most twenty neighbours, written as files."""
+    e = cut(W.order_graph(spark, sf))
+    path = scratch_path(spark, "node-pieces")
+    graph.node_pieces(e, sssp_source(e), max_per_row=PIECE).write.text(path)
+    out = cut(graph.bfs_relax_pieces(spark.read.text(path)))
+    drop_scratch(spark, path)
+    return out
+
+
+@register("generated_chains", """
+WITH k AS (SELECT CAST(floor(sqrt(count(*))) AS BIGINT) AS k FROM customer)
+SELECT i AS src, CASE WHEN i % k <> 0 THEN i + 1 END AS dst FROM k, range(1, k * k + 1) r(i)""")
+def q_generated_chains(spark, sf):
+    """The chain generator with as many nodes as there are customers (the largest square)."""
+    k = W.table(spark, sf, "customer").agg(F.floor(F.sqrt(F.count(F.lit(1)))).alias("k")).first().k
+    return graph.chain_graph(spark, k)
+
+
+# ---------------------------------------------------------------- named files
+
+@register("named_files", """
+SELECT CAST(o_orderkey // 1000 AS VARCHAR) AS file, string_agg(concat_ws('|', o_orderkey, o_custkey, o_orderstatus), ',' ORDER BY o_orderkey) || ',' AS merged FROM orders GROUP BY 1""")
+def q_named_files(spark, sf):
+    """Orders written to one named file per thousand keys, then merged file by file."""
+    path = scratch_path(spark, "named")
+    o = W.table(spark, sf, "orders").select((F.floor(F.col("o_orderkey") / 1000)).cast("long").alias("file"), "o_orderkey",
+                                            F.concat_ws("|", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), "o_orderstatus").alias("value"))
+    named.write_named_files(o, path, "file", ["o_orderkey"])
+    merged = cut(folders.merge_lines(folders.read_files(spark, path)))
+    drop_scratch(spark, path)
+    return merged.select(F.regexp_extract("path", r"/f([^/]*)\.txt$", 1).alias("file"), "merged")
+
+
+@register("neighbour_lines", f"""
+WITH {_KNN_CTE}, x AS (SELECT DISTINCT row_key, title, year FROM t), y AS (SELECT DISTINCT row_key, publisher FROM q)
+SELECT CAST(distance AS VARCHAR) AS distance, x.title || ',' || x.year || ',' || y.publisher AS model, count(*) AS n
+FROM knn JOIN x ON x.row_key = knn.t_row_key JOIN y ON y.row_key = knn.row_key GROUP BY ALL""")
+def q_neighbour_lines(spark, sf):
+    """Neighbours written as ``distance<TAB>title,year,publisher`` lines, read back and counted."""
+    q, t = W.book_split(spark, sf)
+    knn = nb.knn_topk(q, t, k=KNN_K, carry=["title", "year"]).join(q.select("row_key", "publisher").distinct(), "row_key")
+    path = scratch_path(spark, "neighbours")
+    delimited.write_separated(knn.select("distance", F.concat_ws(",", "t_title", F.col("t_year").cast("string"), "publisher").alias("model")), path, "\t")
+    back = cut(spark.read.schema("distance STRING, model STRING").option("sep", "\t").option("escape", '"').csv(path))
+    drop_scratch(spark, path)
+    return back.groupBy("distance", "model").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("scored_lines", f"""
+WITH s AS ({_LARGE_SCORE_SQL}) SELECT CAST(doc_id AS VARCHAR) || ';' || {_ONE_LINE} || chr(9) || '->' || chr(9) || score AS value FROM documents JOIN s USING (doc_id)""")
+def q_scored_lines(spark, sf):
+    """Scored documents written as ``id;text -> score`` lines and read back."""
+    path = scratch_path(spark, "scored")
+    docs = W.table(spark, sf, "documents")
+    scored = textops.sentiment_score(docs, _large_lexicon(spark, sf)).join(docs.select("doc_id", F.regexp_replace("text", r"[\n\r]", " ").alias("text")), "doc_id")
+    delimited.write_values(textops.scored_line(scored.withColumnRenamed("doc_id", "tweet_id")), path)
+    lines = cut(spark.read.text(path))
+    drop_scratch(spark, path)
+    return lines
+
+
+_PAIR_LEX_SQL = ("SELECT w1 || ' ' || w2 AS term, (length(w1) + length(w2) * 3) % 7 - 3 AS score FROM (SELECT DISTINCT unnest(list_zip(l[:len(l) - 1], l[2:])) AS p, p[1] AS w1, p[2] AS w2 "
+                 "FROM (SELECT string_split(text, ' ') AS l FROM benchmark))")
+
+
+@register("sentiment_phrases", f"""
+WITH lex AS ({_LARGE_LEX_SQL} UNION ALL {_PAIR_LEX_SQL}),
+l AS (SELECT doc_id, string_split(text, ' ') AS l FROM documents),
+toks AS (SELECT doc_id, unnest(l) AS tok FROM l UNION ALL SELECT doc_id, unnest(list_transform(range(1, len(l)), lambda i: l[i] || ' ' || l[i + 1])) FROM l)
+SELECT d.doc_id, CAST(coalesce(sum(lex.score), 0) AS BIGINT) AS score FROM documents d LEFT JOIN toks USING (doc_id) LEFT JOIN lex ON lex.term = tok GROUP BY d.doc_id""")
+def q_sentiment_phrases(spark, sf):
+    """A lexicon of words and of word pairs (every pair of neighbours in ``benchmark``): phrases match too."""
+    w = F.split("text", " ")
+    pairs = W.table(spark, sf, "benchmark").select(F.explode(F.transform(F.sequence(F.lit(1), F.size(w) - 1), lambda i: F.struct(F.get(w, i - 1).alias("a"), F.get(w, i).alias("b")))).alias("p")).select("p.*").distinct()
+    phrases = pairs.select(F.concat_ws(" ", "a", "b").alias("term"), ((F.length("a") + F.length("b") * 3) % 7 - 3).cast("int").alias("score"))
+    return textops.sentiment_score(W.table(spark, sf, "documents"), _large_lexicon(spark, sf).unionByName(phrases), ngrams=2)
+
+
+@register("sentiment_score_joined", ORACLES["sentiment_score"])
+def q_sentiment_score_joined(spark, sf):
+    """The ten-word lexicon by the shuffle join."""
+    return textops.sentiment_score(W.table(spark, sf, "documents"), spark.createDataFrame(LEXICON, "term string, score int"), broadcast_bytes=0)
