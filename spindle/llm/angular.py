@@ -223,7 +223,7 @@ def _negatives(batches, n: int):
             fits = np.zeros(len(low), bool)
             for _, lo, hi in windows:
                 fits |= (high >= lo) & (low <= hi)
-            held = np.flatnonzero(fits & (rows.labels != anchors.labels[a]))
+            held = np.flatnonzero(fits & (rows.labels != anchors.labels[a]) & ((rows.keys != anchors.keys[a]) | rows.nulls))
             if not len(held):
                 continue
             scores = rows.scores(held, anchors.vectors[a], anchors.norms[a])
@@ -273,7 +273,7 @@ def mine(spark: SparkSession, vectors: DataFrame, anchors: Column, key: str = "v
     place = F.row_number().over(Window.partitionBy("anchor").orderBy(*order))
     best, _ = written(spark, found.withColumn("place", place).where(F.col("place") <= positives), "positives")
 
-    window = F.struct("place", F.expr(f"CAST(-floor(-{low} * CAST(score AS DECIMAL(20, 0)) / 100) AS LONG)").alias("lo"), F.expr(f"CAST(floor({high} * CAST(score AS DECIMAL(20, 0)) / 100) AS LONG)").alias("hi"))
+    window = F.struct("place", F.expr(f"CAST(ceil(({low}) * CAST(score AS DECIMAL(20, 0)) / 100) AS LONG)").alias("lo"), F.expr(f"CAST(floor(({high}) * CAST(score AS DECIMAL(20, 0)) / 100) AS LONG)").alias("hi"))
     per_anchor = best.groupBy(F.col("anchor").alias("id")).agg(F.map_from_entries(F.collect_list(F.struct("place", window.alias("w")))).alias("by"))     # at most ``positives``
     limits = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(positives)), lambda p: F.array(F.coalesce(F.element_at("by", p).lo, F.lit(1)), F.coalesce(F.element_at("by", p).hi, F.lit(0)))))
     ready = asked.join(per_anchor, "id").withColumn("windows", limits)

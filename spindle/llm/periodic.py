@@ -273,14 +273,13 @@ def runs(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str =
 
 def brute_force(words: list, exponent: int = EXPONENT, min_length: int = MIN_LENGTH) -> list[tuple[int, int, int]]:
     """(start, length, period) of all runs of one text, by trying every period (for tests)."""
+    number: dict = {}
+    w = np.array([number.setdefault(x, len(number)) for x in words], np.int64)
     found: dict[tuple[int, int], int] = {}
-    for q in range(1, len(words) // exponent + 1):
-        i = 0
-        while i + q < len(words):
-            j = i
-            while j + q < len(words) and words[j] == words[j + q]:
-                j += 1
+    for q in range(1, len(w) // exponent + 1):
+        equal = np.concatenate([[False], w[q:] == w[:-q], [False]])
+        begin, end = np.flatnonzero(equal[1:] & ~equal[:-1]), np.flatnonzero(equal[:-1] & ~equal[1:])
+        for i, j in zip(begin.tolist(), end.tolist()):
             if j + q - i >= max(min_length, exponent * q):
                 found.setdefault((i, j + q), q)
-            i = j + 1
     return sorted((s, e - s, q) for (s, e), q in found.items())

@@ -197,7 +197,7 @@ ORACLES: dict[str, str] = {
     "op12_angular_negatives": """
         WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
-        s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, a.label AS al, o.vec_id AS id, o.label AS label, list_inner_product(a.v, o.v)::BIGINT AS score FROM e a JOIN e o ON a.vec_id <> o.vec_id WHERE a.vec_id % 100 = 0),
+        s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, a.label AS al, o.vec_id AS id, o.label AS label, list_inner_product(a.v, o.v)::BIGINT AS score FROM e a JOIN e o ON a.vec_id IS DISTINCT FROM o.vec_id WHERE a.vec_id % 100 = 0),
         p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE label = al QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
         SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) AS INT) AS rank, id AS negative_id, positive_score, score AS negative_score
         FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> s.al AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
