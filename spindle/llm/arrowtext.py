@@ -27,13 +27,16 @@ _POWERS: dict[str, np.ndarray] = {}
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(B^i, B^-i) mod 2^64 for i < n."""
+    """(B^i, B^-i) mod 2^64 for i < n; those of a usual slice are kept, longer ones are not."""
     if "b" not in _POWERS or len(_POWERS["b"]) < n:
-        size = max(n, 1 << 16)
+        made = {}
         for key, base in (("b", _BASE), ("inv", _BASE_INV)):
-            steps = np.full(size, base, dtype=np.uint64)
+            steps = np.full(max(n, 1 << 16), base, dtype=np.uint64)
             steps[0] = 1
-            _POWERS[key] = np.multiply.accumulate(steps)
+            made[key] = np.multiply.accumulate(steps)
+        if n > CHUNK_BYTES + 1:
+            return made["b"], made["inv"]
+        _POWERS.update(made)
     return _POWERS["b"][:n], _POWERS["inv"][:n]
 
 

@@ -39,7 +39,7 @@ from pyspark.sql import types as T
 from .runtime import on_workers
 
 MAX_FILE_BYTES = 64 << 20
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000           # words of a worker's cache, each with a few ids
 EMIT_BYTES = 8 << 20
 
 # How the vocabulary splits words (contractions, runs of letters, single digits, other runs).
@@ -153,20 +153,8 @@ def load(path: str) -> Bpe:
     return Bpe(ids, merges, [names.get(i, "") for i in range(max(names) + 1)], special, model["end_of_word_suffix"] or "")
 
 
-_LOADED: dict[str, Bpe] = {}
-
-
-def _of(sent) -> Bpe:
-    """The model of this worker; it is kept between tasks, and its cache with it."""
-    key = str(sent.value[0])
-    if key not in _LOADED:
-        _LOADED.clear()
-        _LOADED[key] = sent.value[1]
-    return _LOADED[key]
-
-
 def _encoded(batches, sent):
-    bpe = _of(sent)
+    bpe = sent.value                        # a worker drops it, and its cache, when a task without it begins
     for batch in batches:
         lo, held, rows = 0, 0, []
         for k, t in enumerate(batch.column(1)):
@@ -179,7 +167,7 @@ def _encoded(batches, sent):
 
 
 def _decoded(batches, sent):
-    bpe = _of(sent)
+    bpe = sent.value
     for batch in batches:
         column = batch.schema.get_field_index("ids")
         lo, held, rows = 0, 0, []
@@ -193,7 +181,7 @@ def _decoded(batches, sent):
 
 def _sent(spark: SparkSession, vocabulary: str):
     on_workers(spark)
-    return spark.sparkContext.broadcast((vocabulary, load(vocabulary)))
+    return spark.sparkContext.broadcast(load(vocabulary))
 
 
 def encode(spark: SparkSession, docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -207,3 +195,11 @@ def decode(spark: SparkSession, encoded: DataFrame, vocabulary: str) -> DataFram
     """``encoded`` and the text that its ids stand for."""
     sent = _sent(spark, vocabulary)
     return encoded.mapInArrow(lambda b: _decoded(b, sent), T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())]))
+
+
+def round_trip(spark: SparkSession, docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``encode`` and ``decode`` in one pass, so that a task has one Python worker and one copy of the vocabulary."""
+    sent = _sent(spark, vocabulary)
+    schema = T.StructType([T.StructField("row_key", docs.schema[key].dataType), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()),
+                           T.StructField("decoded", T.StringType())])
+    return docs.select(F.col(key).alias("row_key"), F.col(text).alias("t")).mapInArrow(lambda b: _decoded(_encoded(b, sent), sent), schema)

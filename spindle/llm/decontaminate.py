@@ -37,7 +37,7 @@ from .runtime import fresh_path, on_workers
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 LOOKED_UP = 1 << 16            # windows that are searched at a time
 
 MATCHES = T.ArrayType(T.StructType([

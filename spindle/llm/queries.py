@@ -73,7 +73,7 @@ def encoded_and_decoded(spark: SparkSession, docs: DataFrame, vocabulary: str |
     if vocabulary is None:
         import public_tokenizers
         vocabulary = public_tokenizers.path("word_bpe_49k.json")
-    both = bpe.decode(spark, bpe.encode(spark, docs, vocabulary), vocabulary)
+    both = bpe.round_trip(spark, docs, vocabulary)
     return both.select(F.col("row_key").alias("doc_id"), "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
                        *(["ids"] if with_ids else []))
 
