@@ -2,10 +2,12 @@
 
 Each Arrow slice of documents is a shard: its words become one stream and a
 suffix array over the stream's places, ordered by ``window`` words. Every suffix
-of an item that begins a window is binary-searched in every shard's array, which
-gives the interval of places where the window stands; from there the texts are
-compared on for the longest verbatim match. Windows of ``window`` words (an item
-of fewer, but not none, is one window) mark the document words they cover.
+of an item that begins a window is binary-searched in every shard's array (equal
+windows once), which gives the interval of places where the window stands. The
+longest verbatim match of a document and an item begins at such a place; its
+length is found by halving over hashed word ranges, so repetitive texts and items
+cost no more than others. Windows of ``window`` words (an item of fewer, but not
+none, is one window) mark the document words they cover.
 
 Only places whose next two words occur as neighbours in the benchmark (or, for
 one-word items, whose word is such an item) enter the array: no other place can
@@ -15,7 +17,8 @@ word hashes, so memory grows with the words of block and shard, whatever the
 length of an item.
 
 Defined cases: null or wordless documents have no words and no hits; null or
-wordless items match nothing; equal item ids count as one item; an empty
+wordless items match nothing; an item with a null id marks words, but is not
+listed among the matches; equal item ids count as one item; an empty
 benchmark leaves every document clean; an empty documents table gives no rows;
 further columns of either table are ignored by ``find_matches`` and kept by
 ``decontaminate``. Rows with equal ids are handled one by one.
@@ -48,7 +51,7 @@ MATCHES = T.ArrayType(T.StructType([
 @dataclass
 class Suffixes:
     """All suffixes of a block of items, as places in one array of word hashes."""
-    ids: list[str]
+    ids: list[str | None]
     item: np.ndarray          # index into ids
     word: np.ndarray          # first word of the suffix within its item
     flat: np.ndarray          # the items' word hashes; suffix k begins at place k
@@ -64,7 +67,7 @@ def item_suffixes(items: list[tuple[str, str]], window: int) -> Suffixes:
     flat = np.concatenate([*tokens, np.zeros(0, np.uint64)])
     size = np.array([len(t) for t in tokens], np.int64)[item] if len(item) else np.zeros(0, np.int64)
     starts = np.where(size >= window, left >= window, word == 0)
-    return Suffixes([str(i) for i, _ in items], item, word, flat, left,
+    return Suffixes([None if i is None else str(i) for i, _ in items], item, word, flat, left,
                     np.where(starts, np.minimum(size, window), 0))
 
 
@@ -98,19 +101,39 @@ def _bound(array_rows, order, query_rows, depth, upper: bool):
     return lo
 
 
+def _ranges(flat: np.ndarray):
+    """A function (start, words) -> hashes of word ranges of ``flat``."""
+    power, inverse = at._powers(len(flat) + 1)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(at.mix(flat) * power[:len(flat)], dtype=np.uint64)])
+
+    def hashes(start: np.ndarray, words) -> np.ndarray:
+        return at.mix((total[start + words] - total[start]) * inverse[start] + np.asarray(words, np.uint64))
+    return hashes
+
+
 class ShardSearch:
-    """Looks up all suffixes of a block in one shard after another."""
+    """Looks up all windows of a block in one shard after another. Windows of equal
+    words are one (``windows`` holds a beginning of each) and are searched once."""
 
     def __init__(self, s: Suffixes):
         self.s = s
         pair = np.flatnonzero(s.left >= 2)
         self.pairs = np.unique(at.mix(s.flat[pair] * np.uint64(31) + s.flat[pair + 1]))
         self.singles = np.unique(s.flat[s.window == 1])
-        self.begins = np.flatnonzero(s.window > 0)
         self.depth = int(s.window.max(initial=1))
+        begins = np.flatnonzero(s.window > 0)
+        self.hashes = _ranges(s.flat)
+        _, at_, self.same = np.unique(self.hashes(begins, s.window[begins]), return_index=True, return_inverse=True)
+        self.windows = begins[at_]
+        # the items of each window, and the beginnings of each item's windows
+        both = np.unique(np.stack([self.same, s.item[begins]], axis=1), axis=0) if len(begins) else np.zeros((0, 2), np.int64)
+        self.items, self.edge = both[:, 1], np.searchsorted(both[:, 0], np.arange(len(self.windows) + 1))
+        self.begins, self.item_edge = begins, np.searchsorted(s.item[begins], np.arange(len(s.ids) + 1))
 
     def search(self, w: at.Words):
-        """(suffix index, stream place) of all window occurrences."""
+        """(window, stream place) of all occurrences: a place has one window of
+        each length at most, so there are no more than the shard's words times
+        the lengths (one, but for items shorter than a window)."""
         s, n = self.s, len(w.hash)
         none = np.zeros(0, np.int64)
         if not n or not len(s.item):
@@ -127,18 +150,49 @@ class ShardSearch:
         rows = _rows(w.hash, place, w.first[1:][w.doc[place]] - place, self.depth)
         order = np.lexsort(rows.T[::-1])                                   # the suffix array
         which, where = [none], [none]
-        for k in range(0, len(self.begins), LOOKED_UP):
-            begins = self.begins[k:k + LOOKED_UP]
+        for k in range(0, len(self.windows), LOOKED_UP):
+            begins = self.windows[k:k + LOOKED_UP]
             q, size = _rows(s.flat, begins, s.left[begins], self.depth), s.window[begins]
             lo = _bound(rows, order, q, size, False)
             hit = np.flatnonzero((lo < len(order)) & (_compare(rows, order, np.minimum(lo, len(order) - 1), q, size) == 0))
             lo = lo[hit]
             many = _bound(rows, order, q[hit], size[hit], True) - lo
             inside = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(lo, many)
-            which.append(np.repeat(begins[hit], many))
+            which.append(np.repeat(hit + k, many))
             where.append(place[order[inside]])
         return np.concatenate(which), np.concatenate(where)
 
+    def longest(self, w: at.Words, hashes, which: np.ndarray, place: np.ndarray):
+        """(document, item, words, item word, document word) of the longest match of
+        every document and item that have a window in common; of equally long
+        ones the first in the document, then in the item. The length is found by
+        halving: matches that begin at those windows and have so many words."""
+        s, out = self.s, []
+        doc = w.doc[place]
+        order = np.argsort(doc, kind="stable")
+        doc, which, place = doc[order], which[order], place[order]
+        for d, a, b in zip(*np.unique(doc, return_index=True), [*np.unique(doc, return_index=True)[1][1:], len(doc)]):
+            mine, at_ = which[a:b], place[a:b]
+            distinct = np.unique(mine)
+            items = np.unique(np.concatenate([self.items[self.edge[u]:self.edge[u + 1]] for u in distinct]))
+            end = w.first[d + 1]
+            for i in items.tolist():
+                begins, windows = (x[self.item_edge[i]:self.item_edge[i + 1]] for x in (self.begins, self.same))
+                here, there = np.sort(at_[np.isin(mine, windows)]), begins[np.isin(windows, distinct)]
+                low, high = int(s.window[begins[0]]), int(min((end - here).max(), s.left[there].max()))
+                while low < high:
+                    words = (low + high + 1) // 2
+                    x, y = here[here + words <= end], there[s.left[there] >= words]
+                    if len(x) and len(y) and np.isin(hashes(x, words), self.hashes(y, words)).any():
+                        low = words
+                    else:
+                        high = words - 1
+                x, y = here[here + low <= end], there[s.left[there] >= low]
+                hx, hy = hashes(x, low), self.hashes(y, low)
+                first = int(np.flatnonzero(np.isin(hx, hy))[0])
+                out.append((int(d), i, low, int(s.word[y[np.flatnonzero(hy == hx[first])[0]]]), int(x[first] - w.first[d])))
+        return out
+
 
 def _covered(place, length, n):
     """Marks of the words that the runs place .. place+length cover."""
@@ -154,22 +208,14 @@ def _scan(batches, found: Suffixes):
         for part in at.slices(batch.column(1), SHARD_BYTES):
             w = at.words(part)
             which, place = search.search(w)
-            size = found.window[which]
-            hit = _covered(place, size, len(w.hash))
+            hit = _covered(place, found.window[search.windows[which]], len(w.hash))
             total = np.concatenate([[0], np.cumsum(hit)])
             n_hit = total[w.first[1:]] - total[w.first[:-1]]
             lists: dict[int, list] = {}
             if len(which):
-                # of each (document, item) the longest match: extend every window occurrence as far as it goes
-                doc = w.doc[place]
-                far = np.array([_extend(w, found, a, p) for a, p in zip(which, place)], np.int64)
-                best: dict[tuple[int, int], tuple[int, int, int]] = {}
-                for d, a, p, f in zip(doc, which, place, far):
-                    key, value = (int(d), int(found.item[a])), (int(f), -int(p), -int(found.word[a]))
-                    if key not in best or best[key] < value:
-                        best[key] = value
-                for (d, i), (f, p, x) in best.items():
-                    lists.setdefault(d, []).append({"item_id": found.ids[i], "item_word": -x, "doc_word": -p - int(w.first[d]), "n_match": f})
+                for d, i, words, item_word, doc_word in search.longest(w, _ranges(w.hash), which, place):
+                    if found.ids[i] is not None:
+                        lists.setdefault(d, []).append({"item_id": found.ids[i], "item_word": item_word, "doc_word": doc_word, "n_match": words})
             n_docs = part.hi - part.lo
             begin, end = at.runs(hit, w.first)
             row = np.searchsorted(w.first, begin, "right") - 1
@@ -184,18 +230,6 @@ def _scan(batches, found: Suffixes):
                 names=["row_key", "n_words", "n_hit", "matches", "hit_runs"])
 
 
-def _extend(w: at.Words, s: Suffixes, a: int, place: int) -> int:
-    size = int(min(s.left[a], w.first[w.doc[place] + 1] - place))
-    done, step = 0, 64
-    while done < size:
-        to = min(done + step, size)
-        differ = np.flatnonzero(w.hash[place + done:place + to] != s.flat[a + done:a + to])
-        if len(differ):
-            return done + int(differ[0])
-        done, step = to, 2 * step
-    return size
-
-
 def block_count(benchmark: DataFrame, item_text: str, block_bytes: int) -> int:
     size = benchmark.agg(F.sum(F.octet_length(item_text))).first()[0] or 0
     return max(1, -(-size // block_bytes))
@@ -203,7 +237,7 @@ def block_count(benchmark: DataFrame, item_text: str, block_bytes: int) -> int:
 
 def item_blocks(benchmark: DataFrame, item: str, item_text: str, blocks: int):
     """The items in ``blocks`` parts by hash of their id, each read when its turn comes."""
-    items = benchmark.select(F.col(item).cast("string").alias("i"), F.col(item_text).alias("t")).where("t is not null and i is not null")
+    items = benchmark.select(F.col(item).cast("string").alias("i"), F.col(item_text).alias("t")).where("t is not null")
     for k in range(blocks):
         yield [(r.i, r.t) for r in items.where(F.pmod(F.xxhash64("i"), F.lit(blocks)) == k).distinct().sort("i", "t").toLocalIterator()]
 

@@ -205,7 +205,7 @@ ORACLES: dict[str, str] = {
     """,
     "op3_suffix_array_decontamination": f"""
         WITH d AS (SELECT doc_id, {_words_sql("coalesce(text, '')")} AS w FROM documents),
-        i AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_words_sql("text")} AS w FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL),
+        i AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_words_sql("text")} AS w FROM benchmark WHERE text IS NOT NULL),
         k AS (SELECT item_id, w, least(10, len(w)) AS k FROM i WHERE len(w) > 0),
         win AS (SELECT DISTINCT item_id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda p: array_to_string(w[p:p + k - 1], ' '))) AS t FROM k),
         spots AS (SELECT doc_id, k, unnest(list_transform(range(1, len(w) - k + 2), lambda p: {{'p': p, 't': array_to_string(w[p:p + k - 1], ' ')}})) AS x

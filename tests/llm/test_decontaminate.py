@@ -51,9 +51,10 @@ def test_odd_rows(spark, odd_docs, no_docs):
     bench = spark.createDataFrame([(1, "three four five six seven eight nine ten eleven twelve", "x"), (2, "word", "y"), (None, "ü", "z")], "item_id long, text string, lang string")
     got = d.find_matches(spark, odd_docs, bench).collect()
     assert len(got) == odd_docs.count()
-    assert sorted(r.row_key for r in got if r.n_hit) == [1, 7, 8, 8, 11]
+    assert sorted(r.row_key for r in got if r.n_hit) == [1, 7, 8, 8, 10, 11]      # the item without an id hits, but is not listed
+    assert [r.matches for r in got if r.row_key == 10] == [[]]
     kept = d.decontaminate(spark, odd_docs, bench)
-    assert kept.columns == odd_docs.columns and kept.count() == odd_docs.count() - 5
+    assert kept.columns == odd_docs.columns and kept.count() == odd_docs.count() - 6
     assert d.find_matches(spark, no_docs, bench).count() == 0 == d.decontaminate(spark, no_docs, bench).count()
     assert d.decontaminate(spark, odd_docs, bench.limit(0)).count() == odd_docs.count()
     assert all(r.n_hit == 0 for r in d.find_matches(spark, odd_docs, bench.limit(0)).collect())
@@ -78,3 +79,46 @@ def test_two_texts_of_one_item_count_as_one_item(spark, tmp):
     spark.createDataFrame([(1, "a b c d e f"), (2, "x")], "doc_id long, text string").write.parquet(f"{tmp}/documents.parquet")
     spark.createDataFrame([(7, "a b"), (7, "e f"), (8, "c d")], "item_id long, text string").write.parquet(f"{tmp}/benchmark.parquet")
     assert {r.doc_id: (r.n_items, r.n_hit) for r in queries.op3_suffix_array_decontamination(spark, tmp).collect()} == {1: (2, 6), 2: (0, 0)}
+
+
+def test_repetitive_text_and_item_take_linear_memory_and_time():
+    """A megabyte of one word against an item of 2,000 equal words."""
+    import time
+    import tracemalloc
+
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["ab " * 350_000, "x " + "ab " * 1500 + "y"])], names=["row_key", "text"])
+    found = d.item_suffixes([("q", "ab " * 2000), ("r", "cd " * 11 + "ab " * 9), (None, "ab x")], 10)
+    tracemalloc.start()
+    begun = time.time()
+    got = pa.Table.from_batches(d._scan([batch], found))
+    took, peak = time.time() - begun, tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [[(m["item_id"], m["item_word"], m["doc_word"], m["n_match"]) for m in r] for r in got.column("matches").to_pylist()] == [[("q", 0, 0, 2000)], [("q", 0, 1, 1500)]]
+    assert got.column("n_hit").to_pylist() == [350_000, 1500] and peak < 1 << 30 and took < 60
+    clean = pa.Table.from_batches(d._clean([batch], found, "text"))
+    assert clean.num_rows == 0
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_longest_match_by_hand(spark, seed):
+    docs, items = made(spark, seed + 20)
+    items = [(i, x) for i, x in items if i != 3] + [(90, " ".join(["w1", "w2"] * 20))]
+    docs = docs + [(70, " ".join(["w1", "w2"] * 30 + ["w3"]))]
+    got = {r.row_key: {m.item_id: (m.n_match, m.doc_word, m.item_word) for m in r.matches}
+           for r in d.find_matches(spark, spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    for k, t in docs:
+        w, want = d.at.text_words(t), {}
+        for i, x in items:
+            v = d.at.text_words(x)
+            best = None
+            for p in range(len(w)):
+                for a in range(len(v)):
+                    n = 0
+                    while p + n < len(w) and a + n < len(v) and w[p + n] == v[a + n]:
+                        n += 1
+                    if n and n >= min(10, len(v)) and (best is None or (-n, p, a) < best):
+                        best = (-n, p, a)
+            if best:
+                want[str(i)] = (-best[0], best[1], best[2])
+        assert got[k] == want
