@@ -1,21 +1,21 @@
-"""Main text of pages, with a suffix array per host for what the markup leaves open.
+"""Main text of pages: by markup, and by repetition on the host for what the markup leaves open.
 
 A page is cut into blocks at block-level tags. Elements that are never the
 article (menus, headers, footers, sidebars, notices, adverts, forms, scripts,
 styles, comments of readers, hidden ones) are told by tag, role and class or id.
-If the page names its article (``article``, else ``main``, else a class or id
-such as ``content``), the blocks inside are the text. They are not searched for
-repeats: articles quote and copy each other, and a repeated passage of an
-article is still its text (see the README).
-
-For all other blocks repetition decides. The token streams of a host's pages
-are concatenated, and a suffix array finds substrings of ``RUN`` tokens and more
-that repeat across distinct pages (pages of equal html count as one): each task
-sorts the suffixes of its pages, neighbours with a common prefix of RUN tokens
-are one entry, and the entries of all tasks are merged by host and prefix. Every
-substring that long is covered by its RUN-token windows, so removing the windows
-that stand on two pages removes all repeated substrings whole; the unique runs
-stay, in page order.
+If the page names its article by a tag (``article``, else ``main``), the blocks
+inside are the text. They are not searched for repeats: articles quote and copy
+each other, and a repeated passage of an article is still its text (see the
+README). If only a class or id such as ``content`` names it, blocks inside are
+text, and so are unique runs of ``RUN`` tokens or more outside.
+
+For all other blocks repetition decides. Windows of ``RUN`` tokens are hashed
+together with their host and counted over distinct pages (pages of equal html
+count as one): each task sends one entry per host and window. Every substring of
+RUN tokens or more that stands on two pages is covered by its windows, so
+removing the windows that do removes all repeated substrings whole; the unique
+runs stay, in page order. These are the substrings that a suffix array over the
+host's token streams would give, without gathering a host's pages anywhere.
 
 The merged table of repeated windows is sent to all tasks only if it has at most
 ``SENT_WINDOWS`` rows (8 bytes each); beyond that it is joined to the pages'
@@ -63,6 +63,10 @@ PREFIX = set("ad ads advert adverts advertisement adsense sponsor sponsored prom
 STATE = set("no has with without is open opened closed enabled disabled active visible free on off accepted loaded".split())
 WHOLE = set("html body main article".split())
 ARTICLE_HINTS = set("content article post entry story main".split())
+# A class or id names the article if its words are all hints or of HINT_PARTS, one of them a hint. Furniture may bear a hint too (``main-menu``), but a
+# heading of the article does (``article-header``).
+HINT_PARTS = set("body text inner area column page blog single full".split())
+HEADING = set("header masthead".split())
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']+|"[^"]*"|'[^']*')*+)>""", re.S)
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
@@ -73,7 +77,14 @@ def _furniture(token: str) -> bool:
     words = _WORD.findall(token)
     if not words or STATE & set(words):
         return False
-    return words[0] in PREFIX or any(w in FURNITURE for w in words) and all(w in FURNITURE or w in NEUTRAL or w.isdigit() for w in words)
+    mine = FURNITURE & set(words)
+    rest = [w for w in words if w not in FURNITURE and w not in NEUTRAL and not w.isdigit()]
+    return words[0] in PREFIX or bool(mine) and (not rest or ARTICLE_HINTS.issuperset(rest) and not mine <= HEADING)
+
+
+def _hint(token: str) -> bool:
+    words = _WORD.findall(token)
+    return bool(ARTICLE_HINTS & set(words)) and all(w in ARTICLE_HINTS or w in HINT_PARTS or w.isdigit() for w in words)
 
 
 def _element(name: str, attributes: str) -> tuple[bool, int]:
@@ -83,12 +94,11 @@ def _element(name: str, attributes: str) -> tuple[bool, int]:
     if attributes.strip() and not never:
         found = {k.lower(): v.strip("\"'").lower() for k, v in _ATTRIBUTE.findall(attributes)}
         tokens = f"{found.get('class', '')} {found.get('id', '')}".split()
-        words = set(_WORD.findall(" ".join(tokens)))
         role = found.get("role", "")
         never = name not in WHOLE and any(map(_furniture, tokens)) or role in ROLES or "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in found.get("style", "").replace(" ", "")
         if role == "main":
             rank = max(rank, 2)
-        elif not rank and words & ARTICLE_HINTS:
+        elif not rank and any(map(_hint, tokens)):
             rank = 1
     return never, rank
 
@@ -97,9 +107,21 @@ def blocks(html: str) -> list[tuple[bool, int, str]]:
     """(never the article, container rank, text) of the page's blocks in order."""
     out: list[tuple[bool, int, str]] = []
     stack: list[tuple[str, bool, int]] = []
+    open_names: dict[str, int] = {}            # how often each name stands open
+    solid: list[int] = []                      # places of open paragraphs and block elements
     never, rank = False, 0
     held: list[str] = []
 
+    def close(depth: int) -> None:
+        """Ends the open elements from place ``depth`` on."""
+        nonlocal never, rank
+        for name, _, _ in stack[depth:]:
+            open_names[name] -= 1
+        del stack[depth:]
+        while solid and solid[-1] >= depth:
+            solid.pop()
+        never, rank = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
+
     def flush() -> None:
         text = " ".join(entities.unescape("".join(held)).split())
         if text:
@@ -120,12 +142,11 @@ def blocks(html: str) -> list[tuple[bool, int, str]]:
             continue
         name = tag[2].lower()
         if tag[1]:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), -1)
-            if depth >= 0:
+            if open_names.get(name):
+                depth = next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name)
                 if any(x[0] in BLOCK or x[1] for x in stack[depth:]):
                     flush()
-                del stack[depth:]
-                never, rank = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
+                close(depth)
             continue
         if name == "br":
             held.append(" ")
@@ -133,13 +154,10 @@ def blocks(html: str) -> list[tuple[bool, int, str]]:
         if name in BLOCK:
             flush()
             if name == "body":
-                stack.clear()
-                never, rank = False, 0
+                close(0)
             # an open paragraph ends where another block begins, and what stands open in it
-            inner = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == "p" or stack[i][0] in BLOCK), -1)
-            if inner >= 0 and stack[inner][0] == "p":
-                del stack[inner:]
-                never, rank = (stack[-1][1], stack[-1][2]) if stack else (False, 0)
+            if solid and stack[solid[-1]][0] == "p":
+                close(solid[-1])
         if name in VOID:
             continue
         mine, own = _element(name, tag[3])
@@ -150,19 +168,33 @@ def blocks(html: str) -> list[tuple[bool, int, str]]:
         if mine and not never:
             flush()
         if not tag[3].endswith("/") or name in BLOCK:
+            if name in BLOCK:
+                solid.append(len(stack))
+            open_names[name] = open_names.get(name, 0) + 1
             stack.append((name, never or mine, max(rank, own)))
             never, rank = stack[-1][1], stack[-1][2]
     flush()
     return out
 
 
-def _split(html: str | None) -> tuple[list[str], list[str], list[bool]]:
-    """(blocks of the named article, other blocks, which of those may be text)."""
+def _split(html: str | None) -> tuple[list[str], list[str], list[bool], list[bool] | None]:
+    """(blocks of the named article, other blocks, which of those may be text, and
+    where both may be: for each block that may, whether it is one of the article)."""
     found = blocks(html or "")
     best = max((r for n, r, _ in found if not n), default=0)
     article = [t for n, r, t in found if best and r == best and not n]
-    other = [(n or bool(best), t) for n, r, t in found if n or not best or r != best]
-    return article, [t for _, t in other], [not n for n, _ in other]
+    other = [(n or best > 1, t) for n, r, t in found if n or not best or r != best]
+    both = [r == best for n, r, _ in found if not n] if best == 1 else None
+    return article, [t for _, t in other], [not n for n, _ in other], both
+
+
+def _in_order(article: list[str], unique: list[str], both: list[bool] | None) -> list[str]:
+    """The page's text: the article; or, where a class names it, with the long unique runs around it; or the unique runs."""
+    if both is None:
+        return article or [u for u in unique if u]
+    inside, outside = iter(article), iter(unique)
+    out = [next(inside) if mine else next(outside) for mine in both]
+    return [t for t, mine in zip(out, both) if mine or len(t.split()) >= RUN]
 
 
 def _windows(hosts: list[str], streams: list[list[str]]):
@@ -184,7 +216,7 @@ def _windows(hosts: list[str], streams: list[list[str]]):
     key = host[page]
     for j in range(RUN):
         key = at.mix(key * np.uint64(0xD6E8FEB86659FD93) + token[begin + j])
-    return page, key, begin - first[:-1][page], count, token, begin
+    return page, key, begin - first[:-1][page], count
 
 
 def _host(url: str | None) -> str:
@@ -193,18 +225,15 @@ def _host(url: str | None) -> str:
 
 
 def _shard(batches):
-    """The suffix array of a task's pages, batch by batch: one entry per host and
-    RUN-token prefix, with the least and greatest page that holds it."""
+    """One entry per host and RUN-token window of a batch's pages, with the least and greatest page that holds it."""
     for batch in batches:
         for lo in range(0, batch.num_rows, 2000):
             urls, pages = (batch.column(k).slice(lo, 2000).to_pylist() for k in (0, 1))
-            page, key, _, _, token, begin = _windows([_host(u) for u in urls], [_split(h)[1] for h in pages])
+            page, key, _, _ = _windows([_host(u) for u in urls], [_split(h)[1] for h in pages])
             if not len(page):
                 continue
             who = at.mix(at.word_hashes([(h or "") + "-" for h in pages])).view(np.int64)[page]
-            # entries in order of the hash of host and window: equal windows become neighbours, which is all the count needs
-            rank = np.unique(token, return_inverse=True)[1]
-            order = np.lexsort([*(rank[begin + j] for j in range(RUN - 1, -1, -1)), key])
+            order = np.argsort(key, kind="stable")             # equal windows of a host become neighbours
             k, w = key[order], who[order]
             new = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
             yield pa.RecordBatch.from_arrays([pa.array(k[new].view(np.int64)), pa.array(np.minimum.reduceat(w, new)), pa.array(np.maximum.reduceat(w, new))],
@@ -219,13 +248,13 @@ def repeated_windows(spark: SparkSession, pages: DataFrame, url: str = "url", ht
 
 
 def _unique_runs(other: list[str], allowed: list[bool], covered: np.ndarray) -> tuple[list[str], int]:
-    """Of the blocks that may be text, the tokens that no repeated window covers."""
+    """Of each block that may be text, the tokens that no repeated window covers."""
     out, k = [], 0
     for text, ok in zip(other, allowed):
         tokens = text.split()
         kept = [t for t, c in zip(tokens, covered[k:k + len(tokens)]) if not c]
         k += len(tokens)
-        if ok and kept:
+        if ok:
             out.append(" ".join(kept))
     return out, int(covered.sum())
 
@@ -237,18 +266,18 @@ def _texts(batches, known):
         for at_ in range(0, batch.num_rows, 500):
             urls, pages = (batch.column(k).slice(at_, 500).to_pylist() for k in (1, 2))
             cut = [_split(h) for h in pages]
-            page, key, begin, count, _, _ = _windows([_host(u) for u in urls], [c[1] for c in cut])
+            page, key, begin, count = _windows([_host(u) for u in urls], [c[1] for c in cut])
             windows = known(batch, at_, at_ + len(urls))
             hit = np.zeros(len(key), bool)
             if len(windows):
                 hit = windows[np.minimum(np.searchsorted(windows, key.view(np.int64)), len(windows) - 1)] == key.view(np.int64)
             edge = np.searchsorted(page, np.arange(len(urls) + 1))
-            for i, (article, other, allowed) in enumerate(cut):
+            for i, (article, other, allowed, both) in enumerate(cut):
                 covered = np.zeros(int(count[i]), bool)
                 for b in begin[edge[i]:edge[i + 1]][hit[edge[i]:edge[i + 1]]]:
                     covered[b:b + RUN] = True
                 unique, n = _unique_runs(other, allowed, covered)
-                texts.append("\n".join(article or unique))
+                texts.append("\n".join(_in_order(article, unique, both)))
                 repeated.append(n)
                 held += len(texts[-1])
                 if held >= EMIT_BYTES or at_ + i == batch.num_rows - 1:
@@ -261,7 +290,7 @@ def _page_windows(batches):
     for batch in batches:
         for lo in range(0, batch.num_rows, 500):
             ids, urls, pages = (batch.column(k).slice(lo, 500).to_pylist() for k in range(3))
-            page, key, _, _, _, _ = _windows([_host(u) for u in urls], [_split(h)[1] for h in pages])
+            page, key, _, _ = _windows([_host(u) for u in urls], [_split(h)[1] for h in pages])
             yield pa.RecordBatch.from_arrays([pa.array(np.array(ids, np.int64)[page]), pa.array(key.view(np.int64))], names=["row", "window"])
 
 

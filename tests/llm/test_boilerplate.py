@@ -17,7 +17,7 @@ def test_blocks():
       <div class="cookie-notice">we use</div><main><aside>side</aside><article><h1>Title &amp; more</h1><p>One<b> two</b><br>three<p>Four&nbsp;five
       <div class="ad">buy</div><form><input>name</form><script>if (a < b) "</p>"</script><p hidden>no</p><p>caf&eacute; &#8364;</p><!-- <p>out</p> -->
       <section id="comments"><article class="comment"><p>reader</p></article></section></article></main><footer>&copy; foot</footer></body>"""
-    article, other, allowed = bp._split(page)
+    article, other, allowed, _ = bp._split(page)
     assert article == ["Title & more", "One two three", "Four five", "café €"]
     assert not any(allowed) and "menu" in other
 
@@ -88,3 +88,36 @@ def test_words_in_the_class_of_what_holds_the_article(page):
 def test_furniture_by_class_or_id(name):
     for attribute in ("class", "id"):
         assert bp._split(f'<article><p>Text</p><div {attribute}="{name}">other</div></article>')[0] == ["Text"]
+
+
+def alone(spark, *htmls):
+    """The texts of pages that share no host."""
+    frame = spark.createDataFrame([(i, f"http://h{i}.org/", h) for i, h in enumerate(htmls)], "page_id long, url string, html string")
+    return [r.text for r in bp.extract(spark, frame).orderBy("row_key").collect()]
+
+
+BODY = " ".join(f"word{k}" for k in range(20))
+
+
+def test_bodies_without_article_markup_stay(spark):
+    """Words such as main or content in a menu's class make no container, and text outside a class's container is not lost."""
+    assert alone(spark,
+                 '<div id="main-menu">Home About</div><div class="text"><p>Body of the page</p></div>',
+                 '<div class="content-sidebar">Home About</div><div class="text"><p>Body of the page</p></div>',
+                 f'<div class="post"><p>Teaser</p></div><div class="x"><p>{BODY}</p><p>short</p></div>',
+                 f'<div class="content">One</div><p>{BODY}</p><div class="content">Two</div>',
+                 '<div class="entry-content"><p>Kept</p><div class="entry-footer">gone</div><div class="post-comments">gone</div></div>',
+                 '<article><p>Kept</p><div class="entry-footer">gone</div><div class="post-comments">gone</div><ul class="main-nav"><li>gone</ul></article><p>outside of it</p>',
+                 '<div class="postage">Only text</div>') == [
+        "Body of the page", "Body of the page", f"Teaser\n{BODY}", f"One\n{BODY}\nTwo", "Kept", "Kept", "Only text"]
+
+
+@pytest.mark.parametrize("unit", ["<b>x", "<div>x", "<b><p>x", "<i>x</u>", "<p><b>x</div>"])
+def test_unclosed_tags_take_linear_time(unit):
+    import time
+    took = []
+    for n in (20_000, 40_000):
+        begun = time.time()
+        bp.blocks(unit * n)
+        took.append(time.time() - begun)
+    assert took[1] < 3.5 * took[0] + 0.2
