@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import arrowtext as at
+from .samples import labelled_texts
 from .runtime import on_workers
 
 DIMS = 1024
@@ -153,11 +154,8 @@ def fit(spark: SparkSession, docs: DataFrame, labelled: DataFrame, key: str = "d
     """``labelled`` has ``key`` and ``label`` of the rows that may be learnt from."""
     df = document_frequencies(spark, docs, text, dims)
     idf = np.log((df[-1] + 1) / (df[:-1] + 1)).astype(np.float32) + np.float32(0.1)
-    # which rows: by key alone, at most ``rows`` of them, so that no text but theirs moves
-    chosen = labelled.where(F.col(label).isNotNull()).select(F.col(key).alias("k"), F.col(label).cast("double").alias("y")).distinct()
-    chosen = chosen.orderBy(F.xxhash64("k"), "k", "y").limit(rows)
-    texts = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).where(F.octet_length("t").between(1, MAX_TEXT_BYTES))
-    sample = texts.join(F.broadcast(chosen), "k").toArrow().sort_by([("k", "ascending"), ("t", "ascending"), ("y", "ascending")])
+    marked = labelled.where(F.col(label).isNotNull()).select(F.col(key).alias("k"), F.col(label).cast("double").alias("y"))
+    sample = labelled_texts(docs.select(F.col(key).alias("k"), F.col(text).alias("t")), marked, rows, (1, MAX_TEXT_BYTES))
     y = np.array(sample.column("y").to_pylist(), float)
     model = Model(dims, idf, np.zeros((2 * dims, 0), np.float32), np.zeros((0, 0), np.float32), y, float(y.mean()) if len(y) else 0.5, neighbours)
     if not len(y):

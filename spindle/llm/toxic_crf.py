@@ -42,6 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import arrowtext as at
+from .samples import labelled_texts
 from .runtime import on_workers
 
 PER_LABEL = 3000
@@ -269,13 +270,7 @@ def fit(spark: SparkSession, docs: DataFrame, labelled: DataFrame, key: str = "d
     """``labelled`` has ``key`` and ``label`` (0 or 1) of the rows that may be learnt from."""
     marked = labelled.where(F.col(label).isin(0, 1)).select(F.col(key).alias("k"), F.col(label).cast("int").alias("y")).distinct()
     shares = {r.y: r.n for r in marked.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    # which rows: by key alone, so that only their texts are joined
-    chosen = None
-    for y in (0, 1):
-        some = marked.where(F.col("y") == y).orderBy(F.xxhash64("k"), "k").limit(per_label)
-        chosen = some if chosen is None else chosen.unionByName(some)
-    texts = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).where(F.octet_length("t") <= MAX_TEXT_BYTES)
-    sample = texts.join(F.broadcast(chosen), "k").select("k", "y", "t").toArrow().sort_by([("k", "ascending"), ("t", "ascending"), ("y", "ascending")])
+    sample = labelled_texts(docs.select(F.col(key).alias("k"), F.col(text).alias("t")), marked, per_label, (0, MAX_TEXT_BYTES), [0, 1])
     y = np.array(sample.column("y").to_pylist(), int)
     if len(set(y.tolist())) < 2:
         share = shares.get(1, 0) / max(1, sum(shares.values()))

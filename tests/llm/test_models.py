@@ -102,3 +102,17 @@ def test_votes_match_plain_cosines(spark):
         c = sorted(((float(v @ u), y) for u, y in zip(model.vectors, model.labels)), reverse=True)[:5]
         w = [max(x, 1e-6) ** 4 for x, _ in c]
         assert abs(got[r.doc_id] - sum(a * y for a, (_, y) in zip(w, c)) / sum(w)) < 1e-3
+
+
+def test_sample_is_bounded_in_rows_and_replaces_long_texts(spark):
+    """One doc_id stands on a third of all rows; long and missing texts give way to the next keys."""
+    from spindle.llm.samples import labelled_texts
+    docs = [(7, f"hot {i % 50}") for i in range(500)] + [(i, "x" * 300 if i % 3 else f"text {i}") for i in range(1000, 1600)] + [(None, "no id")]
+    marked = [(7, 1), (7, 0), (7, 1)] + [(i, i % 2) for i in range(1000, 1800)] + [(None, 1)]
+    d, m = spark.createDataFrame(docs, "k long, t string"), spark.createDataFrame(marked, "k long, y int")
+    whole = labelled_texts(d, m, 10_000, (0, 100), [0, 1])
+    assert whole.num_rows == 202 and sorted(r["t"] for r in whole.to_pylist() if r["k"] == 7) == ["hot 0", "hot 0"]
+    some = labelled_texts(d, m, 40, (0, 100), [0, 1]).to_pylist()
+    assert sorted(r["y"] for r in some) == [0] * 40 + [1] * 40 and all(r["t"].startswith(("text", "hot")) for r in some)
+    assert labelled_texts(d, m, 40, (0, 100)).num_rows == 40 and labelled_texts(d, m.limit(0), 40, (0, 100)).num_rows == 0
+    assert labelled_texts(d.limit(0), m, 40, (0, 100), [0, 1]).num_rows == 0
