@@ -28,6 +28,9 @@ from pyspark.sql import functions as F
 from ..plans.loops import cut
 from ..session import partitions_for
 
+UNROLLED = 32          # centres up to which the search is unrolled into conditions
+
+
 def init_centres(max_value: int | float, k: int) -> list[float]:
     """Evenly spaced seeds: centre i = floor(max / k) * i, i = 1..k
     (integer division, as both operands are integers in the reference)."""
@@ -55,6 +58,20 @@ def _doubles(values: list[float]) -> Column:
     return F.lit([float(v) for v in values]) if len(values) < 64 else F.from_json(F.lit(json.dumps([float(v) for v in values])), "array<double>")
 
 
+def _unrolled(x: Column, values: list[float], ids: list[int], low: int, high: int) -> Column:
+    """The halving as nested conditions (these are code-generated): the first centre >= x lies in low..high."""
+    if low < high:
+        mid = (low + high) // 2
+        return F.when(x > values[mid], _unrolled(x, values, ids, mid + 1, high)).otherwise(_unrolled(x, values, ids, low, mid))
+    if low == 0:
+        return F.lit(ids[0])
+    if low == len(values):
+        return F.lit(ids[-1])
+    left, right = F.abs(x - F.lit(values[low - 1])), F.abs(x - F.lit(values[low]))
+    nearer = left <= right if ids[low - 1] < ids[low] else left < right
+    return F.when(nearer, ids[low - 1]).otherwise(ids[low])
+
+
 def nearest(x: Column, centres: list[float]) -> Column:
     """Index of the nearest centre; ties go to the lowest index.
 
@@ -66,6 +83,8 @@ def nearest(x: Column, centres: list[float]) -> Column:
     for i, c in enumerate(centres):
         first.setdefault(float(c), i)
     values = sorted(first)
+    if len(values) <= UNROLLED:
+        return F.when(x.isNotNull(), _unrolled(x, values, [first[v] for v in values], 0, len(values)).cast("int"))
     arr = _doubles(values)
     low, high = F.lit(0), F.lit(len(values))
     start = F.struct(low.alias("low"), high.alias("high"))
