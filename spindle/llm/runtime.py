@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import os
+import re
 import uuid
+import zipfile
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,15 +19,42 @@ _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__
 BATCH_ROWS = 1000
 
 
+_SHIPPED: set[str] = set()
+
+
 def on_workers(spark: SparkSession) -> None:
-    """Lets Python workers import this package where it is run from a checkout,
-    and keeps Arrow batches of long texts small (``BATCH_ROWS`` rows at most)."""
+    """Lets Python workers import this package, and keeps Arrow batches of long
+    texts small (``BATCH_ROWS`` rows at most). Workers of a local session share
+    the driver's machine and get its path; to others the package's modules are
+    sent, once an application, as a zip file in the shared folder."""
     size = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(size)) <= BATCH_ROWS:
         spark.conf.set(size, str(BATCH_ROWS))
-    env = spark.sparkContext.environment
-    if _ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):
-        env["PYTHONPATH"] = os.pathsep.join(x for x in (_ROOT, env.get("PYTHONPATH", "")) if x)
+    sc = spark.sparkContext
+    if re.match(r"local(\[|$)", sc.master):
+        path = sc.environment.get("PYTHONPATH", "")
+        if _ROOT not in path.split(os.pathsep):
+            sc.environment["PYTHONPATH"] = os.pathsep.join(x for x in (_ROOT, path) if x)
+    elif sc.applicationId not in _SHIPPED:
+        packed = io.BytesIO()
+        with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+            for folder, _, names in os.walk(os.path.join(_ROOT, "spindle")):
+                for name in sorted(n for n in names if n.endswith(".py")):
+                    full = os.path.join(folder, name)
+                    z.write(full, os.path.relpath(full, _ROOT))
+        where = f"{_shared(spark)}/spindle-{sc.applicationId}.zip"
+        at = sc._jvm.org.apache.hadoop.fs.Path(where)
+        stream = at.getFileSystem(sc._jsc.hadoopConfiguration()).create(at, True)
+        try:
+            stream.write(bytearray(packed.getvalue()))
+        finally:
+            stream.close()
+        sc.addPyFile(where)
+        _SHIPPED.add(sc.applicationId)
+
+
+def _shared(spark: SparkSession) -> str:
+    return (spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)).rstrip("/")
 
 
 _MADE: list[str] = []
@@ -32,8 +62,7 @@ _MADE: list[str] = []
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder that spark.checkpoint.dir names."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    _MADE.append(f"{base.rstrip('/')}/spindle-llm-{name}-{uuid.uuid4().hex[:12]}")
+    _MADE.append(f"{_shared(spark)}/spindle-llm-{name}-{uuid.uuid4().hex[:12]}")
     return _MADE[-1]
 
 
