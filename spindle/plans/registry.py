@@ -627,11 +627,12 @@ def q_lexicon_io(spark, sf):
     return textops.sentiment_score(W.table(spark, sf, "documents"), delimited.read_lexicon(spark, path), order="line")
 
 
-@register("merge_files", "SELECT n_name AS file, n_name || ',' || CAST(n_nationkey AS VARCHAR) || ',' AS merged FROM nation")
+@register("merge_files", """
+SELECT strftime(o_orderdate, '%Y-%m') AS file, string_agg(o_orderkey || '|' || o_custkey, ',' ORDER BY o_orderkey) || ',' AS merged FROM orders GROUP BY 1""")
 def q_merge_files(spark, sf):
-    """One file per nation written by the per-file sink, then merged file by file."""
+    """One folder per month of orders written by the per-file sink, its lines in key order, then merged file by file."""
     path = scratch_path(spark, "files")
-    n = W.table(spark, sf, "nation").select(F.col("n_name").alias("file"), F.concat_ws("\n", "n_name", F.col("n_nationkey").cast("string")).alias("value"))
-    delimited.write_per_file(n, path)
+    o = W.table(spark, sf, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("file"), "o_orderkey", F.concat_ws("|", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")).alias("value"))
+    delimited.write_per_file(o.repartition("file").sortWithinPartitions("file", "o_orderkey"), path)
     merged = folders.merge_lines(folders.read_files(spark, path))
     return merged.select(F.url_decode(F.regexp_extract("path", "file=([^/]+)/", 1)).alias("file"), "merged")
