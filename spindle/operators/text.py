@@ -22,13 +22,24 @@ def _dedup_lexicon(lexicon: DataFrame, term: str, score: str, order: str | None)
 
 def _grams(toks, max_n: int):
     """Tokens plus, for n = 2..max_n, every run of n consecutive tokens joined
-    by one space (so lexicon phrases containing spaces can match)."""
-    out = toks
-    for n in range(2, max_n + 1):
-        runs = F.transform(F.sequence(F.lit(0), F.size(toks) - n),
-                           lambda i: F.array_join(F.slice(toks, i + 1, n), " "))
-        out = F.concat(out, F.when(F.size(toks) >= n, runs).otherwise(F.array().cast("array<string>")))
-    return out
+    by one space (so lexicon phrases containing spaces can match).
+
+    The runs of n are those of n - 1 zipped with the tokens that follow them, and
+    the tokens are bound once, so a text is split once and costs time in
+    proportion to its length."""
+    if max_n < 2:
+        return toks
+
+    def grams(words):
+        runs, parts = words, [words]
+        for n in range(2, max_n + 1):
+            # the shorter side is the followers': what lies beyond the last whole run is NULL and dropped
+            later = F.slice(words, n, F.greatest(F.size(words) - F.lit(n - 1), F.lit(0)))
+            runs = F.filter(F.zip_with(runs, later, lambda a, b: F.when(b.isNotNull(), F.concat(a, F.lit(" "), b))), lambda x: x.isNotNull())
+            parts.append(runs)
+        return F.concat(*parts)
+
+    return F.get(F.transform(F.array(toks), grams), F.lit(0))
 
 
 def sentiment_score(docs: DataFrame, lexicon: DataFrame, id_col: str = "doc_id", text_col: str = "text",

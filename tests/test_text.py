@@ -162,3 +162,14 @@ def test_record_time_ignores_session_zone(spark):
         assert '"Mon Feb 06 16:15:30 UTC 2012"' in line
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_phrases_of_a_long_text_split_it_once(spark):
+    words = [f"w{i % 700}" for i in range(30_000)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, "w1"), (3, ""), (4, None)], "doc_id int, text string")
+    lex = spark.createDataFrame([("w1 w2", 1), ("w699 w0 w1", 10), ("w5", 100), ("w1", 1000)], "term string, score int")
+    scored = textops.sentiment_score(docs, lex, ngrams=3)
+    assert scored._jdf.queryExecution().optimizedPlan().toString().count("split(text") == 1
+    joined = [" ".join(words[i:i + n]) for n in (1, 2, 3) for i in range(len(words) - n + 1)]
+    want = sum({"w1 w2": 1, "w699 w0 w1": 10, "w5": 100, "w1": 1000}.get(g, 0) for g in joined)
+    assert sorted(tuple(r) for r in scored.collect()) == [(1, want), (2, 1000), (3, 0), (4, 0)]
