@@ -189,8 +189,9 @@ def nearest_join(points: DataFrame, centres: DataFrame, x: str = "x", centre: st
     the lowest ``cid``; for centres too many for the plan or the driver.
 
     Distinct points and centres are range-partitioned and sorted together once.
-    Within a part a running maximum gives each point the centre at or before it,
-    a running minimum the one after it; the outermost centres of each part (one
+    Within a part a running window gives each point the centre at or before it, and
+    one in falling order the centre after it (both grow row by row, so a part costs
+    one pass each); the outermost centres of each part (one
     row a part) are carried over to the parts beside it. Points without a value,
     and all points if there are no centres, get NULLs."""
     spark = points.sparkSession
@@ -202,8 +203,8 @@ def nearest_join(points: DataFrame, centres: DataFrame, x: str = "x", centre: st
     parts = partitions_for(spark, size.count(), 64)
     placed = cut(size.repartitionByRange(parts, "_x").withColumn("_part", F.spark_partition_id()))
     left = Window.partitionBy("_part").orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-    right = Window.partitionBy("_part").orderBy("_x").rowsBetween(0, Window.unboundedFollowing)
-    within = placed.withColumns({"_low": F.last("_here", ignorenulls=True).over(left), "_high": F.first("_here", ignorenulls=True).over(right)})
+    right = Window.partitionBy("_part").orderBy(F.col("_x").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    within = placed.withColumns({"_low": F.last("_here", ignorenulls=True).over(left), "_high": F.last("_here", ignorenulls=True).over(right)})
     edges = placed.groupBy("_part").agg(F.max("_here").alias("_max"), F.min("_here").alias("_min"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     after = Window.orderBy("_part").rowsBetween(1, Window.unboundedFollowing)

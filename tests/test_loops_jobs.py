@@ -141,3 +141,14 @@ def test_sieves_are_bounded(spark):
     t = spark.createDataFrame([(1.0, i, *(f"{rng.randrange(40)}" for _ in range(4))) for i in range(3000)], "tu double, _tk long, a string, b string, c string, d string").dropDuplicates(["a", "b", "c", "d"])
     per = dn.sieves(t, "tu", ["a", "b", "c", "d"]).groupBy("tu", "sid", "k0", "k1", "k2", "k3").count().groupBy("sid").agg(F.max("count").alias("n")).collect()
     assert max(r.n for r in per) <= 65
+
+
+def test_nearest_join_windows_grow_row_by_row(spark):
+    """A frame that starts at the current row is gone through anew for every row."""
+    points = spark.createDataFrame([(i, float(i * 7 % 1009)) for i in range(300)], "id int, x double")
+    centres = spark.createDataFrame([(i, i * 3.5) for i in range(100)], "cid long, center double")
+    got = cluster.nearest_join(points, centres)
+    plan = got._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "unboundedfollowing" not in plan.replace("specifiedwindowframe(rowframe, 1, unboundedfollowing", "")       # the frame over one row a part may
+    want = {(i, min((abs(float(i * 7 % 1009) - c * 3.5), c) for c in range(100))[1]) for i in range(300)}
+    assert {(r["id"], r["cid"]) for r in got.collect()} == want
