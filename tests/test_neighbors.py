@@ -170,3 +170,41 @@ def test_dense_users_take_the_walk(spark):
     q = spark.createDataFrame([(float(i) / 2000,) for i in range(2000)], "_qu double")
     users = spark.createDataFrame([(float(i) / 2000,) for i in range(2000)], "tu double")
     assert nb._pairs_per_user(q, users, 2.0) > nb.DENSE > nb._pairs_per_user(q.selectExpr("_qu * 4000 as _qu"), users.selectExpr("tu * 4000 as tu"), 2.0)
+
+
+def _spread(seed, nq, nt, users):
+    """Rows whose users lie apart unevenly, no user with many rows, nulls among the attributes."""
+    rnd = random.Random(seed)
+    at = [float(u * 1.5 if u < users // 2 else u * 7) for u in range(users)]
+
+    def row(i, pre):
+        some = [rnd.choice([*values, None]) for values in ("AB", ["T0", "T1", "T2"], "XY", "PQ")]
+        return (f"{pre}{i:05d}", rnd.choice(at), some[0], some[1], some[2], 2000, some[3])
+    return [row(i, "q") for i in range(nq)] + [("q_low", -400.0, "A", "T0", "X", 2000, "P"), ("q_high", 1e5, "B", None, "Y", 2000, "Q")], [row(i, "t") for i in range(nt)]
+
+
+@pytest.mark.parametrize("band,k", [(2.0, 3), (0.25, 6)])
+def test_knn_leaves_few_queries_to_joins(spark, monkeypatch, band, k):
+    """Candidates stay in the sorted pass: only queries at its partitions' edges are joined with rows."""
+    monkeypatch.setattr(nb.near_users, "partitions_for", lambda *_: 2)
+    joined = []
+    plain_pairs = nb._user_pairs
+    monkeypatch.setattr(nb, "_user_pairs", lambda pending, *rest: (joined.append(pending.count()), plain_pairs(pending, *rest))[1])
+    qs, ts = _spread(5, 1500, 1500, 400)
+    got = nb.knn_topk(spark.createDataFrame(qs, SCHEMA), spark.createDataFrame(ts, SCHEMA), k=k, band=band, carry=["year"], q_carry=["title"]).collect()
+    assert sorted((r["row_key"], r["rank"], r["t_row_key"], r["distance"]) for r in got) == _brute(qs, ts, k)
+    titles = {q[0]: q[3] for q in qs}
+    assert all(r["t_year"] == 2000 and r["q_title"] == titles[r["row_key"]] for r in got)
+    assert sum(joined[:1]) < len(qs) * 0.2
+
+
+def test_knn_copies_and_a_hot_user_beside_small_ones(spark):
+    qs, ts = _spread(8, 80, 300, 40)
+    ts += [(f"h{i:05d}", 30.0, "AB"[i % 2], f"T{i % 50}", "XY"[i % 3 % 2], 2000, f"P{i % 7}") for i in range(500)]
+    copies = [(*t, c) for t in ts for c in range(1 + int(t[0][1:]) % 3)]
+    got = nb.knn_topk(spark.createDataFrame(qs, SCHEMA), spark.createDataFrame(copies, SCHEMA + ", copy int"), k=4, tie=["row_key", "copy"], collapse_copies=True).collect()
+    want = []
+    for q in qs:
+        best = sorted((_dist(q, t), t[0], t[7]) for t in copies)[:4]
+        want += [(q[0], i + 1, t, c, d) for i, (d, t, c) in enumerate(best)]
+    assert sorted((r["row_key"], r["rank"], r["t_row_key"], r["t_copy"], r["distance"]) for r in got) == sorted(want)
