@@ -468,8 +468,7 @@ FROM knn k JOIN (SELECT DISTINCT row_key, title, year, publisher FROM t) t ON t.
 JOIN (SELECT DISTINCT row_key, publisher FROM q) q ON q.row_key = k.row_key""")
 def q_knn_payload(spark, sf):
     """Neighbours with what the job prints: training title and year, both publishers."""
-    res, q = _knn(spark, sf, carry=["title", "year", "publisher"])
-    return res.join(q.select("row_key", "publisher").distinct(), "row_key")
+    return _knn(spark, sf, carry=["title", "year", "publisher"], q_carry=["publisher"])[0].withColumnRenamed("q_publisher", "publisher")
 
 
 _BAL_SQL = "SELECT c_acctbal AS x FROM customer UNION ALL SELECT s_acctbal FROM supplier"
@@ -503,7 +502,7 @@ best AS (SELECT q.title, k.t_row_key, min(k.distance) AS distance FROM knn k JOI
 SELECT * FROM (SELECT title, CAST(row_number() OVER (PARTITION BY title ORDER BY distance, t_row_key) AS INT)
                AS rank, t_row_key, distance FROM best) WHERE rank <= {KNN_K}""")
 def q_knn_by_title(spark, sf):
-    res, q = _knn(spark, sf)
+    res, q = _knn(spark, sf, q_carry=["title"])
     return nb.knn_by_title(res, q, k=KNN_K)
 
 
