@@ -152,3 +152,24 @@ def test_nearest_join_windows_grow_row_by_row(spark):
     assert "unboundedfollowing" not in plan.replace("specifiedwindowframe(rowframe, 1, unboundedfollowing", "")       # the frame over one row a part may
     want = {(i, min((abs(float(i * 7 % 1009) - c * 3.5), c) for c in range(100))[1]) for i in range(300)}
     assert {(r["id"], r["cid"]) for r in got.collect()} == want
+
+
+def test_knn_distinct_in_the_sorted_pass(spark, monkeypatch):
+    monkeypatch.setattr(dn.near_users, "partitions_for", lambda *_: 2)
+    joined = []
+    plain_pairs = dn._user_pairs
+    monkeypatch.setattr(dn, "_user_pairs", lambda pending, *rest: (joined.append(pending.count()), plain_pairs(pending, *rest))[1])
+    rng = random.Random(12)
+    schema = "row_key string, user_id double, location string, title string, author string, publisher string"
+    rows = lambda pre, n: [(f"{pre}{i:05d}", rng.randint(0, 300) * 1.5, rng.choice("ABC"), rng.choice(["T0", "T1", None]), rng.choice("XY"), rng.choice("PQ")) for i in range(n)]
+    qs, ts = rows("q", 1000), rows("t", 1200)
+    got = dn.knn_distinct(spark.createDataFrame(qs, schema), spark.createDataFrame(ts, schema), k=5, q_carry=["title"]).collect()
+    want = []
+    for q in qs:
+        last = {}
+        for t in sorted(ts):
+            last[(q[1] - t[1]) ** 2 + sum(x != y for x, y in zip(q[2:], t[2:]))] = t[0]
+        want += [(q[0], i + 1, last[d], d, q[3]) for i, d in enumerate(sorted(last)[:5])]
+    key = lambda x: tuple(map(str, x))
+    assert sorted(((r["row_key"], r["rank"], r["t_row_key"], r["distance"], r["q_title"]) for r in got), key=key) == sorted(want, key=key)
+    assert sum(joined[:1]) < len(qs) * 0.2
