@@ -12,7 +12,7 @@ from ..operators import distinct_neighbors as dn
 from ..operators import neighbors as nb
 from ..operators import resample
 from ..operators import text as textops
-from ..session import drop_scratch, scratch_path
+from ..session import drop_scratch, scratch_path, stored
 from ..sources import arff, delimited, folders, named, numbered, tagged
 from . import workloads as W
 from .loops import cut
@@ -92,7 +92,7 @@ WITH {_DISTINCT_CTE}, bt AS (SELECT title, distance, max(t_row_key) AS t_row_key
 SELECT title, CAST(row_number() OVER (PARTITION BY title ORDER BY distance) AS INT) AS rank, t_row_key, distance FROM bt QUALIFY rank <= {DISTINCT_K}""")
 def q_knn_distinct_by_title(spark, sf):
     q, t = W.book_split(spark, sf)
-    return dn.distinct_by_title(dn.knn_distinct(q, t, k=DISTINCT_K), q, k=DISTINCT_K)
+    return dn.distinct_by_title(dn.knn_distinct(q, t, k=DISTINCT_K, q_carry=["title"]), q, k=DISTINCT_K)
 
 
 # ---------------------------------------------------------------- records between lines of asterisks
@@ -265,10 +265,10 @@ FROM knn JOIN x ON x.row_key = knn.t_row_key JOIN y ON y.row_key = knn.row_key G
 def q_neighbour_lines(spark, sf):
     """Neighbours written as ``distance<TAB>title,year,publisher`` lines, read back and counted."""
     q, t = W.book_split(spark, sf)
-    knn = nb.knn_topk(q, t, k=KNN_K, carry=["title", "year"]).join(q.select("row_key", "publisher").distinct(), "row_key")
+    knn = nb.knn_topk(q, t, k=KNN_K, carry=["title", "year"], q_carry=["publisher"])
     path = scratch_path(spark, "neighbours")
-    delimited.write_separated(knn.select("distance", F.concat_ws(",", "t_title", F.col("t_year").cast("string"), "publisher").alias("model")), path, "\t")
-    back = cut(spark.read.schema("distance STRING, model STRING").option("sep", "\t").option("escape", '"').csv(path))
+    delimited.write_separated(knn.select("distance", F.concat_ws(",", "t_title", F.col("t_year").cast("string"), "q_publisher").alias("model")), path, "\t")
+    back = stored(spark.read.schema("distance STRING, model STRING").option("sep", "\t").option("escape", '"').csv(path), "neighbours-read")
     drop_scratch(spark, path)
     return back.groupBy("distance", "model").agg(F.count(F.lit(1)).alias("n"))
 
