@@ -194,14 +194,19 @@ def pagerank(edges: DataFrame | Graph, nodes: DataFrame | None = None, iteration
     state, dangling = _cut_observing(
         g.nodes.select("node", "outdeg", "nsalt", F.lit(1.0 / n).alias("pr")),
         F.sum(F.when(F.col("outdeg") == 0, F.col("pr"))))
+    # one row a (src, salt) in place of one an edge: lists of at most the hot threshold, made where the edges lie
+    lists = g.edges.groupBy("src", "salt").agg(F.collect_list("dst").alias("to")).persist(StorageLevel.MEMORY_AND_DISK)
+    lists.count()
+    if own:
+        g.release()
     if ticks is not None:
         ticks.append(time.perf_counter())
     for _ in range(iterations):
         dangling = dangling or 0.0
         share = F.col("pr") / F.col("outdeg") if split_by_outdegree else F.col("pr")
         send = _fan_out(state.where(F.col("outdeg") > 0).select("node", "nsalt", share.alias("c")), "node")
-        contrib = (g.edges.join(send, ["src", "salt"])
-                   .groupBy(F.col("dst").alias("node")).agg(F.sum("c").alias("s")))
+        contrib = (lists.join(send, ["src", "salt"]).select("c", F.explode("to").alias("node"))
+                   .groupBy("node").agg(F.sum("c").alias("s")))
         base = F.coalesce(F.col("s"), F.lit(0.0)) + F.lit(dangling / n)
         if damping is not None:
             base = F.lit((1.0 - damping) / n) + F.lit(damping) * base
@@ -213,8 +218,7 @@ def pagerank(edges: DataFrame | Graph, nodes: DataFrame | None = None, iteration
             history.append(state)
         if ticks is not None:
             ticks.append(time.perf_counter())
-    if own:
-        g.release()          # the result is a checkpoint; the cached edges are no longer needed
+    lists.unpersist()        # the result is a checkpoint; the cached edges are no longer needed
     return state.select("node", "pr")
 
 
@@ -319,12 +323,17 @@ def bfs_relax_step(lines: DataFrame, col: str = "value") -> DataFrame:
     Each line sends its own distance and ``dist + 1`` to every neighbour; per
     node the minimum and the line's adjacency are kept, in one aggregate over
     one pass of the lines. Corrupt lines are left out."""
+    return _relaxed(lines, col).drop("was")
+
+
+def _relaxed(lines: DataFrame, col: str = "value") -> DataFrame:
+    """``bfs_relax_step`` with ``was``, the distance on the node's own line."""
     parsed = parse_node_lines(lines, col).where("_corrupt IS NULL")
     nbrs = F.filter(F.split(F.col("adj"), ":"), lambda x: x != "")
-    sent = F.concat(F.array(F.struct("node", "dist", "adj")),
-                    F.transform(nbrs, lambda x: F.struct(x.alias("node"), (F.col("dist") + 1).alias("dist"), F.lit(None).cast("string").alias("adj"))))
+    sent = F.concat(F.array(F.struct("node", "dist", "adj", F.col("dist").alias("was"))),
+                    F.transform(nbrs, lambda x: F.struct(x.alias("node"), (F.col("dist") + 1).alias("dist"), F.lit(None).cast("string").alias("adj"), F.lit(None).cast("int").alias("was"))))
     each = parsed.select(F.explode(sent).alias("s")).select("s.*")
-    return each.groupBy("node").agg(F.min("dist").cast("int").alias("dist"), F.max("adj").alias("adj"))
+    return each.groupBy("node").agg(F.min("dist").cast("int").alias("dist"), F.max("adj").alias("adj"), F.min("was").alias("was"))
 
 
 def bfs_files(spark: SparkSession, lines: DataFrame, folder: str, on_step=None) -> DataFrame:
@@ -333,20 +342,19 @@ def bfs_files(spark: SparkSession, lines: DataFrame, folder: str, on_step=None)
     Returns ``(node STRING, dist, adj)`` as ``bfs_relax_step`` does.
 
     A step's lines carry the distance before it in a fourth field, so how many
-    nodes changed is observed while they are written."""
+    nodes changed is observed while they are written. The distance before travels
+    with the node's own line (no join with the state); the files are gzipped."""
     from ..plans.chained import chain
 
     def step(state: DataFrame, _: int) -> DataFrame:
-        before = parse_node_lines(state).where("_corrupt IS NULL").select(F.col("node").alias("_n"), F.col("dist").alias("_d"))
-        new = bfs_relax_step(state)
-        return new.join(before, F.col("node") == F.col("_n"), "left").select(
-            F.concat_ws(" ", node_line(F.col("node"), F.col("dist"), F.col("adj")), F.coalesce("_d", F.lit(MR_INFINITY)).cast("string")).alias("value"))
+        return _relaxed(state).select(
+            F.concat_ws(" ", node_line(F.col("node"), F.col("dist"), F.col("adj")), F.coalesce("was", F.lit(MR_INFINITY)).cast("string")).alias("value"))
 
     def changed(frame: DataFrame) -> dict[str, Column]:
         p = F.split("value", " ")
         return {"changed": F.sum((F.get(p, 1) != F.coalesce(F.get(p, 3), F.get(p, 1))).cast("long"))}
 
-    done = chain(spark, folder, lambda: lines, step, lambda frame, path: frame.write.mode("overwrite").text(path), spark.read.text, metrics=changed,
+    done = chain(spark, folder, lambda: lines, step, lambda frame, path: frame.write.mode("overwrite").option("compression", "gzip").text(path), spark.read.text, metrics=changed,
                  until=lambda seen: not seen.get("changed"), on_step=on_step)
     return parse_node_lines(done).where("_corrupt IS NULL").select("node", "dist", F.when(F.col("adj") != "", F.col("adj")).alias("adj"))
 

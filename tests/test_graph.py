@@ -170,3 +170,39 @@ def test_dangling_mass(spark):
     e = spark.createDataFrame([(1, 2), (2, None), (3, 1)], "src long, dst long")
     g = graph.prepare_graph(e)
     assert graph.dangling_mass(g).first()[0] == pytest.approx(1 / 3)
+
+
+def test_pagerank_joins_lists_not_edges(spark, monkeypatch):
+    """A step joins one row a source (and salt), not one an edge."""
+    edges = spark.createDataFrame([(i, (i * 7 + j) % 40) for i in range(30) for j in range(9)], "src long, dst long").distinct()
+    joined = []
+    plain = graph._fan_out
+
+    def watched(df, key):
+        joined.append(df.count())
+        return plain(df, key)
+    monkeypatch.setattr(graph, "_fan_out", watched)
+    plans = []
+    cut = graph._cut_observing
+    monkeypatch.setattr(graph, "_cut_observing", lambda df, m: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), cut(df, m))[1])
+    rank = {r["node"]: r["pr"] for r in graph.pagerank(edges, iterations=3).collect()}
+    pairs = {(r["src"], r["dst"]) for r in edges.collect()}
+    nodes = {n for e in pairs for n in e}
+    degree = {n: sum(s == n for s, _ in pairs) for n in nodes}
+    want = {n: 1 / len(nodes) for n in nodes}
+    for _ in range(3):
+        lost = sum(want[n] for n in nodes if not degree[n]) / len(nodes)
+        want = {n: lost + sum(want[s] / degree[s] for s, d in pairs if d == n) for n in nodes}
+    assert rank.keys() == want.keys() and all(abs(rank[n] - want[n]) < 1e-12 for n in nodes)
+    assert len(joined) == 3 and all("explode(to" in p for p in plans[1:])
+
+
+def test_bfs_files_step_has_no_join(spark, tmp, monkeypatch):
+    edges = spark.createDataFrame([(1, 2), (2, 3), (3, 4), (4, 2), (6, 7)], "src long, dst long")
+    plans = []
+    plain = graph._relaxed
+    monkeypatch.setattr(graph, "_relaxed", lambda *a: (plans.append(1), plain(*a))[1])
+    found = {r["node"]: r["dist"] for r in graph.bfs_files(spark, graph.node_lines(edges, 1), f"{tmp}/steps").collect()}
+    assert found == {"1": 0, "2": 1, "3": 2, "4": 3, "6": None, "7": None} and len(plans) == 4
+    written = [f for _, _, names in __import__("os").walk(f"{tmp}/steps") for f in names if f.startswith("part-")]
+    assert written and all(f.endswith(".gz") for f in written)
