@@ -127,9 +127,9 @@ SELECT CAST(n.node AS VARCHAR) AS node, CASE WHEN n.node = s THEN 0 ELSE d.dist
 FROM nodes n LEFT JOIN d ON d.node = n.node LEFT JOIN adj ON adj.src = n.node, s""")
 def q_bfs_files(spark, sf):
     """Node-line files relaxed step by step, each reading the files of the one before, until no distance changes."""
-    e = cut(W.order_graph(spark, sf))
+    e = stored(W.order_graph(spark, sf), "edges")
     folder = scratch_path(spark, "bfs-steps")
-    found = cut(graph.bfs_files(spark, graph.node_lines(e, sssp_source(e)), folder))
+    found = stored(graph.bfs_files(spark, graph.node_lines(e, sssp_source(e)), folder), "bfs-found")
     drop_scratch(spark, folder)
     return found
 
@@ -205,7 +205,7 @@ def q_arff_foreign(spark, sf):
         path = scratch_path(spark, f"arff-{form}")
         spark.createDataFrame([(x,) for x in head], "value string").coalesce(1).write.text(f"{path}/header")
         d.select(line.alias("value")).write.text(f"{path}/data")
-        back = cut(arff.read_arff(spark, path, corrupt="_corrupt").where("_corrupt IS NULL").select(F.lit(form).alias("form"), "doc_id", "text", "lang", F.col("n_chars").cast("long").alias("n_chars"), "seen"))
+        back = stored(arff.read_arff(spark, path, corrupt="_corrupt").where("_corrupt IS NULL").select(F.lit(form).alias("form"), "doc_id", "text", "lang", F.col("n_chars").cast("long").alias("n_chars"), "seen"), "arff-read")
         drop_scratch(spark, path)
         out = back if out is None else out.unionByName(back)
     return out
