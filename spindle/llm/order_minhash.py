@@ -34,10 +34,15 @@ No group is expanded into all its pairs:
    from one another share shingles that the rest of a family lacks, and are
    always found here. At a more frequent shingle each node meets one leader a
    turn, drawn anew each time; there are ``TURNS`` turns, fewer if one brings no
-   new link. So a turn has at most one pair an entry, and the work on a family
-   whose texts truly stay apart grows with its size, not with its pairs. What
-   can be missed is a link between two texts of such a family that share no
-   rare shingle and that no chain of links through drawn leaders connects.
+   new link. So a turn has at most one pair an entry.
+5. The turns only make classes larger and the rest smaller; the rest is exact.
+   Nodes at frequent shingles that several classes still share are dealt into
+   blocks of about ``BLOCK`` nodes; any two blocks with such a shingle in common
+   meet once, and all their pairs of different classes are compared there by
+   the number of common shingles and, if that suffices, by alignment. So of the
+   nodes of step 4 no similar pair is left apart. A family whose texts truly
+   stay apart is compared pair by pair, each pair once: its time grows with the
+   square of its size, its memory does not (two blocks a group).
 
 The largest groups of a deal are joined by broadcast (their number is bounded),
 and a leader's text is sent to groups of its pairs, so no bucket and no leader
@@ -76,6 +81,10 @@ PAIRED = 16
 FIRST = 2                       # sketches dealt before the others
 TOGETHER = 4                    # sketches that larger buckets are dealt by anew
 TURNS = 2                       # leaders that a node meets at a frequent shingle in step 4
+BLOCK = 512                     # nodes of a block in step 5
+BLOCK_SHINGLES = 1 << 18        # their shingles, 8 bytes each
+OWN = 64                        # nodes of one class at a shingle that get blocks of their own
+COLUMNS = 4096                  # shingles counted at a time
 LED = 256                       # pairs of a leader that its text is sent to at a time
 HOT_LEADERS = 100_000           # ids with a number
 HOT_GROUPS = 2_000              # largest groups, a few dozen bytes each
@@ -298,6 +307,111 @@ def _with_leaders(entries: DataFrame, groups: DataFrame, key: str) -> DataFrame:
     return entries.join(hot, key).unionByName(entries.join(hot.select(key), key, "left_anti").join(rest, key))
 
 
+def blocks(spark: SparkSession, entries: DataFrame, classes: DataFrame, similarity: float, paired: int, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """What the leaders of ``prefix_pairs`` leave: (id, class, block) of the nodes
+    at shingles of more than ``paired`` nodes that several classes still share, and
+    the pairs (i, j) of blocks, i <= j, that hold every similar pair of them. A node
+    stands in the block of its most frequent such shingle; a large class there has
+    blocks of its own, which need not meet each other."""
+    at_ = entries.join(classes, "id", "left").withColumn("class", F.coalesce("class", "id"))
+    hot = at_.groupBy("shingle").agg(F.count("*").alias("n"), F.min("class").alias("c0"), F.max("class").alias("c1")).where((F.col("n") > paired) & (F.col("c0") != F.col("c1")))
+    hot, _ = written(spark, at_.join(hot.select("shingle", "n"), "shingle"), "hot")
+    home = hot.groupBy("id", "class", "size").agg(F.max(F.struct("n", "shingle")).alias("most")).select("id", "class", "size", F.col("most.shingle").alias("home"))
+    own = home.groupBy("home", "class").count().where(F.col("count") >= OWN).select("home", "class", F.col("class").alias("own"))
+    homed, _ = written(spark, home.join(own, ["home", "class"], "left"), "homed")
+    parts = homed.groupBy("home", "own").agg(F.ceil(F.greatest(F.count("*") / F.lit(block), F.sum("size") / F.lit(BLOCK_SHINGLES))).alias("parts"))
+    parts = parts.withColumnsRenamed({"home": "h", "own": "o"})
+    placed = homed.join(parts, (F.col("home") == F.col("h")) & F.col("own").eqNullSafe(F.col("o")))
+    placed, _ = written(spark, placed.select("id", "class", F.xxhash64("home", F.coalesce(F.col("own").cast("string"), F.lit("")), F.pmod(F.xxhash64("id"), "parts")).alias("block")), "placed")
+    spans = hot.join(placed.select("id", "block"), "id").groupBy("shingle", "block").agg(
+        F.min("class").alias("c0"), F.max("class").alias("c1"), F.max("short").alias("short"), F.min("size").alias("s0"), F.max("size").alias("s1"))
+    spans, _ = written(spark, spans, "spans")
+    x, y = (spans.select("shingle", *(F.col(c).alias(i + c) for c in spans.columns[1:])) for i in ("x_", "y_"))
+    several = (F.col("x_c0") != F.col("x_c1")) | (F.col("y_c0") != F.col("y_c1")) | (F.col("x_c0") != F.col("y_c0"))
+    lengths = (F.col("x_s1") >= F.col("y_s0") * similarity - 1e-9) & (F.col("y_s1") >= F.col("x_s0") * similarity - 1e-9)
+    met = x.join(y, "shingle").where("x_block <= y_block and (x_short or y_short)").where(several & lengths)
+    return placed, met.select(F.col("x_block").alias("i"), F.col("y_block").alias("j")).distinct()
+
+
+def _sequence_batches(batches):
+    for batch in batches:
+        seqs = [v.tobytes() for v in _sequences(batch.column(3))]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(seqs, pa.binary())], names=["id", "class", "block", "seq"])
+
+
+def _common(x: list[np.ndarray], y: list[np.ndarray]) -> np.ndarray:
+    """[x, y] numbers of common shingles."""
+    flat = [np.concatenate(z) for z in (x, y)]
+    row = [np.repeat(np.arange(len(z)), [len(v) for v in z]) for z in (x, y)]
+    both = np.intersect1d(*flat)
+    out = np.zeros((len(x), len(y)), np.float32)
+    if not len(both):
+        return out
+    for k, f in enumerate(flat):
+        place = np.minimum(np.searchsorted(both, f), len(both) - 1)
+        known = both[place] == f
+        place, r = place[known], row[k][known]
+        order = np.argsort(place, kind="stable")
+        flat[k], row[k] = place[order], r[order]
+    for low in range(0, len(both), COLUMNS):
+        held = []
+        for f, r, z in zip(flat, row, (x, y)):
+            a, b = np.searchsorted(f, [low, low + COLUMNS])
+            cells = np.zeros((len(z), min(COLUMNS, len(both) - low)), np.float32)
+            cells[r[a:b], f[a:b] - low] = 1
+            held.append(cells)
+        out += held[0] @ held[1].T
+    return out
+
+
+def _met(members: list[list[dict]], similarity: float) -> list[tuple]:
+    """Links (a, b, similarity) between the classes of two blocks, or of one with
+    itself; classes that a link has joined are not linked again."""
+    sides = [sorted(m, key=lambda r: r["id"]) for m in members]
+    x, y = sides[0], sides[-1]
+    seqs = [[np.frombuffer(r["seq"], np.uint64) for r in side] for side in (x, y)]
+    size = [np.array([len(v) for v in s], float) for s in seqs]
+    number = {c: k for k, c in enumerate({r["class"]: None for r in x + y})}
+    cx, cy = (np.array([number[r["class"]] for r in side]) for side in (x, y))
+    need = np.ceil(similarity * (size[0][:, None] + size[1][None, :]) / (1 + similarity) - 1e-9)
+    fits = (_common(*seqs) >= need) & (cx[:, None] != cy[None, :])
+    if len(sides) == 1:
+        fits = np.triu(fits, 1)
+    up = list(range(len(number)))
+
+    def top(c):
+        while up[c] != c:
+            up[c] = up[up[c]]
+            c = up[c]
+        return c
+    out = []
+    for i, j in zip(*(k.tolist() for k in np.nonzero(fits))):
+        p, q = top(cx[i]), top(cy[j])
+        if p != q:
+            s = aligned(seqs[0][i], seqs[1][j], similarity)
+            if s >= similarity:
+                up[q] = p
+                out.append((*sorted((x[i]["id"], y[j]["id"])), s))
+    return out
+
+
+def block_links(spark: SparkSession, placed: DataFrame, pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Verified links (a, b, similarity) between the classes of each two blocks of
+    ``pairs``; ``placed`` has id, class and block, ``texts`` id and text."""
+    kind = placed.schema["id"].dataType.simpleString()
+    seqs = texts.join(placed, "id").select("id", "class", "block", "text").mapInArrow(_sequence_batches, f"id {kind}, class {kind}, block long, seq binary")
+    # at most about BLOCK nodes and BLOCK_SHINGLES shingles a row (more only for one longer text)
+    held, _ = written(spark, seqs.groupBy("block").agg(F.collect_list(F.struct("id", "class", "seq")).alias("members")), "blocks")
+    sides = pairs.select("i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block")).join(held, "block")
+
+    def run(group: pa.Table) -> pa.Table:
+        of = group.schema.field("members").type.value_type.field("id").type
+        found = _met(group.column("members").to_pylist(), similarity)
+        return pa.table([pa.array([f[k] for f in found], t) for k, t in enumerate((of, of, pa.float64()))], names=["a", "b", "similarity"])
+    spread = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return sides.repartition(spread, "i", "j").groupBy("i", "j").applyInArrow(run, f"a {kind}, b {kind}, similarity double")
+
+
 def components(spark: SparkSession, links: DataFrame) -> DataFrame:
     """(id, class) for every node of ``links`` (a, b): the smallest id of its
     component. Labels spread along the links and then jump to their label's
@@ -347,12 +461,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, key: str = "doc_id", t
 
     def settle(near: DataFrame) -> bool:
         """Verifies the pairs not tried before and merges the classes that the links join; tells whether any were."""
-        nonlocal tried, classes, merged_once
+        nonlocal tried
         pairs, path = written(spark, near.join(tried, ["a", "b"], "left_anti") if tried_paths else near, "pairs")
         tried_paths.append(path)
         tried = spark.read.schema(pairs.schema).parquet(*tried_paths).select("a", "b")
         ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))
-        found, path = written(spark, verified(pairs, texts_of(ids), similarity), "found")
+        return merge(verified(pairs, texts_of(ids), similarity))
+
+    def merge(links: DataFrame) -> bool:
+        nonlocal classes, merged_once
+        found, path = written(spark, links, "found")
         link_paths.append(path)
         # links between components; a node without a class is its own
         ends = found.select("a", "b", F.col("a").alias("ca"), F.col("b").alias("cb"))
@@ -414,6 +532,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, key: str = "doc_id", t
         for turn in range(TURNS):
             if not settle(prefix_pairs(entries, classes, similarity, turn, paired)):
                 break
+        placed, met = blocks(spark, entries, classes, similarity, paired)
+        met, _ = written(spark, met, "met")
+        if not met.isEmpty():
+            merge(block_links(spark, placed, met, texts_of(placed.select("id")), similarity))
     members = sketched.select("id", "words").join(nodes.select("words", F.col("id").alias("node")), "words", "left").withColumn("node", F.coalesce("node", "id"))
     members = members.join(classes.withColumnRenamed("id", "node"), "node", "left").withColumn("class", F.coalesce("class", "node"))
     return members.select("id", "words", "node", "class"), spark.read.schema(f"a {kind}, b {kind}, similarity double").parquet(*link_paths)

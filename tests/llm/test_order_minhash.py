@@ -116,6 +116,52 @@ def test_pairs_of_a_family_grow_with_its_size(spark):
         assert all(b[turn] <= 2.2 * a[turn] for a, b in zip(counts, counts[1:])), counts
 
 
+def slotted(rnd, n, copies, slots, kinds):
+    """``n`` texts of ``slots`` passages, each one of ``kinds`` that many texts hold, so that no
+    shingle is rare and no two are similar; ``copies`` more with the passage of one slot changed."""
+    picks = [[rnd.randrange(kinds) for _ in range(slots)] for _ in range(n)]
+    for p in picks[:copies]:
+        k = rnd.randrange(slots)
+        picks.append([*p[:k], (p[k] + 1) % kinds, *p[k + 1:]])
+    return [" ".join(f"s{k}x{v}w{j}" for k, v in enumerate(p) for j in range(8)) for p in picks]
+
+
+def test_links_of_nodes_that_no_leader_connects(spark):
+    """Copies that share no rare shingle, in buckets and at shingles of many texts."""
+    docs = list(enumerate(slotted(random.Random(17), 120, 30, 20, 2)))
+    want = omh.brute_force(docs)
+    assert [want[120 + i] for i in range(30)] == list(range(30)) and len(set(want.values())) == 120
+    got, links = classes(spark, docs, sketches=4, paired=1)
+    assert got == want and links.where("similarity < 0.8").isEmpty()
+
+
+def test_blocks_hold_every_similar_pair_once(spark):
+    rnd = random.Random(19)
+    texts = slotted(rnd, 60, 20, 20, 2) + family(rnd, [f"b{rnd.randrange(4000)}" for _ in range(120)], 90, 3)
+    texts[3] = texts[0]
+    docs = list(enumerate(texts))
+    frame = spark.createDataFrame(docs, "id long, text string")
+    entries = omh.prefix_entries(spark, frame.withColumn("class", frame["id"]), omh.SIMILARITY)
+    none = spark.createDataFrame([], "id long, class long")
+    for size in (7, 1000):                                              # many blocks, and one a shingle
+        placed, met = omh.blocks(spark, entries, none, omh.SIMILARITY, 1, size)
+        assert placed.count() == placed.select("id").distinct().count()
+        assert met.count() == met.distinct().count() and met.where("i > j").isEmpty()
+        links = omh.block_links(spark, placed, met, frame, omh.SIMILARITY)
+        assert links.where("a >= b or similarity < 0.8").isEmpty()
+        got = {r.id: r["class"] for r in omh.components(spark, links).collect()}
+        assert {i: got.get(i, i) for i, _ in docs} == omh.brute_force(docs)
+
+
+def test_common_shingles_are_counted(monkeypatch):
+    rnd = np.random.RandomState(23)
+    x, y = ([rnd.choice(60, rnd.randint(0, 40), replace=False).astype(np.uint64) for _ in range(n)] for n in (9, 5))
+    for columns in (1, 7, 4096):
+        monkeypatch.setattr(omh, "COLUMNS", columns)
+        assert omh._common(x, y).tolist() == [[len(set(a) & set(b)) for b in y] for a in x]
+    assert omh._common([x[0][:0]], y[:1]).tolist() == [[0]]
+
+
 def test_given_columns_with_clashing_names(spark):
     rows = [(1, "a b c d e f g", "x", "y", 1), (2, "a b c d e f g", "z", "w", 2), (3, "q r s t u v", None, None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, spindle_id string, spindle_words string, spindle_nth int")
