@@ -84,13 +84,14 @@ TURNS = 2                       # leaders that a node meets at a frequent shingl
 BLOCK = 512                     # nodes of a block in step 5
 BLOCK_SHINGLES = 1 << 18        # their shingles, 8 bytes each
 OWN = 64                        # nodes of one class at a shingle that get blocks of their own
-COLUMNS = 4096                  # shingles counted at a time
+COLUMNS = 1024                  # shingles counted at a time
 LED = 256                       # pairs of a leader that its text is sent to at a time
 HOT_LEADERS = 100_000           # ids with a number
 HOT_GROUPS = 2_000              # largest groups, a few dozen bytes each
 ENTRIES = 50_000                # prefix entries in an Arrow batch
 BROADCAST_ROWS = 500_000        # ids, 8 bytes each
 SLOTS = 1 << 20                 # counts of shingles, 8 bytes each
+CHUNK_BYTES = 1 << 18           # texts sketched at a time; a worker keeps the memory of its largest slice
 WORDS_COLUMN = "spindle_words"
 
 _SEEDS = np.random.RandomState(71).randint(1, 2**62, 256).astype(np.uint64)
@@ -145,7 +146,7 @@ def _digests(w: at.Words) -> pa.Array:
 
 def _sketch_batches(batches, sketches: int, picked: int):
     for batch in batches:
-        for part in at.slices(batch.column(1)):
+        for part in at.slices(batch.column(1), CHUNK_BYTES):
             w = at.words(part)
             n = part.hi - part.lo
             h, row, _ = at.shingles(w, WORDS)
@@ -197,7 +198,7 @@ def aligned(a: np.ndarray, b: np.ndarray, similarity: float) -> float:
 
 
 def _sequences(column):
-    for part in at.slices(column):
+    for part in at.slices(column, CHUNK_BYTES):
         h, row, _ = at.shingles(at.words(part), WORDS)
         v = _labelled(h, row)
         edge = np.searchsorted(row, np.arange(part.hi - part.lo + 1))
@@ -545,7 +546,7 @@ def with_words(frame: DataFrame, text: str) -> DataFrame:
     """``frame`` and the digest of its texts' word sequences."""
     def run(batches):
         for batch in batches:
-            for part in at.slices(batch.column(batch.schema.get_field_index(text))):
+            for part in at.slices(batch.column(batch.schema.get_field_index(text)), CHUNK_BYTES):
                 yield pa.RecordBatch.from_arrays([*(c.slice(part.lo, part.hi - part.lo) for c in batch.columns), _digests(at.words(part))],
                                                  names=[*batch.schema.names, WORDS_COLUMN])
     return frame.mapInArrow(run, T.StructType([*frame.schema.fields, T.StructField(WORDS_COLUMN, T.BinaryType())]))

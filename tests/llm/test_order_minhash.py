@@ -135,6 +135,13 @@ def test_links_of_nodes_that_no_leader_connects(spark):
     assert got == want and links.where("similarity < 0.8").isEmpty()
 
 
+def test_keep_one_drops_copies_that_no_leader_connects(spark):
+    docs = list(enumerate(slotted(random.Random(29), 100, 25, 20, 2)))
+    want = omh.brute_force(docs)
+    kept = omh.keep_one(spark, spark.createDataFrame(docs, "doc_id long, text string").repartition(4), sketches=4, paired=1)
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values())) == list(range(100))
+
+
 def test_blocks_hold_every_similar_pair_once(spark):
     rnd = random.Random(19)
     texts = slotted(rnd, 60, 20, 20, 2) + family(rnd, [f"b{rnd.randrange(4000)}" for _ in range(120)], 90, 3)
