@@ -71,7 +71,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import arrowtext as at
-from .runtime import drop_path, on_workers, written
+from .runtime import drop_path, few_tasks, on_workers, released, written
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -86,6 +86,7 @@ BLOCK_SHINGLES = 1 << 18        # their shingles, 8 bytes each
 OWN = 64                        # nodes of one class at a shingle that get blocks of their own
 COLUMNS = 1024                  # shingles counted at a time
 LED = 256                       # pairs of a leader that its text is sent to at a time
+TASK_PAIRS = 1_000              # pairs aligned in a task, if there are fewer than partitions would hold
 HOT_LEADERS = 100_000           # ids with a number
 HOT_GROUPS = 2_000              # largest groups, a few dozen bytes each
 ENTRIES = 50_000                # prefix entries in an Arrow batch
@@ -162,7 +163,7 @@ def sketch(spark: SparkSession, docs: DataFrame, key: str, text: str, sketches:
     on_workers(spark)
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(F.col(key).alias("id"), F.col(text).alias("t")).mapInArrow(
-        lambda b: _sketch_batches(b, sketches, picked), f"id {kind}, words binary, shingles long, keys array<long>")
+        lambda b: released(_sketch_batches(b, sketches, picked)), f"id {kind}, words binary, shingles long, keys array<long>")
 
 
 def aligned(a: np.ndarray, b: np.ndarray, similarity: float) -> float:
@@ -213,20 +214,22 @@ def _verify(batches, similarity):
         yield table.filter(pa.array(np.array(pairs, float) >= similarity))
 
 
-def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, similarity: float, rows: int | None = None) -> DataFrame:
     """The pairs (a, b) whose texts align; ``texts`` has id and text, ``pairs`` also
     ``lead``, the one of the two that may stand in many pairs. A leader's pairs
-    are dealt into groups of about ``LED`` and its text goes once to each group."""
+    are dealt into groups of about ``LED`` and its text goes once to each group.
+    ``rows``: the number of pairs, if known."""
     kind = pairs.schema["a"].dataType.simpleString()
-    led = pairs.groupBy("lead").agg(F.ceil(F.count("*") / F.lit(LED)).cast("int").alias("groups"))
+    led, _ = written(pairs.sparkSession, pairs.groupBy("lead").agg(F.ceil(F.count("*") / F.lit(LED)).cast("int").alias("groups")), "led", rows)
     each = pairs.select("lead", F.when(F.col("lead") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("other"))
     hot = led.where("groups > 1")
     few = hot.limit(HOT_LEADERS + 1).count() <= HOT_LEADERS
     each = each.join(F.broadcast(hot) if few else hot, "lead", "left").withColumn("part", F.pmod(F.xxhash64("other"), F.coalesce("groups", F.lit(1))).cast("int")).drop("groups")
     leaders = texts.join(led, texts["id"] == led["lead"]).select("lead", F.col("text").alias("tl"), F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("part"))
-    return (each.join(texts.select(F.col("id").alias("other"), F.col("text").alias("to")), "other").join(leaders, ["lead", "part"])
-            .select(F.least("lead", "other").alias("a"), F.greatest("lead", "other").alias("b"), "tl", "to")
-            .mapInArrow(lambda batches: _verify(batches, similarity), f"a {kind}, b {kind}, similarity double"))
+    both = (each.join(texts.select(F.col("id").alias("other"), F.col("text").alias("to")), "other").join(leaders, ["lead", "part"])
+            .select(F.least("lead", "other").alias("a"), F.greatest("lead", "other").alias("b"), "tl", "to"))
+    return (few_tasks(both, rows, TASK_PAIRS)
+            .mapInArrow(lambda batches: released(_verify(batches, similarity)), f"a {kind}, b {kind}, similarity double"))
 
 
 def _counts(batches):
@@ -262,22 +265,23 @@ def prefix_entries(spark: SparkSession, texts: DataFrame, similarity: float) ->
     text), without shingles that stand in one class only or that no shorter
     text of a pair needs. A similar pair has a shingle in common here."""
     kind = texts.schema["id"].dataType.simpleString()
-    counted = texts.select("text").mapInArrow(_counts, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counted = texts.select("text").mapInArrow(lambda batches: released(_counts(batches)), "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(SLOTS, np.int64)
     counts[counted.column("slot").to_numpy()] = counted.column("n").to_numpy()
     sent = spark.sparkContext.broadcast(counts)
     entries, _ = written(spark, texts.select("id", "class", "text").mapInArrow(
-        lambda batches: _prefixes(batches, similarity, sent.value), f"shingle long, place long, short boolean, size long, id {kind}, class {kind}"), "prefixes")
+        lambda batches: released(_prefixes(batches, similarity, sent.value)), f"shingle long, place long, short boolean, size long, id {kind}, class {kind}"), "prefixes")
     sent.destroy()
     mixed = entries.groupBy("shingle").agg(F.min("class").alias("c0"), F.max("class").alias("c1"), F.max("short").alias("short")).where("c0 != c1 and short").select("shingle")
-    return written(spark, entries.join(mixed, "shingle").drop("class"), "mixed")[0]
+    return written(spark, entries.join(mixed, "shingle").drop("class"), "mixed", entries.count())[0]
 
 
-def prefix_pairs(entries: DataFrame, classes: DataFrame, similarity: float, turn: int, paired: int) -> DataFrame:
+def prefix_pairs(entries: DataFrame, classes: DataFrame, similarity: float, turn: int, paired: int, rows: int | None = None) -> DataFrame:
     """Pairs (a, b, lead) of nodes of different classes that share a prefix shingle
     and pass the length and positional filters. A shingle of up to ``paired``
     nodes gives all its pairs (in turn 0); at a more frequent one every node
-    meets one leader, drawn anew in each turn, so a turn has at most one pair an entry."""
+    meets one leader, drawn anew in each turn, so a turn has at most one pair an entry.
+    ``rows``: the number of entries, if known."""
     at_ = entries.join(classes, "id", "left").withColumn("class", F.coalesce("class", "id"))
     node = F.struct(F.xxhash64(F.lit(turn), "shingle", "id").alias("drawn"), "id", "class", "place", "size")
     shared = at_.groupBy("shingle").agg(F.count("*").alias("n"), F.min(node).alias("lead"), F.min("class").alias("c0"), F.max("class").alias("c1")).where("c0 != c1").drop("c0", "c1")
@@ -287,7 +291,7 @@ def prefix_pairs(entries: DataFrame, classes: DataFrame, similarity: float, turn
         return ((F.least(f"{x}size", f"{y}size") >= F.greatest(f"{x}size", f"{y}size") * F.lit(similarity) - F.lit(1e-9)) & (F.col(f"{x}class") != F.col(f"{y}class"))
                 & (F.col(f"{x}place") <= F.col(f"{x}size") - need) & (F.col(f"{y}place") <= F.col(f"{y}size") - need))
 
-    led = _with_leaders(at_, shared.where(F.col("n") > paired), "shingle").where(fits("", "lead."))
+    led = _with_leaders(at_, shared.where(F.col("n") > paired), "shingle", rows).where(fits("", "lead."))
     found = led.select(F.least("id", "lead.id").alias("a"), F.greatest("id", "lead.id").alias("b"), F.col("lead.id").alias("lead"))
     if turn == 0:
         rare = at_.join(shared.where(F.col("n") <= paired).select("shingle"), "shingle")
@@ -297,10 +301,10 @@ def prefix_pairs(entries: DataFrame, classes: DataFrame, similarity: float, turn
     return found.groupBy("a", "b").agg(F.first("lead").alias("lead"))
 
 
-def _with_leaders(entries: DataFrame, groups: DataFrame, key: str) -> DataFrame:
-    """``entries`` beside what ``groups`` (one row a ``key``, with its size n) says.
+def _with_leaders(entries: DataFrame, groups: DataFrame, key: str, rows: int | None) -> DataFrame:
+    """``entries`` (``rows`` of them, if known) beside what ``groups`` (one row a ``key``, with its size n) says.
     The few largest groups are broadcast, so none of them meets in one task."""
-    groups, _ = written(groups.sparkSession, groups, "groups")
+    groups, _ = written(groups.sparkSession, groups, "groups", rows)
     largest = groups.orderBy(F.col("n").desc(), key).limit(HOT_GROUPS)
     hot, _ = written(groups.sparkSession, largest, "hot-groups")
     hot = F.broadcast(hot)                                        # at most HOT_GROUPS rows
@@ -308,25 +312,25 @@ def _with_leaders(entries: DataFrame, groups: DataFrame, key: str) -> DataFrame:
     return entries.join(hot, key).unionByName(entries.join(hot.select(key), key, "left_anti").join(rest, key))
 
 
-def blocks(spark: SparkSession, entries: DataFrame, classes: DataFrame, similarity: float, paired: int, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+def blocks(spark: SparkSession, entries: DataFrame, classes: DataFrame, similarity: float, paired: int, block: int = BLOCK, rows: int | None = None) -> tuple[DataFrame, DataFrame]:
     """What the leaders of ``prefix_pairs`` leave: (id, class, block) of the nodes
     at shingles of more than ``paired`` nodes that several classes still share, and
     the pairs (i, j) of blocks, i <= j, that hold every similar pair of them. A node
     stands in the block of its most frequent such shingle; a large class there has
-    blocks of its own, which need not meet each other."""
+    blocks of its own, which need not meet each other. ``rows``: the number of entries, if known."""
     at_ = entries.join(classes, "id", "left").withColumn("class", F.coalesce("class", "id"))
     hot = at_.groupBy("shingle").agg(F.count("*").alias("n"), F.min("class").alias("c0"), F.max("class").alias("c1")).where((F.col("n") > paired) & (F.col("c0") != F.col("c1")))
-    hot, _ = written(spark, at_.join(hot.select("shingle", "n"), "shingle"), "hot")
+    hot, _ = written(spark, at_.join(hot.select("shingle", "n"), "shingle"), "hot", rows)
     home = hot.groupBy("id", "class", "size").agg(F.max(F.struct("n", "shingle")).alias("most")).select("id", "class", "size", F.col("most.shingle").alias("home"))
     own = home.groupBy("home", "class").count().where(F.col("count") >= OWN).select("home", "class", F.col("class").alias("own"))
-    homed, _ = written(spark, home.join(own, ["home", "class"], "left"), "homed")
+    homed, _ = written(spark, home.join(own, ["home", "class"], "left"), "homed", rows)
     parts = homed.groupBy("home", "own").agg(F.ceil(F.greatest(F.count("*") / F.lit(block), F.sum("size") / F.lit(BLOCK_SHINGLES))).alias("parts"))
     parts = parts.withColumnsRenamed({"home": "h", "own": "o"})
     placed = homed.join(parts, (F.col("home") == F.col("h")) & F.col("own").eqNullSafe(F.col("o")))
-    placed, _ = written(spark, placed.select("id", "class", F.xxhash64("home", F.coalesce(F.col("own").cast("string"), F.lit("")), F.pmod(F.xxhash64("id"), "parts")).alias("block")), "placed")
+    placed, _ = written(spark, placed.select("id", "class", F.xxhash64("home", F.coalesce(F.col("own").cast("string"), F.lit("")), F.pmod(F.xxhash64("id"), "parts")).alias("block")), "placed", rows)
     spans = hot.join(placed.select("id", "block"), "id").groupBy("shingle", "block").agg(
         F.min("class").alias("c0"), F.max("class").alias("c1"), F.max("short").alias("short"), F.min("size").alias("s0"), F.max("size").alias("s1"))
-    spans, _ = written(spark, spans, "spans")
+    spans, _ = written(spark, spans, "spans", rows)
     x, y = (spans.select("shingle", *(F.col(c).alias(i + c) for c in spans.columns[1:])) for i in ("x_", "y_"))
     several = (F.col("x_c0") != F.col("x_c1")) | (F.col("y_c0") != F.col("y_c1")) | (F.col("x_c0") != F.col("y_c0"))
     lengths = (F.col("x_s1") >= F.col("y_s0") * similarity - 1e-9) & (F.col("y_s1") >= F.col("x_s0") * similarity - 1e-9)
@@ -400,7 +404,7 @@ def block_links(spark: SparkSession, placed: DataFrame, pairs: DataFrame, texts:
     """Verified links (a, b, similarity) between the classes of each two blocks of
     ``pairs``; ``placed`` has id, class and block, ``texts`` id and text."""
     kind = placed.schema["id"].dataType.simpleString()
-    seqs = texts.join(placed, "id").select("id", "class", "block", "text").mapInArrow(_sequence_batches, f"id {kind}, class {kind}, block long, seq binary")
+    seqs = texts.join(placed, "id").select("id", "class", "block", "text").mapInArrow(lambda batches: released(_sequence_batches(batches)), f"id {kind}, class {kind}, block long, seq binary")
     # at most about BLOCK nodes and BLOCK_SHINGLES shingles a row (more only for one longer text)
     held, _ = written(spark, seqs.groupBy("block").agg(F.collect_list(F.struct("id", "class", "seq")).alias("members")), "blocks")
     sides = pairs.select("i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block")).join(held, "block")
@@ -413,21 +417,22 @@ def block_links(spark: SparkSession, placed: DataFrame, pairs: DataFrame, texts:
     return sides.repartition(spread, "i", "j").groupBy("i", "j").applyInArrow(run, f"a {kind}, b {kind}, similarity double")
 
 
-def components(spark: SparkSession, links: DataFrame) -> DataFrame:
-    """(id, class) for every node of ``links`` (a, b): the smallest id of its
+def components(spark: SparkSession, links: DataFrame, rows: int | None = None) -> DataFrame:
+    """(id, class) for every node of ``links`` (a, b; ``rows`` of them, if known): the smallest id of its
     component. Labels spread along the links and then jump to their label's
     label, so long chains take a number of rounds that grows as their logarithm."""
-    both, both_path = written(spark, links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
+    rows = rows and 2 * rows
+    both, both_path = written(spark, links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links", rows)
     paths = []
     labels = both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.min("a")).alias("class"))
-    labels, path = written(spark, labels, "labels")
+    labels, path = written(spark, labels, "labels", rows)
     while True:
         paths.append(path)
         near = both.join(labels.select(F.col("id").alias("b"), F.col("class").alias("c")), "b").groupBy(F.col("a").alias("id")).agg(F.min("c").alias("c"))
         spread = labels.join(near, "id").select("id", "class", F.least("class", "c").alias("low"))
         jump = labels.select(F.col("id").alias("low"), F.col("class").alias("far"))
         new = spread.join(jump, "low", "left").select("id", F.least("low", F.coalesce("far", "low")).alias("class"), F.col("class").alias("old"))
-        new, path = written(spark, new, "labels")
+        new, path = written(spark, new, "labels", rows)
         labels = new.select("id", "class")
         if new.where(F.col("class") != F.col("old")).isEmpty():
             break
@@ -445,12 +450,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, key: str = "doc_id", t
     kind = docs.schema[key].dataType.simpleString()
     sketched, _ = written(spark, sketch(spark, docs, key, text, sketches, picked), "sketches")
     keyed = sketched.where("id is not null and words is not null")
-    nodes, _ = written(spark, keyed.groupBy("words").agg(F.min("id").alias("id"), F.min("shingles").alias("shingles"), F.min("keys").alias("keys")), "nodes")
+    nodes, _ = written(spark, keyed.groupBy("words").agg(F.min("id").alias("id"), F.min("shingles").alias("shingles"), F.min("keys").alias("keys")), "nodes", sketched.count())
+    n_nodes = nodes.count()
     source = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     unique = sketched.where("id is not null").groupBy("id").count().where("count > 1").isEmpty()
 
-    def texts_of(ids: DataFrame) -> DataFrame:
-        wanted, _ = written(spark, ids.distinct(), "wanted")
+    def texts_of(ids: DataFrame, rows: int) -> DataFrame:
+        wanted, _ = written(spark, ids.distinct(), "wanted", rows)
         if wanted.count() <= broadcast_rows:            # then the other texts stay where they are
             wanted = F.broadcast(wanted)
         found = source.join(wanted, "id", "left_semi")
@@ -460,31 +466,35 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, key: str = "doc_id", t
         return (with_words(found, "text").join(nodes.select("id", F.col("words").alias(WORDS_COLUMN)), ["id", WORDS_COLUMN], "left_semi")
                 .groupBy("id").agg(F.first("text").alias("text")))
 
-    def settle(near: DataFrame) -> bool:
-        """Verifies the pairs not tried before and merges the classes that the links join; tells whether any were."""
+    def settle(near: DataFrame, rows: int) -> bool:
+        """Verifies the pairs not tried before and merges the classes that the links join; tells whether any were.
+        ``rows``: of what ``near`` is made from."""
         nonlocal tried
-        pairs, path = written(spark, near.join(tried, ["a", "b"], "left_anti") if tried_paths else near, "pairs")
+        pairs, path = written(spark, near.join(tried, ["a", "b"], "left_anti") if tried_paths else near, "pairs", rows)
         tried_paths.append(path)
         tried = spark.read.schema(pairs.schema).parquet(*tried_paths).select("a", "b")
         ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id")))
-        return merge(verified(pairs, texts_of(ids), similarity))
+        n = pairs.count()
+        return merge(verified(pairs, texts_of(ids, 2 * n), similarity, n))
 
     def merge(links: DataFrame) -> bool:
         nonlocal classes, merged_once
         found, path = written(spark, links, "found")
         link_paths.append(path)
+        n_found = found.count()
         # links between components; a node without a class is its own
         ends = found.select("a", "b", F.col("a").alias("ca"), F.col("b").alias("cb"))
         if merged_once:
             ends = found.select("a", "b")
             for i in "ab":
                 ends = ends.join(classes.select(F.col("id").alias(i), F.col("class").alias("c" + i)), i, "left").withColumn("c" + i, F.coalesce("c" + i, i))
-        joined, _ = written(spark, ends.where("ca != cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "joined")
-        if joined.isEmpty():
+        joined, _ = written(spark, ends.where("ca != cb").select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct(), "joined", n_found)
+        n_joined = joined.count()
+        if not n_joined:
             return False
-        merged = components(spark, joined)
+        merged = components(spark, joined, n_joined)
         older = classes.join(merged.select(F.col("id").alias("class"), F.col("class").alias("low")), "class", "left").select("id", F.coalesce("low", "class").alias("class"))
-        classes, _ = written(spark, older.unionByName(merged.join(classes, "id", "left_anti")) if merged_once else merged, "classes")
+        classes, _ = written(spark, older.unionByName(merged.join(classes, "id", "left_anti")) if merged_once else merged, "classes", n_nodes)
         merged_once = True
         return True
 
@@ -493,15 +503,15 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, key: str = "doc_id", t
     tried_paths, link_paths, large_paths = [], [], []
     merged_once = False
 
-    def deal(bands: DataFrame, taken: int) -> DataFrame:
-        """One deal of the nodes of ``bands`` (id, keys, shingles, bands) by ``taken``
+    def deal(bands: DataFrame, taken: int, rows: int) -> DataFrame:
+        """One deal of the nodes of ``bands`` (id, keys, shingles, bands; ``rows`` bands in all) by ``taken``
         sketches together; returns (bucket, id, band) of the larger buckets that held several classes."""
         classed = bands.join(classes, "id", "left").withColumn("class", F.coalesce("class", "id")) if merged_once else bands.withColumn("class", F.col("id"))
         at_ = (classed.select("id", "class", "keys", "shingles", F.explode("bands").alias("band"))
                .select("id", "class", "shingles", "band", F.xxhash64("band", *[F.get("keys", (F.col("band") + j) % sketches) for j in range(taken)]).alias("bucket")))
         lead = F.min(F.struct(F.xxhash64("bucket", "id").alias("drawn"), F.col("id"), F.col("class"), F.col("shingles"))).alias("lead")
         buckets = at_.groupBy("bucket").agg(F.count("*").alias("n"), lead, F.min("class").alias("c0"), F.max("class").alias("c1")).where("n > 1 and c0 != c1").drop("c0", "c1")
-        shared, shared_path = written(spark, _with_leaders(at_, buckets, "bucket"), "buckets")
+        shared, shared_path = written(spark, _with_leaders(at_, buckets, "bucket", rows), "buckets", rows)
         small = shared.where(F.col("n") <= paired)
         x, y = (small.select("bucket", F.col("id").alias(i), F.col("class").alias("c" + i), F.col("shingles").alias("n" + i)) for i in "ab")
         pairs = x.join(y, "bucket").where("a < b and ca != cb").select("a", "b", "na", "nb", F.col("a").alias("lead"))
@@ -509,7 +519,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, key: str = "doc_id", t
             F.least("id", "lead.id").alias("a"), F.greatest("id", "lead.id").alias("b"), F.col("shingles").alias("na"), F.col("lead.shingles").alias("nb"), F.col("lead.id").alias("lead"))
         # lengths alone rule out some pairs
         near = pairs.unionByName(star).where(F.least("na", "nb") >= F.greatest("na", "nb") * similarity).groupBy("a", "b").agg(F.first("lead").alias("lead"))
-        settle(near)
+        settle(near, shared.count())
         rest, _ = written(spark, shared.where(F.col("n") > paired).select("bucket", "id", "band"), "larger")
         drop_path(spark, shared_path)
         return rest
@@ -519,24 +529,26 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, key: str = "doc_id", t
 
     # two sketches first: the nodes of a family are one class by then and do not meet again in the others
     first = min(FIRST, sketches)
-    large = deal(dealt(F.sequence(F.lit(0), F.lit(first - 1))), 1)
+    large = deal(dealt(F.sequence(F.lit(0), F.lit(first - 1))), 1, n_nodes * first)
     if first < sketches:
-        large = large.unionByName(deal(dealt(F.sequence(F.lit(first), F.lit(sketches - 1))), 1))
-    if TOGETHER < sketches and not large.isEmpty():          # buckets that are one class by now fall out in the deal
+        large = large.unionByName(deal(dealt(F.sequence(F.lit(first), F.lit(sketches - 1))), 1, n_nodes * (sketches - first)))
+    n_large = large.count()
+    if TOGETHER < sketches and n_large:                      # buckets that are one class by now fall out in the deal
         again = large.groupBy("id").agg(F.sort_array(F.collect_set("band")).alias("bands"))      # at most one entry a sketch
-        deal(again.join(nodes.select("id", "keys", "shingles"), "id"), TOGETHER)
+        deal(again.join(nodes.select("id", "keys", "shingles"), "id"), TOGETHER, n_large)
     large = large.join(classes, "id", "left").withColumn("class", F.coalesce("class", "id")) if merged_once else large.withColumn("class", F.col("id"))
     apart = large.groupBy("bucket").agg(F.min("class").alias("c0"), F.max("class").alias("c1")).where("c0 != c1").select("bucket")
-    left, _ = written(spark, large.join(apart, "bucket", "left_semi").select("id", "class").distinct(), "left")
+    left, _ = written(spark, large.join(apart, "bucket", "left_semi").select("id", "class").distinct(), "left", n_large)
     if not left.isEmpty():
-        entries = prefix_entries(spark, texts_of(left.select("id")).join(left, "id"), similarity)
+        entries = prefix_entries(spark, texts_of(left.select("id"), n_large).join(left, "id"), similarity)
+        rows = entries.count()
         for turn in range(TURNS):
-            if not settle(prefix_pairs(entries, classes, similarity, turn, paired)):
+            if not settle(prefix_pairs(entries, classes, similarity, turn, paired, rows), rows):
                 break
-        placed, met = blocks(spark, entries, classes, similarity, paired)
-        met, _ = written(spark, met, "met")
+        placed, met = blocks(spark, entries, classes, similarity, paired, rows=rows)
+        met, _ = written(spark, met, "met", rows)
         if not met.isEmpty():
-            merge(block_links(spark, placed, met, texts_of(placed.select("id")), similarity))
+            merge(block_links(spark, placed, met, texts_of(placed.select("id"), rows), similarity))
     members = sketched.select("id", "words").join(nodes.select("words", F.col("id").alias("node")), "words", "left").withColumn("node", F.coalesce("node", "id"))
     members = members.join(classes.withColumnRenamed("id", "node"), "node", "left").withColumn("class", F.coalesce("class", "node"))
     return members.select("id", "words", "node", "class"), spark.read.schema(f"a {kind}, b {kind}, similarity double").parquet(*link_paths)
@@ -549,7 +561,7 @@ def with_words(frame: DataFrame, text: str) -> DataFrame:
             for part in at.slices(batch.column(batch.schema.get_field_index(text)), CHUNK_BYTES):
                 yield pa.RecordBatch.from_arrays([*(c.slice(part.lo, part.hi - part.lo) for c in batch.columns), _digests(at.words(part))],
                                                  names=[*batch.schema.names, WORDS_COLUMN])
-    return frame.mapInArrow(run, T.StructType([*frame.schema.fields, T.StructField(WORDS_COLUMN, T.BinaryType())]))
+    return frame.mapInArrow(lambda batches: released(run(batches)), T.StructType([*frame.schema.fields, T.StructField(WORDS_COLUMN, T.BinaryType())]))
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
 import os
 import re
@@ -9,6 +10,7 @@ import uuid
 import zipfile
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from spindle.session import ensure_checkpoint_dir
@@ -57,6 +59,18 @@ def _shared(spark: SparkSession) -> str:
     return (spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)).rstrip("/")
 
 
+def released(batches):
+    """The batches that a task makes; at its end the memory of what it has dropped
+    goes back to the system. A Python worker waits for its next task, often of
+    another stage, with all that it has not given back."""
+    try:
+        yield from batches
+    finally:
+        pa.default_memory_pool().release_unused()
+        if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):        # the C library's; not all have it
+            trim(0)
+
+
 _MADE: list[str] = []
 
 
@@ -86,8 +100,21 @@ def drop_path(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def written(spark: SparkSession, frame: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """``frame`` as a Parquet table in the shared folder (cuts its lineage)."""
+TASK_ROWS = 20_000
+
+
+def few_tasks(frame: DataFrame, rows: int | None, task_rows: int = TASK_ROWS) -> DataFrame:
+    """``frame``, made from about ``rows`` rows, with no more tasks in its last stage
+    than they need or the cluster has cores: its partitions are put together, without
+    a shuffle, as each costs a task and a file, however few rows it has. None: as it is."""
+    if rows is None:
+        return frame
+    return frame.coalesce(max(frame.sparkSession.sparkContext.defaultParallelism, -(-rows // task_rows)))
+
+
+def written(spark: SparkSession, frame: DataFrame, name: str, rows: int | None = None) -> tuple[DataFrame, str]:
+    """``frame`` as a Parquet table in the shared folder (cuts its lineage); ``rows``
+    as for ``few_tasks``, if known."""
     path = fresh_path(spark, name)
-    frame.write.parquet(path)
+    few_tasks(frame, rows).write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path), path

@@ -173,3 +173,29 @@ def test_given_columns_with_clashing_names(spark):
     rows = [(1, "a b c d e f g", "x", "y", 1), (2, "a b c d e f g", "z", "w", 2), (3, "q r s t u v", None, None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, spindle_id string, spindle_words string, spindle_nth int")
     assert [tuple(r) for r in omh.keep_one(spark, docs).orderBy("doc_id").collect()] == [rows[0], rows[2]]
+
+
+def test_small_tables_take_few_tasks(spark, monkeypatch):
+    """With many partitions and few rows, a table of known size has no file a partition."""
+    files = []
+    real = omh.written
+
+    def counted(session, frame, name, rows=None):
+        table, path = real(session, frame, name, rows)
+        files.append((name, len(table.inputFiles())))
+        return table, path
+    monkeypatch.setattr(omh, "written", counted)
+    rnd = random.Random(31)
+    docs = list(enumerate(family(rnd, [f"b{rnd.randrange(4000)}" for _ in range(150)], 60, 3) + [" ".join(f"u{i}x{j}" for j in range(20)) for i in range(60) for _ in range(2)]))
+    held = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        got, _ = classes(spark, docs)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == omh.brute_force(docs)
+    many = {name for name, n in files if n > spark.sparkContext.defaultParallelism}
+    assert {"nodes", "pairs", "joined", "labels"} <= {name for name, _ in files} and not many, files
