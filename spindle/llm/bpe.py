@@ -36,11 +36,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .runtime import on_workers
+from .runtime import on_workers, released
 
 MAX_FILE_BYTES = 64 << 20
 CACHE_WORDS = 100_000           # words of a worker's cache, each with a few ids
-EMIT_BYTES = 8 << 20
+EMIT_BYTES = 1 << 20             # ids, or decoded text, that a task holds before it hands them on
 
 # How the vocabulary splits words (contractions, runs of letters, single digits, other runs).
 _SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|{letter}+|{number}|[^{space}{letters}{numbers}]+"
@@ -188,13 +188,13 @@ def encode(spark: SparkSession, docs: DataFrame, vocabulary: str, key: str = "do
     """row_key, n_tokens, ids (little-endian unsigned 32-bit integers) of every text."""
     sent = _sent(spark, vocabulary)
     schema = T.StructType([T.StructField("row_key", docs.schema[key].dataType), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
-    return docs.select(F.col(key).alias("row_key"), F.col(text).alias("t")).mapInArrow(lambda b: _encoded(b, sent), schema)
+    return docs.select(F.col(key).alias("row_key"), F.col(text).alias("t")).mapInArrow(lambda b: released(_encoded(b, sent)), schema)
 
 
 def decode(spark: SparkSession, encoded: DataFrame, vocabulary: str) -> DataFrame:
     """``encoded`` and the text that its ids stand for."""
     sent = _sent(spark, vocabulary)
-    return encoded.mapInArrow(lambda b: _decoded(b, sent), T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())]))
+    return encoded.mapInArrow(lambda b: released(_decoded(b, sent)), T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())]))
 
 
 def round_trip(spark: SparkSession, docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -202,4 +202,4 @@ def round_trip(spark: SparkSession, docs: DataFrame, vocabulary: str, key: str =
     sent = _sent(spark, vocabulary)
     schema = T.StructType([T.StructField("row_key", docs.schema[key].dataType), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()),
                            T.StructField("decoded", T.StringType())])
-    return docs.select(F.col(key).alias("row_key"), F.col(text).alias("t")).mapInArrow(lambda b: _decoded(_encoded(b, sent), sent), schema)
+    return docs.select(F.col(key).alias("row_key"), F.col(text).alias("t")).mapInArrow(lambda b: released(_decoded(_encoded(b, sent), sent)), schema)

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import arrowtext as at
-from .runtime import fresh_path, on_workers
+from .runtime import fresh_path, on_workers, released
 
 WINDOW = 10
 BLOCK_BYTES = 8 << 20
@@ -255,7 +255,7 @@ def find_matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, key
         sent = spark.sparkContext.broadcast(item_suffixes(items, window))
         schema = T.StructType([T.StructField("row_key", frame.schema["row_key"].dataType), T.StructField("n_words", T.LongType()),
                                T.StructField("n_hit", T.LongType()), T.StructField("matches", MATCHES), T.StructField("hit_runs", T.ArrayType(run))])
-        return frame.mapInArrow(lambda batches: _scan(batches, sent.value), schema)
+        return frame.mapInArrow(lambda batches: released(_scan(batches, sent.value)), schema)
 
     parts = item_blocks(benchmark, item, item_text, blocks)
     source = docs.select(F.col(key).alias("row_key"), F.col(text).alias("text"))
@@ -302,7 +302,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, te
     on_workers(spark)
     for items in item_blocks(benchmark, item, item_text, block_count(benchmark, item_text, block_bytes)):
         sent = spark.sparkContext.broadcast(item_suffixes(items, window))
-        docs = docs.mapInArrow(lambda batches, sent=sent: _clean(batches, sent.value, text), docs.schema)
+        docs = docs.mapInArrow(lambda batches, sent=sent: released(_clean(batches, sent.value, text)), docs.schema)
     return docs
 
 

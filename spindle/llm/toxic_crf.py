@@ -43,7 +43,7 @@ from pyspark.sql import types as T
 
 from . import arrowtext as at
 from .samples import labelled_texts
-from .runtime import on_workers
+from .runtime import on_workers, released
 
 PER_LABEL = 3000
 MAX_TEXT_BYTES = 20_000
@@ -332,7 +332,7 @@ def score(spark: SparkSession, docs: DataFrame, field: Field, key: str = "doc_id
     sent = spark.sparkContext.broadcast(field)
     span = T.StructType([T.StructField("begin", T.LongType()), T.StructField("end", T.LongType()), T.StructField("probability", T.DoubleType())])
     schema = T.StructType([T.StructField("row_key", docs.schema[key].dataType), T.StructField("score", T.DoubleType()), T.StructField("spans", T.ArrayType(span))])
-    return docs.select(F.col(key).alias("row_key"), F.col(text).alias("t")).mapInArrow(lambda b: _scored(b, sent), schema)
+    return docs.select(F.col(key).alias("row_key"), F.col(text).alias("t")).mapInArrow(lambda b: released(_scored(b, sent)), schema)
 
 
 def _accepted(batches, sent, text, limit):
@@ -347,4 +347,4 @@ def reject(spark: SparkSession, docs: DataFrame, field: Field, limit: float, tex
     """``docs`` without the rows whose score reaches ``limit``; same columns."""
     on_workers(spark)
     sent = spark.sparkContext.broadcast(field)
-    return docs.mapInArrow(lambda b: _accepted(b, sent, text, limit), docs.schema)
+    return docs.mapInArrow(lambda b: released(_accepted(b, sent, text, limit)), docs.schema)
