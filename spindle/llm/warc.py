@@ -147,6 +147,7 @@ def records_of(content: bytes):
         return True
 
     while need(1):
+        need(2)                            # a piece may end between CR and LF
         if held[:2] == b"\r\n":
             del held[:2]
             continue

@@ -41,6 +41,17 @@ def test_empty_table_and_missing_response(spark, tmp):
     assert row.response is None and row.capture_id == "<gone>" and len(row.requests) == 2
 
 
+def test_records_that_pieces_cut_anywhere():
+    def record(size):
+        return b"WARC/1.1\r\nWARC-Type: resource\r\nContent-Length: %d\r\n\r\n" % size + b"z" * size + b"\r\n\r\n"
+
+    piece = 1 << 20
+    for past in range(-90, 12):                 # the first piece ends within the first record's end or the second record's head
+        size = piece - past - len(record(piece)) + piece
+        content = gzip.compress(record(size) + record(3) + record(0), 1)
+        assert [len(body) for _, body in warc.records_of(content)] == [size, 3, 0]
+
+
 def test_base32(spark):
     import base64
     import hashlib
