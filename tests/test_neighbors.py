@@ -4,7 +4,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from spindle import session
+from spindle.operators import near_users
 from spindle.operators import neighbors as nb
+from spindle.plans import workloads
 from spindle.sources.delimited import parse_book_rows
 
 SCHEMA = "row_key string, user_id double, location string, title string, author string, year int, publisher string"
@@ -208,3 +211,76 @@ def test_knn_copies_and_a_hot_user_beside_small_ones(spark):
         best = sorted((_dist(q, t), t[0], t[7]) for t in copies)[:4]
         want += [(q[0], i + 1, t, c, d) for i, (d, t, c) in enumerate(best)]
     assert sorted((r["row_key"], r["rank"], r["t_row_key"], r["t_copy"], r["distance"]) for r in got) == sorted(want)
+
+
+def _shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().toList().mkString("\n").split("\n")
+    return {f for f in files if "shuffle_" in f}
+
+
+def test_stored_leaves_no_shuffle_files(spark):
+    frame = spark.range(2000).repartition(3, "id").groupBy((F.col("id") % 7).alias("x")).agg(F.count("*").alias("n"))
+    before = _shuffle_files(spark)
+    made = []
+    assert sorted(map(tuple, session.stored(frame, "test", made).collect())) == [(x, 286 if x < 5 else 285) for x in range(7)] and len(made) == 1
+    assert not _shuffle_files(spark) - before
+
+
+def test_search_moves_one_range_of_users_at_a_time(spark, monkeypatch):
+    """Each piece is written on its own, and training rows beyond a piece's reach are not in it."""
+    seen = []
+    monkeypatch.setattr(session, "PIECE_ROWS", 100)
+    monkeypatch.setattr(near_users, "stored_pieces", lambda pieces, name: session.stored_pieces((seen.append(p) or p for p in pieces), name))
+    qs = [(f"q{i:04d}", float(i), "A", "T", "X", 2000, "P") for i in range(200)]
+    ts = [(f"t{i:04d}", i + 0.25, "A", "T", "X", 2000, "P") for i in range(200)]
+    got = nb.knn_topk(spark.createDataFrame(qs, SCHEMA), spark.createDataFrame(ts, SCHEMA), k=2)
+    assert sorted((r["row_key"], r["rank"], r["t_row_key"], r["distance"]) for r in got.collect()) == _brute(qs, ts, 2)
+    assert len(seen) == 4
+
+
+def test_only_rows_of_near_users_are_shuffled_after_the_search(spark, monkeypatch):
+    """Queries left over by the search are joined with the training rows of the users in their bands, picked before the shuffle."""
+    asked = []
+    monkeypatch.setattr(nb, "broadcast_if_small", lambda df, most: asked.append(df.count()) or session.broadcast_if_small(df, most))
+    qs = [("q0", -500.0, "A", "T", "X", 2000, "P")] + [(f"q{i}", float(i), "A", "T", "X", 2000, "P") for i in range(1, 60)]
+    ts = [(f"t{i:03d}", float(i), "A", "T", "X", 2000, "P") for i in range(300)]
+    got = nb.knn_topk(spark.createDataFrame(qs, SCHEMA), spark.createDataFrame(ts, SCHEMA), k=2)
+    assert sorted((r["row_key"], r["rank"], r["t_row_key"], r["distance"]) for r in got.collect()) == _brute(qs, ts, 2)
+    assert asked and asked[0] < 300
+
+
+def _book_tables(spark, folder):
+    """Tables with repeated and null keys in each of them; returns lineitem's rows."""
+    lines = [(o, n, o % 5, o % 3, "OF"[o % 2]) for o in range(40) for n in range(o % 4)] + [(None, 1, 1, 1, "O"), (7, 9, None, 1, "F"), (7, 1, 2, 1, "O")]
+    rows = {"lineitem": (lines, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_linestatus string"),
+            "orders": ([(o, o % 6, f"199{o % 9}-01-02 00:00:00") for o in range(38)] + [(7, 2, None), (None, 1, None)], "o_orderkey long, o_custkey long, d string"),
+            "customer": ([(c, c % 3) for c in range(5)] + [(2, 1)], "c_custkey long, c_nationkey int"),
+            "nation": ([(0, "N0"), (1, "N1"), (2, None)], "n_nationkey int, n_name string"),
+            "part": ([(p, f"part {p % 2}", "B") for p in range(4)] + [(1, "other", None)], "p_partkey long, p_name string, p_brand string"),
+            "supplier": ([(s, f"S{s}") for s in range(3)] + [(1, "S9")], "s_suppkey long, s_name string")}
+    for name, (data, schema) in rows.items():
+        df = spark.createDataFrame(data, schema)
+        df = df.select("o_orderkey", "o_custkey", F.col("d").cast("timestamp_ntz").alias("o_orderdate")) if name == "orders" else df
+        df.write.parquet(f"{folder}/{name}.parquet")
+
+
+def test_book_split_in_pieces(spark, tmp_path, monkeypatch):
+    _book_tables(spark, tmp_path)
+    whole = [sorted(map(str, side.collect())) for side in workloads.book_split(spark, str(tmp_path))]
+    direct = sorted(str(r) for r in workloads.book_rows(spark, str(tmp_path)).drop("status").collect())
+    monkeypatch.setattr(session, "PIECE_ROWS", 9)
+    assert [sorted(map(str, side.collect())) for side in workloads.book_split(spark, str(tmp_path))] == whole
+    assert sorted(whole[0] + whole[1]) == direct and len(direct) > 50
+
+
+def test_book_lines_are_shuffled_twice(spark, tmp_path):
+    _book_tables(spark, tmp_path)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for k, v in zip(old, ("-1", "false")):
+            spark.conf.set(k, v)
+        plan = workloads.book_rows(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert plan.count("Exchange hashpartitioning") == 6          # lines by order and part, orders by customer and order, customers, parts
