@@ -226,6 +226,17 @@ def test_stored_leaves_no_shuffle_files(spark):
     assert not _shuffle_files(spark) - before
 
 
+def test_knn_payload_in_pieces(spark, monkeypatch):
+    """Search by ranges of users gives the same rows, carried columns included, as all at once."""
+    monkeypatch.setattr(session, "PIECE_ROWS", 40)
+    qs, ts = _fixture(11, 90, 160)
+    ts = [(r[0], r[1], *r[2:5], i, r[6]) for i, r in enumerate(ts)]
+    year = {r[0]: r[5] for r in ts}
+    got = nb.knn_topk(spark.createDataFrame(qs, SCHEMA), spark.createDataFrame(ts, SCHEMA), carry=["year"], q_carry=["publisher"]).collect()
+    assert sorted((r["row_key"], r["rank"], r["t_row_key"], r["distance"]) for r in got) == _brute(qs, ts, 3)
+    assert all(r["t_year"] == year[r["t_row_key"]] and r["q_publisher"] == {q[0]: q[6] for q in qs}[r["row_key"]] for r in got)
+
+
 def test_search_moves_one_range_of_users_at_a_time(spark, monkeypatch):
     """Each piece is written on its own, and training rows beyond a piece's reach are not in it."""
     seen = []
