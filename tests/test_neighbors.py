@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from spindle import session
 from spindle.operators import near_users
 from spindle.operators import neighbors as nb
-from spindle.plans import workloads
+from spindle.plans import loops, workloads
 from spindle.sources.delimited import parse_book_rows
 
 SCHEMA = "row_key string, user_id double, location string, title string, author string, year int, publisher string"
@@ -295,3 +295,22 @@ def test_book_lines_are_shuffled_twice(spark, tmp_path):
         for k, v in old.items():
             spark.conf.set(k, v)
     assert plan.count("Exchange hashpartitioning") == 6          # lines by order and part, orders by customer and order, customers, parts
+
+
+@pytest.mark.parametrize("piece_rows", [60_000_000, 50])
+def test_ensemble_training_is_the_union_of_the_samples(spark, monkeypatch, piece_rows):
+    monkeypatch.setattr(session, "PIECE_ROWS", piece_rows)
+    df = spark.createDataFrame([(f"k{i:03d}", float(i)) for i in range(97)], "key string, v double")
+    want = [r for m in range(3) for r in nb.bootstrap_sample(df, "key", model=m).select("key", "v", "copy", "model").collect()]
+    got = nb.ensemble_training(df, "key", models=3)
+    assert got.columns == ["key", "v", "copy", "model"] and sorted(map(tuple, got.collect())) == sorted(map(tuple, want))
+
+
+def test_ensemble_joins_a_row_once(spark, monkeypatch):
+    """The rows are joined with the draws of all models at once, and no table is written as uncompressed rows."""
+    cuts, joined = [], []
+    monkeypatch.setattr(nb, "cut", lambda df: cuts.append(df) or loops.cut(df))
+    monkeypatch.setattr(nb, "stored_pieces", lambda pieces, name: session.stored_pieces((joined.append(p) or p for p in pieces), name))
+    df = spark.createDataFrame([(f"k{i:03d}", float(i)) for i in range(30)], "key string, v double")
+    assert nb.ensemble_training(df, "key", models=3).count() == 90
+    assert not cuts and len(joined) == 1
